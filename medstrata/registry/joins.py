@@ -1,0 +1,132 @@
+"""Enrichment, orphan and preview queries."""
+
+from pyspark.sql import functions as F
+
+from medstrata.operators.aggregates import top_rows
+from medstrata.operators.enrich import count_missing, count_orphans, left_enrich
+from medstrata.plans import healthcare
+from medstrata.plans.tables import Lake
+from medstrata.registry.catalog import query
+
+
+@query(
+    "claims_enriched",
+    "SELECT * REPLACE (CAST(claim_date AS VARCHAR) AS claim_date) FROM claims_enriched",
+)
+def claims_enriched(lake: Lake):
+    return lake.silver_claims_enriched
+
+
+@query(
+    "feedback_enriched",
+    """
+SELECT * EXCLUDE (ts) REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp")
+FROM feedback_enriched""",
+)
+def feedback_enriched(lake: Lake):
+    rows = lake.silver_feedback_enriched
+    return rows.withColumn("k", F.col("metadata")["k"]).drop(
+        "metadata", "_ingest_ts", "_source_file", "_batch_id"
+    )
+
+
+@query(
+    "encounters_enriched",
+    "SELECT * REPLACE (CAST(start_ts AS VARCHAR) AS start_ts) FROM encounters_enriched",
+)
+def encounters_enriched(lake: Lake):
+    return lake.silver_encounters_enriched.drop("_source_file", "_batch_id")
+
+
+@query(
+    "orphan_claims_patient",
+    """
+SELECT COUNT(*) AS missing_patient_dim FROM claims c
+WHERE NOT EXISTS (SELECT 1 FROM patients p WHERE p.id = c.patient_id)""",
+)
+def orphan_claims_patient(lake: Lake):
+    return count_orphans(
+        lake.silver_claims, lake.silver_patients, "patient_id", "id", "missing_patient_dim"
+    )
+
+
+@query(
+    "orphan_claims_provider",
+    """
+SELECT COUNT(*) AS missing_provider_dim FROM claims c
+WHERE NOT EXISTS (SELECT 1 FROM providers p WHERE p.is_current AND p.provider_id = c.provider_id)""",
+)
+def orphan_claims_provider(lake: Lake):
+    current = healthcare.current_providers(lake.silver_providers)
+    return count_orphans(
+        lake.silver_claims, current, "provider_id", "provider_id", "missing_provider_dim"
+    )
+
+
+@query(
+    "orphan_feedback",
+    """
+SELECT
+  COUNT(*) FILTER (WHERE visit_id NOT IN (SELECT encounter_id FROM encounters)) AS missing_encounter,
+  COUNT(*) FILTER (WHERE provider_id NOT IN (SELECT provider_id FROM providers)) AS missing_provider
+FROM feedback""",
+)
+def orphan_feedback(lake: Lake):
+    return count_missing(
+        lake.silver_feedback,
+        {
+            "missing_encounter": ("visit_id", lake.silver_encounters, "encounter_id"),
+            "missing_provider": ("provider_id", lake.silver_providers, "provider_id"),
+        },
+    )
+
+
+@query(
+    "raw_joins",
+    """
+SELECT 'claims_patients' AS relation, COUNT(*) AS joined_rows, COUNT(p.id) AS matched_rows
+FROM claim_feed c LEFT JOIN patient_feed p ON c.patient_id = p.id
+UNION ALL
+SELECT 'claims_providers', COUNT(*), COUNT(p.provider_id)
+FROM claim_feed c LEFT JOIN provider_rows p ON c.provider_id = p.provider_id
+UNION ALL
+SELECT 'encounters_patients', COUNT(*), COUNT(p.id)
+FROM encounter_feed e LEFT JOIN patient_feed p ON e.patient_id = p.id""",
+)
+def raw_joins(lake: Lake):
+    """The documented raw-layer joins; raw dimensions may hold several rows per key."""
+
+    def measured(relation, fact, dimension, fact_key, dimension_key):
+        joined = left_enrich(
+            fact.select(F.col(fact_key).alias("_key")), dimension, "_key", dimension_key, (),
+            "unmatched",
+        )
+        return joined.agg(
+            F.count(F.lit(1)).alias("joined_rows"),
+            F.count_if(~F.col("unmatched")).alias("matched_rows"),
+        ).select(F.lit(relation).alias("relation"), "*")
+
+    return (
+        measured("claims_patients", lake.bronze_claims, lake.bronze_patients, "PatientID", "ID")
+        .unionByName(
+            measured("claims_providers", lake.bronze_claims, lake.bronze_providers,
+                     "ProviderID", "ProviderID")
+        )
+        .unionByName(
+            measured("encounters_patients", lake.bronze_encounters, lake.bronze_patients,
+                     "PATIENT", "ID")
+        )
+    )
+
+
+@query(
+    "preview_latest",
+    """
+SELECT claim_id, CAST(claim_date AS VARCHAR) AS claim_date, claim_amount, provider_missing
+FROM claims_enriched ORDER BY claims_enriched.claim_date DESC, claim_id LIMIT 5""",
+)
+def preview_latest(lake: Lake):
+    rows = lake.silver_claims_enriched.select(
+        "claim_id", "claim_date", "claim_amount", "provider_missing"
+    )
+    return top_rows(rows, [F.col("claim_date").desc_nulls_last(), "claim_id"], 5)
