@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from medstrata.functions.predicates import differs
+from medstrata.operators.dedupe import COMMIT_ORDER, latest_per_key
 
 
 def upsert_latest(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -19,6 +20,18 @@ def upsert_latest(target: DataFrame, latest: DataFrame, keys: Sequence[str]) ->
     return untouched.unionByName(latest, allowMissingColumns=True)
 
 
+def upsert_newest(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """Type-1 upsert of rows that carry their commit order, in any order of arrival.
+
+    The newest row per key of both sides wins, so a batch that is repeated, or
+    holds an older part of a commit, cannot move a record back in time.
+    """
+    both = target.unionByName(batch, allowMissingColumns=True)
+    return latest_per_key(both, keys, COMMIT_ORDER, tie_break)
+
+
 def insert_new(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-only merge: rows with keys already in ``target`` are ignored."""
     return target.unionByName(

@@ -1,0 +1,137 @@
+"""Queries for the reports of ``plans.profiles``."""
+
+from pyspark.sql import functions as F
+
+from medstrata.plans import profiles
+from medstrata.plans.tables import Lake
+from medstrata.registry.catalog import query
+from medstrata.registry.sql import mean, money_mean, money_sum, rounded
+
+YEAR = 2001
+
+
+# Stand-in claims are spread thinly over patients and days, hence the low threshold.
+@query(
+    "rapid_fire_claims",
+    """
+SELECT patient_id, CAST(claim_date AS VARCHAR) AS claim_date, COUNT(*) AS claim_count
+FROM claims GROUP BY patient_id, claims.claim_date HAVING COUNT(*) > 1""",
+)
+def rapid_fire_claims(lake: Lake):
+    return profiles.rapid_fire_claims(lake.silver_claims, more_than=1)
+
+
+@query(
+    "age_band_utilization",
+    f"""
+SELECT CASE WHEN {YEAR} - birth_year >= 65 THEN '65+' WHEN {YEAR} - birth_year >= 50 THEN '50-64'
+    WHEN {YEAR} - birth_year >= 35 THEN '35-49' WHEN {YEAR} - birth_year >= 18 THEN '18-34'
+    WHEN {YEAR} - birth_year >= 0 THEN '0-17' ELSE 'Unknown' END AS age_band,
+  COUNT(*) AS encounter_count, COUNT(DISTINCT patient_id) AS patient_count
+FROM encounters_enriched GROUP BY 1""",
+)
+def age_band_utilization(lake: Lake):
+    return profiles.age_band_utilization(lake.silver_encounters_enriched, YEAR)
+
+
+@query(
+    "feedback_variability",
+    f"""
+SELECT COALESCE(p.provider_specialty, 'Unknown') AS provider_specialty,
+  COALESCE(f.source, 'Unknown') AS source, COUNT(*) AS feedback_count,
+  {rounded('STDDEV_SAMP(satisfaction_score)', 4)} AS score_stddev,
+  MIN(satisfaction_score) AS min_score, MAX(satisfaction_score) AS max_score,
+  COUNT(comments) AS comment_count, {mean('LENGTH(comments)')} AS avg_comment_length
+FROM feedback_rows f LEFT JOIN (SELECT * FROM providers WHERE is_current) p
+  ON f.provider_id = p.provider_id
+GROUP BY 1, 2""",
+)
+def feedback_variability(lake: Lake):
+    return profiles.feedback_variability(lake.bronze_feedback, lake.silver_providers)
+
+
+@query(
+    "encounters_by_month",
+    """
+SELECT CAST(CAST(date_trunc('month', start_ts) AS DATE) AS VARCHAR) AS month, gender, birth_year,
+  COUNT(*) AS encounter_count
+FROM encounters_enriched
+WHERE gender IS NOT NULL AND birth_year IS NOT NULL
+  AND start_ts >= DATE '2001-09-30' - INTERVAL 2 YEARS
+GROUP BY 1, 2, 3""",
+)
+def encounters_by_month(lake: Lake):
+    return profiles.encounters_by_month(lake.silver_encounters_enriched, lake.as_of)
+
+
+@query(
+    "unmatched_entities",
+    """
+SELECT 'encounter_without_patient' AS kind, encounter_id AS id FROM encounters_enriched
+WHERE patient_missing
+UNION ALL
+SELECT 'patient_without_encounter', id FROM patients
+WHERE id NOT IN (SELECT patient_id FROM encounters)""",
+)
+def unmatched_entities(lake: Lake):
+    return profiles.unmatched_entities(lake.silver_encounters, lake.silver_patients)
+
+
+@query(
+    "hourly_claims",
+    f"""
+SELECT CAST(date_trunc('hour', CAST(_ingest_ts AS TIMESTAMP)) AS VARCHAR) AS hour,
+  COUNT(*) AS claim_count, {money_sum('claim_amount')} AS total_amount,
+  {money_mean('claim_amount')} AS avg_amount
+FROM claims GROUP BY 1""",
+)
+def hourly_claims(lake: Lake):
+    return profiles.hourly_claims(lake.silver_claims, "_ingest_ts")
+
+
+@query(
+    "provider_match_rate",
+    """
+SELECT COUNT(*) AS total_claims, COUNT(*) FILTER (WHERE provider_missing) AS unmatched_claims,
+  ROUND(COUNT(*) FILTER (WHERE NOT provider_missing) / CAST(COUNT(*) AS DOUBLE), 4) AS match_rate
+FROM claims_enriched""",
+)
+def provider_match_rate(lake: Lake):
+    return profiles.provider_match_rate(lake.silver_claims_enriched)
+
+
+@query(
+    "gender_breakdown",
+    "SELECT gender, COUNT(*) AS patient_count FROM patients WHERE gender IN ('F', 'M') GROUP BY 1",
+)
+def gender_breakdown(lake: Lake):
+    return profiles.gender_breakdown(lake.silver_patients, YEAR)
+
+
+@query(
+    "cleanse_demographics",
+    f"""
+SELECT id, CASE WHEN gender IN ('F', 'M') THEN gender END AS gender,
+  CASE WHEN birth_year BETWEEN 1900 AND {YEAR} THEN birth_year END AS birth_year
+FROM patients""",
+)
+def cleanse_demographics(lake: Lake):
+    return profiles.cleanse_demographics(lake.silver_patients, YEAR).select(
+        "id", "gender", "birth_year"
+    )
+
+
+@query(
+    "ingest_row_log",
+    """
+SELECT _batch_id, _source_file, COUNT(*) AS row_count, MAX(_ingest_ts) AS last_ingest_ts
+FROM claim_feed GROUP BY 1, 2
+UNION ALL
+SELECT 'manual', 'events', COUNT(*), strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') FROM events""",
+)
+def ingest_row_log(lake: Lake):
+    rows = lake.bronze_claims.select("_batch_id", "_source_file", "_ingest_ts").unionByName(
+        lake.bronze_feedback.select("_batch_id", "_source_file", "_ingest_ts")
+    )
+    log = profiles.load_log(rows)
+    return log.withColumn("last_ingest_ts", F.date_trunc("second", "last_ingest_ts"))

@@ -1,4 +1,4 @@
-"""Change logs: Parquet folders ``_commit_version=N`` of change rows.
+"""Change logs: Parquet folders ``_commit_version=N/_run_id=R`` of change rows.
 
 An append-only table is its own change log (every row is an insert).  Readers get
 the commit number from the folder name, in batch and as a file stream.
@@ -14,21 +14,41 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from medstrata.sources import folders
 
 VERSION = "_commit_version"
-RUN_MODE = "_run_mode"
+RUN_ID = "_run_id"
 
 
-def write_commit(
-    changes: DataFrame, path: str, version: int, run_mode: str | None = None
-) -> None:
-    """Write one commit; writing the same commit again replaces it.
+def _commits(spark: SparkSession, path: str, run_id: str = "*", marker: str = "") -> list[tuple[int, str]]:
+    """(commit number, folder) in commit order."""
+    found = folders.matching(spark, f"{path}/{VERSION}=*/{RUN_ID}={run_id}{marker}")
+    numbered = [
+        (int(re.search(rf"/{VERSION}=(\d+)/", folder).group(1)), folder.removesuffix(marker))
+        for folder in found
+    ]
+    return sorted(numbered)
 
-    ``run_mode`` keeps the commits of batch and continuous runs, which number
-    their micro-batches independently, in separate folders.
+
+def append_commit(changes: DataFrame, path: str, run_id: str) -> int:
+    """Write ``changes`` as the next commit of the log and return its number.
+
+    ``run_id`` names the unit of work.  Repeating it, as a restarted stream repeats
+    its last micro-batch, replaces the folder written before under its old number.
+    Commit 0 is left to the creation of the table.
     """
-    target = f"{path}/{VERSION}={version}"
-    if run_mode:
-        target += f"/{RUN_MODE}={run_mode}"
-    changes.drop(VERSION, RUN_MODE).write.mode("overwrite").parquet(target)
+    spark = changes.sparkSession
+    earlier = _commits(spark, path, run_id)
+    if earlier:
+        version = earlier[-1][0]
+    else:
+        version = max((number for number, _ in _commits(spark, path)), default=0) + 1
+    write_commit(changes, path, version, run_id)
+    return version
+
+
+def write_commit(changes: DataFrame, path: str, version: int, run_id: str = "manual") -> None:
+    """Write one commit under a given number; writing it again replaces it."""
+    changes.drop(VERSION, RUN_ID).write.mode("overwrite").parquet(
+        f"{path}/{VERSION}={version}/{RUN_ID}={run_id}"
+    )
 
 
 def as_inserts(rows: DataFrame) -> DataFrame:
@@ -41,47 +61,37 @@ def as_inserts(rows: DataFrame) -> DataFrame:
 
 
 def log_schema(spark: SparkSession, path: str) -> StructType:
-    """Columns of the log, read from the newest commit of each run mode.
+    """Columns of the log, read from its newest complete commit.
 
     Columns are only ever added, so the newest commit has all of them; one footer
     is read instead of one per file.
     """
-    newest: dict[str, tuple[int, str]] = {}
-    for marker in [
-        *folders.matching(spark, f"{path}/{VERSION}=*/_SUCCESS"),
-        *folders.matching(spark, f"{path}/{VERSION}=*/{RUN_MODE}=*/_SUCCESS"),
-    ]:
-        version, mode = re.search(
-            rf"/{VERSION}=(\d+)(?:/{RUN_MODE}=(\w+))?/_SUCCESS$", marker
-        ).groups()
-        if int(version) >= newest.get(mode or "", (-1, ""))[0]:
-            newest[mode or ""] = (int(version), marker.removesuffix("/_SUCCESS"))
-    if not newest:
+    complete = _commits(spark, path, marker="/_SUCCESS")
+    if not complete:
         raise FileNotFoundError(f"no commit below {path}")
-    columns: dict[str, StructField] = {}
-    for _, commit in newest.values():
-        for column in spark.read.parquet(commit).schema.fields:
-            columns.setdefault(column.name, column)
-    columns[VERSION] = StructField(VERSION, LongType())
-    if set(newest) != {""}:
-        columns[RUN_MODE] = StructField(RUN_MODE, StringType())
-    return StructType(list(columns.values()))
+    stored = spark.read.parquet(complete[-1][1]).schema.fields
+    return StructType(
+        [*stored, StructField(VERSION, LongType()), StructField(RUN_ID, StringType())]
+    )
 
 
 def read_log(spark: SparkSession, path: str, starting_version: int = 0) -> DataFrame:
     """Change rows from ``starting_version`` on; older commit folders are not read."""
     log = spark.read.schema(log_schema(spark, path)).parquet(path)
-    return log.filter(F.col(VERSION) >= starting_version)
+    return log.filter(F.col(VERSION) >= starting_version).drop(RUN_ID)
 
 
 def stream_log(
-    spark: SparkSession,
-    path: str,
-    starting_version: int = 1,
-    max_files: int | None = None,
+    spark: SparkSession, path: str, starting_version: int = 1, max_files: int = 1000
 ) -> DataFrame:
-    """The log as a file stream; by default commit 0, the table creation, is skipped."""
-    reader = spark.readStream.schema(log_schema(spark, path))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path).filter(F.col(VERSION) >= starting_version)
+    """The log as a file stream; by default commit 0, the table creation, is skipped.
+
+    A commit may be spread over several micro-batches, each of at most ``max_files``
+    files, so a backlog of any size is worked off in bounded steps.
+    """
+    stream = (
+        spark.readStream.schema(log_schema(spark, path))
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(path)
+    )
+    return stream.filter(F.col(VERSION) >= starting_version).drop(RUN_ID)

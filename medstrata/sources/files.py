@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -90,7 +90,7 @@ def append_evolving(table: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def remembered_schema(
-    spark: SparkSession, fmt: str, raw: str, store: str
+    spark: SparkSession, fmt: str, raw: str, store: str, extra: Mapping[str, str] = {}
 ) -> StructType:
     """Source schema from the schema store, extended by columns of newer files.
 
@@ -104,7 +104,7 @@ def remembered_schema(
     source, options = reader_options(fmt)
     if fmt == "parquet":
         options["mergeSchema"] = "true"
-    found = spark.read.format(source).options(**options).load(raw).schema.fields
+    found = spark.read.format(source).options(**options, **extra).load(raw).schema.fields
     names = {column.name for column in known}
     merged = StructType([*known, *[column for column in found if column.name not in names]])
     if list(merged.fields) != list(known):

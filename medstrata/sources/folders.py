@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    hadoop_path, file_system = _file_system(spark, path)
+    return file_system.exists(hadoop_path) and file_system.getFileStatus(hadoop_path).isDirectory()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern, in name order."""
     hadoop_path, file_system = _file_system(spark, pattern)

@@ -35,7 +35,9 @@ class IngestSpec:
 
 def file_stream(spark: SparkSession, spec: IngestSpec, paths: DatasetPaths) -> DataFrame:
     """New files below the raw folder, existing ones included, each read once."""
-    schema = spec.schema or files.remembered_schema(spark, spec.fmt, paths.raw, paths.schema)
+    schema = spec.schema or files.remembered_schema(
+        spark, spec.fmt, paths.raw, paths.schema, spec.options
+    )
     source, options = files.reader_options(spec.fmt)
     return (
         spark.readStream.format(source)
@@ -51,37 +53,35 @@ def ingest(
 ) -> StreamingQuery:
     """Load new raw files: quarantine, key gate, audit columns, append as a commit.
 
-    Commit numbers are the micro-batch numbers plus one, so a repeated micro-batch
-    replaces its own folder, and commit 0 stays free for the table creation.
+    A micro-batch that is repeated after a failure replaces its own commit.
     """
     run = batch_id_of(spark)
     stream = with_audit(file_stream(spark, spec, paths), run)
 
     def append(batch: DataFrame, number: int) -> None:
-        version = number + 1
+        run_id = f"{mode}-{number}"
         if files.CORRUPT not in batch.columns:
-            write(batch, version)
+            write(batch, run_id)
             return
         # Both outputs need the parsed files; keep them for the second pass.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = files.split_malformed(batch)
-            write(good, version)
+            write(good, run_id)
             if not bad.isEmpty():
-                changelog.write_commit(
-                    bad.select(files.CORRUPT, *AUDIT_COLUMNS),
-                    paths.quarantine, version, mode,
+                changelog.append_commit(
+                    bad.select(files.CORRUPT, *AUDIT_COLUMNS), paths.quarantine, run_id
                 )
         finally:
             batch.unpersist()
 
-    def write(rows: DataFrame, version: int) -> None:
+    def write(rows: DataFrame, run_id: str) -> None:
         if spec.rescue_into is not None:
             rows = files.rescue(rows, spec.rescue_into, keep=AUDIT_COLUMNS)
         if spec.project is not None:
             rows = spec.project(rows)
-        changelog.write_commit(
-            changelog.as_inserts(require(rows, spec.key)), paths.table, version, mode
+        changelog.append_commit(
+            changelog.as_inserts(require(rows, spec.key)), paths.table, run_id
         )
 
     return run_stream(stream, append, paths.checkpoint_for(mode), mode)

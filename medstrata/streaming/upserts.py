@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from medstrata.operators.dedupe import latest_commit
-from medstrata.operators.upsert import upsert_latest
+from medstrata.operators.dedupe import COMMIT_ORDER, latest_per_key
+from medstrata.operators.enrich import left_enrich
+from medstrata.operators.upsert import insert_new, upsert_newest
 from medstrata.sources import changelog
-from medstrata.sources.tables import merge_bucketed
+from medstrata.sources.tables import merge_bucketed, read_bucketed
 from medstrata.streaming.runs import run_stream
 
 
@@ -35,18 +37,22 @@ class UpsertSpec:
 def upsert_stream(
     source: DataFrame, target: str, spec: UpsertSpec, checkpoint: str, mode: str = "batch"
 ) -> StreamingQuery:
-    """Type-1 upsert of every micro-batch: prepare, latest per key, merge."""
+    """Type-1 upsert of every micro-batch: prepare, latest per key, merge.
+
+    The table keeps the commit columns of its rows, see :func:`upsert_newest`.
+    """
+    newest = partial(upsert_newest, tie_break=spec.tie_break)
 
     def merge(batch: DataFrame, number: int) -> None:
-        latest = latest_commit(spec.prepare(batch), spec.keys, spec.tie_break)
+        latest = latest_per_key(spec.prepare(batch), spec.keys, COMMIT_ORDER, spec.tie_break)
         # Used for the touched buckets, the merge and the change log.
         latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            before = merge_bucketed(latest, target, spec.keys, spec.buckets, upsert_latest)
+            before = merge_bucketed(latest, target, spec.keys, spec.buckets, newest)
             if before is not None and spec.changes_to:
-                changelog.write_commit(
-                    applied_changes(before, latest, spec.keys),
-                    spec.changes_to, number + 1, mode,
+                changelog.append_commit(
+                    applied_changes(before, latest, spec.keys, spec.tie_break),
+                    spec.changes_to, f"{mode}-{number}",
                 )
         finally:
             latest.unpersist()
@@ -54,24 +60,60 @@ def upsert_stream(
     return run_stream(source, merge, checkpoint, mode)
 
 
-def applied_changes(before: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The merged rows as change rows: update when the key was known, else insert."""
-    known = before.select(*keys, F.lit(True).alias("_known"))
+def applied_changes(
+    before: DataFrame, latest: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """The merged rows as change rows: update when the key was known, else insert.
+
+    Rows that are older than the row the table had are not part of the change.
+    """
+    order = (*COMMIT_ORDER, *tie_break)
+    known = before.select(*keys, F.struct(*order).alias("_known"))
+    is_newer = F.col("_known").isNull() | (F.struct(*order) >= F.col("_known"))
     return (
         latest.join(known, list(keys), "left")
+        .filter(is_newer)
         .withColumn(
             "_change_type",
-            F.when(F.col("_known"), "update_postimage").otherwise("insert"),
+            F.when(F.col("_known").isNull(), "insert").otherwise("update_postimage"),
         )
         .withColumn("_commit_timestamp", F.current_timestamp())
         .drop("_known")
     )
 
 
-def stream_changes(
-    spark: SparkSession, log: str, starting_version: int = 1, max_files: int = 1000
-) -> DataFrame:
-    """Change rows of a table as a stream, without the run-mode folder column."""
-    return changelog.stream_log(spark, log, starting_version, max_files).drop(
-        changelog.RUN_MODE
-    )
+def insert_batch(batch: DataFrame, target: str, keys: Sequence[str], buckets: int) -> None:
+    """Insert-only merge of a deduplicated batch into a bucketed table."""
+    merge_bucketed(batch, target, keys, buckets, insert_new)
+
+
+def enrich_stream(
+    changes: DataFrame,
+    dimension: Callable[[], DataFrame],
+    key: str,
+    dimension_key: str,
+    add: Sequence[str],
+    missing_flag: str,
+    target: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    mode: str = "batch",
+    buckets: int = 16,
+) -> StreamingQuery:
+    """Left-join a stream of changed rows with a dimension table and upsert the result.
+
+    ``dimension`` is called for every micro-batch, so a long-running job sees the
+    newest version of the dimension table.
+    """
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        rows = batch.drop("_change_type")
+        return left_enrich(rows, dimension(), key, dimension_key, add, missing_flag)
+
+    spec = UpsertSpec(prepare=prepare, keys=keys, buckets=buckets)
+    return upsert_stream(changes, target, spec, checkpoint, mode)
+
+
+def read_cleaned(spark: SparkSession, target: str) -> DataFrame:
+    """Content of a table that :func:`upsert_stream` keeps, without commit columns."""
+    return read_bucketed(spark, target).drop(*COMMIT_ORDER)
