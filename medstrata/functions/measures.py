@@ -26,6 +26,11 @@ def exact_sum(value: Column | str) -> Column:
     return F.sum(money(value)).cast("double")
 
 
+def money_sum(value: Column | str) -> Column:
+    """The exact sum itself, for sums that are added up further."""
+    return F.sum(money(value))
+
+
 def rounded(value: Column, digits: int) -> Column:
     """Round half up on the decimal digits of a double."""
     return F.round(value.cast(_ROUNDING), digits).cast("double")

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from medstrata.functions.measures import count_where, exact_sum, mean, money, ratio, rounded
+from medstrata.functions.measures import exact_sum, mean, money, ratio, rounded
 
 Groups = Mapping[str, Column]
 
@@ -20,25 +20,19 @@ def _grouped(df: DataFrame, groups: Groups):
     return df.groupBy(*[column.alias(name) for name, column in groups.items()])
 
 
-def rate_by(
-    df: DataFrame, groups: Groups, hit: Column, total: str, hits: str, rate: str, digits: int = 4
-) -> DataFrame:
-    """Rows, rows that satisfy ``hit``, and their ratio per group."""
-    counted = _grouped(df, groups).agg(
-        F.count(F.lit(1)).alias(total), count_where(hit).alias(hits)
-    )
+def with_rate(counted: DataFrame, hits: str, total: str, rate: str, digits: int = 4) -> DataFrame:
+    """Add the ratio of two counts."""
     return counted.withColumn(rate, F.round(ratio(F.col(hits), F.col(total)), digits))
 
 
-def share_within(
-    df: DataFrame, outer: Groups, inner: Groups, count: str, share: str, digits: int = 4
+def with_share(
+    counted: DataFrame, outer: Sequence[str], count: str, share: str, digits: int = 4
 ) -> DataFrame:
-    """Rows per (outer, inner) group and their share of the outer group.
+    """Add the share of each counted group in its outer group.
 
-    The window runs over the counted groups: its partitions hold one row per inner
-    value, not one per input row.
+    The window runs over counted groups: a partition holds one row per inner value,
+    not one per input row.
     """
-    counted = _grouped(df, {**outer, **inner}).agg(F.count(F.lit(1)).alias(count))
     whole = F.sum(count).over(Window.partitionBy(*outer))
     return counted.withColumn(share, F.round(ratio(F.col(count), whole), digits))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def left_enrich(
@@ -31,6 +31,45 @@ def left_enrich(
     return joined.drop(marker)
 
 
+def measure_by_key(
+    fact: DataFrame,
+    keys: Sequence[str | Column],
+    measures: Mapping[str, Column],
+    dimension: DataFrame,
+    fact_key: str,
+    dimension_key: str,
+    add: Sequence[str],
+    missing_flag: str | None = None,
+) -> DataFrame:
+    """Aggregate facts per key first, then add the dimension columns to the groups.
+
+    For reports over enriched facts: the join sees one row per key instead of one
+    per fact, so it is small and has no hot key.  ``keys`` must contain
+    ``fact_key``; a second aggregation over the added columns completes the report.
+    """
+    grouped = fact.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
+    return left_enrich(grouped, dimension, fact_key, dimension_key, add, missing_flag)
+
+
+def join_coverage(
+    fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str
+) -> DataFrame:
+    """One row: size of the left join of two raw tables, and how much of it matched.
+
+    Raw tables may repeat a key on both sides, so the join is sized from the number
+    of rows per key; no pairs are produced.
+    """
+    left = fact.groupBy(F.col(fact_key).alias("_fact_key")).agg(F.count(F.lit(1)).alias("_facts"))
+    right = dimension.groupBy(F.col(dimension_key).alias("_dimension_key")).agg(
+        F.count(F.lit(1)).alias("_matches")
+    )
+    pairs = left.join(right, left["_fact_key"] == right["_dimension_key"], "left")
+    return pairs.agg(
+        F.sum(F.col("_facts") * F.coalesce("_matches", F.lit(1))).alias("joined_rows"),
+        F.sum(F.col("_facts") * F.coalesce("_matches", F.lit(0))).alias("matched_rows"),
+    )
+
+
 def count_orphans(
     fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, name: str
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from medstrata.functions.measures import count_where, exact_sum, mean, ratio, rounded
 from medstrata.functions.predicates import not_blank, or_unknown
 from medstrata.operators import aggregates as agg
+from medstrata.operators.enrich import measure_by_key
 from medstrata.plans.kpis import APPROVED
 
 LAYER_ORDER = ("BRONZE", "SILVER", "GOLD")
@@ -52,11 +53,11 @@ def denial_rate(approval: DataFrame, k: int = 7) -> DataFrame:
     )
 
 
-def feedback_rate(feedback_enriched: DataFrame, encounters_enriched: DataFrame) -> DataFrame:
+def feedback_rate(feedback: DataFrame, encounters: DataFrame) -> DataFrame:
     """Feedback entries with a visit id per hundred encounters."""
     counts = agg.side_by_side(
-        total_encounters=encounters_enriched.agg(F.countDistinct("encounter_id")),
-        feedback_submissions_with_visit=feedback_enriched.agg(F.count("visit_id")),
+        total_encounters=encounters.agg(F.countDistinct("encounter_id")),
+        feedback_submissions_with_visit=feedback.agg(F.count("visit_id")),
     )
     return counts.withColumn(
         "feedback_response_rate_percent",
@@ -68,41 +69,51 @@ def tag_summary(tags: DataFrame, k: int = 10) -> DataFrame:
     return agg.top_rows(tags, [F.col("feedback_count").desc(), "tag"], k)
 
 
-def _mean_score(group_name: str, group: Column, rows: DataFrame, name: str, least: int) -> DataFrame:
+def _scores(feedback: DataFrame, providers: DataFrame) -> DataFrame:
+    """Number and sum of the scores per provider, with the provider attributes."""
+    scored = feedback.filter(F.col("satisfaction_score").isNotNull())
+    return measure_by_key(
+        scored, ["provider_id"],
+        {"_scores": F.count(F.lit(1)), "_sum": F.sum("satisfaction_score")},
+        providers, "provider_id", "provider_id", ["provider_specialty", "provider_location"],
+    )
+
+
+def _mean_score(scores: DataFrame, group: Column, average: str, least: int) -> DataFrame:
     return (
-        rows.filter(F.col("satisfaction_score").isNotNull())
-        .groupBy(group.alias(group_name))
+        scores.groupBy(group)
         .agg(
-            mean(F.sum("satisfaction_score"), F.count("satisfaction_score"), 2).alias(name),
-            F.count(F.lit(1)).alias("feedback_count"),
+            mean(F.sum("_sum"), F.sum("_scores"), 2).alias(average),
+            F.sum("_scores").alias("feedback_count"),
         )
         .filter(F.col("feedback_count") >= least)
     )
 
 
-def satisfaction_by_specialty(feedback_enriched: DataFrame, least: int = 5) -> DataFrame:
-    return _mean_score(
-        "specialty", or_unknown("provider_specialty"), feedback_enriched,
-        "avg_satisfaction_score", least,
-    ).orderBy(F.col("avg_satisfaction_score").desc(), "specialty")
+def satisfaction_by_specialty(
+    feedback: DataFrame, providers: DataFrame, least: int = 5
+) -> DataFrame:
+    group = or_unknown("provider_specialty").alias("specialty")
+    scores = _mean_score(_scores(feedback, providers), group, "avg_satisfaction_score", least)
+    return scores.orderBy(F.col("avg_satisfaction_score").desc(), "specialty")
 
 
-def satisfaction_by_location(feedback_enriched: DataFrame, least: int = 5) -> DataFrame:
-    placed = feedback_enriched.filter(not_blank("provider_location"))
-    return _mean_score(
-        "provider_location", F.col("provider_location"), placed, "avg_score", least
-    ).orderBy(F.col("feedback_count").desc(), "provider_location")
+def satisfaction_by_location(
+    feedback: DataFrame, providers: DataFrame, least: int = 5
+) -> DataFrame:
+    placed = _scores(feedback, providers).filter(not_blank("provider_location"))
+    scores = _mean_score(placed, F.col("provider_location"), "avg_score", least)
+    return scores.orderBy(F.col("feedback_count").desc(), "provider_location")
 
 
-def top_providers(claims_enriched: DataFrame, k: int = 10) -> DataFrame:
+def top_providers(claims: DataFrame, providers: DataFrame, k: int = 10) -> DataFrame:
     """Providers by approved amount."""
     paid = F.when(F.col("claim_status") == APPROVED, F.col("claim_amount")).otherwise(F.lit(0.0))
-    totals = claims_enriched.groupBy(
-        "provider_id", or_unknown("provider_specialty").alias("provider_specialty")
-    ).agg(exact_sum(paid).alias("total_paid_usd"))
-    return agg.top_rows(
-        totals, [F.col("total_paid_usd").desc(), "provider_id", "provider_specialty"], k
-    )
+    totals = measure_by_key(
+        claims, ["provider_id"], {"total_paid_usd": exact_sum(paid)},
+        providers, "provider_id", "provider_id", ["provider_specialty"],
+    ).withColumn("provider_specialty", or_unknown("provider_specialty"))
+    return agg.top_rows(totals, [F.col("total_paid_usd").desc(), "provider_id"], k)
 
 
 # ---- check results ----------------------------------------------------------

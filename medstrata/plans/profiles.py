@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from medstrata.functions.measures import count_where, exact_sum, mean, ratio, rounded
+from medstrata.functions.measures import exact_sum, mean, ratio, rounded
 from medstrata.functions.predicates import or_unknown
-from medstrata.operators.enrich import left_enrich
-from medstrata.plans.healthcare import TRACKED, current_providers
+from medstrata.operators.enrich import measure_by_key
 
 # Lower ages of the bands; a band ends where the next begins.
 AGE_BANDS = {0: "0-17", 18: "18-34", 35: "35-49", 50: "50-64", 65: "65+"}
@@ -30,57 +29,79 @@ def age_band(birth_year: Column, year: int) -> Column:
     return or_unknown(band)
 
 
-def age_band_utilization(encounters_enriched: DataFrame, year: int) -> DataFrame:
-    """Encounters and distinct patients per age band at the end of ``year``."""
-    return encounters_enriched.groupBy(
-        age_band(F.col("birth_year"), year).alias("age_band")
-    ).agg(
-        F.count(F.lit(1)).alias("encounter_count"),
-        F.countDistinct("patient_id").alias("patient_count"),
+def _per_patient(
+    encounters: DataFrame, patients: DataFrame, *keys: Column
+) -> DataFrame:
+    return measure_by_key(
+        encounters, ["patient_id", *keys], {"_encounters": F.count(F.lit(1))},
+        patients, "patient_id", "id", ["gender", "birth_year"],
     )
 
 
-def feedback_variability(raw_feedback: DataFrame, history: DataFrame) -> DataFrame:
+def age_band_utilization(encounters: DataFrame, patients: DataFrame, year: int) -> DataFrame:
+    """Encounters and patients per age band at the end of ``year``."""
+    return (
+        _per_patient(encounters, patients)
+        .groupBy(age_band(F.col("birth_year"), year).alias("age_band"))
+        .agg(
+            F.sum("_encounters").alias("encounter_count"),
+            F.count("patient_id").alias("patient_count"),
+        )
+    )
+
+
+def feedback_variability(raw_feedback: DataFrame, providers: DataFrame) -> DataFrame:
     """Spread of the scores and length of the comments per specialty and source.
 
-    Comments are measured in the raw layer; their text does not leave it.
+    Comments are measured in the raw layer; their text does not leave it.  The
+    spread comes from exact sums of the integer scores, which can be added up.
     """
-    measured = raw_feedback.select(
-        "provider_id", "source", "satisfaction_score", F.length("comments").alias("_length")
-    )
-    enriched = left_enrich(
-        measured, current_providers(history), "provider_id", "provider_id", TRACKED
+    score, length = F.col("satisfaction_score"), F.length("comments")
+    per_provider = measure_by_key(
+        raw_feedback, ["provider_id", "source"],
+        {
+            "_rows": F.count(F.lit(1)),
+            "_n": F.count(score),
+            "_sum": F.sum(score),
+            "_squares": F.sum(score * score),
+            "_min": F.min(score),
+            "_max": F.max(score),
+            "_comments": F.count("comments"),
+            "_length": F.sum(length),
+        },
+        providers, "provider_id", "provider_id", ["provider_specialty"],
     )
-    score = F.col("satisfaction_score")
-    return enriched.groupBy(
+    n, total, squares = F.sum("_n"), F.sum("_sum"), F.sum("_squares")
+    variance = ratio(n * squares - total * total, n * (n - 1))
+    return per_provider.groupBy(
         or_unknown("provider_specialty").alias("provider_specialty"),
         or_unknown("source").alias("source"),
     ).agg(
-        F.count(F.lit(1)).alias("feedback_count"),
-        rounded(F.stddev_samp(score), 4).alias("score_stddev"),
-        F.min(score).alias("min_score"),
-        F.max(score).alias("max_score"),
-        F.count("_length").alias("comment_count"),
-        mean(F.sum("_length"), F.count("_length"), 2).alias("avg_comment_length"),
+        F.sum("_rows").alias("feedback_count"),
+        rounded(F.sqrt(variance), 4).alias("score_stddev"),
+        F.min("_min").alias("min_score"),
+        F.max("_max").alias("max_score"),
+        F.sum("_comments").alias("comment_count"),
+        mean(F.sum("_length"), F.sum("_comments"), 2).alias("avg_comment_length"),
     )
 
 
 def encounters_by_month(
-    encounters_enriched: DataFrame, as_of: Column, years: int = 2
+    encounters: DataFrame, patients: DataFrame, as_of: Column, years: int = 2
 ) -> DataFrame:
     """Encounters per month, gender and birth year over the last ``years`` years.
 
     Encounters whose patient has no gender or birth year are left to the
     unmatched report.
     """
+    recent = encounters.filter(F.col("START_TS") >= F.add_months(as_of, -12 * years))
+    month = F.date_trunc("month", "START_TS").cast("date").alias("month")
     known = F.col("gender").isNotNull() & F.col("birth_year").isNotNull()
-    recent = F.col("START_TS") >= F.add_months(as_of, -12 * years)
     return (
-        encounters_enriched.filter(known & recent)
-        .groupBy(
-            F.date_trunc("month", "START_TS").cast("date").alias("month"), "gender", "birth_year"
-        )
-        .agg(F.count(F.lit(1)).alias("encounter_count"))
+        _per_patient(recent, patients, month)
+        .filter(known)
+        .groupBy("month", "gender", "birth_year")
+        .agg(F.sum("_encounters").alias("encounter_count"))
     )
 
 
@@ -107,11 +128,16 @@ def hourly_claims(claims: DataFrame, instant: str) -> DataFrame:
     )
 
 
-def provider_match_rate(claims_enriched: DataFrame) -> DataFrame:
+def provider_match_rate(claims: DataFrame, providers: DataFrame) -> DataFrame:
     """Claims whose provider is unknown, and the rate of those that match."""
-    counts = claims_enriched.agg(
-        F.count(F.lit(1)).alias("total_claims"),
-        count_where(F.col("provider_missing")).alias("unmatched_claims"),
+    per_provider = measure_by_key(
+        claims, ["provider_id"], {"_claims": F.count(F.lit(1))},
+        providers, "provider_id", "provider_id", (), "_missing",
+    )
+    unmatched = F.when(F.col("_missing"), F.col("_claims")).otherwise(F.lit(0))
+    counts = per_provider.agg(
+        F.coalesce(F.sum("_claims"), F.lit(0)).alias("total_claims"),
+        F.coalesce(F.sum(unmatched), F.lit(0)).alias("unmatched_claims"),
     )
     matched = F.col("total_claims") - F.col("unmatched_claims")
     return counts.withColumn("match_rate", F.round(ratio(matched, F.col("total_claims")), 4))

@@ -60,6 +60,17 @@ class Lake:
             "provider_id", healthcare.TRACKED,
         )
 
+    @cached_property
+    def provider_attributes(self) -> DataFrame:
+        """Current attributes per provider.
+
+        The current rows of the history hold the tracked values of the latest raw
+        rows, which are cheaper to read when the intervals are not needed.
+        """
+        return healthcare.provider_snapshot(self.bronze_providers).select(
+            "provider_id", *healthcare.TRACKED
+        )
+
     @cached_property
     def silver_patients(self) -> DataFrame:
         return healthcare.patients(self.bronze_patients)
@@ -89,31 +100,31 @@ class Lake:
     # report layer
     @cached_property
     def gold_claim_approval_by_specialty(self) -> DataFrame:
-        return kpis.approval_by_specialty(self.silver_claims_enriched)
+        return kpis.approval_by_specialty(self.silver_claims, self.provider_attributes)
 
     @cached_property
     def gold_claim_denial_breakdown(self) -> DataFrame:
-        return kpis.denial_breakdown(self.silver_claims_enriched)
+        return kpis.denial_breakdown(self.silver_claims, self.provider_attributes)
 
     @cached_property
     def gold_high_cost_procedures(self) -> DataFrame:
-        return kpis.high_cost_procedures(self.silver_claims_enriched)
+        return kpis.high_cost_procedures(self.silver_claims)
 
     @cached_property
     def gold_feedback_satisfaction(self) -> DataFrame:
-        return kpis.feedback_satisfaction(self.silver_feedback_enriched)
+        return kpis.feedback_satisfaction(self.silver_feedback, self.provider_attributes)
 
     @cached_property
     def gold_feedback_tag_analysis(self) -> DataFrame:
-        return kpis.feedback_tags(self.silver_feedback_enriched)
+        return kpis.feedback_tags(self.silver_feedback)
 
     @cached_property
     def gold_feedback_encounter_match(self) -> DataFrame:
-        return kpis.feedback_encounter_match(self.silver_feedback_enriched)
+        return kpis.feedback_encounter_match(self.silver_feedback, self.silver_encounters)
 
     @cached_property
     def gold_provider_daily_spend(self) -> DataFrame:
-        return kpis.provider_daily_spend(self.silver_claims_enriched)
+        return kpis.provider_daily_spend(self.silver_claims)
 
     @cached_property
     def gold_provider_7d_spend(self) -> DataFrame:
@@ -121,7 +132,7 @@ class Lake:
 
     @cached_property
     def gold_patient_lifecycle(self) -> DataFrame:
-        return kpis.patient_lifecycle(self.silver_encounters_enriched, self.as_of)
+        return kpis.patient_lifecycle(self.silver_encounters, self.as_of)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -68,7 +68,7 @@ def denial_rate(lake: Lake):
 
 @query("dash_feedback_rate", _RESPONSE)
 def feedback_rate(lake: Lake):
-    return dashboards.feedback_rate(lake.silver_feedback_enriched, lake.silver_encounters_enriched)
+    return dashboards.feedback_rate(lake.silver_feedback, lake.silver_encounters)
 
 
 @query(
@@ -85,7 +85,7 @@ def tag_summary(lake: Lake):
 
 @query("dash_satisfaction_specialty", _SATISFACTION)
 def satisfaction_specialty(lake: Lake):
-    return dashboards.satisfaction_by_specialty(lake.silver_feedback_enriched)
+    return dashboards.satisfaction_by_specialty(lake.silver_feedback, lake.provider_attributes)
 
 
 @query(
@@ -97,7 +97,7 @@ WHERE TRIM(provider_location) <> '' AND satisfaction_score IS NOT NULL
 GROUP BY 1 HAVING COUNT(*) >= 5""",
 )
 def satisfaction_location(lake: Lake):
-    return dashboards.satisfaction_by_location(lake.silver_feedback_enriched)
+    return dashboards.satisfaction_by_location(lake.silver_feedback, lake.provider_attributes)
 
 
 @query(
@@ -109,7 +109,7 @@ FROM claims_enriched GROUP BY 1, 2
 ORDER BY total_paid_usd DESC, provider_id, provider_specialty LIMIT 10""",
 )
 def top_providers(lake: Lake):
-    return dashboards.top_providers(lake.silver_claims_enriched)
+    return dashboards.top_providers(lake.silver_claims, lake.provider_attributes)
 
 
 @query(

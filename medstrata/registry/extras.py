@@ -31,7 +31,7 @@ SELECT CASE WHEN {YEAR} - birth_year >= 65 THEN '65+' WHEN {YEAR} - birth_year >
 FROM encounters_enriched GROUP BY 1""",
 )
 def age_band_utilization(lake: Lake):
-    return profiles.age_band_utilization(lake.silver_encounters_enriched, YEAR)
+    return profiles.age_band_utilization(lake.silver_encounters, lake.silver_patients, YEAR)
 
 
 @query(
@@ -47,7 +47,7 @@ FROM feedback_rows f LEFT JOIN (SELECT * FROM providers WHERE is_current) p
 GROUP BY 1, 2""",
 )
 def feedback_variability(lake: Lake):
-    return profiles.feedback_variability(lake.bronze_feedback, lake.silver_providers)
+    return profiles.feedback_variability(lake.bronze_feedback, lake.provider_attributes)
 
 
 @query(
@@ -61,7 +61,7 @@ WHERE gender IS NOT NULL AND birth_year IS NOT NULL
 GROUP BY 1, 2, 3""",
 )
 def encounters_by_month(lake: Lake):
-    return profiles.encounters_by_month(lake.silver_encounters_enriched, lake.as_of)
+    return profiles.encounters_by_month(lake.silver_encounters, lake.silver_patients, lake.as_of)
 
 
 @query(
@@ -97,7 +97,7 @@ SELECT COUNT(*) AS total_claims, COUNT(*) FILTER (WHERE provider_missing) AS unm
 FROM claims_enriched""",
 )
 def provider_match_rate(lake: Lake):
-    return profiles.provider_match_rate(lake.silver_claims_enriched)
+    return profiles.provider_match_rate(lake.silver_claims, lake.provider_attributes)
 
 
 @query(

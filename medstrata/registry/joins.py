@@ -1,9 +1,11 @@
 """Enrichment, orphan and preview queries."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from medstrata.operators.aggregates import top_rows
-from medstrata.operators.enrich import count_missing, count_orphans, left_enrich
+from medstrata.operators.enrich import count_missing, count_orphans, join_coverage
 from medstrata.plans import healthcare
 from medstrata.plans.tables import Lake
 from medstrata.registry.catalog import query
@@ -57,9 +59,8 @@ SELECT COUNT(*) AS missing_provider_dim FROM claims c
 WHERE NOT EXISTS (SELECT 1 FROM providers p WHERE p.is_current AND p.provider_id = c.provider_id)""",
 )
 def orphan_claims_provider(lake: Lake):
-    current = healthcare.current_providers(lake.silver_providers)
     return count_orphans(
-        lake.silver_claims, current, "provider_id", "provider_id", "missing_provider_dim"
+        lake.silver_claims, healthcare.current_providers(lake.silver_providers), "provider_id", "provider_id", "missing_provider_dim"
     )
 
 
@@ -95,28 +96,16 @@ FROM encounter_feed e LEFT JOIN patient_feed p ON e.patient_id = p.id""",
 )
 def raw_joins(lake: Lake):
     """The documented raw-layer joins; raw dimensions may hold several rows per key."""
-
-    def measured(relation, fact, dimension, fact_key, dimension_key):
-        joined = left_enrich(
-            fact.select(F.col(fact_key).alias("_key")), dimension, "_key", dimension_key, (),
-            "unmatched",
-        )
-        return joined.agg(
-            F.count(F.lit(1)).alias("joined_rows"),
-            F.count_if(~F.col("unmatched")).alias("matched_rows"),
-        ).select(F.lit(relation).alias("relation"), "*")
-
-    return (
-        measured("claims_patients", lake.bronze_claims, lake.bronze_patients, "PatientID", "ID")
-        .unionByName(
-            measured("claims_providers", lake.bronze_claims, lake.bronze_providers,
-                     "ProviderID", "ProviderID")
-        )
-        .unionByName(
-            measured("encounters_patients", lake.bronze_encounters, lake.bronze_patients,
-                     "PATIENT", "ID")
-        )
-    )
+    relations = {
+        "claims_patients": (lake.bronze_claims, lake.bronze_patients, "PatientID", "ID"),
+        "claims_providers": (lake.bronze_claims, lake.bronze_providers, "ProviderID", "ProviderID"),
+        "encounters_patients": (lake.bronze_encounters, lake.bronze_patients, "PATIENT", "ID"),
+    }
+    sizes = [
+        join_coverage(*relation).select(F.lit(name).alias("relation"), "*")
+        for name, relation in relations.items()
+    ]
+    return reduce(DataFrame.unionByName, sizes)
 
 
 @query(
