@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
@@ -173,6 +174,19 @@ def layer_checks(
     ]
 
 
+def _collected(run_ts: dt.datetime, reports: Sequence[DataFrame]) -> list[tuple]:
+    if not reports:
+        return []
+    found = reduce(DataFrame.unionByName, reports).collect()
+    return [
+        (run_ts, r.layer, r.table_name, r.metric, r.value, r.status, r.message) for r in found
+    ]
+
+
+def _broken(run_ts: dt.datetime, check: Check, error: Exception) -> tuple:
+    return (run_ts, check.layer, check.table, "exception", None, ERROR, str(error))
+
+
 def run_checks(
     spark: SparkSession, checks: Sequence[Check], run_ts: dt.datetime, sink: str | None = None
 ) -> tuple[int, DataFrame]:
@@ -182,17 +196,21 @@ def run_checks(
     passed, else 1, with the rows, which are appended to ``sink`` when given.
     """
     rows = []
+    reports: list[tuple[Check, DataFrame]] = []
     for check in checks:
         try:
-            found = check.build().collect()
-            rows += [
-                (run_ts, r.layer, r.table_name, r.metric, r.value, r.status, r.message)
-                for r in found
-            ]
-        except Exception as error:  # a broken check is itself a result
-            rows.append(
-                (run_ts, check.layer, check.table, "exception", None, ERROR, str(error))
-            )
+            reports.append((check, check.build()))
+        except Exception as error:  # a check that cannot be planned is itself a result
+            rows.append(_broken(run_ts, check, error))
+    try:
+        # All reports in one job: tables that several checks read are computed once.
+        rows += _collected(run_ts, [report for _, report in reports])
+    except Exception:  # find out which one it was
+        for check, report in reports:
+            try:
+                rows += _collected(run_ts, [report])
+            except Exception as error:
+                rows.append(_broken(run_ts, check, error))
     results = spark.createDataFrame(rows, RESULT_SCHEMA)
     if sink:
         results.write.mode("append").parquet(sink)

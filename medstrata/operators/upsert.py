@@ -54,6 +54,17 @@ def open_versions(snapshot: DataFrame, start: str = "_ingest_ts") -> DataFrame:
     )
 
 
+def changed_versions(
+    history: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str]
+) -> DataFrame:
+    """The snapshot rows that :func:`apply_history` would act upon: new or changed keys."""
+    current = history.filter(F.col("is_current")).select(
+        F.col(key).alias("_key"), F.struct(*tracked).alias("_tracked")
+    )
+    same = (F.col(key) == F.col("_key")) & F.struct(*tracked).eqNullSafe(F.col("_tracked"))
+    return snapshot.join(current, same, "left_anti")
+
+
 def apply_history(
     history: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str]
 ) -> DataFrame:

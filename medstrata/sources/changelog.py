@@ -51,6 +51,10 @@ def write_commit(changes: DataFrame, path: str, version: int, run_id: str = "man
     )
 
 
+def has_commits(spark: SparkSession, path: str) -> bool:
+    return bool(_commits(spark, path, marker="/_SUCCESS"))
+
+
 def as_inserts(rows: DataFrame) -> DataFrame:
     """Change rows of an append: every row is an insert of this commit."""
     return rows.select(

@@ -12,7 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from medstrata.operators.dedupe import COMMIT_ORDER, latest_per_key
 from medstrata.operators.enrich import left_enrich
-from medstrata.operators.upsert import insert_new, upsert_newest
+from medstrata.operators.upsert import (
+    apply_history, changed_versions, rows_to_insert, upsert_newest,
+)
 from medstrata.sources import changelog
 from medstrata.sources.tables import merge_bucketed, read_bucketed
 from medstrata.streaming.runs import run_stream
@@ -82,9 +84,35 @@ def applied_changes(
     )
 
 
-def insert_batch(batch: DataFrame, target: str, keys: Sequence[str], buckets: int) -> None:
-    """Insert-only merge of a deduplicated batch into a bucketed table."""
-    merge_bucketed(batch, target, keys, buckets, insert_new)
+def append_new(latest: DataFrame, path: str, keys: Sequence[str], run_id: str) -> None:
+    """Insert-only merge into an append-only table: only rows with new keys are written."""
+    spark = latest.sparkSession
+    rows = latest
+    if changelog.has_commits(spark, path):
+        rows = rows_to_insert(changelog.read_log(spark, path), latest, keys)
+    changelog.append_commit(rows, path, run_id)
+
+
+def merge_history(
+    snapshot: DataFrame, target: str, key: str, tracked: Sequence[str], buckets: int
+) -> None:
+    """Type-2 merge of a snapshot into a bucketed history.
+
+    Only buckets with a new or changed key are rewritten; a snapshot without any
+    change writes nothing.
+    """
+    spark = snapshot.sparkSession
+    history = read_bucketed(spark, target, snapshot.schema)
+    changed = changed_versions(history, snapshot, key, tracked).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    try:
+        merge_bucketed(
+            changed, target, [key], buckets,
+            lambda before, batch, _: apply_history(before, batch, key, tracked),
+        )
+    finally:
+        changed.unpersist()
 
 
 def enrich_stream(
