@@ -117,7 +117,7 @@ def check_keys(
 def check_contract(df: DataFrame, table: str, expected: Sequence[str]) -> DataFrame:
     """Cleaned-layer check: no expected column is missing (schema only, no data read)."""
     missing = sorted(set(expected) - set(df.columns))
-    figures = df.sparkSession.range(1)
+    figures = df.sparkSession.range(0, 1, 1, 1)
     result = _result(
         "missing_cols_count", F.lit(len(missing)), F.lit(not missing), f"missing={missing}"
     )

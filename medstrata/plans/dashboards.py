@@ -112,7 +112,9 @@ def top_providers(claims: DataFrame, providers: DataFrame, k: int = 10) -> DataF
     totals = measure_by_key(
         claims, ["provider_id"], {"total_paid_usd": exact_sum(paid)},
         providers, "provider_id", "provider_id", ["provider_specialty"],
-    ).withColumn("provider_specialty", or_unknown("provider_specialty"))
+    ).select(
+        "provider_id", or_unknown("provider_specialty").alias("provider_specialty"), "total_paid_usd"
+    )
     return agg.top_rows(totals, [F.col("total_paid_usd").desc(), "provider_id"], k)
 
 

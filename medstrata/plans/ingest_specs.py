@@ -38,7 +38,8 @@ def feedback_projection(rows: DataFrame) -> DataFrame:
     return rows.select(
         *kept,
         F.col("satisfaction_score").try_cast("int").alias("satisfaction_score"),
-        F.col("metadata").alias("metadata_json"),
+        # Compact JSON text, as to_json writes it.
+        F.coalesce(F.to_json(F.try_parse_json("metadata")), "metadata").alias("metadata_json"),
         *AUDIT_COLUMNS,
     )
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ from medstrata.operators.aggregates import top_rows
 from medstrata.operators.changes import commit_history
 from medstrata.operators.quality import layer_checks, run_checks
 from medstrata.plans import healthcare, ingest_specs, kpis
-from medstrata.session import pin_session
+from medstrata.session import pin_session, together
 from medstrata.sources import changelog
 from medstrata.sources.tables import publish, read_bucketed, read_table
 from medstrata.streaming.ingest import IngestSpec, ingest
@@ -120,21 +121,19 @@ class Medallion:
         layer, dataset = name.split("_", 1)
         publish(rows, self.config.paths(layer, dataset).table)
 
-    def enrich_snapshots(self) -> None:
-        history = self.load("silver_providers")
-        self.publish(
-            "silver_claims_enriched",
-            healthcare.claims_enriched(self.load("silver_claims"), history),
-        )
-        self.publish(
-            "silver_feedback_enriched",
-            healthcare.feedback_enriched(
-                self.load("silver_feedback"), history, self.load("silver_encounters")
-            ),
+    def enrich_claims(self) -> None:
+        claims, history = self.load("silver_claims"), self.load("silver_providers")
+        self.publish("silver_claims_enriched", healthcare.claims_enriched(claims, history))
+
+    def enrich_feedback(self) -> None:
+        enriched = healthcare.feedback_enriched(
+            self.load("silver_feedback"), self.load("silver_providers"),
+            self.load("silver_encounters"),
         )
+        self.publish("silver_feedback_enriched", enriched)
 
-    def report(self, as_of: dt.date | None = None) -> None:
-        """Rebuild every report table as a new snapshot."""
+    def reports(self, as_of: dt.date | None = None) -> list[Callable[[], None]]:
+        """One job per report table; each rebuilds its table as a new snapshot."""
         claims, feedback = self.load("silver_claims"), self.load("silver_feedback")
         encounters = self.load("silver_encounters")
         providers = healthcare.current_providers(self.load("silver_providers"))
@@ -143,18 +142,19 @@ class Medallion:
             "gold_claim_approval_by_specialty": kpis.approval_by_specialty(claims, providers),
             "gold_claim_denial_breakdown": kpis.denial_breakdown(claims, providers),
             "gold_high_cost_procedures": kpis.high_cost_procedures(claims),
-            "gold_provider_daily_spend": kpis.provider_daily_spend(claims),
             "gold_feedback_satisfaction": kpis.feedback_satisfaction(feedback, providers),
             "gold_feedback_tag_analysis": kpis.feedback_tags(feedback),
             "gold_feedback_encounter_match": kpis.feedback_encounter_match(feedback, encounters),
             "gold_patient_lifecycle": kpis.patient_lifecycle(encounters, today),
         }
-        for name, rows in tables.items():
-            self.publish(name, rows)
-        # Built from the daily table just written, not computed twice.
-        self.publish(
-            "gold_provider_7d_spend", kpis.provider_7d_spend(self.load("gold_provider_daily_spend"))
-        )
+
+        def spend() -> None:
+            # The rolling table is built from the daily one just written.
+            self.publish("gold_provider_daily_spend", kpis.provider_daily_spend(claims))
+            daily = self.load("gold_provider_daily_spend")
+            self.publish("gold_provider_7d_spend", kpis.provider_7d_spend(daily))
+
+        return [spend, *[partial(self.publish, name, rows) for name, rows in tables.items()]]
 
     def validate(self, run_ts: dt.datetime) -> int:
         """Check all layers and append the results; 0 when every check passed."""
@@ -170,19 +170,29 @@ class Medallion:
     def run(self, run_ts: dt.datetime, mode: str = "batch", as_of: dt.date | None = None) -> int:
         """Refresh everything once; returns the exit code of the checks.
 
-        Dimensions are refreshed before the facts that refer to them.  In ``stream``
-        mode the encounter jobs keep running beside the bounded ones.
+        Cleaned tables are complete before anything that joins them starts; jobs of
+        one step are independent and run side by side.  In ``stream`` mode the
+        encounter jobs keep running beside the bounded ones.
         """
         check_mode(mode)
-        for dataset in ("patients", "providers", "claims", "feedback"):
-            self.ingest(dataset)
-        self.ingest("encounters", mode)
-        self.merge_providers()
-        self.upsert("patients")
-        self.upsert("claims")
-        self.upsert("encounters", mode)
-        self.insert_feedback(f"run-{run_ts:%Y%m%dT%H%M%S%f}")
-        self.enrich_encounters(mode)
-        self.enrich_snapshots()
-        self.report(as_of)
+        together(
+            self.spark,
+            lambda: self.ingest("encounters", mode),
+            *[partial(self.ingest, d) for d in ("patients", "providers", "claims", "feedback")],
+        )
+        together(
+            self.spark,
+            self.merge_providers,
+            partial(self.upsert, "patients"),
+            partial(self.upsert, "claims"),
+            partial(self.upsert, "encounters", mode),
+            partial(self.insert_feedback, f"run-{run_ts:%Y%m%dT%H%M%S%f}"),
+        )
+        together(
+            self.spark,
+            partial(self.enrich_encounters, mode),
+            self.enrich_claims,
+            self.enrich_feedback,
+            *self.reports(as_of),
+        )
         return self.validate(run_ts)

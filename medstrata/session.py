@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
@@ -48,3 +51,10 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared folder (created by its first writer)."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Submit independent Spark jobs side by side, so short ones fill idle executors."""
+    bound = [inheritable_thread_target(spark)(job) for job in jobs]
+    with ThreadPoolExecutor(max_workers=max(1, len(bound))) as pool:
+        return [future.result() for future in [pool.submit(job) for job in bound]]
