@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from medstrata.functions.predicates import differs
-from medstrata.operators.dedupe import COMMIT_ORDER, latest_per_key
+from medstrata.operators.dedupe import COMMIT_ORDER
 
 
 def upsert_latest(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -21,15 +22,25 @@ def upsert_latest(target: DataFrame, latest: DataFrame, keys: Sequence[str]) ->
 
 
 def upsert_newest(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
+    target: DataFrame, latest: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """Type-1 upsert of rows that carry their commit order, in any order of arrival.
 
-    The newest row per key of both sides wins, so a batch that is repeated, or
-    holds an older part of a commit, cannot move a record back in time.
+    Both sides are unique by key.  A row of ``latest`` replaces the row of
+    ``target`` unless that one is newer, so a batch that is repeated, or holds an
+    older part of a commit, cannot move a record back in time.  Written as joins,
+    so that a small batch is broadcast and the target is not exchanged.
     """
-    both = target.unionByName(batch, allowMissingColumns=True)
-    return latest_per_key(both, keys, COMMIT_ORDER, tie_break)
+    order = (*COMMIT_ORDER, *tie_break)
+    incoming = latest.select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.struct(*order).alias("_incoming")
+    )
+    same_key = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in keys])
+    replaced = F.struct(*order) <= F.col("_incoming")
+    untouched = target.join(incoming, same_key & replaced, "left_anti")
+    newer = target.join(incoming, same_key & ~replaced, "left_semi").select(*keys)
+    accepted = latest.join(newer, list(keys), "left_anti")
+    return untouched.unionByName(accepted, allowMissingColumns=True)
 
 
 def insert_new(target: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:

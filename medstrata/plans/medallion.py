@@ -88,7 +88,8 @@ class Medallion:
         silver = self.config.paths("silver", dataset)
         spec = UpsertSpec(
             prepare, [key], tie_break, self.config.buckets_of(dataset),
-            changes_to=f"{silver.table}_changes",
+            # Only encounters have a reader of their changes.
+            changes_to=f"{silver.table}_changes" if dataset == "encounters" else None,
         )
         source = changelog.stream_log(self.spark, self.config.paths("bronze", dataset).table)
         return upsert_stream(source, silver.table, spec, silver.checkpoint_for(mode), mode)
