@@ -6,8 +6,6 @@ the commit number from the folder name, in batch and as a file stream.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -17,29 +15,36 @@ VERSION = "_commit_version"
 RUN_ID = "_run_id"
 
 
-def _commits(spark: SparkSession, path: str, run_id: str = "*", marker: str = "") -> list[tuple[int, str]]:
-    """(commit number, folder) in commit order."""
-    found = folders.matching(spark, f"{path}/{VERSION}=*/{RUN_ID}={run_id}{marker}")
-    numbered = [
-        (int(re.search(rf"/{VERSION}=(\d+)/", folder).group(1)), folder.removesuffix(marker))
-        for folder in found
-    ]
-    return sorted(numbered)
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Commit numbers of the log: one folder listing, however long the log is."""
+    found = folders.matching(spark, f"{path}/{VERSION}=*")
+    return sorted(int(folder.rpartition("=")[2]) for folder in found)
+
+
+def _newest_complete(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest commit that was written to its end."""
+    for number in reversed(_numbers(spark, path)):
+        done = folders.matching(spark, f"{path}/{VERSION}={number}/{RUN_ID}=*/_SUCCESS")
+        if done:
+            return done[-1].removesuffix("/_SUCCESS")
+    return None
 
 
 def append_commit(changes: DataFrame, path: str, run_id: str) -> int:
     """Write ``changes`` as the next commit of the log and return its number.
 
-    ``run_id`` names the unit of work.  Repeating it, as a restarted stream repeats
-    its last micro-batch, replaces the folder written before under its old number.
-    Commit 0 is left to the creation of the table.
+    ``run_id`` names the unit of work; its number is noted before anything is
+    written.  Repeating it, as a restarted stream repeats its last micro-batch,
+    replaces the folder written before under its old number.  Commit 0 is left to
+    the creation of the table.
     """
     spark = changes.sparkSession
-    earlier = _commits(spark, path, run_id)
-    if earlier:
-        version = earlier[-1][0]
+    note = f"{path}/_runs/{run_id}"
+    if folders.exists(spark, note):
+        version = int(folders.read_text(spark, note))
     else:
-        version = max((number for number, _ in _commits(spark, path)), default=0) + 1
+        version = max(_numbers(spark, path), default=0) + 1
+        folders.write_text(spark, note, str(version))
     write_commit(changes, path, version, run_id)
     return version
 
@@ -52,7 +57,7 @@ def write_commit(changes: DataFrame, path: str, version: int, run_id: str = "man
 
 
 def has_commits(spark: SparkSession, path: str) -> bool:
-    return bool(_commits(spark, path, marker="/_SUCCESS"))
+    return _newest_complete(spark, path) is not None
 
 
 def as_inserts(rows: DataFrame) -> DataFrame:
@@ -70,10 +75,10 @@ def log_schema(spark: SparkSession, path: str) -> StructType:
     Columns are only ever added, so the newest commit has all of them; one footer
     is read instead of one per file.
     """
-    complete = _commits(spark, path, marker="/_SUCCESS")
-    if not complete:
+    newest = _newest_complete(spark, path)
+    if newest is None:
         raise FileNotFoundError(f"no commit below {path}")
-    stored = spark.read.parquet(complete[-1][1]).schema.fields
+    stored = spark.read.parquet(newest).schema.fields
     return StructType(
         [*stored, StructField(VERSION, LongType()), StructField(RUN_ID, StringType())]
     )

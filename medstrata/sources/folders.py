@@ -28,14 +28,25 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(row.value for row in spark.read.text(path, wholetext=True).collect())
+    """Content of one small text file (a schema or a marker, not data)."""
+    hadoop_path, file_system = _file_system(spark, path)
+    stream = file_system.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace one small text file (a schema, not data)."""
+    """Replace one small text file."""
     hadoop_path, file_system = _file_system(spark, path)
     stream = file_system.create(hadoop_path, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path, file_system = _file_system(spark, path)
+    file_system.delete(hadoop_path, True)

@@ -19,6 +19,9 @@ from medstrata.sources import folders
 
 BUCKET = "_bucket"
 
+# Newest versions whose folders stay for readers that started on them.
+KEPT_VERSIONS = 100
+
 
 def bucket_of(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
@@ -82,6 +85,29 @@ def _read_folders(
     return reader.parquet(*sorted(found))
 
 
+def expire(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) -> int:
+    """Remove bucket copies that a newer complete copy replaced; returns their number.
+
+    The newest copy of every bucket stays, and so does every folder of the ``keep``
+    newest versions.  This bounds the folders a reader has to list.
+    """
+    done = complete_versions(spark, path)
+    if len(done) <= keep:
+        return 0
+    live, recent = set(live_buckets(spark, path).values()), done[-keep]
+    removed = 0
+    for folder in folders.matching(spark, f"{path}/v=*/{BUCKET}=*"):
+        version = int(re.search(r"/v=(\d+)/", folder).group(1))
+        if version < recent and folder not in live:
+            folders.remove(spark, folder)
+            removed += 1
+    kept = {int(re.search(r"/v=(\d+)/", folder).group(1)) for folder in live}
+    for version in done:
+        if version < recent and version not in kept:
+            folders.remove(spark, f"{path}/v={version}")
+    return removed
+
+
 def merge_bucketed(
     batch: DataFrame,
     path: str,

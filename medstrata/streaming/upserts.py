@@ -16,7 +16,7 @@ from medstrata.operators.upsert import (
     apply_history, changed_versions, rows_to_insert, upsert_newest,
 )
 from medstrata.sources import changelog
-from medstrata.sources.tables import merge_bucketed, read_bucketed
+from medstrata.sources.tables import KEPT_VERSIONS, expire, merge_bucketed, read_bucketed
 from medstrata.streaming.runs import run_stream
 
 
@@ -58,6 +58,8 @@ def upsert_stream(
                 )
         finally:
             latest.unpersist()
+        if number and number % KEPT_VERSIONS == 0:
+            expire(batch.sparkSession, target)
 
     return run_stream(source, merge, checkpoint, mode)
 

@@ -12,7 +12,7 @@ from medstrata.operators.enrich import left_enrich
 from medstrata.operators.upsert import open_versions, upsert_latest
 from medstrata.sources import changelog
 from medstrata.sources.tables import (
-    live_buckets, merge_bucketed, publish, read_bucketed, read_table,
+    expire, live_buckets, merge_bucketed, publish, read_bucketed, read_table,
 )
 from medstrata.streaming.upserts import (
     UpsertSpec, append_new, applied_changes, enrich_stream, merge_history, read_cleaned,
@@ -54,6 +54,22 @@ def test_merge_rewrites_touched_buckets_only(spark, lake):
     assert merge_bucketed(batch.limit(0), path, ["k"], 8, upsert_latest) is None
 
 
+def test_expire_keeps_the_newest_copy_of_every_bucket(spark, lake):
+    path = f"{lake}/t"
+    base = spark.createDataFrame([(f"k{i}", i) for i in range(40)], SCHEMA)
+    merge_bucketed(base, path, ["k"], 4, upsert_latest)
+    for i in range(4):
+        merge_bucketed(spark.createDataFrame([("k3", -i)], SCHEMA), path, ["k"], 4, upsert_latest)
+    before = read_bucketed(spark, path).collect()
+    live = live_buckets(spark, path)
+    assert expire(spark, path, keep=9) == 0
+    # Versions 0 to 2 are old; version 0 still holds three live buckets.
+    assert expire(spark, path, keep=2) == 3
+    assert live_buckets(spark, path) == live
+    assert sorted(read_bucketed(spark, path).collect()) == sorted(before)
+    assert sorted(p.name for p in pathlib.Path(path).iterdir()) == ["v=0", "v=3", "v=4"]
+
+
 def prepare(changes):
     kept = changes.filter(F.col("_change_type").isin("insert", "update_postimage"))
     return kept.drop("_change_type")
