@@ -7,8 +7,9 @@ from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from medstrata.config import PipelineConfig, check_mode
+from medstrata.config import PipelineConfig
 from medstrata.operators.aggregates import top_rows
 from medstrata.operators.changes import commit_history
 from medstrata.operators.quality import layer_checks, run_checks
@@ -34,8 +35,8 @@ UPSERTED = {
 class Medallion:
     """One lake folder, its tables and the jobs that refresh them.
 
-    Encounters run in ``batch`` or ``stream`` mode; a continuous run returns its
-    queries and the tables behind it are refreshed by later batch runs.
+    :meth:`run` refreshes all tables once; :meth:`stream_encounters` keeps the
+    encounter tables up to date until its queries are stopped.
     """
 
     def __init__(
@@ -168,32 +169,32 @@ class Medallion:
         )
         return code
 
-    def run(self, run_ts: dt.datetime, mode: str = "batch", as_of: dt.date | None = None) -> int:
+    def run(self, run_ts: dt.datetime, as_of: dt.date | None = None) -> int:
         """Refresh everything once; returns the exit code of the checks.
 
         Cleaned tables are complete before anything that joins them starts; jobs of
-        one step are independent and run side by side.  In ``stream`` mode the
-        encounter jobs keep running beside the bounded ones.
+        one step are independent and run side by side.
         """
-        check_mode(mode)
-        together(
-            self.spark,
-            lambda: self.ingest("encounters", mode),
-            *[partial(self.ingest, d) for d in ("patients", "providers", "claims", "feedback")],
-        )
+        together(self.spark, *[partial(self.ingest, dataset) for dataset in self.specs])
         together(
             self.spark,
             self.merge_providers,
-            partial(self.upsert, "patients"),
-            partial(self.upsert, "claims"),
-            partial(self.upsert, "encounters", mode),
+            *[partial(self.upsert, dataset) for dataset in UPSERTED],
             partial(self.insert_feedback, f"run-{run_ts:%Y%m%dT%H%M%S%f}"),
         )
         together(
             self.spark,
-            partial(self.enrich_encounters, mode),
+            self.enrich_encounters,
             self.enrich_claims,
             self.enrich_feedback,
             *self.reports(as_of),
         )
         return self.validate(run_ts)
+
+    def stream_encounters(self) -> list[StreamingQuery]:
+        """Start the continuous encounter flow: ingest, upsert, enrich."""
+        return [
+            self.ingest("encounters", "stream"),
+            self.upsert("encounters", "stream"),
+            self.enrich_encounters("stream"),
+        ]

@@ -56,6 +56,15 @@ def write_commit(changes: DataFrame, path: str, version: int, run_id: str = "man
     )
 
 
+def create(shape: DataFrame, path: str) -> None:
+    """Create a missing log as commit 0: the columns of ``shape``, no rows.
+
+    A stream can then be started on a log that no one has written to yet.
+    """
+    if not _numbers(shape.sparkSession, path):
+        write_commit(shape.limit(0), path, 0, "created")
+
+
 def has_commits(spark: SparkSession, path: str) -> bool:
     return _newest_complete(spark, path) is not None
 

@@ -55,19 +55,25 @@ def ingest(
 
     A micro-batch that is repeated after a failure replaces its own commit.
     """
-    run = batch_id_of(spark)
-    stream = with_audit(file_stream(spark, spec, paths), run)
+    stream = with_audit(file_stream(spark, spec, paths), batch_id_of(spark))
+
+    def table_rows(rows: DataFrame) -> DataFrame:
+        if spec.rescue_into is not None:
+            rows = files.rescue(rows, spec.rescue_into, keep=AUDIT_COLUMNS)
+        if spec.project is not None:
+            rows = spec.project(rows)
+        return changelog.as_inserts(require(rows, spec.key))
 
     def append(batch: DataFrame, number: int) -> None:
         run_id = f"{mode}-{number}"
         if files.CORRUPT not in batch.columns:
-            write(batch, run_id)
+            changelog.append_commit(table_rows(batch), paths.table, run_id)
             return
         # Both outputs need the parsed files; keep them for the second pass.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = files.split_malformed(batch)
-            write(good, run_id)
+            changelog.append_commit(table_rows(good), paths.table, run_id)
             if not bad.isEmpty():
                 changelog.append_commit(
                     bad.select(files.CORRUPT, *AUDIT_COLUMNS), paths.quarantine, run_id
@@ -75,14 +81,6 @@ def ingest(
         finally:
             batch.unpersist()
 
-    def write(rows: DataFrame, run_id: str) -> None:
-        if spec.rescue_into is not None:
-            rows = files.rescue(rows, spec.rescue_into, keep=AUDIT_COLUMNS)
-        if spec.project is not None:
-            rows = spec.project(rows)
-        changelog.append_commit(
-            changelog.as_inserts(require(rows, spec.key)), paths.table, run_id
-        )
-
+    nothing = spark.createDataFrame([], stream.schema).drop(files.CORRUPT)
+    changelog.create(table_rows(nothing), paths.table)
     return run_stream(stream, append, paths.checkpoint_for(mode), mode)
-

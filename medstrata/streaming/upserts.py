@@ -61,6 +61,9 @@ def upsert_stream(
         if number and number % KEPT_VERSIONS == 0:
             expire(batch.sparkSession, target)
 
+    if spec.changes_to:
+        nothing = spec.prepare(source.sparkSession.createDataFrame([], source.schema))
+        changelog.create(applied_changes(nothing, nothing, spec.keys), spec.changes_to)
     return run_stream(source, merge, checkpoint, mode)
 
 

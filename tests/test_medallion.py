@@ -198,3 +198,29 @@ def test_third_run_without_new_files_changes_nothing(spark, medallion, lake):
     for name in names:
         again = medallion.load(name).toPandas().astype(str).values.tolist()
         assert sorted(map(str, again)) == sorted(map(str, before[name])), name
+
+
+def test_continuous_encounters(spark, medallion, lake):
+    """The three streams start on empty tables and pass rows on from one to the next."""
+    first_files(lake)
+    medallion.ingest("patients")
+    medallion.upsert("patients")
+    queries = medallion.stream_encounters()
+    try:
+        assert all(q.isActive for q in queries)
+        for query in queries:
+            query.stop()
+        # What the first micro-batches left is picked up by the next start.
+        for step in ("ingest", "upsert"):
+            query = getattr(medallion, step)("encounters", "stream")
+            query.processAllAvailable()
+            query.stop()
+        query = medallion.enrich_encounters("stream")
+        query.processAllAvailable()
+        query.stop()
+        assert rows(medallion.load("silver_encounters_enriched"), "encounter_id", "patient_missing") == {
+            ("e1", False): 1, ("e2", False): 1, ("e3", True): 1,
+        }
+    finally:
+        for query in spark.streams.active:
+            query.stop()
