@@ -75,7 +75,7 @@ class Medallion:
     def preview(self, name: str, rows: int = 5) -> DataFrame:
         """The most recently loaded rows of a table."""
         table = self.load(name)
-        return top_rows(table, [F.col("_ingest_ts").desc_nulls_last()], rows)
+        return top_rows(table, [F.col("_ingest_ts").desc_nulls_last(), table.columns[0]], rows)
 
     # ---- jobs ---------------------------------------------------------------
 

@@ -6,6 +6,8 @@ as missing keys, unreadable dates or unknown references come from column values.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from medstrata.session import pin_session
@@ -58,6 +60,15 @@ def _choice(column: str, **values: str) -> Column:
     return chosen
 
 
+def _all(*changes: DataFrame) -> DataFrame:
+    """Changes of several kinds in one feed.
+
+    A union keeps pruning possible: only the needed columns of each kind are read,
+    and kinds or loads that a query does not ask for are not read at all.
+    """
+    return reduce(DataFrame.unionByName, changes)
+
+
 def claim_feed(t: Tables) -> DataFrame:
     """Change rows of raw claims, one per line item."""
     line = t.read("lineitem")
@@ -98,8 +109,8 @@ def provider_rows(t: Tables) -> DataFrame:
     )
     balance = F.col("s_acctbal")
 
-    def load(ts: str, least: int, specialty: Column, location: Column) -> Column:
-        return F.struct(
+    def load(ts: str, least: int, specialty: Column, location: Column) -> DataFrame:
+        return supplier.select(
             F.when(balance >= least, _text("s_suppkey")).alias("ProviderID"),
             specialty.alias("ProviderSpecialty"),
             location.alias("ProviderLocation"),
@@ -115,7 +126,7 @@ def provider_rows(t: Tables) -> DataFrame:
         .otherwise(F.col("n_name")),
         F.when((balance >= 6000) & (balance < 6500), "REMOTE").otherwise(F.col("r_name")),
     )
-    return supplier.select(F.inline(F.array(first, second)))
+    return _all(first, second)
 
 
 def patient_feed(t: Tables) -> DataFrame:
@@ -126,8 +137,9 @@ def patient_feed(t: Tables) -> DataFrame:
         F.lit("1940-01-01").cast("date"), ((F.col("c_custkey") * 20) % 25000).cast("int")
     )
 
-    def change(kind: str, version: int, marital: Column) -> Column:
-        return F.struct(
+    def change(kind: str, version: int, marital: Column, least: float | None = None) -> DataFrame:
+        changed = customer if least is None else customer.filter(balance >= least)
+        return changed.select(
             F.when(balance >= 0, _text("c_custkey")).alias("ID"),
             F.when(F.col("c_nationkey") == 0, "unknown").otherwise(born.cast("string")).alias("BIRTHDATE"),
             F.lit(None).cast("string").alias("DEATHDATE"),
@@ -153,15 +165,12 @@ def patient_feed(t: Tables) -> DataFrame:
         )
 
     married = F.when(F.col("c_nationkey") < 12, "M").otherwise("S")
-    inserted = change("insert", 1, married)
-    updated = [change("update_preimage", 2, married), change("update_postimage", 2, F.lit("W"))]
-    deleted = change("delete", 3, F.lit("W"))
-    rows = (
-        F.when(balance >= 9500, F.array(inserted, *updated, deleted))
-        .when(balance >= 5000, F.array(inserted, *updated))
-        .otherwise(F.array(inserted))
+    return _all(
+        change("insert", 1, married),
+        change("update_preimage", 2, married, least=5000),
+        change("update_postimage", 2, F.lit("W"), least=5000),
+        change("delete", 3, F.lit("W"), least=9500),
     )
-    return customer.select(F.inline(rows))
 
 
 def encounter_feed(t: Tables) -> DataFrame:
@@ -171,8 +180,8 @@ def encounter_feed(t: Tables) -> DataFrame:
     follow_up = F.col("o_orderstatus") == "F"
     unscheduled = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "4-NOT SPECIFIED")
 
-    def change(kind: str, version: int, code: Column) -> Column:
-        return F.struct(
+    def change(rows: DataFrame, kind: str, version: int, code: Column) -> DataFrame:
+        return rows.select(
             _text("o_orderkey").alias("ID"),
             F.when(unscheduled, "unscheduled").otherwise(_day_text("o_orderdate")).alias("DATE"),
             F.when(price >= 20000, _text("o_custkey")).alias("PATIENT"),
@@ -186,10 +195,10 @@ def encounter_feed(t: Tables) -> DataFrame:
             F.col("o_orderdate").cast("timestamp").alias("_commit_timestamp"),
         )
 
-    inserted = change("insert", 1, F.col("o_orderstatus"))
-    revised = change("update_postimage", 2, F.lit("X"))
-    rows = F.when(price >= 300000, F.array(inserted, revised)).otherwise(F.array(inserted))
-    return orders.select(F.inline(rows))
+    return _all(
+        change(orders, "insert", 1, F.col("o_orderstatus")),
+        change(orders.filter(price >= 300000), "update_postimage", 2, F.lit("X")),
+    )
 
 
 def feedback_rows(t: Tables) -> DataFrame:

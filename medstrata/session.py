@@ -21,6 +21,8 @@ _SESSION_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
 
 def pin_session(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings above to ``spark`` and return it."""
@@ -34,18 +36,19 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
     Only a local-mode session, where driver and executors are one process, may
-    fall back to a temporary folder; it is then remembered in the session.
+    fall back to a temporary folder, one per application.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR_KEY, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_DIR_KEY, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(
             f"set {CHECKPOINT_DIR_KEY} to a folder that all executors share"
         )
-    fallback = tempfile.mkdtemp(prefix="medstrata-")
-    spark.conf.set(CHECKPOINT_DIR_KEY, fallback)
-    return fallback
+    if context.applicationId not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[context.applicationId] = tempfile.mkdtemp(prefix="medstrata-")
+    return _LOCAL_FALLBACK[context.applicationId]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from medstrata.config import PipelineConfig
+from medstrata.plans import dashboards
 from medstrata.plans.ingest_specs import PATIENT_COLUMNS, specs
 from medstrata.plans.medallion import Medallion
 from tests.helpers import rows
@@ -178,6 +179,8 @@ def test_two_runs(spark, medallion, lake):
     }
     suppressed = results.filter("table_name = 'bronze_patients' AND metric = 'dup_pk'").first()
     assert (suppressed.status, suppressed.message) == ("PASS", "duplicates suppressed downstream")
+    status = {r.layer: r.qa_status for r in dashboards.qa_status(medallion.results()).collect()}
+    assert status == {"BRONZE": "ISSUES DETECTED", "SILVER": "PASS", "GOLD": "PASS"}
     assert [r._commit_version for r in medallion.history("claims").collect()] == [2, 1]
     assert medallion.preview("bronze_claims", 2).count() == 2
 
@@ -200,8 +203,9 @@ def test_third_run_without_new_files_changes_nothing(spark, medallion, lake):
         assert sorted(map(str, again)) == sorted(map(str, before[name])), name
 
 
-def test_continuous_encounters(spark, medallion, lake):
+def test_continuous_encounters(spark, medallion, lake, monkeypatch):
     """The three streams start on empty tables and pass rows on from one to the next."""
+    monkeypatch.setattr("medstrata.streaming.runs.STREAM_INTERVAL", "1 second")
     first_files(lake)
     medallion.ingest("patients")
     medallion.upsert("patients")
