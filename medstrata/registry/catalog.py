@@ -10,12 +10,18 @@ from medstrata.plans.stand_ins import Tables
 from medstrata.plans.tables import Lake
 from medstrata.registry.sql import with_inputs
 
+# Whole numbers that hold NULLs in some results.
+AS_TEXT = ("birth_year", "satisfaction_score")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
-    """Register ``build(lake)`` under ``name``, with the SQL that gives the same rows."""
+    """Register ``build(lake)`` under ``name``, with the SQL that gives the same rows.
+
+    Columns of :data:`AS_TEXT` are text on both sides.
+    """
 
     def register(build: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,13 +38,17 @@ def query(name: str, sql: str | None = None):
 
 
 def presentable(df: DataFrame) -> DataFrame:
-    """Dates and times as text, arrays as joined text, so that any engine can compare."""
+    """Rows in a form that any engine shows alike.
+
+    Dates and times become text, arrays joined text, names lower case; so do the
+    whole numbers that may be missing, which clients show as 5, 5.0 or <NA>.
+    """
     columns = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
-        if kind in ("date", "timestamp", "timestamp_ntz"):
+        if kind in ("date", "timestamp", "timestamp_ntz") or name in AS_TEXT:
             column = column.cast("string")
         elif kind == "array<string>":
             column = F.array_join(column, ",")
-        columns.append(column.alias(name))
+        columns.append(column.alias(name.lower()))
     return df.select(*columns)

@@ -90,7 +90,7 @@ def standardize_claims(lake: Lake):
 @query(
     "mask_phi",
     f"""
-SELECT id, CAST(YEAR(TRY_CAST(birthdate AS DATE)) AS INTEGER) AS birth_year, gender,
+SELECT id, CAST(YEAR(TRY_CAST(birthdate AS DATE)) AS VARCHAR) AS birth_year, gender,
   {', '.join(f'CAST(NULL AS VARCHAR) AS {c.lower()}' for c in PHI_COLUMNS)}
 FROM patient_feed""",
 )

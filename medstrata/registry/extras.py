@@ -53,12 +53,13 @@ def feedback_variability(lake: Lake):
 @query(
     "encounters_by_month",
     """
-SELECT CAST(CAST(date_trunc('month', start_ts) AS DATE) AS VARCHAR) AS month, gender, birth_year,
+SELECT CAST(CAST(date_trunc('month', start_ts) AS DATE) AS VARCHAR) AS month, gender,
+  CAST(encounters_enriched.birth_year AS VARCHAR) AS birth_year,
   COUNT(*) AS encounter_count
 FROM encounters_enriched
 WHERE gender IS NOT NULL AND birth_year IS NOT NULL
   AND start_ts >= DATE '2001-09-30' - INTERVAL 2 YEARS
-GROUP BY 1, 2, 3""",
+GROUP BY 1, 2, encounters_enriched.birth_year""",
 )
 def encounters_by_month(lake: Lake):
     return profiles.encounters_by_month(lake.silver_encounters, lake.silver_patients, lake.as_of)
@@ -112,7 +113,7 @@ def gender_breakdown(lake: Lake):
     "cleanse_demographics",
     f"""
 SELECT id, CASE WHEN gender IN ('F', 'M') THEN gender END AS gender,
-  CASE WHEN birth_year BETWEEN 1900 AND {YEAR} THEN birth_year END AS birth_year
+  CASE WHEN birth_year BETWEEN 1900 AND {YEAR} THEN CAST(birth_year AS VARCHAR) END AS birth_year
 FROM patients""",
 )
 def cleanse_demographics(lake: Lake):

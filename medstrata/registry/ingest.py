@@ -115,7 +115,8 @@ def ingest_tsv(lake: Lake):
 @query(
     "copy_into_jsonl",
     """
-SELECT feedback_id, provider_id, visit_id, satisfaction_score, comments, source, tags,
+SELECT feedback_id, provider_id, visit_id,
+  CAST(satisfaction_score AS VARCHAR) AS satisfaction_score, comments, source, tags,
   json_extract(props, '$') AS metadata_json
 FROM feedback_rows""",
 )
@@ -259,7 +260,9 @@ def stream_scd1_claims(lake: Lake):
 
 @query(
     "stream_static_enrich",
-    "SELECT * REPLACE (CAST(start_ts AS VARCHAR) AS start_ts) FROM encounters_enriched",
+    """
+SELECT * REPLACE (CAST(start_ts AS VARCHAR) AS start_ts, CAST(birth_year AS VARCHAR) AS birth_year)
+FROM encounters_enriched""",
 )
 def stream_static_enrich(lake: Lake):
     """Change log -> cleaned encounters -> their change log -> join with patients."""

@@ -22,7 +22,7 @@ def claims_enriched(lake: Lake):
 @query(
     "feedback_enriched",
     """
-SELECT * EXCLUDE (ts) REPLACE (CAST("timestamp" AS VARCHAR) AS "timestamp")
+SELECT * EXCLUDE (ts) REPLACE (CAST(satisfaction_score AS VARCHAR) AS satisfaction_score)
 FROM feedback_enriched""",
 )
 def feedback_enriched(lake: Lake):
@@ -34,7 +34,9 @@ def feedback_enriched(lake: Lake):
 
 @query(
     "encounters_enriched",
-    "SELECT * REPLACE (CAST(start_ts AS VARCHAR) AS start_ts) FROM encounters_enriched",
+    """
+SELECT * REPLACE (CAST(start_ts AS VARCHAR) AS start_ts, CAST(birth_year AS VARCHAR) AS birth_year)
+FROM encounters_enriched""",
 )
 def encounters_enriched(lake: Lake):
     return lake.silver_encounters_enriched.drop("_source_file", "_batch_id")

@@ -32,7 +32,9 @@ def scd1_upsert_claims(lake: Lake):
     )
 
 
-@query("scd1_upsert_patients", "SELECT *, CAST(NULL AS VARCHAR) AS ssn FROM patients")
+@query("scd1_upsert_patients", """
+SELECT * REPLACE (CAST(birth_year AS VARCHAR) AS birth_year), CAST(NULL AS VARCHAR) AS ssn
+FROM patients""")
 def scd1_upsert_patients(lake: Lake):
     merged = _two_loads(lake.bronze_patients, healthcare.patients, ["id"], 1)
     return merged.select("id", "birth_year", "marital", "race", "ethnicity", "gender", "ssn")
@@ -51,7 +53,7 @@ def scd1_upsert_encounters(lake: Lake):
     "insert_only_feedback",
     f"""
 SELECT feedback_id, provider_id, CAST(utc AS VARCHAR) AS "timestamp", timestamp_source, visit_id,
-  satisfaction_score, source, tags, k
+  CAST(satisfaction_score AS VARCHAR) AS satisfaction_score, source, tags, k
 FROM (SELECT *, ts >= TIMESTAMP '{stand_ins.FEEDBACK_CUT}' AS later FROM feedback_rows)
 QUALIFY ROW_NUMBER() OVER (PARTITION BY feedback_id
   ORDER BY later, utc DESC NULLS LAST, ts DESC, provider_id DESC, visit_id DESC) = 1""",
