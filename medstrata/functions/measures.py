@@ -26,9 +26,12 @@ def exact_sum(value: Column | str) -> Column:
     return F.sum(money(value)).cast("double")
 
 
-def money_sum(value: Column | str) -> Column:
-    """The exact sum itself, for sums that are added up further."""
-    return F.sum(money(value))
+def money_mean(total: Column, count: Column, digits: int = 2) -> Column:
+    """Mean of an exact (decimal) total, rounded half up without leaving decimals.
+
+    A double would lose the half cents of large amounts.
+    """
+    return F.round(F.try_divide(total, count.cast("decimal(20,0)")), digits).cast("double")
 
 
 def rounded(value: Column, digits: int) -> Column:

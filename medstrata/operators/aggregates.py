@@ -11,7 +11,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from medstrata.functions.measures import exact_sum, mean, money, ratio, rounded
+from medstrata.functions.measures import (
+    exact_sum, mean, money, money_mean, ratio, rounded,
+)
 
 Groups = Mapping[str, Column]
 
@@ -53,7 +55,7 @@ def money_mean_by(
     """:func:`mean_by` for an amount, added exactly."""
     return _grouped(df, groups).agg(
         F.count(F.lit(1)).alias(count),
-        mean(exact_sum(amount), F.count(amount), digits).alias(average),
+        money_mean(F.sum(money(amount)), F.count(amount), digits).alias(average),
     )
 
 
@@ -78,11 +80,11 @@ def rolling_total(
         Window.partitionBy(key).orderBy(F.unix_date(day)).rangeBetween(1 - days, Window.currentRow)
     )
     exact = money(amount)
-    summed = F.sum(exact).over(frame).cast("double")
+    summed = F.sum(exact).over(frame)
     return daily.select(
         "*",
-        summed.alias(total),
-        mean(summed, F.count(exact).over(frame), 2).alias(average),
+        summed.cast("double").alias(total),
+        money_mean(summed, F.count(exact).over(frame)).alias(average),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from medstrata.functions.measures import exact_sum, mean, ratio, rounded
+from medstrata.functions.measures import mean, money, money_mean, ratio, rounded
 from medstrata.functions.predicates import or_unknown
 from medstrata.operators.enrich import measure_by_key
 
@@ -120,11 +120,11 @@ def unmatched_entities(encounters: DataFrame, patients: DataFrame) -> DataFrame:
 
 def hourly_claims(claims: DataFrame, instant: str) -> DataFrame:
     """Claims, total and mean amount per hour."""
-    total = exact_sum("claim_amount")
+    total = F.sum(money("claim_amount"))
     return claims.groupBy(F.date_trunc("hour", instant).alias("hour")).agg(
         F.count(F.lit(1)).alias("claim_count"),
-        total.alias("total_amount"),
-        mean(total, F.count("claim_amount"), 2).alias("avg_amount"),
+        total.cast("double").alias("total_amount"),
+        money_mean(total, F.count("claim_amount")).alias("avg_amount"),
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from medstrata.plans import profiles
 from medstrata.plans.tables import Lake
 from medstrata.registry.catalog import query
-from medstrata.registry.sql import mean, money_mean, money_sum, rounded
+from medstrata.registry.sql import mean, money_mean, money_sum, ratio, rounded
 
 YEAR = 2001
 
@@ -92,9 +92,9 @@ def hourly_claims(lake: Lake):
 
 @query(
     "provider_match_rate",
-    """
+    f"""
 SELECT COUNT(*) AS total_claims, COUNT(*) FILTER (WHERE provider_missing) AS unmatched_claims,
-  ROUND(COUNT(*) FILTER (WHERE NOT provider_missing) / CAST(COUNT(*) AS DOUBLE), 4) AS match_rate
+  {ratio('COUNT(*) FILTER (WHERE NOT provider_missing)', 'COUNT(*)', 4)} AS match_rate
 FROM claims_enriched""",
 )
 def provider_match_rate(lake: Lake):

@@ -3,7 +3,7 @@
 from medstrata.plans import kpis
 from medstrata.plans.tables import Lake
 from medstrata.registry.catalog import query
-from medstrata.registry.sql import mean, money_mean
+from medstrata.registry.sql import mean, money_mean, ratio
 
 
 @query("claim_approval_by_specialty", "SELECT * FROM approval")
@@ -13,8 +13,8 @@ def claim_approval_by_specialty(lake: Lake):
 
 @query(
     "claim_denial_breakdown",
-    """
-SELECT d.*, ROUND(d.denial_count / CAST(t.total AS DOUBLE), 4) AS denial_pct
+    f"""
+SELECT d.*, {ratio('d.denial_count', 't.total', 4)} AS denial_pct
 FROM denial_counts d JOIN (
   SELECT provider_specialty, SUM(denial_count) AS total FROM denial_counts GROUP BY 1) t
   USING (provider_specialty)""",
@@ -48,7 +48,10 @@ def high_cost_procedures(lake: Lake):
     return lake.gold_high_cost_procedures
 
 
-@query("provider_daily_spend", "SELECT provider_id, CAST(spend_date AS VARCHAR) AS spend_date, daily_spend FROM daily_spend")
+@query(
+    "provider_daily_spend",
+    "SELECT * REPLACE (CAST(spend_date AS VARCHAR) AS spend_date) FROM daily_spend",
+)
 def provider_daily_spend(lake: Lake):
     return lake.gold_provider_daily_spend
 
@@ -87,11 +90,11 @@ def feedback_tag_analysis(lake: Lake):
 
 @query(
     "feedback_encounter_match",
-    """
+    f"""
 SELECT COUNT(*) AS total_feedback_submissions,
   COUNT(*) FILTER (WHERE TRIM(visit_id) <> '') AS matched_to_encounter_count,
-  CAST(ROUND(CAST(100.0 * COUNT(*) FILTER (WHERE TRIM(visit_id) <> '') / CAST(COUNT(*) AS DOUBLE)
-       AS DECIMAL(28,10)), 2) AS DOUBLE) AS match_rate_percent,
+  {ratio("100 * COUNT(*) FILTER (WHERE TRIM(visit_id) <> '')", "COUNT(*)", 2)}
+    AS match_rate_percent,
   COUNT(*) FILTER (WHERE NOT encounter_missing) AS verified_match_count
 FROM feedback_enriched""",
 )

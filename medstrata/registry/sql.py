@@ -23,8 +23,15 @@ def money_sum(column: str) -> str:
     return f"CAST(SUM(CAST({column} AS {MONEY})) AS DOUBLE)"
 
 
-def money_mean(column: str, digits: int = 2) -> str:
-    return rounded(f"{money_sum(column)} / NULLIF(COUNT({column}), 0)", digits)
+def money_mean(column: str) -> str:
+    """Mean to the cent, half up (away from zero), in whole-number arithmetic."""
+    cents = f"SUM(CAST(CAST({column} AS {MONEY}) * 100 AS BIGINT))"
+    rows = f"COUNT({column})"
+    return f"(SIGN({cents}) * ((2 * ABS({cents}) + {rows}) // (2 * {rows}))) / CAST(100 AS DOUBLE)"
+
+
+def ratio(part: str, whole: str, digits: int) -> str:
+    return rounded(f"({part}) / CAST(NULLIF({whole}, 0) AS DOUBLE)", digits)
 
 
 _PROVIDER_ATTRIBUTES = """
@@ -174,12 +181,11 @@ INPUTS = {
     "encounters_enriched": """
   SELECT e.*, p.gender, p.birth_year, p.id IS NULL AS patient_missing
   FROM encounters e LEFT JOIN patients p ON e.patient_id = p.id""",
-    "approval": """
+    "approval": f"""
   SELECT COALESCE(provider_specialty, 'Unknown') AS provider_specialty,
     COUNT(*) AS total_claims,
     COUNT(*) FILTER (WHERE claim_status = 'Approved') AS approved_count,
-    ROUND(COUNT(*) FILTER (WHERE claim_status = 'Approved') / CAST(COUNT(*) AS DOUBLE), 4)
-      AS approval_rate
+    {ratio("COUNT(*) FILTER (WHERE claim_status = 'Approved')", "COUNT(*)", 4)} AS approval_rate
   FROM claims_enriched GROUP BY 1""",
     "denial_counts": """
   SELECT COALESCE(provider_specialty, 'Unknown') AS provider_specialty,
@@ -196,14 +202,13 @@ INPUTS = {
   FROM daily_spend d JOIN daily_spend w ON w.provider_id = d.provider_id
     AND w.spend_date BETWEEN d.spend_date - 6 AND d.spend_date
   GROUP BY 1, 2, 3""",
-    "lifecycle": """
+    "lifecycle": f"""
   SELECT patient_id, CAST(MIN(start_ts) AS VARCHAR) AS first_visit_ts,
     CAST(MAX(start_ts) AS VARCHAR) AS last_visit_ts,
     date_diff('day', MIN(start_ts), MAX(start_ts)) AS lifetime_days,
     COUNT(*) AS visit_count,
     CASE WHEN COUNT(*) = 1 THEN 'new' ELSE 'returning' END AS classification,
-    CASE WHEN COUNT(*) > 1 THEN
-      ROUND(date_diff('day', MIN(start_ts), MAX(start_ts)) / CAST(COUNT(*) - 1 AS DOUBLE), 2) END
+    {ratio("date_diff('day', MIN(start_ts), MAX(start_ts))", "COUNT(*) - 1", 2)}
       AS avg_days_between_visits,
     date_diff('day', CAST(MAX(start_ts) AS DATE), DATE '2001-09-30') AS days_since_last_visit
   FROM encounters_enriched GROUP BY patient_id""",
