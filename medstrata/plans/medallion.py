@@ -6,17 +6,20 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from medstrata.config import PipelineConfig
 from medstrata.operators.aggregates import top_rows
 from medstrata.operators.changes import commit_history
+from medstrata.operators.enrich import refresh_missing
 from medstrata.operators.quality import layer_checks, run_checks
+from medstrata.operators.upsert import upsert_newest
 from medstrata.plans import healthcare, ingest_specs, kpis
 from medstrata.session import pin_session, together
 from medstrata.sources import changelog
-from medstrata.sources.tables import publish, read_bucketed, read_table
+from medstrata.sources.tables import merge_bucketed, publish, read_bucketed, read_table
 from medstrata.streaming.ingest import IngestSpec, ingest
 from medstrata.streaming.upserts import (
     UpsertSpec, append_new, enrich_stream, merge_history, read_cleaned, upsert_stream,
@@ -119,6 +122,21 @@ class Medallion:
             self.config.buckets_of("encounters_enriched"),
         )
 
+    def refresh_encounters(self) -> None:
+        """Enrich encounters again whose patient arrived after they were processed."""
+        target = self.config.paths("silver", "encounters_enriched").table
+        found = refresh_missing(
+            read_bucketed(self.spark, target), self.load("silver_patients"),
+            "patient_id", "id", ("gender", "birth_year"), "patient_missing",
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merge_bucketed(
+                found, target, ["encounter_id"], self.config.buckets_of("encounters_enriched"),
+                upsert_newest,
+            )
+        finally:
+            found.unpersist()
+
     def publish(self, name: str, rows: DataFrame) -> None:
         layer, dataset = name.split("_", 1)
         publish(rows, self.config.paths(layer, dataset).table)

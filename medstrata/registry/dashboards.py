@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from medstrata.functions.measures import rounded as decimal_round
 from medstrata.plans import dashboards, stand_ins
 from medstrata.plans.tables import Lake
 from medstrata.registry.catalog import query
@@ -145,9 +146,11 @@ def qa_volume(lake: Lake):
 @query(
     "dash_headline_figures",
     f"""
-SELECT 'avg_denial_rate' AS tile, ROUND(AVG(denial_rate_pct), 4) AS value FROM ({_DENIAL})
-UNION ALL SELECT 'avg_satisfaction', ROUND(AVG(avg_satisfaction_score), 4) FROM ({_SATISFACTION})
-UNION ALL SELECT 'avg_response_rate', ROUND(AVG(feedback_response_rate_percent), 4) FROM ({_RESPONSE})
+SELECT 'avg_denial_rate' AS tile, {rounded('AVG(denial_rate_pct)', 4)} AS value FROM ({_DENIAL})
+UNION ALL SELECT 'avg_satisfaction', {rounded('AVG(avg_satisfaction_score)', 4)}
+FROM ({_SATISFACTION})
+UNION ALL SELECT 'avg_response_rate', {rounded('AVG(feedback_response_rate_percent)', 4)}
+FROM ({_RESPONSE})
 UNION ALL SELECT 'failures', CAST(SUM(failure_count) AS DOUBLE) FROM ({_FAILURES})""",
 )
 def headline_figures(lake: Lake):
@@ -155,7 +158,9 @@ def headline_figures(lake: Lake):
         denial_rate(lake), satisfaction_specialty(lake), feedback_rate(lake), failures(lake)
     )
     rows = [
-        tile.select(F.lit(name).alias("tile"), F.round(F.col("value").cast("double"), 4).alias("value"))
+        tile.select(
+            F.lit(name).alias("tile"), decimal_round(F.col("value").cast("double"), 4).alias("value")
+        )
         for name, tile in tiles.items()
     ]
     return reduce(DataFrame.unionByName, rows)

@@ -94,7 +94,7 @@ def check_bronze_suppressed(lake: Lake):
         for c in ("provider_id", "provider_specialty", "diagnosis_code")
     ),
 )
-def check_nulls(lake: Lake):
+def check_nulls_per_column(lake: Lake):
     """One pass for all columns; two of them do hold NULLs."""
     return check_not_null(
         lake.silver_claims_enriched, "silver_claims_enriched",

@@ -44,15 +44,6 @@ def with_corrupt_column(fmt: str, schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(CORRUPT, StringType())])
 
 
-def read_raw(spark: SparkSession, fmt: str, path: str, schema: StructType | None = None) -> DataFrame:
-    """Batch read of raw files with the options the streams use."""
-    source, options = reader_options(fmt)
-    reader = spark.read.format(source).options(**options)
-    if schema is not None:
-        reader = reader.schema(with_corrupt_column(fmt, schema))
-    return reader.load(path)
-
-
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the text of the records that did not parse."""
     if CORRUPT not in df.columns:
