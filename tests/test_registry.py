@@ -5,12 +5,14 @@ import pathlib
 import pytest
 
 import __spark_entry__ as entry_points
+from medstrata import registry
 from tests.helpers import plan
 from tools.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+registry.load_all()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 needs_tables = pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="tables not present")
 
