@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medstrata.llm import source_mix
+from medstrata.llm import chat, source_mix
 from medstrata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +17,11 @@ def _over(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op8_chat_format": _over("conversations", chat.op8_query),
     "op10_source_mix": _over("documents", source_mix.op10_query),
 }
 
 ORACLES: dict[str, str] = {
+    "op8_chat_format": chat.OP8_SQL,
     "op10_source_mix": source_mix.OP10_SQL,
 }
