@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medstrata.llm import chat, fingerprints, source_mix
+from medstrata.llm import bpe, chat, fingerprints, source_mix
 from medstrata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ def _over(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_bpe": _over("documents", bpe.op6_query),
     "op5_fingerprints": _over("documents", fingerprints.op5_query),
     "op8_chat_format": _over("conversations", chat.op8_query),
     "op10_source_mix": _over("documents", source_mix.op10_query),
