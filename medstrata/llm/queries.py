@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medstrata.llm import bpe, chat, fingerprints, source_mix, token_counts
+from medstrata.llm import bpe, chat, fingerprints, html_extract, source_mix, token_counts
 from medstrata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op6_bpe": _over("documents", bpe.op6_query),
+    "op3_html_extract": _over("pages", html_extract.op3_query),
     "op5_fingerprints": _over("documents", fingerprints.op5_query),
     "op7_token_counts": _over("documents", token_counts.op7_query),
     "op8_chat_format": _over("conversations", chat.op8_query),
