@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medstrata.llm import ann, bpe, chat, fingerprints, html_extract, source_mix, token_counts
+from medstrata.llm import ann, bpe, chat, fingerprints, html_extract, ngram_join, source_mix, token_counts
 from medstrata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op6_bpe": _over("documents", bpe.op6_query),
     "op2_ann": _over("embeddings", ann.op2_query),
     "op3_html_extract": _over("pages", html_extract.op3_query),
+    "op4_ngram_join": _over("documents", ngram_join.op4_query),
     "op5_fingerprints": _over("documents", fingerprints.op5_query),
     "op7_token_counts": _over("documents", token_counts.op7_query),
     "op8_chat_format": _over("conversations", chat.op8_query),
