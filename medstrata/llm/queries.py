@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medstrata.llm import ann, bpe, chat, fingerprints, html_extract, ngram_join, source_mix, token_counts
+from medstrata.llm import ann, bpe, chat, fingerprints, html_extract, language_id, ngram_join, source_mix, token_counts
 from medstrata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {
     "op5_fingerprints": _over("documents", fingerprints.op5_query),
     "op7_token_counts": _over("documents", token_counts.op7_query),
     "op8_chat_format": _over("conversations", chat.op8_query),
+    "op9_language_id": _over("documents", language_id.op9_query),
+    "page_language_id": lambda spark, folder: language_id.pages_query(read(spark, folder, "documents"), read(spark, folder, "pages")),
     "op10_source_mix": _over("documents", source_mix.op10_query),
 }
 
