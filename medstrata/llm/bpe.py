@@ -16,10 +16,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from medstrata.llm.common import fresh
+from medstrata.llm.common import fresh, pieces
 
 LEAF = 4096  #: code points that are encoded at once
 WINDOW = 32  #: bytes on either side of a join, at first
+AT_ONCE = 1 << 20  #: bytes of text that are encoded at a time (one text at least)
 AGREE = 4  #: tokens that must be the same on either side
 
 
@@ -165,8 +166,9 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            ids = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*batch.schema.names, name])
+            for rows in pieces(batch, text, AT_ONCE):  # Python's integers take 10 times the bytes of a text
+                ids = encoder.encode([t or "" for t in rows.column(text).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*rows.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -179,7 +181,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            texts = [encoder.decode(x or []) for x in batch.column(ids).to_pylist()]
+            texts = [encoder.decode(x.as_py() or []) for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, name])
 
     return encoded.mapInArrow(run, schema)
