@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medstrata.llm import ann, bpe, chat, fingerprints, html_extract, language_id, ngram_join, source_mix, token_counts
+from medstrata.llm import ann, bpe, chat, fingerprints, html_extract, language_id, lm_scoring, ngram_join, source_mix, token_counts
 from medstrata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op6_bpe": _over("documents", bpe.op6_query),
+    "op1_lm_scoring": _over("documents", lm_scoring.op1_query),
     "op2_ann": _over("embeddings", ann.op2_query),
     "op3_html_extract": _over("pages", html_extract.op3_query),
     "op4_ngram_join": _over("documents", ngram_join.op4_query),
