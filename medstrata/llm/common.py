@@ -21,11 +21,19 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table of the folder; Python workers find this package from here on."""
+def ready(spark: SparkSession) -> None:
+    """Python workers that share the driver's files find this package from here on.
+
+    On a cluster without shared code the package is installed or sent with the job.
+    """
     spark.sparkContext.environment.setdefault(
         "PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(medstrata.__file__)))
     )
+
+
+def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table of the folder."""
+    ready(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 

@@ -339,7 +339,7 @@ def without_copies(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int,
     (kept,) = fresh(docs, "kept_id")
     joined = join(docs, width=width, threshold=threshold, doc_id=doc_id, text=text)
     gone = joined.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias(kept)).distinct()
-    return docs.join(gone, column(doc_id).cast("long") == F.col(kept), "left_anti")
+    return docs.join(written(gone, "join-gone"), column(doc_id).cast("long") == F.col(kept), "left_anti")
 
 
 def op4_query(documents: DataFrame) -> DataFrame:

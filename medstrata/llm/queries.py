@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from medstrata.llm import ann, bpe, chat, fingerprints, html_extract, language_id, lm_scoring, ngram_join, source_mix, token_counts
 from medstrata.llm.common import read
 
@@ -28,9 +29,13 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": _over("documents", language_id.op9_query),
     "page_language_id": lambda spark, folder: language_id.pages_query(read(spark, folder, "documents"), read(spark, folder, "pages")),
     "op10_source_mix": _over("documents", source_mix.op10_query),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op8_chat_format": chat.OP8_SQL,
     "op10_source_mix": source_mix.OP10_SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
