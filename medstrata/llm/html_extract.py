@@ -225,7 +225,7 @@ def _decided(b: Block, page_has_article: bool) -> str:
         return OPEN
     if b.stop_density() >= STOP_WORDS:
         return GOOD
-    return OPEN if b.region else BAD
+    return OPEN
 
 
 def _inherit(blocks: list[Block], otherwise: str) -> None:
