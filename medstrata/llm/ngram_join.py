@@ -7,7 +7,7 @@ one differing element, so of its three parts two are the same. The signatures of
 the contents of every two parts of every partition; sufficiently similar sets share one.
 
 Documents that share a signature are candidates; links are measured on the whole sets.
-Only components are wanted, so pairs that a component holds already need not be looked at.
+Only components are wanted, so no pair leaves the task that measures it.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from medstrata.llm.components import components
 
 WIDTH, THRESHOLD = 5, (80, 100)
 GROUP_BYTES = 2 << 20  #: bytes of text for one group of signatures
-STAR_ROUNDS = 2
+BLOCK_ROWS = 1024  #: sets of a group that are measured against as many others at a time
+COLUMNS = 4096  #: shingles of a block that are looked at together
 FILTER_NODES = 4_000_000  #: candidates that are sent to executors as a filter, at most; beyond, a join
 
 
@@ -246,7 +247,8 @@ def _whole_sets(docs: DataFrame, width: int, nodes: DataFrame) -> DataFrame:
 
     sets = _sets(docs, build, "node long, shingles array<long>")
     sets = sets if few is not None else sets.join(nodes, "node", "left_semi")
-    return sets.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.lit(1)))).filter("place = 1").drop("place")
+    once = Window.partitionBy("node").orderBy(F.lit(1))  # copies: one row a task before the exchange
+    return sets.withColumn("place", F.row_number().over(once)).filter("place = 1").drop("place")
 
 
 def _among(node: int, nodes: np.ndarray) -> bool:
@@ -254,57 +256,91 @@ def _among(node: int, nodes: np.ndarray) -> bool:
     return at < len(nodes) and int(nodes[at]) == node
 
 
-def _links(pairs: DataFrame, sets: DataFrame, share: int, whole: int) -> DataFrame:
-    """Those of the pairs (a, b) that are similar enough, measured on whole sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - both
-    close = (F.size("sa") * whole >= F.size("sb") * share) & (F.size("sb") * whole >= F.size("sa") * share)
-    return pairs.join(left, "a").join(right, "b").filter(close & (both * whole >= union * share)).select("a", "b")
+def _seated(members: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
+    """``hub, low, high, node``: groups cut into blocks, and every two blocks of a group brought together."""
+    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / rows).cast("int").alias("blocks"))
+    placed = members.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select("hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node")
 
 
-def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """``bucket, node, label`` of the buckets whose nodes are not all of one component yet."""
-    known = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    return known.join(open_.select("bucket"), "bucket", "left_semi")
+def similar_groups(sets: list[np.ndarray], share: int, whole: int) -> np.ndarray:
+    """For each set the first set it is connected with over links, all pairs measured.
+
+    Shingles of one set only cannot be common; the others make a matrix of sets by
+    shingles, whose product with itself has all sizes of intersections.
+    """
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, shingle, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, shingle = owner[seen[shingle] > 1], shingle[seen[shingle] > 1]
+    names, shingle = np.unique(shingle, return_inverse=True)
+    order = np.argsort(shingle, kind="stable")
+    owner, shingle = owner[order], shingle[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for i in range(0, len(names), COLUMNS):
+        a, b = np.searchsorted(shingle, (i, i + COLUMNS))
+        part = np.zeros((len(sets), min(COLUMNS, len(names) - i)), np.float32)
+        part[owner[a:b], shingle[a:b] - i] = 1
+        common += part @ part.T
+    both = common.astype(np.int64)
+    linked = both * whole >= share * (sizes[:, None] + sizes - both)
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(sets))
+    while True:
+        least = np.where(linked, label, len(sets)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _links(seated: DataFrame, share: int, whole: int) -> DataFrame:
+    """``a, b``: connections within every two blocks, one for each set that is linked."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, sets = None, [], []
+
+        def done() -> pa.RecordBatch:
+            label = similar_groups(sets, share, whole)
+            own, first = np.array(nodes), np.array(nodes)[label]
+            return pa.RecordBatch.from_arrays([pa.array(own[own != first]), pa.array(first[own != first])], names=["a", "b"])
+
+        for batch in batches:
+            shingles = batch.column("shingles")
+            for i, (*place, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hub", "low", "high", "node")))):
+                if place != key:
+                    if len(nodes) > 1:
+                        yield done()
+                    key, nodes, sets = place, [], []
+                if node not in nodes[-1:]:  # a node that two of its rows bring here
+                    nodes.append(node)
+                    sets.append(shingles[i].values.to_numpy())
+        if len(nodes) > 1:
+            yield done()
+
+    return seated.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(measure, "a long, b long")
 
 
 def linked_sets(docs: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
     """``node, label``: sets that have a link, and the smallest set name in their component.
 
-    Candidates are looked at in rounds. In a star round every bucket has its nodes
-    measured against one of them, first the one that meets most others, then one by
-    chance: as many pairs as members. Buckets within one component are done. What is left
-    is measured pair by pair, across components only, so no link between components can
-    be missed; the links inside a component do not change the result.
+    A bucket's hub is the one of its sets that meets most others, in a group of copies
+    the text they were made from. All sets of buckets with the same hub form a group, so
+    each pair of candidates is in one, and groups are as many rows as candidates. Within
+    a group all pairs are measured, in blocks of bounded size, without a row for a pair:
+    a block gives at most one connection for each of its sets.
     """
     share, whole = threshold
-    groups = max(1, -(-text_bytes(docs) * (whole - share) // (whole // 5 * GROUP_BYTES)))
+    groups = max(1, -(-text_bytes(docs) * 5 * (whole - share) // (whole * GROUP_BYTES)))
     buckets = written(_buckets(docs, width, share, whole, groups), "join-buckets")
-    sets = written(_whole_sets(docs, width, buckets.select("node").distinct()), "join-sets")
-    none = docs.sparkSession.createDataFrame([], "a long, b long")
-    done, links, labels = none, none, none.select(F.col("a").alias("node"), F.col("b").alias("label"))
     meets = buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("meets"))
-    popular = written(buckets.join(meets, "node"), "join-meets")
-    for turn in range(STAR_ROUNDS + 1):
-        left = _labelled(popular, labels)
-        if turn < STAR_ROUNDS:
-            rank = F.struct(F.col("meets"), F.col("node")) if turn == 0 else F.struct(F.xxhash64("bucket", "node", F.lit(turn)), F.col("node"))
-            hubs = left.groupBy("bucket").agg(F.max(rank)["node"].alias("hub"), F.max_by("label", rank).alias("hub_label"))
-            pairs = left.join(hubs, "bucket").filter("label <> hub_label").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        else:
-            one, other = left.alias("x"), left.alias("y")
-            pairs = one.join(other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")))
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        pairs = written(pairs.distinct().join(done, ["a", "b"], "left_anti"), "join-pairs")
-        if pairs.isEmpty():
-            continue
-        links = written(links.unionByName(_links(pairs, sets, share, whole)), "join-links")
-        done = done.unionByName(pairs)
-        labels = components(links)
-    return labels
+    rank = F.struct("meets", "node")
+    hubs = buckets.join(meets, "node").groupBy("bucket").agg(F.max(rank)["node"].alias("hub"))
+    members = written(buckets.join(hubs, "bucket").select("hub", "node").distinct(), "join-members")
+    sets = _whole_sets(docs, width, members.select("node").distinct())
+    links = written(_links(_seated(members).join(sets, "node"), share, whole), "join-links")
+    return components(links)
 
 
 def join(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
