@@ -61,6 +61,7 @@ class PipelineConfig:
     validation: str = "validation"
     buckets: dict[str, int] = field(default_factory=dict)
     default_buckets: int = 16
+    kept_versions: int = 10  # of each table, for readers that started on them
 
     def paths(self, layer: str, dataset: str) -> DatasetPaths:
         if layer not in ("bronze", "silver", "gold", "validation"):

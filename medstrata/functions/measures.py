@@ -1,15 +1,15 @@
 """Exact and reproducible arithmetic for reports.
 
 Sums of binary doubles depend on the order of addition, which differs from run to
-run on a cluster.  Money is therefore added as decimals and turned back into a
-double at the end.
+run on a cluster.  Money is therefore added as decimals, to a millionth of a cent, and
+turned back into a double at the end; only results are rounded.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,8)"
 _ROUNDING = "decimal(28,10)"
 
 
@@ -18,7 +18,13 @@ def _column(value: Column | str) -> Column:
 
 
 def money(value: Column | str) -> Column:
-    return _column(value).cast(MONEY)
+    """The amount as a decimal; NULL for one of 1e20 or more, which no sum could hold."""
+    return _column(value).try_cast(MONEY)
+
+
+def unfit(value: Column | str) -> Column:
+    """Number of amounts that :func:`money` cannot hold."""
+    return F.count_if(_column(value).isNotNull() & money(value).isNull())
 
 
 def exact_sum(value: Column | str) -> Column:

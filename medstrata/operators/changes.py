@@ -13,7 +13,8 @@ def diff_states(
     """Change rows that turn ``old`` into ``new`` (each unique by key).
 
     Gives ``insert``, ``delete`` and, for a changed record, its
-    ``update_preimage`` and ``update_postimage``.  Unchanged records give no row.
+    ``update_preimage`` and ``update_postimage``.  Unchanged records give no row.  Rows
+    with a NULL key match none: old ones are deletes, new ones inserts.
     """
     columns = old.columns
     watched = list(compare) if compare is not None else [c for c in columns if c not in keys]
@@ -27,8 +28,7 @@ def diff_states(
     before = F.struct(*[F.col(f"old.{c}") for c in watched])
     after = F.struct(*[F.col(f"new.{c}") for c in watched])
     same_key = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
-    gone = F.col(f"new.{keys[0]}").isNull()
-    added = F.col(f"old.{keys[0]}").isNull()
+    gone, added = F.col("new._there").isNull(), F.col("old._there").isNull()
     rows = (
         F.when(added, F.array(image("new", "insert")))
         .when(gone, F.array(image("old", "delete")))
@@ -36,7 +36,10 @@ def diff_states(
             F.array(image("old", "update_preimage"), image("new", "update_postimage"))
         )
     )
-    pairs = old.alias("old").join(new.select(*columns).alias("new"), same_key, "full")
+    there = F.lit(True).alias("_there")
+    pairs = old.select("*", there).alias("old").join(
+        new.select(*columns, there).alias("new"), same_key, "full"
+    )
     return pairs.filter(added | gone | ~before.eqNullSafe(after)).select(F.inline(rows))
 
 

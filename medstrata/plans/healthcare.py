@@ -75,6 +75,13 @@ TRACKED = ("provider_specialty", "provider_location")
 # Orders claims that share commit number and time.
 CLAIM_TIE_BREAK = ("claim_amount", "patient_id", "provider_id")
 
+# Order rows of patients and encounters that share commit number and time: by file, then
+# by all they say, so rows of one file resolve alike on every replay.
+PATIENT_TIE_BREAK = ("_source_file", "birth_year", "marital", "race", "ethnicity", "gender")
+ENCOUNTER_TIE_BREAK = (
+    "_source_file", "START_TS", "patient_id", "CODE", "DESCRIPTION", "REASONCODE", "REASONDESCRIPTION",
+)
+
 def _carried(*columns: str) -> dict[str, str]:
     return {c: c for c in columns}
 
@@ -123,7 +130,7 @@ def patient_rows(changes: DataFrame) -> DataFrame:
 
 
 def patients(changes: DataFrame) -> DataFrame:
-    return latest_commit(patient_rows(changes), ["id"])
+    return latest_commit(patient_rows(changes), ["id"], PATIENT_TIE_BREAK)
 
 
 # ---- encounters -------------------------------------------------------------
@@ -147,7 +154,7 @@ def encounter_rows(changes: DataFrame) -> DataFrame:
 
 
 def encounters(changes: DataFrame) -> DataFrame:
-    return latest_commit(encounter_rows(changes), ["encounter_id"])
+    return latest_commit(encounter_rows(changes), ["encounter_id"], ENCOUNTER_TIE_BREAK)
 
 
 # ---- providers --------------------------------------------------------------

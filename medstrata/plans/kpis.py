@@ -56,9 +56,7 @@ def denial_breakdown(claims: DataFrame, providers: DataFrame) -> DataFrame:
     counted = per_provider.groupBy(*_by("provider_specialty", "diagnosis_code")).agg(
         F.sum("_denied").alias("denial_count")
     )
-    return agg.with_share(counted, ["provider_specialty"], "denial_count", "denial_pct").orderBy(
-        "provider_specialty", F.col("denial_pct").desc(), "diagnosis_code"
-    )
+    return agg.with_share(counted, ["provider_specialty"], "denial_count", "denial_pct")
 
 
 def denials_by_specialty(breakdown: DataFrame, k: int = 10) -> DataFrame:
@@ -95,18 +93,20 @@ def provider_7d_spend(daily: DataFrame) -> DataFrame:
 def feedback_satisfaction(feedback: DataFrame, providers: DataFrame) -> DataFrame:
     """Feedback and mean score per specialty, provider and source.
 
-    A provider has one specialty, so the groups per provider and source are final.
+    A missing source and one that says 'Unknown' are the same group.
     """
     per_provider = _per_provider(
         feedback, providers,
         {
-            "feedback_count": F.count(F.lit(1)),
-            "avg_score": mean(F.sum("satisfaction_score"), F.count("satisfaction_score"), 2),
+            "_entries": F.count(F.lit(1)),
+            "_score": F.sum("satisfaction_score"),
+            "_scores": F.count("satisfaction_score"),
         },
         "source",
     )
-    return per_provider.select(
-        *_by("provider_specialty", "provider_id", "source"), "feedback_count", "avg_score"
+    return per_provider.groupBy(*_by("provider_specialty", "provider_id", "source")).agg(
+        F.sum("_entries").alias("feedback_count"),
+        mean(F.sum("_score"), F.sum("_scores"), 2).alias("avg_score"),
     )
 
 
@@ -115,7 +115,7 @@ def feedback_tags(feedback: DataFrame) -> DataFrame:
     tagged = feedback.select("satisfaction_score", F.explode("tags").alias("tag"))
     return agg.mean_by(
         tagged, {"tag": F.col("tag")}, "satisfaction_score", "feedback_count", "avg_score"
-    ).orderBy(F.col("feedback_count").desc(), "tag")
+    )
 
 
 def feedback_encounter_match(feedback: DataFrame, encounters: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from medstrata.operators.upsert import upsert_newest
 from medstrata.plans import healthcare, ingest_specs, kpis
 from medstrata.session import pin_session, together
 from medstrata.sources import changelog
-from medstrata.sources.tables import merge_bucketed, publish, read_bucketed, read_table
+from medstrata.sources.tables import expire, merge_bucketed, publish, read_bucketed, read_table
 from medstrata.streaming.ingest import IngestSpec, ingest
 from medstrata.streaming.upserts import (
     UpsertSpec, append_new, enrich_stream, merge_history, read_cleaned, upsert_stream,
@@ -30,8 +30,8 @@ RESULTS = "smoke_results"
 # Cleaned tables that are upserted from the change log of their raw table.
 UPSERTED = {
     "claims": (healthcare.claim_rows, "claim_id", healthcare.CLAIM_TIE_BREAK),
-    "patients": (healthcare.patient_rows, "id", ()),
-    "encounters": (healthcare.encounter_rows, "encounter_id", ()),
+    "patients": (healthcare.patient_rows, "id", healthcare.PATIENT_TIE_BREAK),
+    "encounters": (healthcare.encounter_rows, "encounter_id", healthcare.ENCOUNTER_TIE_BREAK),
 }
 
 
@@ -72,8 +72,10 @@ class Medallion:
         return self.spark.read.parquet(self.config.paths("validation", RESULTS).table)
 
     def history(self, dataset: str, newest: int = 5) -> DataFrame:
-        """The newest commits of a raw table."""
-        return commit_history(self.load(f"bronze_{dataset}"), newest)
+        """The newest commits of a raw table; only their folders are read."""
+        path = self.config.paths("bronze", dataset).table
+        numbers = changelog.newest_numbers(self.spark, path, newest)
+        return commit_history(changelog.read_log(self.spark, path, min(numbers, default=0)), newest)
 
     def preview(self, name: str, rows: int = 5) -> DataFrame:
         """The most recently loaded rows of a table."""
@@ -94,15 +96,20 @@ class Medallion:
             prepare, [key], tie_break, self.config.buckets_of(dataset),
             # Only encounters have a reader of their changes.
             changes_to=f"{silver.table}_changes" if dataset == "encounters" else None,
+            kept_versions=self.config.kept_versions,
         )
-        source = changelog.stream_log(self.spark, self.config.paths("bronze", dataset).table)
+        source = self._changes(self.config.paths("bronze", dataset).table, mode)
         return upsert_stream(source, silver.table, spec, silver.checkpoint_for(mode), mode)
 
+    def _changes(self, path: str, mode: str) -> DataFrame:
+        """A log as a stream; a bounded run takes its backlog at once and merges it once."""
+        return changelog.stream_log(self.spark, path, max_files=None if mode == "batch" else 1000)
+
     def merge_providers(self) -> None:
         snapshot = healthcare.provider_snapshot(self.load("bronze_providers"))
         merge_history(
             snapshot, self.config.paths("silver", "providers").table, "provider_id",
-            healthcare.TRACKED, self.config.buckets_of("providers"),
+            healthcare.TRACKED, self.config.buckets_of("providers"), self.config.kept_versions,
         )
 
     def insert_feedback(self, run_id: str) -> None:
@@ -116,10 +123,10 @@ class Medallion:
         enriched = self.config.paths("silver", "encounters_enriched")
         source = self.config.paths("silver", "encounters").table + "_changes"
         return enrich_stream(
-            changelog.stream_log(self.spark, source), lambda: self.load("silver_patients"),
+            self._changes(source, mode), lambda: self.load("silver_patients"),
             "patient_id", "id", ("gender", "birth_year"), "patient_missing", enriched.table,
             ["encounter_id"], enriched.checkpoint_for(mode), mode,
-            self.config.buckets_of("encounters_enriched"),
+            self.config.buckets_of("encounters_enriched"), self.config.kept_versions,
         )
 
     def refresh_encounters(self) -> None:
@@ -134,12 +141,18 @@ class Medallion:
                 found, target, ["encounter_id"], self.config.buckets_of("encounters_enriched"),
                 upsert_newest,
             )
+            expire(self.spark, target, self.config.kept_versions)
         finally:
             found.unpersist()
 
+    def enrich_and_refresh_encounters(self) -> None:
+        """New encounters, then earlier ones whose patient has arrived by now."""
+        self.enrich_encounters()
+        self.refresh_encounters()
+
     def publish(self, name: str, rows: DataFrame) -> None:
         layer, dataset = name.split("_", 1)
-        publish(rows, self.config.paths(layer, dataset).table)
+        publish(rows, self.config.paths(layer, dataset).table, self.config.kept_versions)
 
     def enrich_claims(self) -> None:
         claims, history = self.load("silver_claims"), self.load("silver_providers")
@@ -202,7 +215,7 @@ class Medallion:
         )
         together(
             self.spark,
-            self.enrich_encounters,
+            self.enrich_and_refresh_encounters,
             self.enrich_claims,
             self.enrich_feedback,
             *self.reports(as_of),

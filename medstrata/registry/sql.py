@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-MONEY = "DECIMAL(18,2)"
+MONEY = "DECIMAL(28,8)"
 
 
 def rounded(expression: str, digits: int) -> str:
@@ -20,14 +20,14 @@ def mean(column: str, digits: int = 2) -> str:
 
 
 def money_sum(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS {MONEY})) AS DOUBLE)"
+    return f"CAST(SUM(TRY_CAST({column} AS {MONEY})) AS DOUBLE)"
 
 
 def money_mean(column: str) -> str:
-    """Mean to the cent, half up (away from zero), in whole-number arithmetic."""
-    cents = f"SUM(CAST(CAST({column} AS {MONEY}) * 100 AS BIGINT))"
-    rows = f"COUNT({column})"
-    return f"(SIGN({cents}) * ((2 * ABS({cents}) + {rows}) // (2 * {rows}))) / CAST(100 AS DOUBLE)"
+    """Mean to the cent, half up (away from zero), in whole numbers of 1e-8."""
+    units = f"CAST(SUM(TRY_CAST({column} AS {MONEY})) * 100000000 AS HUGEINT)"
+    cents = f"(COUNT({column}) * CAST(1000000 AS HUGEINT))"
+    return f"(SIGN({units}) * ((2 * ABS({units}) + {cents}) // (2 * {cents}))) / CAST(100 AS DOUBLE)"
 
 
 def ratio(part: str, whole: str, digits: int) -> str:

@@ -6,10 +6,14 @@ the commit number from the folder name, in batch and as a file stream.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from medstrata.sources import folders
+from medstrata.sources.files import ANY_AGE
+from medstrata.sources.tables import all_columns
 
 VERSION = "_commit_version"
 RUN_ID = "_run_id"
@@ -51,9 +55,12 @@ def append_commit(changes: DataFrame, path: str, run_id: str) -> int:
 
 def write_commit(changes: DataFrame, path: str, version: int, run_id: str = "manual") -> None:
     """Write one commit under a given number; writing it again replaces it."""
-    changes.drop(VERSION, RUN_ID).write.mode("overwrite").parquet(
-        f"{path}/{VERSION}={version}/{RUN_ID}={run_id}"
-    )
+    spark, rows = changes.sparkSession, changes.drop(VERSION, RUN_ID)
+    noted = _noted(spark, path)
+    columns = all_columns(noted, rows.schema)
+    if columns.names != noted.names:
+        folders.write_text(spark, f"{path}/_columns.json", columns.json())
+    rows.write.mode("overwrite").parquet(f"{path}/{VERSION}={version}/{RUN_ID}={run_id}")
 
 
 def create(shape: DataFrame, path: str) -> None:
@@ -65,6 +72,11 @@ def create(shape: DataFrame, path: str) -> None:
         write_commit(shape.limit(0), path, 0, "created")
 
 
+def newest_numbers(spark: SparkSession, path: str, count: int) -> list[int]:
+    """The newest ``count`` commit numbers, from folder names."""
+    return _numbers(spark, path)[-count:]
+
+
 def has_commits(spark: SparkSession, path: str) -> bool:
     return _newest_complete(spark, path) is not None
 
@@ -79,20 +91,27 @@ def as_inserts(rows: DataFrame) -> DataFrame:
 
 
 def log_schema(spark: SparkSession, path: str) -> StructType:
-    """Columns of the log, read from its newest complete commit.
+    """Columns of the log: those noted with it and those of its newest complete commit.
 
-    Columns are only ever added, so the newest commit has all of them; one footer
-    is read instead of one per file.
+    The note grows with every commit that brings a new column, also when a later commit
+    lacks it; no footers but one are read.
     """
     newest = _newest_complete(spark, path)
     if newest is None:
         raise FileNotFoundError(f"no commit below {path}")
-    stored = spark.read.parquet(newest).schema.fields
+    stored = all_columns(_noted(spark, path), spark.read.parquet(newest).schema).fields
     return StructType(
         [*stored, StructField(VERSION, LongType()), StructField(RUN_ID, StringType())]
     )
 
 
+def _noted(spark: SparkSession, path: str) -> StructType:
+    location = f"{path}/_columns.json"
+    if not folders.exists(spark, location):
+        return StructType([])
+    return StructType.fromJson(json.loads(folders.read_text(spark, location)))
+
+
 def read_log(spark: SparkSession, path: str, starting_version: int = 0) -> DataFrame:
     """Change rows from ``starting_version`` on; older commit folders are not read."""
     log = spark.read.schema(log_schema(spark, path)).parquet(path)
@@ -100,16 +119,16 @@ def read_log(spark: SparkSession, path: str, starting_version: int = 0) -> DataF
 
 
 def stream_log(
-    spark: SparkSession, path: str, starting_version: int = 1, max_files: int = 1000
+    spark: SparkSession, path: str, starting_version: int = 1, max_files: int | None = 1000
 ) -> DataFrame:
     """The log as a file stream; by default commit 0, the table creation, is skipped.
 
     A commit may be spread over several micro-batches, each of at most ``max_files``
-    files, so a backlog of any size is worked off in bounded steps.
+    files.  With None a bounded run takes its whole backlog as one micro-batch, so a
+    table that it is merged into is rewritten once.  Files count whatever their date.
     """
-    stream = (
-        spark.readStream.schema(log_schema(spark, path))
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(path)
-    )
+    reader = spark.readStream.schema(log_schema(spark, path)).option("maxFileAge", ANY_AGE)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = reader.parquet(path)
     return stream.filter(F.col(VERSION) >= starting_version).drop(RUN_ID)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -11,6 +12,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from medstrata.sources import folders
 
 CORRUPT = "_corrupt_record"
+
+# A file stream leaves out files that are older than its newest by more than this.
+ANY_AGE = "36500d"
 RESCUED = "_rescued_data"
 
 # Reader options of each raw format: (Spark source name, options).
@@ -85,20 +89,66 @@ def remembered_schema(
 ) -> StructType:
     """Source schema from the schema store, extended by columns of newer files.
 
-    Self-describing formats are read for their schema (file footers, no data); the
-    result is written back, so a restart sees the columns of files since removed.
+    Only a source without a stored schema is looked at as a whole, and of it one file;
+    columns of further files are added with the batch that has them, see
+    :func:`with_own_columns`.
     """
     location = f"{store}/schema.json"
-    known: Sequence[StructField] = ()
     if folders.exists(spark, location):
-        known = StructType.fromJson(json.loads(folders.read_text(spark, location))).fields
+        return StructType.fromJson(json.loads(folders.read_text(spark, location)))
     source, options = reader_options(fmt)
-    if fmt == "parquet":
-        options["mergeSchema"] = "true"
-    found = spark.read.format(source).options(**options, **extra).load(raw).schema.fields
-    names = {column.name for column in known}
-    merged = StructType([*known, *[column for column in found if column.name not in names]])
-    if list(merged.fields) != list(known):
+    found = spark.read.format(source).options(**options, **extra).load(raw).schema
+    folders.write_text(spark, location, found.json())
+    return found
+
+
+def with_own_columns(
+    batch: DataFrame, paths: Sequence[str], store: str, audit: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """A batch of Parquet files with the columns that only its files have.
+
+    The footers of the batch's files are read; if they name new columns, the stored
+    schema grows and the files are read again with it.  A running stream thus loads a
+    column from the first file that has it.
+    """
+    if not paths:
+        return batch
+    spark, location = batch.sparkSession, f"{store}/schema.json"
+    found = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    known = StructType.fromJson(json.loads(folders.read_text(spark, location)))
+    merged = StructType([*known.fields, *[c for c in found.fields if c.name not in known.names]])
+    if merged.names != known.names:
         folders.write_text(spark, location, merged.json())
-    return merged
+    if set(merged.names) <= set(batch.columns):
+        return batch
+    return audit(spark.read.schema(merged).parquet(*paths))
+
+
+def by_header(
+    batch: DataFrame, paths: Sequence[str], fmt: str, schema: StructType, audit: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """A batch of CSV or TSV files with values under the names of each file's own header.
+
+    Files whose header is not that of ``schema`` are read again, those of one header
+    together; columns they lack are NULL, columns they have besides stay, as text.
+    """
+    spark = batch.sparkSession
+    source, options = reader_options(fmt)
+    separator = options.get("delimiter", ",")
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        names = next(csv.reader([folders.first_line(spark, path)], delimiter=separator), [])
+        headers.setdefault(tuple(n.strip() for n in names), []).append(path)
+    expected = tuple(schema.names)
+    odd = {names: found for names, found in headers.items() if names != expected and any(names)}
+    if not odd:
+        return batch
+    gone = [path for found in odd.values() for path in found]
+    out = batch.filter(~F.col("_source_file").isin(gone))
+    for names, found in odd.items():
+        unique = [n if n and n not in names[:i] else f"{n or 'column'}_{i + 1}" for i, n in enumerate(names)]
+        own = StructType([StructField(n, StringType()) for n in unique])
+        read = spark.read.format(source).options(**options).schema(with_corrupt_column(fmt, own)).load(found)
+        out = out.unionByName(audit(read), allowMissingColumns=True)
+    return out
 

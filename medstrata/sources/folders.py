@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -21,10 +22,10 @@ def is_directory(spark: SparkSession, path: str) -> bool:
 
 
 def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob pattern, in name order."""
-    hadoop_path, file_system = _file_system(spark, pattern)
-    found = file_system.globStatus(hadoop_path)
-    return sorted(str(status.getPath().toString()) for status in found or [])
+    """Paths that match a glob pattern, in name order; they reach Python as one text."""
+    hadoop_path, _ = _file_system(spark, pattern)
+    text = spark._jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(hadoop_path).mkString("\n")
+    return sorted(text.split("\n")) if text else []
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -37,6 +38,17 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, without its end; the rest is not read."""
+    hadoop_path, file_system = _file_system(spark, path)
+    jvm = spark._jvm.java.io
+    reader = jvm.BufferedReader(jvm.InputStreamReader(file_system.open(hadoop_path), "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace one small text file."""
     hadoop_path, file_system = _file_system(spark, path)
@@ -47,6 +59,24 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that must not exist yet; whether it did not."""
+    hadoop_path, file_system = _file_system(spark, path)
+    if file_system.exists(hadoop_path):
+        return False
+    try:
+        stream = file_system.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    return True
+
+
 def remove(spark: SparkSession, path: str) -> None:
     hadoop_path, file_system = _file_system(spark, path)
     file_system.delete(hadoop_path, True)

@@ -4,23 +4,31 @@ A table is a folder of numbered versions.  A version is complete when Spark has
 written its ``_SUCCESS`` marker; readers ignore an unfinished one, and a retry
 writes it again.  A bucketed table stores, per version, only the buckets that
 version changed, so an upsert rewrites the buckets its keys fall into and not the
-whole table.
+whole table.  Its keys, number of buckets and columns are noted when it is created:
+later merges use that number whatever they are given, and rows keep all columns.
+A table has one writer at a time; a second one is refused.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable, Sequence
+import time
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from medstrata.sources import folders
 
 BUCKET = "_bucket"
 
-# Newest versions whose folders stay for readers that started on them.
-KEPT_VERSIONS = 100
+# Newest versions whose folders stay for readers that started on them, by default.
+KEPT_VERSIONS = 10
+
+# Seconds after which the mark of another application's writer counts as left behind.
+WRITER_GONE = 6 * 3600.0
 
 
 def bucket_of(keys: Sequence[str], buckets: int):
@@ -37,13 +45,62 @@ def next_version(spark: SparkSession, path: str) -> int:
     return done[-1] + 1 if done else 0
 
 
-def publish(df: DataFrame, path: str) -> int:
-    """Write ``df`` as the new content of the table; the old stays readable meanwhile."""
-    version = next_version(df.sparkSession, path)
-    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+def publish(df: DataFrame, path: str, keep: int = KEPT_VERSIONS) -> int:
+    """Write ``df`` as the new content of the table; the old stays readable meanwhile.
+
+    Of earlier contents the newest ``keep`` stay.
+    """
+    spark = df.sparkSession
+    with only_writer(spark, path):
+        version = next_version(spark, path)
+        df.write.mode("overwrite").parquet(f"{path}/v={version}")
+        for old in complete_versions(spark, path)[: -max(keep, 1)]:
+            folders.remove(spark, f"{path}/v={old}")
     return version
 
 
+@contextmanager
+def only_writer(spark: SparkSession, path: str) -> Iterator[None]:
+    """Marks the table as being written; refuses while another writer's mark is there.
+
+    A mark names its application and time.  One that an ended application left behind
+    is taken over after WRITER_GONE seconds, or at once by the application itself.
+    """
+    mark = f"{path}/_writer"
+    own = spark.sparkContext.applicationId
+    if not folders.create_text(spark, mark, json.dumps([own, time.time()])):
+        holder, since = json.loads(folders.read_text(spark, mark) or '["", 0]')
+        if holder == own or time.time() - since < WRITER_GONE:
+            raise RuntimeError(f"{path} is being written by {holder}; its mark is {mark}")
+        folders.write_text(spark, mark, json.dumps([own, time.time()]))
+    try:
+        yield
+    finally:
+        folders.remove(spark, mark)
+
+
+def description(spark: SparkSession, path: str) -> dict | None:
+    """``keys``, ``buckets`` and ``schema`` of a bucketed table, None before its first merge."""
+    location = f"{path}/_table.json"
+    if not folders.exists(spark, location):
+        return None
+    return json.loads(folders.read_text(spark, location))
+
+
+def _schema_of(noted: dict | None) -> StructType:
+    return StructType.fromJson(noted["schema"]) if noted else StructType([])
+
+
+def all_columns(stored: StructType, more: StructType) -> StructType:
+    """Columns of both; one that both have must have the same type."""
+    known = {c.name: c.dataType for c in stored.fields}
+    for c in more.fields:
+        if known.get(c.name, c.dataType) != c.dataType:
+            raise ValueError(f"column {c.name} is {known[c.name]}, not {c.dataType}")
+    new = [StructField(c.name, c.dataType) for c in more.fields if c.name not in known]
+    return StructType([*stored.fields, *new])
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Newest complete content of a table written by :func:`publish`."""
     done = complete_versions(spark, path)
@@ -68,9 +125,12 @@ def read_bucketed(
 ) -> DataFrame:
     """Newest complete content of a bucketed table.
 
-    With ``schema`` a table without any version is empty, and columns that older
-    buckets do not have yet are NULL.
+    It has all columns that any bucket has, NULL where a bucket is older than a column.
+    With ``schema`` a table without any version is empty, and its columns are there too.
     """
+    noted = description(spark, path)
+    if noted is not None or schema is not None:
+        schema = all_columns(_schema_of(noted), schema or StructType([]))
     return _read_folders(spark, path, list(live_buckets(spark, path).values()), schema)
 
 
@@ -119,18 +179,40 @@ def merge_bucketed(
 
     Returns the rows the touched buckets held before, or None for an empty batch.
     The only data that reaches the driver are the numbers of the touched buckets,
-    at most ``buckets`` integers.  Merging the same batch twice gives the same
-    table, so a repeated micro-batch does no harm.
+    at most as many as the table has.  Merging the same batch twice gives the same
+    table, so a repeated micro-batch does no harm.  ``buckets`` counts when the table is
+    created; a column that the batch lacks keeps its stored value.
     """
     spark = batch.sparkSession
+    with only_writer(spark, path):
+        return _merge(batch, path, list(keys), buckets, merge)
+
+
+def _merge(
+    batch: DataFrame, path: str, keys: list[str], buckets: int,
+    merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
+) -> DataFrame | None:
+    spark = batch.sparkSession
+    noted = description(spark, path)
+    if noted is not None and noted["keys"] != keys:
+        raise ValueError(f"{path} has the keys {noted['keys']}, not {keys}")
+    buckets = noted["buckets"] if noted else buckets
+    schema = all_columns(_schema_of(noted), batch.schema)
     placed = batch.select(bucket_of(keys, buckets).alias(BUCKET)).distinct()
     touched = {row[0] for row in placed.collect()}
     if not touched:
         return None
+    # Noted first: a column without data yet reads as NULL.
+    new = {"keys": keys, "buckets": buckets, "schema": json.loads(schema.json())}
+    if new != noted:
+        folders.write_text(spark, f"{path}/_table.json", json.dumps(new))
     live = live_buckets(spark, path)
     before = _read_folders(
-        spark, path, [live[bucket] for bucket in touched if bucket in live], batch.schema
+        spark, path, [live[bucket] for bucket in touched if bucket in live], schema
     )
+    absent = [c for c in schema.names if c not in batch.columns]
+    if absent:
+        batch = batch.join(before.select(*keys, *absent), keys, "left").select(*schema.names)
     after = merge(before, batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
     version = next_version(spark, path)
     # Rebalancing groups the rows of a bucket, but splits a bucket that is larger

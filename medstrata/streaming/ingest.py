@@ -31,6 +31,7 @@ class IngestSpec:
     rescue_into: StructType | None = None
     options: dict[str, str] = field(default_factory=dict)
     max_files: int = 1000
+    max_file_age: str = files.ANY_AGE  # files of older date than the newest less this are skipped
 
 
 def file_stream(spark: SparkSession, spec: IngestSpec, paths: DatasetPaths) -> DataFrame:
@@ -43,6 +44,7 @@ def file_stream(spark: SparkSession, spec: IngestSpec, paths: DatasetPaths) -> D
         spark.readStream.format(source)
         .options(**options, **spec.options)
         .option("maxFilesPerTrigger", spec.max_files)
+        .option("maxFileAge", spec.max_file_age)
         .schema(files.with_corrupt_column(spec.fmt, schema))
         .load(paths.raw)
     )
@@ -64,8 +66,22 @@ def ingest(
             rows = spec.project(rows)
         return changelog.as_inserts(require(rows, spec.key))
 
+    def audit(rows: DataFrame) -> DataFrame:
+        return with_audit(rows, batch_id_of(spark))
+
+    def with_columns_of_files(batch: DataFrame) -> DataFrame:
+        by_name = spec.fmt in ("csv", "tsv") and not spec.options
+        if not by_name and not (spec.fmt == "parquet" and spec.schema is None):
+            return batch
+        # At most max_files names.
+        found = [row[0] for row in batch.select("_source_file").distinct().collect()]
+        if not by_name:
+            return files.with_own_columns(batch, found, paths.schema, audit)
+        return files.by_header(batch, found, spec.fmt, spec.schema, audit) if spec.schema else batch
+
     def append(batch: DataFrame, number: int) -> None:
         run_id = f"{mode}-{number}"
+        batch = with_columns_of_files(batch)
         if files.CORRUPT not in batch.columns:
             changelog.append_commit(table_rows(batch), paths.table, run_id)
             return

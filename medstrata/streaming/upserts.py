@@ -34,6 +34,7 @@ class UpsertSpec:
     tie_break: Sequence[str] = ()
     buckets: int = 16
     changes_to: str | None = None
+    kept_versions: int = KEPT_VERSIONS
 
 
 def upsert_stream(
@@ -58,8 +59,7 @@ def upsert_stream(
                 )
         finally:
             latest.unpersist()
-        if number and number % KEPT_VERSIONS == 0:
-            expire(batch.sparkSession, target)
+        expire(batch.sparkSession, target, spec.kept_versions)
 
     if spec.changes_to:
         nothing = spec.prepare(source.sparkSession.createDataFrame([], source.schema))
@@ -99,7 +99,8 @@ def append_new(latest: DataFrame, path: str, keys: Sequence[str], run_id: str) -
 
 
 def merge_history(
-    snapshot: DataFrame, target: str, key: str, tracked: Sequence[str], buckets: int
+    snapshot: DataFrame, target: str, key: str, tracked: Sequence[str], buckets: int,
+    kept_versions: int = KEPT_VERSIONS,
 ) -> None:
     """Type-2 merge of a snapshot into a bucketed history.
 
@@ -116,6 +117,7 @@ def merge_history(
             changed, target, [key], buckets,
             lambda before, batch, _: apply_history(before, batch, key, tracked),
         )
+        expire(spark, target, kept_versions)
     finally:
         changed.unpersist()
 
@@ -132,6 +134,7 @@ def enrich_stream(
     checkpoint: str,
     mode: str = "batch",
     buckets: int = 16,
+    kept_versions: int = KEPT_VERSIONS,
 ) -> StreamingQuery:
     """Left-join a stream of changed rows with a dimension table and upsert the result.
 
@@ -143,7 +146,7 @@ def enrich_stream(
         rows = batch.drop("_change_type")
         return left_enrich(rows, dimension(), key, dimension_key, add, missing_flag)
 
-    spec = UpsertSpec(prepare=prepare, keys=keys, buckets=buckets)
+    spec = UpsertSpec(prepare=prepare, keys=keys, buckets=buckets, kept_versions=kept_versions)
     return upsert_stream(changes, target, spec, checkpoint, mode)
 
 

@@ -1,6 +1,7 @@
 """File ingest: formats, quarantine, rescue, reruns, growing schemas, repeated batches."""
 
 import json
+import os
 import pathlib
 
 import pytest
@@ -158,3 +159,43 @@ def test_audit_columns(spark, tmp_path):
         assert with_audit(df).first()._batch_id == "job-7"
     finally:
         spark.conf.unset(BATCH_ID_KEY)
+
+
+def test_files_of_any_date_are_loaded(spark, paths):
+    spec = IngestSpec("csv", ["ID"], schema=text_schema(["ID"]))
+    put(paths.raw, "a.csv", "ID\n1\n")
+    ingest(spark, spec, paths)
+    put(paths.raw, "old.csv", "ID\n2\n")
+    os.utime(f"{paths.raw}/old.csv", (1e9, 1e9))
+    ingest(spark, spec, paths)
+    assert rows(log(spark, paths), "ID") == {("1",): 1, ("2",): 1}
+
+
+def test_a_column_that_arrives_while_a_stream_runs(spark, paths):
+    spec = IngestSpec("parquet", ["id"])
+    spark.createDataFrame([(1,)], "id int").coalesce(1).write.parquet(f"{paths.raw}/one")
+    running = ingest(spark, IngestSpec("parquet", ["id"], options={"recursiveFileLookup": "true"}), paths, "stream")
+    try:
+        running.processAllAvailable()
+        spark.createDataFrame([(2, "x")], "id int, more string").coalesce(1).write.parquet(f"{paths.raw}/two")
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert rows(log(spark, paths), "id", "more") == {(1, None): 1, (2, "x"): 1}
+
+
+def test_values_follow_the_header(spark, paths):
+    spec = specs()["patients"]
+    put(paths.raw, "a.csv", "SSN,ID,GENDER\n123-45,p1,F\n")
+    put(paths.raw, "b.csv", ",".join(spec.schema.names) + "\np2" + "," * (len(spec.schema.names) - 1) + "\n")
+    ingest(spark, spec, paths)
+    assert rows(log(spark, paths), "ID", "SSN", "GENDER") == {("p1", "123-45", "F"): 1, ("p2", None, None): 1}
+
+
+def test_provider_columns_that_do_not_belong_are_rescued(spark, paths):
+    put(paths.raw, "a.tsv", "ProviderID\tRegion\tProviderSpecialty\tProviderLocation\nd1\tnorth\tCardiology\tBonn\n")
+    put(paths.raw, "b.tsv", "ProviderID\tProviderSpecialty\tProviderLocation\nd2\tSurgery\tUlm\n")
+    ingest(spark, specs()["providers"], paths)
+    assert rows(log(spark, paths), "ProviderID", "ProviderSpecialty", "ProviderLocation", "_rescued_data") == {
+        ("d1", "Cardiology", "Bonn", '{"Region":"north"}'): 1, ("d2", "Surgery", "Ulm", None): 1,
+    }

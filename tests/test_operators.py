@@ -262,3 +262,9 @@ def test_commit_history(spark):
     )
     got = [tuple(r) for r in commit_history(log, newest=2).collect()]
     assert got == [(3, T3, 0, 0, 0, 1), (2, T2, 0, 1, 1, 0)]
+
+
+def test_diff_states_with_null_keys(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    new = spark.createDataFrame([(None, "c"), (1, "b")], "k int, v string")
+    assert rows(diff_states(old, new, ["k"]), "k", "v", "_change_type") == {(None, "a", "delete"): 1, (None, "c", "insert"): 1}

@@ -12,13 +12,13 @@ from medstrata.operators.enrich import left_enrich
 from medstrata.operators.upsert import open_versions, upsert_latest
 from medstrata.sources import changelog
 from medstrata.sources.tables import (
-    expire, live_buckets, merge_bucketed, publish, read_bucketed, read_table,
+    expire, live_buckets, merge_bucketed, only_writer, publish, read_bucketed, read_table,
 )
 from medstrata.streaming.upserts import (
     UpsertSpec, append_new, applied_changes, enrich_stream, merge_history, read_cleaned,
     upsert_stream,
 )
-from tests.helpers import rows, same
+from tests.helpers import plan, rows, same
 
 SCHEMA = "k string, v int"
 CHANGES = "k string, v int, _change_type string, _commit_timestamp timestamp"
@@ -67,7 +67,73 @@ def test_expire_keeps_the_newest_copy_of_every_bucket(spark, lake):
     assert expire(spark, path, keep=2) == 3
     assert live_buckets(spark, path) == live
     assert sorted(read_bucketed(spark, path).collect()) == sorted(before)
-    assert sorted(p.name for p in pathlib.Path(path).iterdir()) == ["v=0", "v=3", "v=4"]
+    assert sorted(p.name for p in pathlib.Path(path).glob("v=*")) == ["v=0", "v=3", "v=4"]
+
+
+@pytest.mark.parametrize("first, later", [(4, 6), (4, 8), (8, 4)])
+def test_another_number_of_buckets_loses_nothing(spark, lake, first, later):
+    path = f"{lake}/t"
+    merge_bucketed(spark.createDataFrame([(f"k{i}", i) for i in range(100)], SCHEMA), path, ["k"], first, upsert_latest)
+    merge_bucketed(spark.createDataFrame([("k1", -1), ("k2", -2), ("new", 0)], SCHEMA), path, ["k"], later, upsert_latest)
+    expected = {(f"k{i}", -i if i in (1, 2) else i): 1 for i in range(100)} | {("new", 0): 1}
+    assert rows(read_bucketed(spark, path)) == expected
+    with pytest.raises(ValueError):
+        merge_bucketed(spark.createDataFrame([("k1", -1)], SCHEMA), path, ["v"], first, upsert_latest)
+
+
+def test_columns_are_kept_on_merge_and_read(spark, lake):
+    path = f"{lake}/t"
+    merge_bucketed(spark.createDataFrame([(f"k{i}", i) for i in range(20)], SCHEMA), path, ["k"], 4, upsert_latest)
+    wide = spark.createDataFrame([("k1", 1, "x")], SCHEMA + ", more string")
+    merge_bucketed(wide, path, ["k"], 4, upsert_latest)
+    merge_bucketed(spark.createDataFrame([("k1", -1), ("k2", -2), ("k99", 99)], SCHEMA), path, ["k"], 4, upsert_latest)
+    merge_bucketed(spark.createDataFrame([("k3",)], "k string"), path, ["k"], 4, upsert_latest)
+    found = {r["k"]: (r["v"], r["more"]) for r in read_bucketed(spark, path).collect()}
+    assert found == {f"k{i}": (i, None) for i in range(20)} | {"k1": (-1, "x"), "k2": (-2, None), "k99": (99, None)}
+    with pytest.raises(ValueError):
+        merge_bucketed(spark.createDataFrame([("k1", "text")], "k string, v string"), path, ["k"], 4, upsert_latest)
+
+
+def test_a_second_writer_is_refused(spark, lake):
+    path = f"{lake}/t"
+    base = spark.createDataFrame([("a", 1)], SCHEMA)
+    with only_writer(spark, path):
+        with pytest.raises(RuntimeError):
+            merge_bucketed(base, path, ["k"], 4, upsert_latest)
+        with pytest.raises(RuntimeError):
+            publish(base, path)
+    merge_bucketed(base, path, ["k"], 4, upsert_latest)
+    pathlib.Path(f"{path}/_writer").write_text('["another application", 0]')  # left behind long ago
+    merge_bucketed(base, path, ["k"], 4, upsert_latest)
+    assert rows(read_bucketed(spark, path)) == {("a", 1): 1}
+
+
+def test_publish_keeps_few_versions(spark, lake):
+    path = f"{lake}/t"
+    for i in range(5):
+        publish(spark.range(i), path, keep=2)
+    assert sorted(p.name for p in pathlib.Path(path).glob("v=*")) == ["v=3", "v=4"]
+    assert read_table(spark, path).count() == 4
+
+
+def test_a_bounded_run_merges_its_backlog_once(spark, lake):
+    log, target = f"{lake}/log", f"{lake}/t"
+    for i in range(6):
+        changes = spark.createDataFrame([(f"k{j}", i, "insert", T) for j in range(3)], CHANGES)
+        changelog.write_commit(changes, log, i + 1)
+    spec = UpsertSpec(lambda df: df.drop("_change_type"), ["k"], buckets=2)
+    upsert_stream(changelog.stream_log(spark, log, max_files=None), target, spec, f"{lake}/cp")
+    assert [p.name for p in pathlib.Path(target).glob("v=*")] == ["v=0"]
+    assert rows(read_cleaned(spark, target)) == {(f"k{j}", 5): 1 for j in range(3)}
+
+
+def test_log_keeps_a_column_that_later_commits_lack(spark, lake):
+    log = f"{lake}/log"
+    changelog.write_commit(spark.createDataFrame([(1, "x")], "a int, b string"), log, 1)
+    changelog.write_commit(spark.createDataFrame([(2,)], "a int"), log, 2)
+    assert rows(changelog.read_log(spark, log), "a", "b") == {(1, "x"): 1, (2, None): 1}
+    plan_text = plan(changelog.read_log(spark, log, changelog.newest_numbers(spark, log, 1)[0]))
+    assert "PartitionFilters: [isnotnull(_commit_version" in plan_text
 
 
 def prepare(changes):
