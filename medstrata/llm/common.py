@@ -107,11 +107,20 @@ def byte_codes(seed: int, lower: bool) -> np.ndarray:
     return codes
 
 
-def powers(base: int, count: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64."""
-    out = np.full(max(count, 1), base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+RUN = 1 << 20  #: bytes that are hashed together
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    """1, base, base**2, ... modulo 2**64; the worker keeps as many as a run has bytes."""
+    kept = _POWERS.get(base)
+    if kept is None or len(kept) < count:
+        kept = np.full(max(count, RUN + 1), base, np.uint64)
+        kept[0] = 1
+        kept = np.cumprod(kept, dtype=np.uint64)
+        if count <= RUN + 1:
+            _POWERS[base] = kept
+    return kept[:count]
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,9 +141,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     """A 64-bit hash of each span of ``data``; spans do not overlap and are not empty."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    codes = byte_codes(seed, lower)[data[np.repeat(starts, lengths) + place]]
-    codes *= powers(0x5851F42D4C957F2D + 2 * seed, int(lengths.max()))[place]
-    return mixed(np.add.reduceat(codes, first) + lengths.astype(np.uint64) * _GOLDEN)
+    out = np.empty(len(starts), np.uint64)
+    codes, base, done = byte_codes(seed, lower), 0x5851F42D4C957F2D + 2 * seed, 0
+    while done < len(starts):  # a run of spans at a time, so that arrays of bytes stay small
+        last = max(done + 1, int(np.searchsorted(ends, starts[done] + RUN, side="right")))
+        a, b = starts[done], ends[last - 1]
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(codes[data[a:b]] * _powers(base, b - a), out=sums[1:])
+        s, e = starts[done:last] - a, ends[done:last] - a
+        out[done:last] = (sums[e] - sums[s]) * _powers(pow(base, -1, 1 << 64), b - a)[s]
+        done = last
+    return mixed(out + (ends - starts).astype(np.uint64) * _GOLDEN)
