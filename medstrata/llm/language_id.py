@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from medstrata.llm.common import column, flat, fresh, pieces, written
 
 SAMPLE = 20_000  #: labelled rows that letters are counted in, about; chosen by a hash of the row
+AT_ONCE = 1 << 20  #: bytes of text that are scored at a time
 CELLS = 1 << 16  #: of the table of letter triples
 EVIDENCE = 300  #: letter triples that a text counts for at most, as neighbours depend on each other
 STRENGTH = 20.0  #: rows' worth of smoothing between two levels of the host prior
@@ -79,7 +80,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
-            for some in pieces(batch, "text"):
+            for some in pieces(batch, "text", AT_ONCE):
                 cells, bounds = triples(some.column("text"))
                 languages = np.array(some.column("label").to_pylist(), object)
                 owner = np.repeat(np.arange(len(languages)), np.diff(bounds))
@@ -122,7 +123,7 @@ def with_likelihoods(docs: DataFrame, letters: Letters, text: str = "text") -> t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in pieces(batch, text):
+            for some in pieces(batch, text, AT_ONCE):
                 scores = shared.value.score(some.column(text))
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(scores.ravel()), scores.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*some.columns, lists], names=[*some.schema.names, name])
