@@ -16,6 +16,11 @@ from medstrata.session import work_dir
 #: A word, for every operator that counts words: no white space of ASCII inside.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -24,11 +29,14 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 def ready(spark: SparkSession) -> None:
     """Python workers that share the driver's files find this package from here on.
 
-    On a cluster without shared code the package is installed or sent with the job.
+    On a cluster without shared code the package is installed or sent with the job. The
+    session's batches for Python become small, since a row is a whole text.
     """
     spark.sparkContext.environment.setdefault(
         "PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(medstrata.__file__)))
     )
+    for key, value in _BATCHES.items():
+        spark.conf.set(key, value)
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -77,6 +85,22 @@ def pieces(batch: pa.RecordBatch, text: str, budget: int = 4 << 20) -> Iterator[
         yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes of text, over the ends of batches."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        for some in pieces(batch, text, size):
+            more = pc.sum(pc.binary_length(some.column(text))).as_py() or 0
+            if held and total + more > size * 5 // 4:
+                yield pa.concat_batches(held)
+                held, total = [], 0
+            held.append(some)
+            total += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column in a row, and where each text begins (and the end)."""
     texts = pc.fill_null(texts, "")
