@@ -179,36 +179,28 @@ def _named(docs: DataFrame, width: int) -> DataFrame:
 def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -> DataFrame:
     """``bucket, node``: the different sets that share a signature, each bucket of sets once.
 
-    Signatures go to a group by their highest bits, and a document sends each group one
-    row with all its signatures there. A group sorts its signatures as one array.
+    Signatures are dealt out by themselves, and a task sorts all of its group at once as
+    an array. Copies within a run of texts are sent once.
     """
 
-    def send(kept, texts):
+    def send(_, texts):
         bands = Bands(share, whole)
-        out, seen = ([], [], []), set()
+        nodes, found, seen = [], [], set()
         for shingles in shingle_sets(texts, width):
             node = set_hash(shingles)
-            if not node or node in seen:
-                continue
-            seen.add(node)
-            found = np.unique(signatures(shingles, bands))
-            group = ((found >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int32)
-            which, first = np.unique(group, return_index=True)
-            out[0].extend(which.tolist())
-            out[1].extend([node] * len(which))
-            out[2].extend(np.split(found.view(np.int64), first[1:]) if len(which) else [])
-        types = (pa.int32(), pa.int64(), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["part", "node", "signatures"])
+            if node and node not in seen:
+                seen.add(node)
+                nodes.append(node)
+                found.append(np.unique(signatures(shingles, bands)))
+        node = np.repeat(np.array(nodes, np.int64), [len(f) for f in found])
+        signature = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(signature)], names=["node", "signature"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, found = [], []
-        for batch in batches:
-            lists = batch.column("signatures")
-            found.append(lists.flatten().to_numpy(zero_copy_only=False))
-            nodes.append(np.repeat(batch.column("node").to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False)))
-        if not nodes:
+        parts = [(batch.column("node").to_numpy(), batch.column("signature").to_numpy()) for batch in batches]
+        if not parts:
             return
-        node, signature = np.concatenate(nodes), np.concatenate(found)
+        node, signature = (np.concatenate(p) for p in zip(*parts))
         order = np.lexsort((node, signature))
         node, signature = node[order], signature[order]
         new = np.ones(len(node), bool)
@@ -229,8 +221,8 @@ def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -
                 names=["bucket", "node"],
             )
 
-    sent = _sets(docs, send, "part int, node long, signatures array<long>")
-    return sent.repartition(groups, "part").mapInArrow(meet, "bucket long, node long").distinct()
+    sent = _sets(docs, send, "node long, signature long")
+    return sent.repartition(groups, "signature").mapInArrow(meet, "bucket long, node long").distinct()
 
 
 def _whole_sets(docs: DataFrame, width: int, nodes: DataFrame) -> DataFrame:
