@@ -3,8 +3,9 @@
 Sets whose Jaccard similarity reaches the threshold have sizes in the same band or in
 neighbouring ones, and differ in at most k elements, where k depends on the band. The
 domain of shingle hashes is cut into partitions: of more than k / 2 of them one has at most
-one differing element, so of its three parts two are the same. The signatures of a set are
-the contents of every two parts of every partition; sufficiently similar sets share one.
+one differing element, so of its two parts one is the same. The signatures of a set are
+the contents of every part of every partition (for small k, of larger subsets of the parts
+of a single one); sufficiently similar sets share one.
 
 Documents that share a signature are candidates; links are measured on the whole sets.
 Only components are wanted, so no pair leaves the task that measures it.
@@ -24,6 +25,7 @@ from medstrata.llm.common import column, flat, fresh, mixed, pieces, span_hashes
 from medstrata.llm.components import components
 
 WIDTH, THRESHOLD = 5, (80, 100)
+AT_ONCE = 1 << 20  #: bytes of text whose shingles are held together
 GROUP_BYTES = 2 << 20  #: bytes of text for one group of signatures
 BLOCK_ROWS = 1024  #: sets of a group that are measured against as many others at a time
 COLUMNS = 4096  #: shingles of a block that are looked at together
@@ -111,7 +113,7 @@ class Bands:
             return Band(number, most, 1, differ + 1 + (differ > 0) * (1 + differ // 3), differ, 0)
         first = differ // 2 + 1
         spare = 2 + first // 12
-        return Band(number, most, first + spare, 3, 1, spare)
+        return Band(number, most, first + spare, 2, 1, spare)
 
 
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
@@ -155,7 +157,7 @@ def _sets(docs: DataFrame, build, schema: str, *keep: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in pieces(batch, "text"):
+            for some in pieces(batch, "text", AT_ONCE):
                 made = build([some.column(k) for k in keep], some.column("text"))
                 if made is not None:
                     yield made
