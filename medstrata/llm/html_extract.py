@@ -4,6 +4,10 @@ The first pass decides blocks on their own: by the element they stand in, their
 link text, their length and their share of stop words. Short blocks and those with few
 stop words stay ambiguous; in the second pass they take the label of the nearest decided
 neighbour, first among the blocks of the same region of the page.
+
+Markup weighs, it does not decide alone: a page is limited to its articles if they hold most
+of its text, a class or form that holds most of the text marks nothing, and a class that
+has a marking word among others only settles blocks too short to decide themselves.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ GOOD, BAD, OPEN = "good", "bad", "ambiguous"
 SHORT = 70  #: characters; a shorter block does not decide itself
 STOP_WORDS = 0.2  #: share of words from which a longer block is text
 LINKS = 0.5  #: share of characters in links from which a block is a menu
+FEW_LINKS = 0.2  #: share of characters in links up to which a longer block can be text of a language without stop words
 
 #: Common words of the languages the pages are in.
 WORDS = frozenset(
@@ -49,7 +54,8 @@ _MAIN = frozenset(("article", "main"))
 #: Elements that never hold the article, and the roles that say the same.
 _OUTSIDE = frozenset("aside audio button canvas datalist dialog fieldset footer form head menu nav object select svg video".split())
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-#: Words of class and id that mark what is not the article, wherever it stands ...
+_COMMENTS = frozenset("comment comments disqus replies".split())
+#: Classes and ids that mark what is not the article, wherever it stands ...
 _MARKS = frozenset(
     """
     ad ads advert advertisement adverts advertorial banner breadcrumb breadcrumbs comment comments consent cookie cookies
@@ -81,10 +87,14 @@ class Block:
     text: str
     linked: int  #: characters in links
     heading: bool
-    outside: bool  #: in an element that never holds the article
+    outside: bool  #: in an element that does not hold the article
     region: int  #: the article or main element it stands in, 0 for none
+    leaning: bool = False  #: in an element with a marking word in its class
     label: str = OPEN
 
+    def own(self) -> int:
+        return max(len(self.text) - self.linked, 0)
+
     def link_density(self) -> float:
         return self.linked / max(len(self.text), 1)
 
@@ -96,17 +106,19 @@ class Block:
 @dataclass
 class _Element:
     name: str
-    outside: str  #: "", "soft" (an article inside still counts) or "hard"
+    marks: tuple[tuple[int, str], ...]  #: numbers and kinds of the elements around that mark it
     region: int
 
 
 @dataclass
 class _Page:
-    stack: list[_Element] = field(default_factory=lambda: [_Element("", "", 0)])
+    stack: list[_Element] = field(default_factory=lambda: [_Element("", (), 0)])
     blocks: list[Block] = field(default_factory=list)
     parts: list[tuple[str, bool]] = field(default_factory=list)
     open: dict[str, int] = field(default_factory=dict)
     regions: int = 0
+    numbers: int = 0
+    marks: list[tuple[tuple[int, str], ...]] = field(default_factory=list)  #: of each block
 
     def text(self, raw: str) -> None:
         self.parts.append((html.unescape(raw), bool(self.open.get("a"))))
@@ -117,7 +129,8 @@ class _Page:
             top = self.stack[-1]
             linked = sum(len(" ".join(p.split())) for p, link in self.parts if link)
             heading = any(self.open.get(h) for h in _HEADINGS)
-            self.blocks.append(Block(text, linked, heading, bool(top.outside), top.region))
+            self.blocks.append(Block(text, linked, heading, False, top.region))
+            self.marks.append(top.marks)
         self.parts = []
 
     def start(self, name: str, rest: str) -> None:
@@ -134,16 +147,16 @@ class _Page:
                 self.parts.append((" ", False))
             return
         top = self.stack[-1]
-        outside, region = top.outside, top.region
-        if outside != "hard":
-            found = _outside(name, rest, bool(region))
-            outside = found or outside
-            if name in _MAIN and outside != "hard":
-                outside = ""
-                if not region:
-                    self.regions += 1
-                    region = self.regions
-        self.stack.append(_Element(name, outside, region))
+        marks, region = top.marks, top.region
+        if found := _mark(name, rest, bool(region)):
+            self.numbers += 1
+            marks = (*marks, (self.numbers, found))
+        if name in _MAIN:
+            marks = tuple(m for m in marks if m[1] not in ("soft", "header", "leaning"))
+            if not region:
+                self.regions += 1
+                region = self.regions
+        self.stack.append(_Element(name, marks, region))
         self.open[name] = self.open.get(name, 0) + 1
 
     def close(self, name: str, limits: tuple[str, ...]) -> None:
@@ -162,22 +175,49 @@ class _Page:
         del self.stack[at:]
 
 
-def _outside(name: str, rest: str, in_article: bool) -> str:
-    if name in _OUTSIDE or name == "header" and not in_article:
-        return "hard" if name != "header" else "soft"
-    if name in ("html", "body") or not rest or rest.isspace():
+def _mark(name: str, rest: str, in_article: bool) -> str:
+    """How an element marks what it holds: "", "firm", "form", "comments", "soft" (an article inside still counts), "leaning"."""
+    if name in _OUTSIDE:
+        return "form" if name in ("form", "fieldset") else "firm"
+    if name in ("html", "body"):
         return ""
+    around = "header" if name == "header" and not in_article else ""
+    if not rest or rest.isspace():
+        return around
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
     if values.get("role", "").lower() in _ROLES or "hidden" in values or values.get("aria-hidden") == "true":
-        return "hard"
+        return "firm"
     if re.search(r"display\s*:\s*none", values.get("style", "")):
-        return "hard"
-    marks = {m.lower() for m in _MARK.findall(f"{values.get('class', '')} {values.get('id', '')}")}
-    if marks & {"comment", "comments", "disqus", "replies"}:
-        return "hard"
+        return "firm"
+    tokens = [[w.lower() for w in _MARK.findall(t)] for t in f"{values.get('class', '')} {values.get('id', '')}".split()]
+    marking = _MARKS if in_article else _MARKS | _LAYOUT_MARKS
+    whole = [t for t in tokens if t and marking.issuperset(t)]
+    if any(w in _COMMENTS for t in whole for w in t):
+        return "comments"
     if name in _MAIN:
         return ""
-    return "soft" if marks & _MARKS or not in_article and marks & _LAYOUT_MARKS else ""
+    if around or whole:
+        return around or "soft"
+    return "leaning" if not in_article and any(w in marking for t in tokens for w in t) else ""
+
+
+def _weighed(blocks: list[Block], marks: list[tuple[tuple[int, str], ...]]) -> None:
+    """Blocks are outside by marks of elements that do not hold most of the page's text.
+
+    Comments may hold most of it, if there is text besides them.
+    """
+    everything, held, kinds = 0, {}, {}
+    text = [b.own() if not any(kind in ("firm", "header") for _, kind in some) else 0 for b, some in zip(blocks, marks)]
+    for own, some in zip(text, marks):
+        everything += own
+        for number, kind in some:
+            held[number], kinds[number] = held.get(number, 0) + own, kind
+    besides = any(not b.heading and len(b.text) >= SHORT and b.link_density() <= LINKS for b, some in zip(blocks, marks) if not some)
+    void = {n for n, own in held.items() if 2 * own > everything and kinds[n] not in ("firm", "header") and not (kinds[n] == "comments" and besides)}
+    for b, some in zip(blocks, marks):
+        left = {kind for number, kind in some if number not in void}
+        b.leaning = "leaning" in left
+        b.outside = bool(left - {"leaning"})
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -201,14 +241,26 @@ def blocks_of(page: str) -> list[Block]:
             out.start(name, found["rest"] or found["rest2"] or "")
     out.text(page[at:])
     out.flush()
+    _weighed(out.blocks, out.marks)
     return out.blocks
 
 
 def classify(blocks: list[Block]) -> list[Block]:
     """Labels the blocks of a page in two passes."""
-    inside = any(b.region and not b.outside for b in blocks)
     for b in blocks:
-        b.label = _decided(b, inside)
+        b.label = _decided(b)
+    unknown = [b for b in blocks if b.label == OPEN and not b.heading and len(b.text) >= SHORT and b.link_density() <= FEW_LINKS]
+    if sum(b.own() for b in unknown) > _good(blocks):  # the page's language is none of those with stop words
+        for b in unknown:
+            b.label = GOOD
+    for b in blocks:
+        if b.leaning and b.label == OPEN:
+            b.label = BAD
+    inside = [b for b in blocks if b.region and not b.outside]
+    if inside and 2 * _good(inside) >= _good(blocks):
+        for b in blocks:
+            if not b.region:
+                b.label = BAD
     by_region: dict[int, list[Block]] = {}
     for b in blocks:
         by_region.setdefault(b.region, []).append(b)
@@ -218,8 +270,12 @@ def classify(blocks: list[Block]) -> list[Block]:
     return blocks
 
 
-def _decided(b: Block, page_has_article: bool) -> str:
-    if b.outside or page_has_article and not b.region or b.link_density() > LINKS:
+def _good(blocks: list[Block]) -> int:
+    return sum(b.own() for b in blocks if b.label == GOOD)
+
+
+def _decided(b: Block) -> str:
+    if b.outside or b.link_density() > LINKS:
         return BAD
     if b.heading or len(b.text) < SHORT:
         return OPEN

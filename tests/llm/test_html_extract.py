@@ -49,3 +49,23 @@ def test_tables(spark):
     assert found == sorted([(1, "u", LONG, len(LONG)), (1, "u", LONG, len(LONG)), (2, None, "", 0), (None, "u", "", 0)], key=repr)
     assert extract(pages.limit(0)).count() == 0
     assert [r["label"] for r in labelled_blocks(pages).collect()] == ["good", "good"]
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article class=card><h2>Also</h2><p>{LONG}</p></article><div><p>{LONG} 1</p><p>{LONG} 2</p><p>{LONG} 3</p></div>", f"Also\n{LONG}\n{LONG} 1\n{LONG} 2\n{LONG} 3"),
+    *((f"<div class='{c}'><h1>Rivers</h1><p>{LONG}</p><p>Short.</p></div><nav><a href=x>Home</a></nav>", f"Rivers\n{LONG}\nShort.") for c in ("no-sidebar", "has-social", "with-widget", "widget", "comments")),
+    (f"<form action=x><div><p>{LONG}</p></div><nav><a href=x>Home</a></nav></form>", LONG),
+    (f"<article><p>{LONG} 1</p><p>{LONG} 2</p><div class='market-share'><p>{LONG} 3</p></div></article>", f"{LONG} 1\n{LONG} 2\n{LONG} 3"),
+    (f"<p>{LONG}</p><div class=related-posts><p>Other rivers</p></div>", LONG),
+    (f"<article><p>{LONG}</p></article><section class=comments><p>{LONG}</p><p>{LONG}</p></section>", LONG),
+])
+def test_markup_does_not_overrule_the_text(page, text):
+    assert main_text(f"<html><body>{page}</body></html>") == text
+
+
+def test_languages_without_stop_words():
+    finnish = "Joki kuuluu maan pisimpiin, ja sen rannoille asettui jo varhain ihmisiä, jotka saivat siitä vettä, kalaa ja viljelysmaata."
+    menu = "<ul><li><a href=x>Etusivu</a><li><a href=y>Uutiset</a></ul>"
+    page = f"{menu}<div><h1>Joki</h1><p>{finnish}</p><p>{finnish}</p></div>{menu}"
+    assert main_text(page).splitlines()[-2:] == [finnish, finnish]
+    assert "Etusivu" not in main_text(page)
