@@ -165,17 +165,15 @@ def _sets(docs: DataFrame, build, schema: str, *keep: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _named(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, node``; node names the set."""
+def _named(docs: DataFrame, width: int, *keep: str) -> DataFrame:
+    """``keep`` (longs), then ``n_shingles, node``; node names the set."""
 
     def build(kept, texts):
         sets = shingle_sets(texts, width)
-        return pa.RecordBatch.from_arrays(
-            [kept[0], pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.int64())],
-            names=["doc_id", "n_shingles", "node"],
-        )
+        counts = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.int64())]
+        return pa.RecordBatch.from_arrays([*kept, *counts], names=[*keep, "n_shingles", "node"])
 
-    return _sets(docs, build, "doc_id long, n_shingles long, node long", "doc_id")
+    return _sets(docs, build, ", ".join(f"{c} long" for c in (*keep, "n_shingles", "node")), *keep)
 
 
 def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -> DataFrame:
@@ -349,7 +347,7 @@ def join(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int, int] = TH
     there are about as many for any size of input.
     """
     rows = docs.select(column(doc_id).cast("long").alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text"))
-    named = written(_named(rows, width), "join-named")
+    named = written(_named(rows, width, "doc_id"), "join-named")
     labels = linked_sets(rows.select("text"), width, threshold)
     nodes = named.filter("node <> 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -361,15 +359,31 @@ def join(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int, int] = TH
 
 
 def without_copies(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the document of smallest id of each group of near duplicates.
+    """``docs`` with one row of each group of near duplicates: that of smallest id, then of smallest text hash.
 
-    Rows that repeat an id that stays all stay; so do documents without words, which are
-    like no other, and rows without an id.
+    Rows are decided each, so an id that repeats with different texts loses only those texts
+    that another row stands for. Of rows with the same id and text one stays, by the hash of
+    the other columns. Rows without an id stand for each other only: one of a group stays,
+    besides the one with an id. Documents without words are like no other and all stay.
     """
-    (kept,) = fresh(docs, "kept_id")
-    joined = join(docs, width=width, threshold=threshold, doc_id=doc_id, text=text)
-    gone = joined.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias(kept)).distinct()
-    return docs.join(written(gone, "join-gone"), column(doc_id).cast("long") == F.col(kept), "left_anti")
+    number, key, stays, own, hashed, turn = fresh(docs, "its_id", "its_key", "stays", "own_id", "own_key", "turn")
+    rows = docs.select(column(doc_id).cast("long").alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    named = written(_named(rows, width, "doc_id", "key"), "join-named").filter("node <> 0")
+    named = named.groupBy("doc_id", "key", "node").agg(F.count("*").alias("n"))
+    labels = linked_sets(rows.select("text"), width, threshold)
+    labelled = named.join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), F.col("doc_id").isNull().alias("bare"), F.struct("doc_id", "key").alias("row"), "n")
+    least = labelled.groupBy("label", "bare").agg(F.min("row").alias("least"))
+    judged = labelled.join(least, ["label", "bare"]).withColumn("stays", F.col("row").eqNullSafe(F.col("least"))).filter("not stays or n > 1")
+    judged = written(judged.select(F.col("row.doc_id").alias(number), F.col("row.key").alias(key), F.col("stays").alias(stays)), "join-gone")
+
+    # Only rows that repeat as a whole are brought together to choose one; other texts stay where they are.
+    keyed = docs.withColumns({own: column(doc_id).cast("long"), hashed: F.xxhash64(F.coalesce(column(text), F.lit("")))})
+    same = F.col(own).eqNullSafe(F.col(number)) & (F.col(hashed) == F.col(key))
+    hashable = [column(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    once = Window.partitionBy(own, hashed).orderBy(F.xxhash64(*hashable))
+    repeated = keyed.join(judged.filter(F.col(stays)), same, "left_semi").withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1)
+    single = keyed.join(judged, same, "left_anti")
+    return single.select(*map(column, docs.columns)).unionByName(repeated.select(*map(column, docs.columns)))
 
 
 def op4_query(documents: DataFrame) -> DataFrame:

@@ -89,6 +89,19 @@ def test_one_of_each_stays(spark):
     assert nj.without_copies(empty(spark)).count() == 0 and nj.join(empty(spark)).count() == 0
 
 
+def test_rows_are_decided_each(spark):
+    one, other, third, bare = (prose(seed, 80, 10_000) for seed in (21, 22, 23, 24))
+    near = lambda t: t.replace(t.split()[40], "changed", 1)
+    rows = [(5, one), (5, near(other)), (2, other), (9, near(one)), (7, third, "en", "a"), (7, third, "en", "b"), (7, third, "en", "a"), (None, bare), (None, bare), (None, near(bare)), (3, ""), (3, ""), (4, None)]
+    docs = with_clashes(documents(spark, rows), "its_id", "turn", "stays", "node")
+    kept = nj.without_copies(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    texts = [t for n, t in found if n is None]
+    assert len(texts) == 1 and texts[0] in (bare, near(bare))
+    assert [r for r in found if r[0] is not None] == sorted([(5, one), (2, other), (7, third), (3, ""), (3, ""), (4, None)], key=repr)
+
+
 def test_no_rows_for_pairs_in_a_large_group(spark):
     """A group of many near copies gives a row for each member, not for each pair."""
     base = prose(11, 120)
