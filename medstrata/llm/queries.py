@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from medstrata.llm import ann, bpe, chat, fill_in_middle, fingerprints, html_extract, language_id, lm_scoring, ngram_join, pii, source_mix, token_counts
+from medstrata.llm import ann, bpe, chat, fill_in_middle, fingerprints, hard_negatives, html_extract, language_id, lm_scoring, ngram_join, pii, source_mix, token_counts
 from medstrata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "page_language_id": lambda spark, folder: language_id.pages_query(read(spark, folder, "documents"), read(spark, folder, "pages")),
     "op10_source_mix": _over("documents", source_mix.op10_query),
     "op11_pii": _over("documents", pii.op11_query),
+    "op12_hard_negatives": _over("embeddings", hard_negatives.op12_query),
     "op13_fill_in_middle": _over("documents", fill_in_middle.op13_query),
     "pipeline": corpus_pipeline.run,
 }
@@ -38,6 +39,7 @@ ORACLES: dict[str, str] = {
     "op8_chat_format": chat.OP8_SQL,
     "op10_source_mix": source_mix.OP10_SQL,
     "op11_pii": pii.OP11_SQL,
+    "op12_hard_negatives": hard_negatives.OP12_SQL,
     "op13_fill_in_middle": fill_in_middle.OP13_SQL,
 }
 
