@@ -126,11 +126,33 @@ def check_contract(df: DataFrame, table: str, expected: Sequence[str]) -> DataFr
 
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Report-layer check: NULLs of all listed columns, counted in one pass."""
-    figures = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in columns])
+    return _null_report(df.agg(*null_counts(columns)), table, columns)
+
+
+def null_counts(columns: Sequence[str]) -> list[Column]:
+    """NULLs of each column, as an aggregate or as figures to observe while rows are written."""
+    return [F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in columns]
+
+
+def check_observed_nulls(
+    spark: SparkSession, figures: Mapping[str, int], table: str, columns: Sequence[str]
+) -> DataFrame:
+    """The same check from figures of :func:`null_counts` that a write observed; nothing is scanned."""
+    row = [tuple(figures[f"_{c}"] or 0 for c in columns)]
+    return _null_report(spark.createDataFrame(row, [f"_{c}" for c in columns]), table, columns)
+
+
+def _null_report(figures: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     results = [_result(f"nulls[{c}]", F.col(f"_{c}"), F.col(f"_{c}") == 0) for c in columns]
     return _report(figures, "GOLD", table, results)
 
 
+def check_none(df: DataFrame, layer: str, table: str, metric: str, count: Column) -> DataFrame:
+    """A number of unwanted rows, as an aggregate; passed when there is none."""
+    figures = df.agg(count.alias("_rows"))
+    return _report(figures, layer, table, [_result(metric, F.col("_rows"), F.col("_rows") == 0)])
+
+
 @dataclass(frozen=True)
 class Check:
     """A check to run later: ``build`` reads its tables and gives result rows."""
@@ -146,8 +168,13 @@ def layer_checks(
     contracts: Mapping[str, Sequence[str]],
     not_null: Mapping[str, Sequence[str]],
     resolved_in: Mapping[str, tuple[str, str]],
+    observed: Mapping[str, Callable[[], DataFrame]] = {},
 ) -> list[Check]:
-    """The checks of all three layers over tables that ``load`` finds by name."""
+    """The checks of all three layers over tables that ``load`` finds by name.
+
+    ``observed`` has the report-layer checks whose figures were taken while their table was
+    written; the others scan.
+    """
 
     def raw_check(table: str, key: str) -> DataFrame:
         rows = load(table)
@@ -168,7 +195,7 @@ def layer_checks(
             for t, c in contracts.items()
         ],
         *[
-            Check("GOLD", t, lambda t=t, c=c: check_not_null(load(t), t, c))
+            Check("GOLD", t, observed.get(t) or (lambda t=t, c=c: check_not_null(load(t), t, c)))
             for t, c in not_null.items()
         ],
     ]
@@ -188,14 +215,16 @@ def _broken(run_ts: dt.datetime, check: Check, error: Exception) -> tuple:
 
 
 def run_checks(
-    spark: SparkSession, checks: Sequence[Check], run_ts: dt.datetime, sink: str | None = None
+    spark: SparkSession, checks: Sequence[Check], run_ts: dt.datetime, sink: str | None = None,
+    noted: Sequence[tuple] = (),
 ) -> tuple[int, DataFrame]:
     """Run every check; one that breaks becomes an ERROR row and the rest go on.
 
     The driver sees the result rows only: a handful per table.  Returns 0 when all
-    passed, else 1, with the rows, which are appended to ``sink`` when given.
+    passed, else 1, with the rows, which are appended to ``sink`` when given.  ``noted`` are
+    results that came up earlier in the run, as rows without its time.
     """
-    rows = []
+    rows = [(run_ts, *result) for result in noted]
     reports: list[tuple[Check, DataFrame]] = []
     for check in checks:
         try:

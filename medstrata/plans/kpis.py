@@ -111,11 +111,14 @@ def feedback_satisfaction(feedback: DataFrame, providers: DataFrame) -> DataFram
 
 
 def feedback_tags(feedback: DataFrame) -> DataFrame:
-    """Uses and mean score per tag; rows without tags do not take part."""
+    """Uses and mean score per tag, most used first; rows without tags do not take part.
+
+    One row per tag, so the sort is small.
+    """
     tagged = feedback.select("satisfaction_score", F.explode("tags").alias("tag"))
     return agg.mean_by(
         tagged, {"tag": F.col("tag")}, "satisfaction_score", "feedback_count", "avg_score"
-    )
+    ).orderBy(F.desc("feedback_count"), "tag")
 
 
 def feedback_encounter_match(feedback: DataFrame, encounters: DataFrame) -> DataFrame:

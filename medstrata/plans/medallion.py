@@ -7,14 +7,18 @@ from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from medstrata.config import PipelineConfig
 from medstrata.operators.aggregates import top_rows
 from medstrata.operators.changes import commit_history
+from medstrata.operators.constraints import gate, violation_results
 from medstrata.operators.enrich import refresh_missing
-from medstrata.operators.quality import layer_checks, run_checks
+from medstrata.functions.measures import unfit
+from medstrata.operators.quality import (
+    Check, check_none, check_observed_nulls, layer_checks, null_counts, run_checks,
+)
 from medstrata.operators.upsert import upsert_newest
 from medstrata.plans import healthcare, ingest_specs, kpis
 from medstrata.session import pin_session, together
@@ -47,10 +51,18 @@ class Medallion:
         spark: SparkSession,
         config: PipelineConfig,
         specs: Mapping[str, IngestSpec] | None = None,
+        constraints: Mapping[str, Mapping[str, Column]] | None = None,
     ):
+        """``constraints``: by table, by name, what rows of published tables must meet.
+
+        Rows that break one are set aside beside the table and counted in the result log.
+        """
         self.spark = pin_session(spark)
         self.config = config
         self.specs = dict(specs or ingest_specs.specs())
+        self.constraints = dict(constraints or {})
+        self._nulls: dict[str, Observation] = {}
+        self._noted: dict[str, list[tuple]] = {}
 
     # ---- tables -------------------------------------------------------------
 
@@ -151,8 +163,26 @@ class Medallion:
         self.refresh_encounters()
 
     def publish(self, name: str, rows: DataFrame) -> None:
+        """Replace a table; its checks take their figures from the rows as they are written."""
+        layer, dataset = name.split("_", 1)
+        path = self.config.paths(layer, dataset).table
+
+        def write(table: DataFrame, to: str) -> None:
+            if to == path and name in healthcare.NOT_NULL:
+                self._nulls[name] = Observation()
+                table = table.observe(self._nulls[name], *null_counts(healthcare.NOT_NULL[name]))
+            publish(table, to, self.config.kept_versions)
+
+        if name in self.constraints:
+            found = gate(rows, self.constraints[name], write, path)
+            self._noted[name] = violation_results(layer.upper(), name, found)
+        else:
+            write(rows, path)
+
+    def rejected(self, name: str) -> DataFrame:
+        """Rows of a published table that were set aside last, with the constraints they break."""
         layer, dataset = name.split("_", 1)
-        publish(rows, self.config.paths(layer, dataset).table, self.config.kept_versions)
+        return read_table(self.spark, f"{self.config.paths(layer, dataset).table}_rejected")
 
     def enrich_claims(self) -> None:
         claims, history = self.load("silver_claims"), self.load("silver_providers")
@@ -190,14 +220,28 @@ class Medallion:
         return [spend, *[partial(self.publish, name, rows) for name, rows in tables.items()]]
 
     def validate(self, run_ts: dt.datetime) -> int:
-        """Check all layers and append the results; 0 when every check passed."""
+        """Check all layers and append the results; 0 when every check passed.
+
+        Report tables that this object has written are not scanned again.
+        """
+
+        def from_write(name: str) -> DataFrame:
+            return check_observed_nulls(self.spark, self._nulls[name].get, name, healthcare.NOT_NULL[name])
+
         checks = layer_checks(
             self.load, healthcare.RAW_KEYS, healthcare.CONTRACTS, healthcare.NOT_NULL,
-            healthcare.DUPLICATES_RESOLVED_IN,
+            healthcare.DUPLICATES_RESOLVED_IN, {name: partial(from_write, name) for name in self._nulls},
         )
+        # Amounts that no sum can hold count as missing in the reports.
+        checks.append(Check("SILVER", "silver_claims", lambda: check_none(
+            self.load("silver_claims"), "SILVER", "silver_claims", "unfit[claim_amount]", unfit("claim_amount")
+        )))
+        noted = [result for results in self._noted.values() for result in results]
         code, _ = run_checks(
-            self.spark, checks, run_ts, self.config.paths("validation", RESULTS).table
+            self.spark, checks, run_ts, self.config.paths("validation", RESULTS).table, noted
         )
+        self._nulls.clear()
+        self._noted.clear()
         return code
 
     def run(self, run_ts: dt.datetime, as_of: dt.date | None = None) -> int:

@@ -155,6 +155,14 @@ def cleanse_demographics(patients: DataFrame, year: int) -> DataFrame:
     )
 
 
+def demographic_constraints(year: int) -> dict[str, Column]:
+    """What :func:`cleanse_demographics` mends, as constraints of a table."""
+    return {
+        "valid_gender": F.col("gender").isin(*VALID_GENDERS),
+        "valid_birth_year": F.col("birth_year").between(EARLIEST_BIRTH_YEAR, year),
+    }
+
+
 def gender_breakdown(patients: DataFrame, year: int) -> DataFrame:
     """Patients per valid gender."""
     cleansed = cleanse_demographics(patients, year)

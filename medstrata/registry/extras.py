@@ -2,10 +2,16 @@
 
 from pyspark.sql import functions as F
 
+from medstrata.operators.changes import diff_states
+from medstrata.operators.constraints import VIOLATED, split_violations
 from medstrata.plans import profiles
 from medstrata.plans.tables import Lake
 from medstrata.registry.catalog import query
 from medstrata.registry.sql import mean, money_mean, money_sum, ratio, rounded
+from medstrata.session import work_dir
+from medstrata.sources import changelog
+from medstrata.sources.tables import read_table
+from medstrata.streaming.aggregates import keep_report, monthly_encounters
 
 YEAR = 2001
 
@@ -50,21 +56,36 @@ def feedback_variability(lake: Lake):
     return profiles.feedback_variability(lake.bronze_feedback, lake.provider_attributes)
 
 
-@query(
-    "encounters_by_month",
-    """
+_BY_MONTH = """
 SELECT CAST(CAST(date_trunc('month', start_ts) AS DATE) AS VARCHAR) AS month, gender,
   CAST(encounters_enriched.birth_year AS VARCHAR) AS birth_year,
   COUNT(*) AS encounter_count
 FROM encounters_enriched
 WHERE gender IS NOT NULL AND birth_year IS NOT NULL
   AND start_ts >= DATE '2001-09-30' - INTERVAL 2 YEARS
-GROUP BY 1, 2, encounters_enriched.birth_year""",
-)
+GROUP BY 1, 2, encounters_enriched.birth_year"""
+
+
+@query("encounters_by_month", _BY_MONTH)
 def encounters_by_month(lake: Lake):
     return profiles.encounters_by_month(lake.silver_encounters, lake.silver_patients, lake.as_of)
 
 
+@query("stream_encounters_by_month", _BY_MONTH)
+def stream_encounters_by_month(lake: Lake):
+    """The same report kept by a stream: first all visits a day early, then each moved to its day."""
+    spark = lake.t.spark
+    log, target, checkpoint = (work_dir(spark, name) for name in ("visits", "by-month", "checkpoint"))
+    visits = lake.silver_encounters.select("encounter_id", "patient_id", "START_TS")
+    early = visits.withColumn("START_TS", F.col("START_TS") - F.expr("INTERVAL 1 DAY"))
+    since = F.add_months(lake.as_of, -24)
+    for version, changes in ((1, changelog.as_inserts(early)), (2, diff_states(early, visits, ["encounter_id"]))):
+        changelog.write_commit(changes, log, version)
+        report = monthly_encounters(changelog.stream_log(spark, log), lake.silver_patients, since)
+        keep_report(report, "encounter_count", target, checkpoint)
+    return read_table(spark, target)
+
+
 @query(
     "unmatched_entities",
     """
@@ -122,6 +143,24 @@ def cleanse_demographics(lake: Lake):
     )
 
 
+@query(
+    "constraint_gate",
+    f"""
+SELECT id, array_to_string(list_filter([CASE WHEN NOT gender IN ('F', 'M') THEN 'valid_gender' END,
+    CASE WHEN NOT birth_year BETWEEN 1900 AND {YEAR} THEN 'valid_birth_year' END], lambda x: x IS NOT NULL), ',') AS broken,
+  CASE WHEN gender NOT IN ('F', 'M') OR birth_year NOT BETWEEN 1900 AND {YEAR} THEN 'rejected' ELSE 'table' END AS destination
+FROM patients""",
+)
+def constraint_gate(lake: Lake):
+    """Patients that meet the demographic constraints, and the others with what they break."""
+    clean, broken = split_violations(
+        lake.silver_patients.select("id", "gender", "birth_year"), profiles.demographic_constraints(YEAR)
+    )
+    return clean.select("id", F.lit("").alias("broken"), F.lit("table").alias("destination")).unionByName(
+        broken.select("id", F.array_join(VIOLATED, ",").alias("broken"), F.lit("rejected").alias("destination"))
+    )
+
+
 @query(
     "ingest_row_log",
     """

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from medstrata.operators.aggregates import top_rows
 from medstrata.operators.enrich import count_missing, count_orphans, join_coverage
+from medstrata.operators.history import attributes_as_of
 from medstrata.plans import healthcare
 from medstrata.plans.tables import Lake
 from medstrata.registry.catalog import query
@@ -122,3 +123,42 @@ def preview_latest(lake: Lake):
         "claim_id", "claim_date", "claim_amount", "provider_missing"
     )
     return top_rows(rows, [F.col("claim_date").desc_nulls_last(), "claim_id"], 5)
+
+
+@query(
+    "scd2_asof",
+    """
+SELECT f.feedback_id, f.provider_id, CAST(f.due AS VARCHAR) AS due, p.provider_specialty,
+  p.provider_location, p.provider_id IS NULL AS provider_missing
+FROM (SELECT *, utc + INTERVAL 20 DAYS AS due FROM (SELECT * FROM feedback_rows
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY feedback_id
+          ORDER BY utc DESC NULLS LAST, ts DESC, provider_id DESC, visit_id DESC) = 1)) f
+LEFT JOIN providers p ON p.provider_id = f.provider_id AND f.due >= CAST(p.eff_start_ts AS TIMESTAMP)
+  AND (p.eff_end_ts IS NULL OR f.due < CAST(p.eff_end_ts AS TIMESTAMP))""",
+)
+def scd2_asof(lake: Lake):
+    """Feedback with the provider attributes that hold 20 days later, when its answer is due."""
+    due = F.col("timestamp") + F.expr("INTERVAL 20 DAYS")
+    asked = lake.silver_feedback.select("feedback_id", "provider_id", due.alias("due"))
+    return attributes_as_of(
+        asked, lake.silver_providers, "provider_id", "due", healthcare.TRACKED, missing_flag="provider_missing"
+    )
+
+
+@query(
+    "asof_visit_at_claim",
+    """
+SELECT c.claim_id, c.patient_id, CAST(c.claim_date AS VARCHAR) AS claim_date, v.encounter_id AS encounter_id,
+  v.encounter_id IS NULL AS visit_missing
+FROM claims c ASOF LEFT JOIN (
+  SELECT patient_id, start_ts, MAX(encounter_id) AS encounter_id FROM encounters
+  WHERE start_ts IS NOT NULL GROUP BY 1, 2) v
+ON c.patient_id = v.patient_id AND c.claim_date >= v.start_ts""",
+)
+def asof_visit_at_claim(lake: Lake):
+    """Claims with their patient's last visit up to that day: long histories, sorted by month."""
+    claims = lake.silver_claims.select("claim_id", "patient_id", "claim_date")
+    return attributes_as_of(
+        claims, lake.silver_encounters, "patient_id", "claim_date", ["encounter_id"], start="START_TS", end=None,
+        missing_flag="visit_missing", per="month",
+    )
