@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import csv
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -29,6 +30,14 @@ FORMATS = {
 # Text formats can hold records that do not parse; the others carry their schema.
 TEXT_FORMATS = ("csv", "tsv", "json")
 
+# Formats whose files name their columns in a first line.
+HEADED_FORMATS = ("csv", "tsv")
+
+# Columns of the quarantine for files that cannot be read.
+BAD_FILE, ERROR = "_bad_file", "_error"
+
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
+
 
 def reader_options(fmt: str) -> tuple[str, dict[str, str]]:
     """Spark source name and options for a raw format."""
@@ -84,71 +93,110 @@ def append_evolving(table: DataFrame, batch: DataFrame) -> DataFrame:
     return table.unionByName(batch, allowMissingColumns=True)
 
 
+def new_files(
+    spark: SparkSession, raw: str, options: Mapping[str, str], max_files: int, max_age: str
+) -> DataFrame:
+    """Paths of the files below ``raw`` as a stream, each once; their content is not read."""
+    return (
+        spark.readStream.format("binaryFile").options(**options)
+        .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
+        .schema(_LISTING).load(raw).select("path")
+    )
+
+
+def exactly(path: str) -> str:
+    """A path as a reader takes it: the characters of patterns stand for themselves."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def load(
+    spark: SparkSession, fmt: str, paths: Sequence[str], schema: StructType | None, raw: str, options: Mapping[str, str] = {}
+) -> DataFrame:
+    """Some files of a format below the folder ``raw``."""
+    source, known = reader_options(fmt)
+    reader = spark.read.format("text" if fmt in HEADED_FORMATS else source)
+    reader = reader.options(**({} if fmt in HEADED_FORMATS else known), **options)
+    if "recursiveFileLookup" not in options:
+        reader = reader.option("basePath", raw)
+    if schema is not None and fmt not in HEADED_FORMATS:
+        reader = reader.schema(with_corrupt_column(fmt, schema))
+    return reader.load([exactly(p) for p in paths])
+
+
+def _stored(spark: SparkSession, store: str) -> StructType | None:
+    location = f"{store}/schema.json"
+    if not folders.exists(spark, location):
+        return None
+    return StructType.fromJson(json.loads(folders.read_text(spark, location)))
+
+
 def remembered_schema(
     spark: SparkSession, fmt: str, raw: str, store: str, extra: Mapping[str, str] = {}
 ) -> StructType:
     """Source schema from the schema store, extended by columns of newer files.
 
-    Only a source without a stored schema is looked at as a whole, and of it one file;
-    columns of further files are added with the batch that has them, see
-    :func:`with_own_columns`.
+    Only a source without a stored schema is looked at as a whole, and of it one file, or
+    all that can be read if that one cannot; columns of further files are added with the
+    batch that has them, see :func:`extended_schema`.
     """
-    location = f"{store}/schema.json"
-    if folders.exists(spark, location):
-        return StructType.fromJson(json.loads(folders.read_text(spark, location)))
+    known = _stored(spark, store)
+    if known is not None:
+        return known
     source, options = reader_options(fmt)
-    found = spark.read.format(source).options(**options, **extra).load(raw).schema
-    folders.write_text(spark, location, found.json())
+    reader = spark.read.format(source).options(**options, **extra)
+    try:
+        found = reader.load(raw).schema
+    except Exception as error:
+        if not unreadable(error):
+            raise
+        found = reader.options(mergeSchema="true", ignoreCorruptFiles="true").load(raw).schema
+    folders.write_text(spark, f"{store}/schema.json", found.json())
     return found
 
 
-def with_own_columns(
-    batch: DataFrame, paths: Sequence[str], store: str, audit: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """A batch of Parquet files with the columns that only its files have.
+def extended_schema(
+    spark: SparkSession, paths: Sequence[str], store: str, raw: str, options: Mapping[str, str] = {}
+) -> StructType:
+    """The stored schema with the columns that only some of these Parquet files have.
 
-    The footers of the batch's files are read; if they name new columns, the stored
-    schema grows and the files are read again with it.  A running stream thus loads a
-    column from the first file that has it.
+    The files' footers are read by tasks; new columns are stored, so a running stream
+    loads a column from the first file that has it.  Files without a footer add none.
     """
-    if not paths:
-        return batch
-    spark, location = batch.sparkSession, f"{store}/schema.json"
-    found = spark.read.option("mergeSchema", "true").parquet(*paths).schema
-    known = StructType.fromJson(json.loads(folders.read_text(spark, location)))
-    merged = StructType([*known.fields, *[c for c in found.fields if c.name not in known.names]])
+    known = _stored(spark, store) or StructType([])
+    merging = {**options, "mergeSchema": "true", "ignoreCorruptFiles": "true"}
+    try:
+        found = load(spark, "parquet", paths, None, raw, merging).schema.fields
+    except AnalysisException:  # none of the files has a footer
+        found = []
+    merged = StructType([*known.fields, *[c for c in found if c.name not in known.names]])
     if merged.names != known.names:
-        folders.write_text(spark, location, merged.json())
-    if set(merged.names) <= set(batch.columns):
-        return batch
-    return audit(spark.read.schema(merged).parquet(*paths))
+        folders.write_text(spark, f"{store}/schema.json", merged.json())
+    return merged
 
 
-def by_header(
-    batch: DataFrame, paths: Sequence[str], fmt: str, schema: StructType, audit: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """A batch of CSV or TSV files with values under the names of each file's own header.
+def unreadable(error: Exception) -> bool:
+    """Whether a job failed because the content of a file could not be read."""
+    text = str(error)
+    return "FAILED_READ_FILE" in text and "FILE_NOT_EXIST" not in text or "CANNOT_READ_FILE_FOOTER" in text
 
-    Files whose header is not that of ``schema`` are read again, those of one header
-    together; columns they lack are NULL, columns they have besides stay, as text.
-    """
-    spark = batch.sparkSession
-    source, options = reader_options(fmt)
-    separator = options.get("delimiter", ",")
-    headers: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        names = next(csv.reader([folders.first_line(spark, path)], delimiter=separator), [])
-        headers.setdefault(tuple(n.strip() for n in names), []).append(path)
-    expected = tuple(schema.names)
-    odd = {names: found for names, found in headers.items() if names != expected and any(names)}
-    if not odd:
-        return batch
-    gone = [path for found in odd.values() for path in found]
-    out = batch.filter(~F.col("_source_file").isin(gone))
-    for names, found in odd.items():
-        unique = [n if n and n not in names[:i] else f"{n or 'column'}_{i + 1}" for i, n in enumerate(names)]
-        own = StructType([StructField(n, StringType()) for n in unique])
-        read = spark.read.format(source).options(**options).schema(with_corrupt_column(fmt, own)).load(found)
-        out = out.unionByName(audit(read), allowMissingColumns=True)
-    return out
 
+def split_readable(paths: Sequence[str], read: Callable[[Sequence[str]], object]) -> tuple[list[str], dict[str, str]]:
+    """Files that ``read`` gets through, and for each of the others why it does not.
+
+    ``read`` runs over all files, and where it fails over either half.  Only called once
+    a batch has failed, so good batches cost nothing; with few bad files each good one
+    is read about as often as the number of files has digits to the base of two.
+    """
+    try:
+        if paths:
+            read(paths)
+        return list(paths), {}
+    except Exception as error:
+        if not unreadable(error):
+            raise
+        if len(paths) == 1:
+            return [], {paths[0]: str(error).strip().split("\n")[0][:1000]}
+    half = len(paths) // 2
+    good, bad = split_readable(paths[:half], read)
+    more_good, more_bad = split_readable(paths[half:], read)
+    return good + more_good, bad | more_bad

@@ -38,17 +38,6 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of a text file, without its end; the rest is not read."""
-    hadoop_path, file_system = _file_system(spark, path)
-    jvm = spark._jvm.java.io
-    reader = jvm.BufferedReader(jvm.InputStreamReader(file_system.open(hadoop_path), "UTF-8"))
-    try:
-        return (reader.readLine() or "").removeprefix("\ufeff")
-    finally:
-        reader.close()
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace one small text file."""
     hadoop_path, file_system = _file_system(spark, path)
