@@ -32,50 +32,62 @@ RUN_MODES = ("batch", "stream")
 BATCH_ID_KEY = "spark.medstrata.batchId"
 
 
+# Name prefixes of the tables, from raw to checked.
+LAYERS = ("bronze", "silver", "gold", "validation")
+
+
 @dataclass(frozen=True)
 class DatasetPaths:
-    """Every folder that belongs to one dataset of one layer."""
+    """Where one table of a dataset lies, and what is kept for it.
+
+    What is kept beside tables (columns seen, progress, what was set aside) lies in one
+    folder for each dataset, so that it can be looked at and moved together.
+    """
 
-    name: str
-    table: str
+    root: str
+    layer: str
+    dataset: str
     raw: str
-    schema: str
-    checkpoint: str
-    quarantine: str
+
+    @property
+    def table(self) -> str:
+        return f"{self.root}/{self.layer}/{self.layer}_{self.dataset}"
+
+    @property
+    def kept(self) -> str:
+        return f"{self.root}/_kept/{self.dataset}"
+
+    @property
+    def schema(self) -> str:
+        return f"{self.kept}/columns"
+
+    @property
+    def quarantine(self) -> str:
+        return f"{self.kept}/set_aside"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.kept}/progress/{self.layer}_{self.dataset}"
 
     def checkpoint_for(self, mode: str) -> str:
         """Batch and continuous runs keep separate progress."""
-        check_mode(mode)
-        return f"{self.checkpoint}/{mode}"
+        return f"{self.checkpoint}/{check_mode(mode)}"
 
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    """A lake root plus the folder name of each layer below it."""
+    """A lake root: raw files arrive by dataset in one folder, tables live by layer."""
 
     root: str
-    raw: str = "source"
-    bronze: str = "bronze"
-    silver: str = "silver"
-    gold: str = "gold"
-    validation: str = "validation"
+    incoming: str = "source"
     buckets: dict[str, int] = field(default_factory=dict)
     default_buckets: int = 16
     kept_versions: int = 10  # of each table, for readers that started on them
 
     def paths(self, layer: str, dataset: str) -> DatasetPaths:
-        if layer not in ("bronze", "silver", "gold", "validation"):
+        if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
-        folder = getattr(self, layer)
-        tag = f"{layer}_{dataset}"
-        return DatasetPaths(
-            name=tag,
-            table=f"{self.root}/{folder}/{tag}",
-            raw=f"{self.root}/{self.raw}/{dataset}",
-            schema=f"{self.root}/_schemas/{dataset}",
-            checkpoint=f"{self.root}/_checkpoints/{tag}",
-            quarantine=f"{self.root}/_quarantine/{dataset}",
-        )
+        return DatasetPaths(self.root, layer, dataset, f"{self.root}/{self.incoming}/{dataset}")
 
     def buckets_of(self, dataset: str) -> int:
         return self.buckets.get(dataset, self.default_buckets)

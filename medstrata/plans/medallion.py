@@ -3,34 +3,40 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import time
 from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from medstrata.config import PipelineConfig
 from medstrata.operators.aggregates import top_rows
 from medstrata.operators.changes import commit_history
 from medstrata.operators.constraints import gate, violation_results
-from medstrata.operators.enrich import refresh_missing
 from medstrata.functions.measures import unfit
 from medstrata.operators.quality import (
     Check, check_none, check_observed_nulls, layer_checks, null_counts, run_checks,
 )
-from medstrata.operators.upsert import upsert_newest
 from medstrata.plans import healthcare, ingest_specs, kpis
 from medstrata.session import pin_session, together
-from medstrata.sources import changelog
-from medstrata.sources.tables import expire, merge_bucketed, publish, read_bucketed, read_table
+from medstrata.sources import changelog, leases
+from medstrata.sources.tables import publish, read_bucketed, read_buckets_of, read_table
 from medstrata.streaming.ingest import IngestSpec, ingest
 from medstrata.streaming.upserts import (
-    UpsertSpec, append_new, enrich_stream, merge_history, read_cleaned, upsert_stream,
+    UpsertSpec, append_new, enrich_pending, enrich_stream, merge_history, read_cleaned, upsert_stream,
 )
 
 RESULTS = "smoke_results"
 
+# What encounters are enriched with, by patient.
+PATIENT_ATTRIBUTES = StructType(
+    [StructField("id", StringType()), StructField("gender", StringType()), StructField("birth_year", IntegerType())]
+)
+
 # Cleaned tables that are upserted from the change log of their raw table.
 UPSERTED = {
     "claims": (healthcare.claim_rows, "claim_id", healthcare.CLAIM_TIE_BREAK),
@@ -117,18 +123,33 @@ class Medallion:
         """A log as a stream; a bounded run takes its backlog at once and merges it once."""
         return changelog.stream_log(self.spark, path, max_files=None if mode == "batch" else 1000)
 
+    def _unread(self, dataset: str) -> tuple[changelog.Position, DataFrame | None, int]:
+        """Rows of a raw table that its cleaned table has not taken in yet."""
+        note = f"{self.config.paths('silver', dataset).checkpoint}/position"
+        position = changelog.Position(self.spark, self.config.paths("bronze", dataset).table, note)
+        return position, *position.unread()
+
     def merge_providers(self) -> None:
-        snapshot = healthcare.provider_snapshot(self.load("bronze_providers"))
+        """Merge the snapshot of new commits only; providers that are not in them stay as they are."""
+        position, rows, newest = self._unread("providers")
+        if rows is None:
+            return
         merge_history(
-            snapshot, self.config.paths("silver", "providers").table, "provider_id",
-            healthcare.TRACKED, self.config.buckets_of("providers"), self.config.kept_versions,
+            healthcare.provider_snapshot(rows), self.config.paths("silver", "providers").table,
+            "provider_id", healthcare.TRACKED, self.config.buckets_of("providers"), self.config.kept_versions,
         )
+        position.advance(newest)
 
-    def insert_feedback(self, run_id: str) -> None:
-        latest = healthcare.feedback(self.load("bronze_feedback"))
+    def insert_feedback(self) -> None:
+        """Insert new keys from new commits only; a run that is repeated replaces its own commit."""
+        position, rows, newest = self._unread("feedback")
+        if rows is None:
+            return
         append_new(
-            latest, self.config.paths("silver", "feedback").table, ["feedback_id"], run_id
+            healthcare.feedback(rows), self.config.paths("silver", "feedback").table, ["feedback_id"],
+            f"after-{position.read()}",
         )
+        position.advance(newest)
 
     def enrich_encounters(self, mode: str = "batch"):
         """Changes of cleaned encounters, joined with patients, upserted."""
@@ -138,26 +159,24 @@ class Medallion:
             self._changes(source, mode), lambda: self.load("silver_patients"),
             "patient_id", "id", ("gender", "birth_year"), "patient_missing", enriched.table,
             ["encounter_id"], enriched.checkpoint_for(mode), mode,
-            self.config.buckets_of("encounters_enriched"), self.config.kept_versions,
+            self.config.buckets_of("encounters_enriched"), self.config.kept_versions, f"{enriched.table}_pending",
         )
 
     def refresh_encounters(self) -> None:
         """Enrich encounters again whose patient arrived after they were processed."""
         target = self.config.paths("silver", "encounters_enriched").table
-        found = refresh_missing(
-            read_bucketed(self.spark, target), self.load("silver_patients"),
-            "patient_id", "id", ("gender", "birth_year"), "patient_missing",
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            merge_bucketed(
-                found, target, ["encounter_id"], self.config.buckets_of("encounters_enriched"),
-                upsert_newest,
-            )
-            expire(self.spark, target, self.config.kept_versions)
-        finally:
-            found.unpersist()
-
-    def enrich_and_refresh_encounters(self) -> None:
+        patients = self.config.paths("silver", "patients").table
+
+        def asked_patients(ids: DataFrame) -> DataFrame:
+            return read_buckets_of(self.spark, patients, ids, PATIENT_ATTRIBUTES)
+
+        enrich_pending(
+            self.spark, f"{target}_pending", asked_patients, "patient_id", "id", ("gender", "birth_year"),
+            "patient_missing", target, ["encounter_id"], self.config.buckets_of("encounters_enriched"),
+            self.config.kept_versions,
+        )
+
+    def enrich_encounters_and_refresh(self) -> None:
         """New encounters, then earlier ones whose patient has arrived by now."""
         self.enrich_encounters()
         self.refresh_encounters()
@@ -247,29 +266,53 @@ class Medallion:
     def run(self, run_ts: dt.datetime, as_of: dt.date | None = None) -> int:
         """Refresh everything once; returns the exit code of the checks.
 
+        While a stream keeps the encounter tables, they are left to it.
         Cleaned tables are complete before anything that joins them starts; jobs of
         one step are independent and run side by side.
         """
-        together(self.spark, *[partial(self.ingest, dataset) for dataset in self.specs])
+        streamed = ["encounters"] if leases.is_held(self.spark, self._streaming) else []
+        together(self.spark, *[partial(self.ingest, dataset) for dataset in self.specs if dataset not in streamed])
         together(
             self.spark,
             self.merge_providers,
-            *[partial(self.upsert, dataset) for dataset in UPSERTED],
-            partial(self.insert_feedback, f"run-{run_ts:%Y%m%dT%H%M%S%f}"),
+            *[partial(self.upsert, dataset) for dataset in UPSERTED if dataset not in streamed],
+            self.insert_feedback,
         )
         together(
             self.spark,
-            self.enrich_and_refresh_encounters,
+            *([] if streamed else [self.enrich_encounters_and_refresh]),
             self.enrich_claims,
             self.enrich_feedback,
             *self.reports(as_of),
         )
         return self.validate(run_ts)
 
+    @property
+    def _streaming(self) -> str:
+        """Lease of whoever keeps the encounter tables by a stream."""
+        return f"{self.config.paths('silver', 'encounters').checkpoint}/streaming"
+
     def stream_encounters(self) -> list[StreamingQuery]:
-        """Start the continuous encounter flow: ingest, upsert, enrich."""
-        return [
-            self.ingest("encounters", "stream"),
-            self.upsert("encounters", "stream"),
-            self.enrich_encounters("stream"),
-        ]
+        """Start the continuous encounter flow: ingest, upsert, enrich.
+
+        The tables count as streamed until all three queries have ended.
+        """
+        lease = leases.acquire(self.spark, self._streaming)
+        queries: list[StreamingQuery] = []
+        try:
+            for start in (self.ingest, self.upsert):
+                queries.append(start("encounters", "stream"))
+            queries.append(self.enrich_encounters("stream"))
+        except BaseException:
+            for query in queries:
+                query.stop()
+            lease.release()
+            raise
+
+        def until_all_have_ended() -> None:
+            while any(query.isActive for query in queries):
+                time.sleep(1)
+            lease.release()
+
+        threading.Thread(target=until_all_have_ended, daemon=True).start()
+        return queries

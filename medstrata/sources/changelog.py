@@ -7,6 +7,7 @@ the commit number from the folder name, in batch and as a file stream.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -43,12 +44,10 @@ def append_commit(changes: DataFrame, path: str, run_id: str) -> int:
     the creation of the table.
     """
     spark = changes.sparkSession
-    note = f"{path}/_runs/{run_id}"
-    if folders.exists(spark, note):
-        version = int(folders.read_text(spark, note))
-    else:
+    version = noted_number(spark, path, run_id)
+    if version is None:
         version = max(_numbers(spark, path), default=0) + 1
-        folders.write_text(spark, note, str(version))
+        folders.write_text(spark, f"{path}/_runs/{run_id}", str(version))
     write_commit(changes, path, version, run_id)
     return version
 
@@ -72,6 +71,51 @@ def create(shape: DataFrame, path: str) -> None:
         write_commit(shape.limit(0), path, 0, "created")
 
 
+def complete_through(spark: SparkSession, path: str, after: int) -> int:
+    """The newest commit up to which all commits later than ``after`` are complete."""
+    found = folders.matching(spark, f"{path}/{VERSION}=*/{RUN_ID}=*/_SUCCESS")
+    done = {int(re.search(rf"/{VERSION}=(\d+)/", marker).group(1)) for marker in found}
+    newest = after
+    for number in _numbers(spark, path):
+        if number > after:
+            if number not in done:
+                break
+            newest = number
+    return newest
+
+
+class Position:
+    """How far a reader has got in a log, noted in a file of its own."""
+
+    def __init__(self, spark: SparkSession, log: str, note: str):
+        self.spark, self.log, self.note = spark, log, note
+
+    def read(self) -> int:
+        """The last commit that was taken in; 0 for none."""
+        return int(folders.read_text(self.spark, self.note)) if folders.exists(self.spark, self.note) else 0
+
+    def unread(self) -> tuple[DataFrame | None, int]:
+        """Rows of complete commits after the noted one, and the last of these commits.
+
+        Older commit folders are not read.  None if there is no newer commit.
+        """
+        last = self.read()
+        newest = complete_through(self.spark, self.log, last)
+        if newest == last:
+            return None, last
+        return read_log(self.spark, self.log, last + 1).filter(F.col(VERSION) <= newest), newest
+
+    def advance(self, version: int) -> None:
+        """Note a commit once what came of it is written."""
+        folders.write_text(self.spark, self.note, str(version))
+
+
+def noted_number(spark: SparkSession, path: str, run_id: str) -> int | None:
+    """The commit that an earlier run of this name has written or begun."""
+    note = f"{path}/_runs/{run_id}"
+    return int(folders.read_text(spark, note)) if folders.exists(spark, note) else None
+
+
 def newest_numbers(spark: SparkSession, path: str, count: int) -> list[int]:
     """The newest ``count`` commit numbers, from folder names."""
     return _numbers(spark, path)[-count:]

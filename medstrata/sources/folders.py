@@ -48,24 +48,29 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small text file that must not exist yet; whether it did not."""
+def create_empty(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist yet, in one step; whether it did not."""
     hadoop_path, file_system = _file_system(spark, path)
-    if file_system.exists(hadoop_path):
-        return False
     try:
-        stream = file_system.create(hadoop_path, False)
+        file_system.create(hadoop_path, False).close()
     except Py4JJavaError as error:
-        if "FileAlreadyExistsException" in str(error.java_exception):
+        if file_system.exists(hadoop_path):
             return False
-        raise
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
+        raise error
     return True
 
 
+def modified(spark: SparkSession, path: str) -> float | None:
+    """When a file was last written, in seconds; None if there is none."""
+    hadoop_path, file_system = _file_system(spark, path)
+    try:
+        return file_system.getFileStatus(hadoop_path).getModificationTime() / 1000
+    except Py4JJavaError as error:
+        if file_system.exists(hadoop_path):
+            raise error
+        return None
+
+
 def remove(spark: SparkSession, path: str) -> None:
     hadoop_path, file_system = _file_system(spark, path)
     file_system.delete(hadoop_path, True)

@@ -6,30 +6,27 @@ writes it again.  A bucketed table stores, per version, only the buckets that
 version changed, so an upsert rewrites the buckets its keys fall into and not the
 whole table.  Its keys, number of buckets and columns are noted when it is created:
 later merges use that number whatever they are given, and rows keep all columns.
-A table has one writer at a time; a second one is refused.
+A table has one writer at a time, by a lease; a second one waits as long as it is told to
+and is then refused.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import time
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from medstrata.sources import folders
+from medstrata.sources import folders, leases
 
 BUCKET = "_bucket"
 
 # Newest versions whose folders stay for readers that started on them, by default.
 KEPT_VERSIONS = 10
 
-# Seconds after which the mark of another application's writer counts as left behind.
-WRITER_GONE = 6 * 3600.0
-
 
 def bucket_of(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
@@ -45,38 +42,42 @@ def next_version(spark: SparkSession, path: str) -> int:
     return done[-1] + 1 if done else 0
 
 
-def publish(df: DataFrame, path: str, keep: int = KEPT_VERSIONS) -> int:
+def publish(df: DataFrame, path: str, keep: int = KEPT_VERSIONS, wait: float = 0.0) -> int:
     """Write ``df`` as the new content of the table; the old stays readable meanwhile.
 
     Of earlier contents the newest ``keep`` stay.
     """
-    spark = df.sparkSession
-    with only_writer(spark, path):
-        version = next_version(spark, path)
-        df.write.mode("overwrite").parquet(f"{path}/v={version}")
-        for old in complete_versions(spark, path)[: -max(keep, 1)]:
-            folders.remove(spark, f"{path}/v={old}")
-    return version
+    with only_writer(df.sparkSession, path, wait):
+        return _publish(df, path, keep)
 
 
-@contextmanager
-def only_writer(spark: SparkSession, path: str) -> Iterator[None]:
-    """Marks the table as being written; refuses while another writer's mark is there.
+def replace_content(
+    spark: SparkSession, path: str, change: Callable[[DataFrame | None], DataFrame | None],
+    keep: int = KEPT_VERSIONS, wait: float = 0.0,
+) -> None:
+    """Publish what ``change`` makes of the present content (None: no version yet).
 
-    A mark names its application and time.  One that an ended application left behind
-    is taken over after WRITER_GONE seconds, or at once by the application itself.
+    No other writer comes between reading and writing.  Nothing is written for None.
     """
-    mark = f"{path}/_writer"
-    own = spark.sparkContext.applicationId
-    if not folders.create_text(spark, mark, json.dumps([own, time.time()])):
-        holder, since = json.loads(folders.read_text(spark, mark) or '["", 0]')
-        if holder == own or time.time() - since < WRITER_GONE:
-            raise RuntimeError(f"{path} is being written by {holder}; its mark is {mark}")
-        folders.write_text(spark, mark, json.dumps([own, time.time()]))
-    try:
-        yield
-    finally:
-        folders.remove(spark, mark)
+    with only_writer(spark, path, wait):
+        done = complete_versions(spark, path)
+        new = change(read_table(spark, path) if done else None)
+        if new is not None:
+            _publish(new, path, keep)
+
+
+def _publish(df: DataFrame, path: str, keep: int) -> int:
+    spark = df.sparkSession
+    version = next_version(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    for old in complete_versions(spark, path)[: -max(keep, 1)]:
+        folders.remove(spark, f"{path}/v={old}")
+    return version
+
+
+def only_writer(spark: SparkSession, path: str, wait: float = 0.0) -> AbstractContextManager:
+    """Keeps other writers out of the table for the length of a block."""
+    return leases.held(spark, f"{path}/_writers", wait)
 
 
 def description(spark: SparkSession, path: str) -> dict | None:
@@ -134,6 +135,20 @@ def read_bucketed(
     return _read_folders(spark, path, list(live_buckets(spark, path).values()), schema)
 
 
+def read_buckets_of(spark: SparkSession, path: str, values: DataFrame, schema: StructType) -> DataFrame:
+    """Content of the buckets in which these keys (columns in order of the table's) would be.
+
+    The driver sees numbers of buckets.  A table without any version is empty.
+    """
+    noted = description(spark, path)
+    schema = all_columns(_schema_of(noted), schema)
+    if noted is None:
+        return spark.createDataFrame([], schema)
+    places = values.select(bucket_of(values.columns, noted["buckets"])).distinct().collect()
+    live = live_buckets(spark, path)
+    return _read_folders(spark, path, [live[row[0]] for row in places if row[0] in live], schema)
+
+
 def _read_folders(
     spark: SparkSession, path: str, found: Sequence[str], schema: StructType | None
 ) -> DataFrame:
@@ -174,6 +189,7 @@ def merge_bucketed(
     keys: Sequence[str],
     buckets: int,
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
+    wait: float = 0.0,
 ) -> DataFrame | None:
     """Merge ``batch`` (unique by key) into a bucketed table.
 
@@ -183,8 +199,7 @@ def merge_bucketed(
     table, so a repeated micro-batch does no harm.  ``buckets`` counts when the table is
     created; a column that the batch lacks keeps its stored value.
     """
-    spark = batch.sparkSession
-    with only_writer(spark, path):
+    with only_writer(batch.sparkSession, path, wait):
         return _merge(batch, path, list(keys), buckets, merge)
 
 

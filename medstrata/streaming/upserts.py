@@ -16,7 +16,7 @@ from medstrata.operators.upsert import (
     apply_history, changed_versions, rows_to_insert, upsert_newest,
 )
 from medstrata.sources import changelog
-from medstrata.sources.tables import KEPT_VERSIONS, expire, merge_bucketed, read_bucketed
+from medstrata.sources.tables import KEPT_VERSIONS, expire, merge_bucketed, read_bucketed, replace_content
 from medstrata.streaming.runs import run_stream
 
 
@@ -35,6 +35,11 @@ class UpsertSpec:
     buckets: int = 16
     changes_to: str | None = None
     kept_versions: int = KEPT_VERSIONS
+    after: Callable[[DataFrame], None] | None = None  # is handed the latest rows of each batch, once merged
+
+
+# Seconds that a merge waits for another writer of its table.
+WAIT = 600.0
 
 
 def upsert_stream(
@@ -51,12 +56,14 @@ def upsert_stream(
         # Used for the touched buckets, the merge and the change log.
         latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            before = merge_bucketed(latest, target, spec.keys, spec.buckets, newest)
+            before = merge_bucketed(latest, target, spec.keys, spec.buckets, newest, WAIT)
             if before is not None and spec.changes_to:
                 changelog.append_commit(
                     applied_changes(before, latest, spec.keys, spec.tie_break),
                     spec.changes_to, f"{mode}-{number}",
                 )
+            if before is not None and spec.after:
+                spec.after(latest)
         finally:
             latest.unpersist()
         expire(batch.sparkSession, target, spec.kept_versions)
@@ -90,11 +97,18 @@ def applied_changes(
 
 
 def append_new(latest: DataFrame, path: str, keys: Sequence[str], run_id: str) -> None:
-    """Insert-only merge into an append-only table: only rows with new keys are written."""
+    """Insert-only merge into an append-only table: only rows with new keys are written.
+
+    A run that is repeated replaces what it wrote before, which therefore does not count
+    as being there.
+    """
     spark = latest.sparkSession
     rows = latest
     if changelog.has_commits(spark, path):
-        rows = rows_to_insert(changelog.read_log(spark, path), latest, keys)
+        there, own = changelog.read_log(spark, path), changelog.noted_number(spark, path, run_id)
+        if own is not None:
+            there = there.filter(F.col(changelog.VERSION) != own)
+        rows = rows_to_insert(there, latest, keys)
     changelog.append_commit(rows, path, run_id)
 
 
@@ -115,7 +129,7 @@ def merge_history(
     try:
         merge_bucketed(
             changed, target, [key], buckets,
-            lambda before, batch, _: apply_history(before, batch, key, tracked),
+            lambda before, batch, _: apply_history(before, batch, key, tracked), WAIT,
         )
         expire(spark, target, kept_versions)
     finally:
@@ -135,21 +149,75 @@ def enrich_stream(
     mode: str = "batch",
     buckets: int = 16,
     kept_versions: int = KEPT_VERSIONS,
+    pending: str | None = None,
 ) -> StreamingQuery:
     """Left-join a stream of changed rows with a dimension table and upsert the result.
 
     ``dimension`` is called for every micro-batch, so a long-running job sees the
-    newest version of the dimension table.
+    newest version of the dimension table.  Rows without a dimension row are also kept in
+    the table ``pending``, for :func:`enrich_pending`.
     """
 
     def prepare(batch: DataFrame) -> DataFrame:
         rows = batch.drop("_change_type")
         return left_enrich(rows, dimension(), key, dimension_key, add, missing_flag)
 
-    spec = UpsertSpec(prepare=prepare, keys=keys, buckets=buckets, kept_versions=kept_versions)
+    def note_pending(latest: DataFrame) -> None:
+        waiting = latest.filter(F.col(missing_flag))
+
+        def change(noted: DataFrame | None) -> DataFrame:
+            if noted is None:
+                return waiting
+            return noted.join(latest.select(*keys), list(keys), "left_anti").unionByName(waiting, allowMissingColumns=True)
+
+        replace_content(latest.sparkSession, pending, change, kept_versions, WAIT)
+
+    spec = UpsertSpec(
+        prepare=prepare, keys=keys, buckets=buckets, kept_versions=kept_versions,
+        after=note_pending if pending else None,
+    )
     return upsert_stream(changes, target, spec, checkpoint, mode)
 
 
+def enrich_pending(
+    spark: SparkSession,
+    pending: str,
+    dimension: Callable[[DataFrame], DataFrame],
+    key: str,
+    dimension_key: str,
+    add: Sequence[str],
+    missing_flag: str,
+    target: str,
+    keys: Sequence[str],
+    buckets: int = 16,
+    kept_versions: int = KEPT_VERSIONS,
+) -> None:
+    """Enrich the pending rows whose dimension row has arrived; the others stay pending.
+
+    Work follows the number of pending rows: of the target only the buckets of rows that
+    were found are rewritten, and ``dimension`` is asked for the rows of the pending keys, so
+    it need not read the rest.  A row that has changed since keeps its newer state.
+    """
+
+    def change(noted: DataFrame | None) -> DataFrame | None:
+        if noted is None or noted.isEmpty():
+            return None
+        asked = noted.select(F.col(key).alias(dimension_key)).distinct()
+        waiting = noted.drop(*add, missing_flag)
+        found = left_enrich(waiting, dimension(asked), key, dimension_key, add, missing_flag)
+        found = found.filter(~F.col(missing_flag)).select(*noted.columns).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if found.isEmpty():
+                return None
+            merge_bucketed(found, target, keys, buckets, upsert_newest, WAIT)
+            expire(spark, target, kept_versions)
+            return noted.join(found.select(*keys), list(keys), "left_anti")
+        finally:
+            found.unpersist()
+
+    replace_content(spark, pending, change, kept_versions, WAIT)
+
+
 def read_cleaned(spark: SparkSession, target: str) -> DataFrame:
     """Content of a table that :func:`upsert_stream` keeps, without commit columns."""
     return read_bucketed(spark, target).drop(*COMMIT_ORDER)
