@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import medstrata
 from medstrata.session import work_dir
+from medstrata.sources import folders
 
 #: A word, for every operator that counts words: no white space of ASCII inside.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,7 +51,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: read twice, computed once, lineage cut."""
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove tables of :func:`written` that nothing reads any more, and shuffle files of finished steps.
+
+    Spark removes the latter once the driver's garbage is collected, which it otherwise
+    does when memory is short, not when disks are.
+    """
+    for table in tables:
+        folders.remove(spark, table.written_to)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

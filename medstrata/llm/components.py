@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from medstrata.llm.common import written
+from medstrata.llm.common import forget, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,7 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     edges, seen = _step(edges)
     while True:
-        edges, now = _step(_small_star(_large_star(edges)))
+        before, (edges, now) = edges, _step(_small_star(_large_star(edges)))
+        forget(links.sparkSession, before)
         if now == seen:
             break
         seen = now

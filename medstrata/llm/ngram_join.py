@@ -8,11 +8,16 @@ the contents of every part of every partition (for small k, of larger subsets of
 of a single one); sufficiently similar sets share one.
 
 Documents that share a signature are candidates; links are measured on the whole sets.
-Only components are wanted, so no pair leaves the task that measures it.
+Only components are wanted. So every candidate is first measured against one hub, the set
+it shares most signatures with among those that meet most others: near copies of one text
+are linked by that, for a row each. What is left are groups of candidates that belong to
+different components still; only they are measured in full, in blocks, and no pair leaves
+the task that measures it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -21,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from medstrata.llm.common import column, flat, fresh, mixed, pieces, span_hashes, text_bytes, word_spans, written
+from medstrata.llm.common import column, flat, forget, fresh, mixed, pieces, span_hashes, text_bytes, word_spans, written
 from medstrata.llm.components import components
 
 WIDTH, THRESHOLD = 5, (80, 100)
@@ -29,7 +34,7 @@ AT_ONCE = 1 << 20  #: bytes of text whose shingles are held together
 GROUP_BYTES = 2 << 20  #: bytes of text for one group of signatures
 BLOCK_ROWS = 1024  #: sets of a group that are measured against as many others at a time
 COLUMNS = 4096  #: shingles of a block that are looked at together
-FILTER_NODES = 4_000_000  #: candidates that are sent to executors as a filter, at most; beyond, a join
+HUB_ROWS = 4096  #: candidates of one hub that are measured by the same task
 
 
 # ------------------------------------------------------------------ sets of shingles
@@ -225,35 +230,78 @@ def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -
     return sent.repartition(groups, "signature").mapInArrow(meet, "bucket long, node long").distinct()
 
 
-def _whole_sets(docs: DataFrame, width: int, nodes: DataFrame) -> DataFrame:
-    """``node, shingles`` of the nodes asked for, each once."""
-    spark, few = docs.sparkSession, None
-    if nodes.count() <= FILTER_NODES:
-        few = spark.sparkContext.broadcast(np.sort(np.fromiter((r[0] for r in nodes.toLocalIterator()), np.int64)))
+def _texts_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``keys`` (``key`` and other columns) with the text of each key; copies leave a task once."""
+    once = Window.partitionBy("key").orderBy(F.lit(1))
+    texts = rows.select("key", "text").withColumn("place", F.row_number().over(once)).filter("place = 1").drop("place")
+    return texts.join(keys, "key")
+
+
+def _short(shingles: np.ndarray) -> np.ndarray:
+    """Four bytes of each shingle's hash, sorted."""
+    return np.unique(shingles.astype(np.uint32))
 
-    def build(kept, texts):
-        out = [(n, s.view(np.int64)) for s in shingle_sets(texts, width) if (n := set_hash(s)) and (few is None or _among(n, few.value))]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([n for n, _ in out], pa.int64()), pa.array([s for _, s in out], pa.list_(pa.int64()))], names=["node", "shingles"]
-        )
 
-    sets = _sets(docs, build, "node long, shingles array<long>")
-    sets = sets if few is not None else sets.join(nodes, "node", "left_semi")
-    once = Window.partitionBy("node").orderBy(F.lit(1))  # copies: one row a task before the exchange
-    return sets.withColumn("place", F.row_number().over(once)).filter("place = 1").drop("place")
+def _surely_linked(size: int, short: np.ndarray, other_size: int, other: np.ndarray, share: int, whole: int) -> bool:
+    """Whether two sets link even if some of their short hashes agree by chance.
+
+    So many chance agreements are as unlikely as two long hashes that are the same.
+    """
+    common = int((other[np.minimum(np.searchsorted(other, short), len(other) - 1)] == short).sum())
+    common -= 2 + math.ceil(16 * size * other_size / 2**32)
+    return common > 0 and common * whole >= share * (size + other_size - common)
 
 
-def _among(node: int, nodes: np.ndarray) -> bool:
-    at = int(np.searchsorted(nodes, node))
-    return at < len(nodes) and int(nodes[at]) == node
+def _links_to_hubs(rows: DataFrame, seats: DataFrame, width: int, share: int, whole: int) -> DataFrame:
+    """``a, b``: hubs and those of their candidates that surely link with them.
 
+    ``seats``: ``key, hub, node``, a row for each candidate and one for each hub itself. Rows
+    of a hub are dealt over tasks by the node's hash; each of them gets the hub's set.
+    """
+    sizes = seats.groupBy("hub").agg(F.ceil(F.count("*") / HUB_ROWS).cast("int").alias("turns"))
+    dealt = seats.join(sizes, "hub").withColumn("leads", F.col("hub") == F.col("node"))
+    turn = F.when(F.col("leads"), F.sequence(F.lit(0), F.col("turns") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("turns")).cast("int")))
+    dealt = dealt.select("key", "hub", "node", "leads", F.explode(turn).alias("turn"))
+    kept = ("hub", "turn", "leads", "node")
+
+    def build(columns, texts):
+        sets = shingle_sets(texts, width)
+        made = [pa.array([len(s) for s in sets], pa.int32()), pa.array([_short(s).tobytes() for s in sets], pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, *made], names=[*kept, "size", "short"])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = size = hub = None
+        for batch in batches:
+            found = []
+            for *place, leads, node, n, short in zip(*(batch.column(c).to_pylist() for c in ("hub", "turn", "leads", "node", "size", "short"))):
+                short = np.frombuffer(short, np.uint32)
+                if leads:
+                    key, size, hub = place, n, short
+                elif place == key and _surely_linked(n, short, size, hub, share, whole):
+                    found.append((node, place[0]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-def _seated(members: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
-    """``hub, low, high, node``: groups cut into blocks, and every two blocks of a group brought together."""
-    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / rows).cast("int").alias("blocks"))
-    placed = members.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return met.select("hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node")
+    sets = _sets(_texts_of(rows, dealt), build, "hub long, turn int, leads boolean, node long, size int, short binary", *kept)
+    return sets.repartition("hub", "turn").sortWithinPartitions("hub", "turn", F.desc("leads")).mapInArrow(measure, "a long, b long")
+
+
+def _seated(members: DataFrame) -> DataFrame:
+    """``hub, low, high, node``: groups cut into blocks, and two blocks of a group brought together.
+
+    ``members``: ``hub, node, label``. Large components of a group have blocks of their own,
+    small ones share some, and blocks of one component only are not brought together.
+    """
+    rows = BLOCK_ROWS
+    sizes = members.groupBy("hub", "label").agg(F.count("*").alias("n")).withColumn("own", F.col("n") * 4 >= rows)
+    small = sizes.groupBy("hub").agg(F.ceil(F.coalesce(F.sum(F.when(~F.col("own"), F.col("n"))), F.lit(0)) / rows).cast("int").alias("shared"))
+    dealt = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / rows).cast("int"))
+    block = F.when(F.col("own"), F.xxhash64("label", dealt)).otherwise(F.xxhash64(F.pmod(F.xxhash64("label"), F.col("shared"))))
+    placed = members.join(sizes, ["hub", "label"]).join(small, "hub").select("hub", "node", block.alias("block"), F.when(F.col("own"), F.col("label")).alias("only"))
+    blocks = placed.groupBy("hub", "block").agg(F.first("only").alias("only"))
+    low, high = (blocks.select("hub", F.col("block").alias(side), F.col("only").alias(f"{side}_only")) for side in ("low", "high"))
+    met = low.join(high, "hub").filter((F.col("low") <= F.col("high")) & (F.col("low_only").isNull() | F.col("high_only").isNull() | (F.col("low_only") != F.col("high_only"))))
+    seats = met.select("hub", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    return placed.select("hub", "node", "block").join(seats, ["hub", "block"]).select("hub", "low", "high", "node")
 
 
 def similar_groups(sets: list[np.ndarray], share: int, whole: int) -> np.ndarray:
@@ -287,8 +335,16 @@ def similar_groups(sets: list[np.ndarray], share: int, whole: int) -> np.ndarray
         label = least
 
 
-def _links(seated: DataFrame, share: int, whole: int) -> DataFrame:
-    """``a, b``: connections within every two blocks, one for each set that is linked."""
+def _links(rows: DataFrame, seated: DataFrame, width: int, share: int, whole: int) -> DataFrame:
+    """``a, b``: connections within every two blocks, one for each set that is linked.
+
+    ``seated``: ``key, hub, low, high, node``.
+    """
+    kept = ("hub", "low", "high", "node")
+
+    def build(columns, texts):
+        sets = [s.view(np.int64) for s in shingle_sets(texts, width)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.list_(pa.int64()))], names=[*kept, "shingles"])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, sets = None, [], []
@@ -300,39 +356,61 @@ def _links(seated: DataFrame, share: int, whole: int) -> DataFrame:
 
         for batch in batches:
             shingles = batch.column("shingles")
-            for i, (*place, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hub", "low", "high", "node")))):
+            for i, (*place, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in kept))):
                 if place != key:
                     if len(nodes) > 1:
                         yield done()
                     key, nodes, sets = place, [], []
-                if node not in nodes[-1:]:  # a node that two of its rows bring here
-                    nodes.append(node)
-                    sets.append(shingles[i].values.to_numpy())
+                nodes.append(node)
+                sets.append(shingles[i].values.to_numpy())
         if len(nodes) > 1:
             yield done()
 
-    return seated.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(measure, "a long, b long")
+    sets = _sets(_texts_of(rows, seated), build, "hub long, low long, high long, node long, shingles array<long>", *kept)
+    return sets.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(measure, "a long, b long")
 
 
-def linked_sets(docs: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
+def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
     """``node, label``: sets that have a link, and the smallest set name in their component.
 
+    ``rows``: ``key, text``, a key for each different text; ``named``: ``key, node``.
     A bucket's hub is the one of its sets that meets most others, in a group of copies
     the text they were made from. All sets of buckets with the same hub form a group, so
-    each pair of candidates is in one, and groups are as many rows as candidates. Within
-    a group all pairs are measured, in blocks of bounded size, without a row for a pair:
-    a block gives at most one connection for each of its sets.
+    each pair of candidates is in one, and groups are as many rows as candidates. Groups
+    that the first links leave in one component need no more; in the others all pairs from
+    different components are measured, in blocks of bounded size, without a row for a
+    pair: a block gives at most one connection for each of its sets.
     """
     share, whole = threshold
-    groups = max(1, -(-text_bytes(docs) * 5 * (whole - share) // (whole * GROUP_BYTES)))
-    buckets = written(_buckets(docs, width, share, whole, groups), "join-buckets")
+    spark = rows.sparkSession
+    groups = max(1, -(-text_bytes(rows) * 5 * (whole - share) // (whole * GROUP_BYTES)))
+    buckets = written(_buckets(rows, width, share, whole, groups), "join-buckets")
+    forget(spark)
     meets = buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("meets"))
     rank = F.struct("meets", "node")
     hubs = buckets.join(meets, "node").groupBy("bucket").agg(F.max(rank)["node"].alias("hub"))
-    members = written(buckets.join(hubs, "bucket").select("hub", "node").distinct(), "join-members")
-    sets = _whole_sets(docs, width, members.select("node").distinct())
-    links = written(_links(_seated(members).join(sets, "node"), share, whole), "join-links")
-    return components(links)
+    members = written(buckets.join(hubs, "bucket").groupBy("hub", "node").agg(F.count("*").alias("shared")), "join-members")
+    forget(spark, buckets)
+
+    keys = named.groupBy("node").agg(F.min("key").alias("key"))
+    nearest = members.filter("hub <> node").groupBy("node").agg(F.max(F.struct("shared", "hub"))["hub"].alias("hub"))
+    seats = nearest.unionByName(nearest.select("hub").distinct().withColumn("node", F.col("hub")))
+    seats = written(seats.join(keys, "node"), "join-seats")
+    first = written(_links_to_hubs(rows, seats, width, share, whole), "join-links")
+    forget(spark, seats)
+    labels = components(first)
+    placed = members.join(labels, "node", "left").select("hub", "node", F.coalesce("label", "node").alias("label"))
+    undecided = placed.groupBy("hub").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("hub")
+    placed = written(placed.join(undecided, "hub", "left_semi"), "join-undecided")
+    forget(spark, members)
+    links = written(_links(rows, _seated(placed).join(keys, "node"), width, share, whole), "join-links")
+    forget(spark, placed)
+    return components(first.unionByName(links))
+
+
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    rows = docs.select(column(doc_id).cast("long").alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text"))
+    return rows.withColumn("key", F.xxhash64("text"))
 
 
 def join(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -346,9 +424,9 @@ def join(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int, int] = TH
     empty table gives an empty one. Memory of a task: one group's signatures, of which
     there are about as many for any size of input.
     """
-    rows = docs.select(column(doc_id).cast("long").alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text"))
-    named = written(_named(rows, width, "doc_id"), "join-named")
-    labels = linked_sets(rows.select("text"), width, threshold)
+    rows = _keyed(docs, doc_id, text)
+    named = written(_named(rows, width, "doc_id", "key"), "join-named")
+    labels = linked_sets(rows.select("key", "text"), named.filter("node <> 0").select("key", "node"), width, threshold)
     nodes = named.filter("node <> 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     reached = labelled.groupBy("label").agg(F.min("least").alias("component"))
@@ -363,17 +441,18 @@ def without_copies(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int,
 
     Rows are decided each, so an id that repeats with different texts loses only those texts
     that another row stands for. Of rows with the same id and text one stays, by the hash of
-    the other columns. Rows without an id stand for each other only: one of a group stays,
-    besides the one with an id. Documents without words are like no other and all stay.
+    the other columns. A row without an id stays only if no row of its group has one.
+    Documents without words are like no other and all stay.
     """
     number, key, stays, own, hashed, turn = fresh(docs, "its_id", "its_key", "stays", "own_id", "own_key", "turn")
-    rows = docs.select(column(doc_id).cast("long").alias("doc_id"), F.coalesce(column(text), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    rows = _keyed(docs, doc_id, text)
     named = written(_named(rows, width, "doc_id", "key"), "join-named").filter("node <> 0")
+    labels = linked_sets(rows.select("key", "text"), named.select("key", "node"), width, threshold)
     named = named.groupBy("doc_id", "key", "node").agg(F.count("*").alias("n"))
-    labels = linked_sets(rows.select("text"), width, threshold)
-    labelled = named.join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), F.col("doc_id").isNull().alias("bare"), F.struct("doc_id", "key").alias("row"), "n")
-    least = labelled.groupBy("label", "bare").agg(F.min("row").alias("least"))
-    judged = labelled.join(least, ["label", "bare"]).withColumn("stays", F.col("row").eqNullSafe(F.col("least"))).filter("not stays or n > 1")
+    row = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "key")
+    labelled = named.join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), row.alias("row"), "n")
+    least = labelled.groupBy("label").agg(F.min("row").alias("least"))
+    judged = labelled.join(least, "label").withColumn("stays", F.col("row").eqNullSafe(F.col("least"))).filter("not stays or n > 1")
     judged = written(judged.select(F.col("row.doc_id").alias(number), F.col("row.key").alias(key), F.col("stays").alias(stays)), "join-gone")
 
     # Only rows that repeat as a whole are brought together to choose one; other texts stay where they are.
