@@ -7,12 +7,13 @@ one differing element, so of its two parts one is the same. The signatures of a
 the contents of every part of every partition (for small k, of larger subsets of the parts
 of a single one); sufficiently similar sets share one.
 
-Documents that share a signature are candidates; links are measured on the whole sets.
-Only components are wanted. So every candidate is first measured against one hub, the set
-it shares most signatures with among those that meet most others: near copies of one text
-are linked by that, for a row each. What is left are groups of candidates that belong to
-different components still; only they are measured in full, in blocks, and no pair leaves
-the task that measures it.
+Documents that share a signature are candidates. k differing elements change at most k
+parts, so sets that link have a known number of equal parts: candidates are sieved by a
+byte for each of their parts, a small share of the set's size. Links are measured on the
+whole sets of what is left. Only components are wanted, so every set is first measured
+against one hub of its group: near copies of one text are linked by that, for a row each.
+Groups that are still in more than one component are measured in full, in blocks, and no
+pair leaves the task that measures it.
 """
 
 from __future__ import annotations
@@ -121,6 +122,24 @@ class Bands:
         return Band(number, most, first + spare, 2, 1, spare)
 
 
+def contents(shingles: np.ndarray, band: Band) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of what is in each part of each partition, and how many elements that are."""
+    cells = band.first * band.parts
+    spread = mixed(shingles)
+    cell = (mixed(spread + np.uint64(band.number)) % np.uint64(cells)).astype(np.int64)
+    count = np.bincount(cell, minlength=cells).reshape(band.first, band.parts)
+    halves = [
+        np.bincount(cell, weights=half.astype(np.float64), minlength=cells).astype(np.uint64)
+        for half in (spread & np.uint64(0xFFFFFFFF), spread >> np.uint64(32))
+    ]
+    return mixed(halves[0] + mixed(halves[1])).reshape(band.first, band.parts), count
+
+
+def marks(shingles: np.ndarray, band: Band) -> bytes:
+    """A byte for each part: where two sets of the band differ in a byte, they differ in that part."""
+    return (contents(shingles, band)[0].ravel() >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     """The signatures of one set, in its own band and in the next.
 
@@ -129,18 +148,10 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     is not, and leaves the empty ones out.
     """
     out = []
-    spread = mixed(shingles)
     for band in bands.two(len(shingles)):
-        cells = band.first * band.parts
-        if cells == 1:
+        if band.first * band.parts == 1:
             continue  # only equal sets are similar enough
-        cell = (mixed(spread + np.uint64(band.number)) % np.uint64(cells)).astype(np.int64)
-        count = np.bincount(cell, minlength=cells).reshape(band.first, band.parts)
-        halves = [
-            np.bincount(cell, weights=half.astype(np.float64), minlength=cells).astype(np.uint64)
-            for half in (spread & np.uint64(0xFFFFFFFF), spread >> np.uint64(32))
-        ]
-        content = mixed(halves[0] + mixed(halves[1])).reshape(band.first, band.parts)
+        content, count = contents(shingles, band)
         chosen = np.array(list(combinations(range(band.parts), band.parts - band.apart)))
         seats = mixed(np.arange(band.first * len(chosen), dtype=np.uint64).reshape(band.first, len(chosen)) + np.uint64(band.number << 40))
         found = np.zeros_like(seats)
@@ -170,15 +181,22 @@ def _sets(docs: DataFrame, build, schema: str, *keep: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _named(docs: DataFrame, width: int, *keep: str) -> DataFrame:
-    """``keep`` (longs), then ``n_shingles, node``; node names the set."""
+_NAMED = "n_shingles long, node long, band int, own binary, next binary"
+
+
+def _named(docs: DataFrame, width: int, threshold: tuple[int, int], *keep: str) -> DataFrame:
+    """``keep`` (longs), then size and name of each set, the number of its band, and its marks there and in the next."""
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
 
     def build(kept, texts):
-        sets = shingle_sets(texts, width)
-        counts = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.int64())]
-        return pa.RecordBatch.from_arrays([*kept, *counts], names=[*keep, "n_shingles", "node"])
+        bands, made = Bands(*threshold), []
+        for shingles in shingle_sets(texts, width):
+            own, following = bands.two(len(shingles))
+            made.append((len(shingles), set_hash(shingles), own.number, marks(shingles, own), marks(shingles, following)))
+        columns = [pa.array([m[i] for m in made], t) for i, t in enumerate(types)]
+        return pa.RecordBatch.from_arrays([*kept, *columns], names=[*keep, *(c.split()[0] for c in _NAMED.split(", "))])
 
-    return _sets(docs, build, ", ".join(f"{c} long" for c in (*keep, "n_shingles", "node")), *keep)
+    return _sets(docs, build, ", ".join([*(f"{c} long" for c in keep), _NAMED]), *keep)
 
 
 def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -> DataFrame:
@@ -230,6 +248,72 @@ def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -
     return sent.repartition(groups, "signature").mapInArrow(meet, "bucket long, node long").distinct()
 
 
+def sieved(sizes: np.ndarray, bands: list[int], own: list[bytes], following: list[bytes], share: int, whole: int) -> np.ndarray:
+    """For each set the first one it is connected with over pairs that may link, by their marks.
+
+    Two sets are looked at in the band of the larger one, where the smaller has marks too.
+    """
+    count, label = len(sizes), np.arange(len(sizes))
+    linked = np.eye(count, dtype=bool)
+    number = np.array(bands)
+    for band in np.unique(number):
+        here = np.flatnonzero(number == band)
+        below = np.flatnonzero(number == band - 1)
+        both = np.concatenate([here, below])
+        table = np.frombuffer(b"".join([own[i] for i in here] + [following[i] for i in below]), np.uint8).reshape(len(both), -1)
+        equal = np.zeros((len(here), len(both)), np.int32)
+        for i in range(0, table.shape[1], 255):
+            part = np.zeros(equal.shape, np.uint8)
+            for column_ in np.ascontiguousarray(table[:, i : i + 255].T):
+                part += column_[: len(here), None] == column_
+            equal += part
+        a, b = sizes[here][:, None], sizes[both]
+        differ = (a + b) * (whole - share) // (whole + share)
+        may = (equal >= table.shape[1] - differ) & (np.minimum(a, b) * whole >= share * np.maximum(a, b))
+        linked[here[:, None], both] |= may
+        linked[both[:, None], here] |= may.T
+    return _first_reached(linked)
+
+
+def _first_reached(linked: np.ndarray) -> np.ndarray:
+    label = np.arange(len(linked))
+    while True:
+        least = np.where(linked, label, len(linked)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _may_link(seated: DataFrame, share: int, whole: int) -> DataFrame:
+    """``a, b``: connections over pairs that the sieve lets pass, within every two blocks.
+
+    ``seated``: ``hub, low, high, node``, and of the node ``n_shingles, band, own, next``.
+    """
+    names = ("hub", "low", "high", "node", "n_shingles", "band", "own", "next")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def done() -> pa.RecordBatch:
+            nodes, sizes, *rest = (list(x) for x in zip(*held))
+            label = sieved(np.array(sizes), *rest, share, whole)
+            own, first = np.array(nodes), np.array(nodes)[label]
+            return pa.RecordBatch.from_arrays([pa.array(own[own != first]), pa.array(first[own != first])], names=["a", "b"])
+
+        for batch in batches:
+            for *place, node, size, band, own, following in zip(*(batch.column(c).to_pylist() for c in names)):
+                if place != key:
+                    if len(held) > 1:
+                        yield done()
+                    key, held = place, []
+                held.append((node, size, band, own, following))
+        if len(held) > 1:
+            yield done()
+
+    return seated.select(*names).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(measure, "a long, b long")
+
+
 def _texts_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """``keys`` (``key`` and other columns) with the text of each key; copies leave a task once."""
     once = Window.partitionBy("key").orderBy(F.lit(1))
@@ -326,13 +410,7 @@ def similar_groups(sets: list[np.ndarray], share: int, whole: int) -> np.ndarray
     both = common.astype(np.int64)
     linked = both * whole >= share * (sizes[:, None] + sizes - both)
     np.fill_diagonal(linked, True)
-    label = np.arange(len(sets))
-    while True:
-        least = np.where(linked, label, len(sets)).min(axis=1)
-        least = least[least]
-        if (least == label).all():
-            return label
-        label = least
+    return _first_reached(linked)
 
 
 def _links(rows: DataFrame, seated: DataFrame, width: int, share: int, whole: int) -> DataFrame:
@@ -373,13 +451,14 @@ def _links(rows: DataFrame, seated: DataFrame, width: int, share: int, whole: in
 def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
     """``node, label``: sets that have a link, and the smallest set name in their component.
 
-    ``rows``: ``key, text``, a key for each different text; ``named``: ``key, node``.
-    A bucket's hub is the one of its sets that meets most others, in a group of copies
-    the text they were made from. All sets of buckets with the same hub form a group, so
-    each pair of candidates is in one, and groups are as many rows as candidates. Groups
-    that the first links leave in one component need no more; in the others all pairs from
-    different components are measured, in blocks of bounded size, without a row for a
-    pair: a block gives at most one connection for each of its sets.
+    ``rows``: ``key, text``, a key for each different text; ``named``: what :func:`_named`
+    gives for them. A bucket's hub is the one of its sets that meets most others, in a group
+    of copies the text they were made from. All sets of buckets with the same hub form a
+    group, so each pair of candidates is in one, and groups are as many rows as candidates.
+    Their marks are compared in blocks of bounded size, without a row for a pair: a block
+    gives at most one connection for each of its sets. What is connected so is a group from
+    here on, and a set is in one only. Groups that links to their hub leave in one component
+    need no more; in the others pairs from different components are measured, in blocks again.
     """
     share, whole = threshold
     spark = rows.sparkSession
@@ -387,24 +466,32 @@ def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[
     buckets = written(_buckets(rows, width, share, whole, groups), "join-buckets")
     forget(spark)
     meets = buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("meets"))
+    meets = written(meets, "join-meets")
     rank = F.struct("meets", "node")
     hubs = buckets.join(meets, "node").groupBy("bucket").agg(F.max(rank)["node"].alias("hub"))
-    members = written(buckets.join(hubs, "bucket").groupBy("hub", "node").agg(F.count("*").alias("shared")), "join-members")
+    members = written(buckets.join(hubs, "bucket").select("hub", "node").distinct(), "join-members")
     forget(spark, buckets)
 
-    keys = named.groupBy("node").agg(F.min("key").alias("key"))
-    nearest = members.filter("hub <> node").groupBy("node").agg(F.max(F.struct("shared", "hub"))["hub"].alias("hub"))
-    seats = nearest.unionByName(nearest.select("hub").distinct().withColumn("node", F.col("hub")))
-    seats = written(seats.join(keys, "node"), "join-seats")
-    first = written(_links_to_hubs(rows, seats, width, share, whole), "join-links")
-    forget(spark, seats)
-    labels = components(first)
-    placed = members.join(labels, "node", "left").select("hub", "node", F.coalesce("label", "node").alias("label"))
+    each = F.first(F.struct("n_shingles", "band", "own", "next"))
+    described = written(named.join(meets, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"), each.alias("set")), "join-described")
+    forget(spark)
+    seated = _seated(members.withColumn("label", F.col("node"))).join(described.select("node", "set.*"), "node")
+    passed = written(_may_link(seated, share, whole), "join-passed")
+    forget(spark, members)
+    groups_ = written(components(passed).select("node", F.col("label").alias("group")), "join-groups")
+    forget(spark, passed)
+
+    hubs = groups_.join(meets, "node").groupBy("group").agg(F.max(rank)["node"].alias("hub"))
+    members = written(groups_.join(hubs, "group").select("hub", "node").join(described.select("node", "key"), "node"), "join-members")
+    forget(spark, groups_, meets, described)
+    first = written(_links_to_hubs(rows, members, width, share, whole), "join-links")
+    forget(spark)
+    placed = members.join(components(first), "node", "left").withColumn("label", F.coalesce("label", "node"))
     undecided = placed.groupBy("hub").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("hub")
     placed = written(placed.join(undecided, "hub", "left_semi"), "join-undecided")
-    forget(spark, members)
-    links = written(_links(rows, _seated(placed).join(keys, "node"), width, share, whole), "join-links")
-    forget(spark, placed)
+    seated = _seated(placed.drop("key")).join(placed.select("node", "key"), "node")
+    links = written(_links(rows, seated, width, share, whole), "join-links")
+    forget(spark, members, placed)
     return components(first.unionByName(links))
 
 
@@ -425,8 +512,8 @@ def join(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int, int] = TH
     there are about as many for any size of input.
     """
     rows = _keyed(docs, doc_id, text)
-    named = written(_named(rows, width, "doc_id", "key"), "join-named")
-    labels = linked_sets(rows.select("key", "text"), named.filter("node <> 0").select("key", "node"), width, threshold)
+    named = written(_named(rows, width, threshold, "doc_id", "key"), "join-named")
+    labels = linked_sets(rows.select("key", "text"), named.drop("doc_id").filter("node <> 0"), width, threshold)
     nodes = named.filter("node <> 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     reached = labelled.groupBy("label").agg(F.min("least").alias("component"))
@@ -446,8 +533,8 @@ def without_copies(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int,
     """
     number, key, stays, own, hashed, turn = fresh(docs, "its_id", "its_key", "stays", "own_id", "own_key", "turn")
     rows = _keyed(docs, doc_id, text)
-    named = written(_named(rows, width, "doc_id", "key"), "join-named").filter("node <> 0")
-    labels = linked_sets(rows.select("key", "text"), named.select("key", "node"), width, threshold)
+    named = written(_named(rows, width, threshold, "doc_id", "key"), "join-named").filter("node <> 0")
+    labels = linked_sets(rows.select("key", "text"), named.drop("doc_id"), width, threshold)
     named = named.groupBy("doc_id", "key", "node").agg(F.count("*").alias("n"))
     row = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "key")
     labelled = named.join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), row.alias("row"), "n")
