@@ -7,10 +7,9 @@ one differing element, so of its two parts one is the same. The signatures of a
 the contents of every part of every partition (for small k, of larger subsets of the parts
 of a single one); sufficiently similar sets share one.
 
-Documents that share a signature are candidates. k differing elements change at most k
-parts, so sets that link have a known number of equal parts: candidates are sieved by a
-byte for each of their parts, a small share of the set's size. Links are measured on the
-whole sets of what is left. Only components are wanted, so every set is first measured
+Documents that share a signature are candidates. Candidates are sieved by sketches, two bits
+for each element: k differing elements change at most k bits, so no link is lost. Links are
+measured on the whole sets of what is left. Only components are wanted, so every set is first measured
 against one hub of its group: near copies of one text are linked by that, for a row each.
 Groups that are still in more than one component are measured in full, in blocks, and no
 pair leaves the task that measures it.
@@ -33,8 +32,9 @@ from medstrata.llm.components import components
 WIDTH, THRESHOLD = 5, (80, 100)
 AT_ONCE = 1 << 20  #: bytes of text whose shingles are held together
 GROUP_BYTES = 2 << 20  #: bytes of text for one group of signatures
-BLOCK_ROWS = 1024  #: sets of a group that are measured against as many others at a time
+BLOCK_ROWS = 512  #: sets of a group that are measured against as many others at a time
 COLUMNS = 4096  #: shingles of a block that are looked at together
+SMALL_GROUP = 8  #: candidates; pairs of larger groups are not told one by one
 HUB_ROWS = 4096  #: candidates of one hub that are measured by the same task
 
 
@@ -135,9 +135,15 @@ def contents(shingles: np.ndarray, band: Band) -> tuple[np.ndarray, np.ndarray]:
     return mixed(halves[0] + mixed(halves[1])).reshape(band.first, band.parts), count
 
 
-def marks(shingles: np.ndarray, band: Band) -> bytes:
-    """A byte for each part: where two sets of the band differ in a byte, they differ in that part."""
-    return (contents(shingles, band)[0].ravel() >> np.uint64(56)).astype(np.uint8).tobytes()
+def sketch(shingles: np.ndarray, band: Band) -> bytes:
+    """A bit for each of about ``2 * most`` cells: whether the number of elements in it is odd.
+
+    An element that only one of two sets has changes one bit, so sets of the band differ in
+    as many bits as elements at most.
+    """
+    cells = 64 * -(-2 * max(band.most, 1) // 64)
+    cell = (mixed(shingles + np.uint64((2 * band.number + 1) * 0x632BE59BD9B4E019 % 2**64)) % np.uint64(cells)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=cells) & 1).astype(np.uint8)).tobytes()
 
 
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
@@ -185,14 +191,14 @@ _NAMED = "n_shingles long, node long, band int, own binary, next binary"
 
 
 def _named(docs: DataFrame, width: int, threshold: tuple[int, int], *keep: str) -> DataFrame:
-    """``keep`` (longs), then size and name of each set, the number of its band, and its marks there and in the next."""
+    """``keep`` (longs), then size and name of each set, the number of its band, and its sketches there and in the next."""
     types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
 
     def build(kept, texts):
         bands, made = Bands(*threshold), []
         for shingles in shingle_sets(texts, width):
             own, following = bands.two(len(shingles))
-            made.append((len(shingles), set_hash(shingles), own.number, marks(shingles, own), marks(shingles, following)))
+            made.append((len(shingles), set_hash(shingles), own.number, sketch(shingles, own), sketch(shingles, following)))
         columns = [pa.array([m[i] for m in made], t) for i, t in enumerate(types)]
         return pa.RecordBatch.from_arrays([*kept, *columns], names=[*keep, *(c.split()[0] for c in _NAMED.split(", "))])
 
@@ -248,37 +254,81 @@ def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -
     return sent.repartition(groups, "signature").mapInArrow(meet, "bucket long, node long").distinct()
 
 
-def sieved(sizes: np.ndarray, bands: list[int], own: list[bytes], following: list[bytes], share: int, whole: int) -> np.ndarray:
-    """For each set the first one it is connected with over pairs that may link, by their marks.
+class Candidates:
+    """Some sets with their sketches: which pairs may link.
 
-    Two sets are looked at in the band of the larger one, where the smaller has marks too.
+    Two sets are looked at in the band of the larger one, where the smaller has a sketch too.
     """
-    count, label = len(sizes), np.arange(len(sizes))
-    linked = np.eye(count, dtype=bool)
-    number = np.array(bands)
-    for band in np.unique(number):
-        here = np.flatnonzero(number == band)
-        below = np.flatnonzero(number == band - 1)
-        both = np.concatenate([here, below])
-        table = np.frombuffer(b"".join([own[i] for i in here] + [following[i] for i in below]), np.uint8).reshape(len(both), -1)
-        equal = np.zeros((len(here), len(both)), np.int32)
-        for i in range(0, table.shape[1], 255):
-            part = np.zeros(equal.shape, np.uint8)
-            for column_ in np.ascontiguousarray(table[:, i : i + 255].T):
-                part += column_[: len(here), None] == column_
-            equal += part
-        a, b = sizes[here][:, None], sizes[both]
-        differ = (a + b) * (whole - share) // (whole + share)
-        may = (equal >= table.shape[1] - differ) & (np.minimum(a, b) * whole >= share * np.maximum(a, b))
-        linked[here[:, None], both] |= may
-        linked[both[:, None], here] |= may.T
-    return _first_reached(linked)
+
+    def __init__(self, sizes: list[int], bands: list[int], own: list[bytes], following: list[bytes], share: int, whole: int):
+        self.sizes, self.bands = np.array(sizes, np.int64), np.array(bands)
+        self.share, self.whole = share, whole
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of each band: where a set's sketch is, and all of them
+        for band in np.unique(self.bands):
+            here, below = np.flatnonzero(self.bands == band), np.flatnonzero(self.bands == band - 1)
+            place = np.full(len(self.bands), -1)
+            place[np.concatenate([here, below])] = np.arange(len(here) + len(below))
+            table = np.frombuffer(b"".join([own[i] for i in here] + [following[i] for i in below]), np.uint64)
+            self.tables[int(band)] = place, table.reshape(len(here) + len(below), -1)
+
+    def _near(self, a: np.ndarray, b: np.ndarray, differ: np.ndarray) -> np.ndarray:
+        return (differ <= (a + b) * (self.whole - self.share) // (self.whole + self.share)) & (np.minimum(a, b) * self.whole >= self.share * np.maximum(a, b))
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """For each pair of places whether it may link."""
+        out = np.zeros(len(left), bool)
+        upper = np.maximum(self.bands[left], self.bands[right])
+        for band, (place, table) in self.tables.items():
+            here = np.flatnonzero((upper == band) & (place[left] >= 0) & (place[right] >= 0))
+            for i in range(0, len(here), AT_ONCE // (8 * table.shape[1]) + 1):
+                some = here[i : i + AT_ONCE // (8 * table.shape[1]) + 1]
+                a, b = left[some], right[some]
+                differ = np.bitwise_count(table[place[a]] ^ table[place[b]]).sum(axis=1, dtype=np.int64)
+                out[some] = self._near(self.sizes[a], self.sizes[b], differ)
+        return out
+
+    def connected(self, first: int, last: int) -> np.ndarray:
+        """For each set from ``first`` up to ``last`` the first of them that it is connected with."""
+        linked = np.eye(last - first, dtype=bool)
+        for band in np.unique(self.bands[first:last]):
+            place, table = self.tables[int(band)]
+            here = first + np.flatnonzero(self.bands[first:last] == band)
+            both = first + np.flatnonzero(place[first:last] >= 0)
+            for some in np.array_split(here, -(-len(here) // 64)):  # so that tables of numbers stay small
+                differ = np.zeros((len(some), len(both)), np.int32)
+                for word in table.T:
+                    differ += np.bitwise_count(word[place[some], None] ^ word[place[both]])
+                may = self._near(self.sizes[some][:, None], self.sizes[both], differ)
+                linked[np.ix_(some - first, both - first)] |= may
+                linked[np.ix_(both - first, some - first)] |= may.T
+        return _first_reached(linked)
+
+
+def sieved(groups: list[int], candidates: Candidates) -> tuple[np.ndarray, np.ndarray]:
+    """Connections, as places, between sets of groups of these sizes that may link: all pairs of a small group looked at, of a larger one a tree."""
+    sizes = np.array(groups)
+    starts = np.cumsum(sizes) - sizes
+    left, right = [], []
+    for size in range(2, SMALL_GROUP + 1):
+        first = starts[sizes == size]
+        a, b = np.triu_indices(size, 1)
+        left.append((first[:, None] + a).ravel())
+        right.append((first[:, None] + b).ravel())
+    left, right = np.concatenate(left), np.concatenate(right)
+    passed = candidates.pairs(left, right)
+    found = [(left[passed], right[passed])]
+    for start, size in zip(starts[sizes > SMALL_GROUP], sizes[sizes > SMALL_GROUP]):
+        label = candidates.connected(int(start), int(start + size))
+        own = np.flatnonzero(label != np.arange(size))
+        found.append((start + own, start + label[own]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _first_reached(linked: np.ndarray) -> np.ndarray:
-    label = np.arange(len(linked))
+    """For each row of a symmetric matrix the first row that it is connected with."""
+    label = np.arange(len(linked), dtype=np.int32)
     while True:
-        least = np.where(linked, label, len(linked)).min(axis=1)
+        least = np.where(linked, label, np.int32(len(linked))).min(axis=1)
         least = least[least]
         if (least == label).all():
             return label
@@ -293,22 +343,26 @@ def _may_link(seated: DataFrame, share: int, whole: int) -> DataFrame:
     names = ("hub", "low", "high", "node", "n_shingles", "band", "own", "next")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, groups, held, weight = None, [], [], 0
 
         def done() -> pa.RecordBatch:
-            nodes, sizes, *rest = (list(x) for x in zip(*held))
-            label = sieved(np.array(sizes), *rest, share, whole)
-            own, first = np.array(nodes), np.array(nodes)[label]
-            return pa.RecordBatch.from_arrays([pa.array(own[own != first]), pa.array(first[own != first])], names=["a", "b"])
+            node, *rest = (list(x) for x in zip(*held))
+            a, b = sieved(groups, Candidates(*rest, share, whole))
+            node = np.array(node)
+            return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             for *place, node, size, band, own, following in zip(*(batch.column(c).to_pylist() for c in names)):
                 if place != key:
-                    if len(held) > 1:
+                    if weight > AT_ONCE:
                         yield done()
-                    key, held = place, []
+                        groups, held, weight = [], [], 0
+                    key = place
+                    groups.append(0)
+                groups[-1] += 1
                 held.append((node, size, band, own, following))
-        if len(held) > 1:
+                weight += len(own) + len(following)
+        if held:
             yield done()
 
     return seated.select(*names).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(measure, "a long, b long")
@@ -369,6 +423,14 @@ def _links_to_hubs(rows: DataFrame, seats: DataFrame, width: int, share: int, wh
     return sets.repartition("hub", "turn").sortWithinPartitions("hub", "turn", F.desc("leads")).mapInArrow(measure, "a long, b long")
 
 
+def _paired(buckets: DataFrame) -> DataFrame:
+    """``hub, low, high, node``: buckets cut into blocks, and every two blocks of a bucket brought together."""
+    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    placed = buckets.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select(F.col("bucket").alias("hub"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node")
+
+
 def _seated(members: DataFrame) -> DataFrame:
     """``hub, low, high, node``: groups cut into blocks, and two blocks of a group brought together.
 
@@ -452,13 +514,11 @@ def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[
     """``node, label``: sets that have a link, and the smallest set name in their component.
 
     ``rows``: ``key, text``, a key for each different text; ``named``: what :func:`_named`
-    gives for them. A bucket's hub is the one of its sets that meets most others, in a group
-    of copies the text they were made from. All sets of buckets with the same hub form a
-    group, so each pair of candidates is in one, and groups are as many rows as candidates.
-    Their marks are compared in blocks of bounded size, without a row for a pair: a block
-    gives at most one connection for each of its sets. What is connected so is a group from
-    here on, and a set is in one only. Groups that links to their hub leave in one component
-    need no more; in the others pairs from different components are measured, in blocks again.
+    gives for them. The sketches of a bucket are compared in blocks of bounded size; a large
+    block gives at most one connection for each of its sets. What is connected so is a
+    group, and a set is in one only. Its hub is the set that meets most others, among copies
+    the text they were made from. Groups that links to their hub leave in one component need
+    no more; in the others pairs from different components are measured, in blocks again.
     """
     share, whole = threshold
     spark = rows.sparkSession
@@ -468,16 +528,12 @@ def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[
     meets = buckets.join(buckets.groupBy("bucket").agg(F.count("*").alias("n")), "bucket").groupBy("node").agg(F.sum("n").alias("meets"))
     meets = written(meets, "join-meets")
     rank = F.struct("meets", "node")
-    hubs = buckets.join(meets, "node").groupBy("bucket").agg(F.max(rank)["node"].alias("hub"))
-    members = written(buckets.join(hubs, "bucket").select("hub", "node").distinct(), "join-members")
-    forget(spark, buckets)
-
     each = F.first(F.struct("n_shingles", "band", "own", "next"))
     described = written(named.join(meets, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"), each.alias("set")), "join-described")
     forget(spark)
-    seated = _seated(members.withColumn("label", F.col("node"))).join(described.select("node", "set.*"), "node")
-    passed = written(_may_link(seated, share, whole), "join-passed")
-    forget(spark, members)
+    seated = _paired(buckets).join(described.select("node", "set.*"), "node")
+    passed = written(_may_link(seated, share, whole).distinct(), "join-passed")
+    forget(spark, buckets)
     groups_ = written(components(passed).select("node", F.col("label").alias("group")), "join-groups")
     forget(spark, passed)
 

@@ -130,3 +130,36 @@ def test_components(spark):
     found = {r["node"]: r["label"] for r in components(links).collect()}
     assert found == {x: top(x) for a, b in edges if a != b for x in (a, b)}
     assert components(links.limit(0)).count() == 0
+
+
+def test_the_sieve_lets_every_link_pass():
+    chance = np.random.default_rng(8)
+    for share, whole in ((90, 100), (80, 100), (1, 2)):
+        bands, sets = nj.Bands(share, whole), []
+        for size in (3, 8, 20, 60, 300, 301):
+            base = chance.choice(2**60, size, replace=False).astype(np.uint64)
+            for gone in (0, 1, 2, size // 20, size // 10, size // 5, size // 2):
+                sets.append(np.unique(np.append(base[gone:], chance.choice(2**60, gone // 2).astype(np.uint64))))
+        own = [bands.two(len(x)) for x in sets]
+        made = nj.Candidates([len(x) for x in sets], [b[0].number for b in own], [nj.sketch(x, b[0]) for x, b in zip(sets, own)],
+                             [nj.sketch(x, b[1]) for x, b in zip(sets, own)], share, whole)
+        left, right = np.triu_indices(len(sets), 1)
+        may = made.pairs(left, right)
+        linked = np.array([(both := np.intersect1d(sets[i], sets[j]).size) * whole >= share * (len(sets[i]) + len(sets[j]) - both) and both > 0 for i, j in zip(left, right)])
+        assert may[linked].all() and linked.sum() > 10 and may.sum() < 3 * linked.sum() + 30
+        label = made.connected(0, len(sets))
+        assert (label[left[may]] == label[right[may]]).all()
+        a, b = nj.sieved([len(sets)], made)
+        assert len(a) == len(sets) - len(set(label.tolist()))
+
+
+def test_work_on_near_copies_follows_their_number(spark, monkeypatch):
+    """Copies that link to their hub are sent to no block: a row for each, whatever the group's size."""
+    seated = []
+    real = nj._seated
+    monkeypatch.setattr(nj, "_seated", lambda members: seated.append(members.count()) or real(members))
+    base = prose(12, 150, 10_000)
+    words = base.split()
+    near = lambda i: " ".join([*words[: i % 150], f"new{i}", *words[i % 150 + 1 :]])
+    found = nj.join(documents(spark, [(i, near(i)) for i in range(1, 3000)] + [(0, base)])).collect()
+    assert {r["component_id"] for r in found} == {0} and seated == [0]
