@@ -6,8 +6,9 @@ stop words stay ambiguous; in the second pass they take the label of the nearest
 neighbour, first among the blocks of the same region of the page.
 
 Markup weighs, it does not decide alone: a page is limited to its articles if they hold most
-of its text, a class or form that holds most of the text marks nothing, and a class that
-has a marking word among others only settles blocks too short to decide themselves.
+of its text, and a class or form marks nothing on a page without other text. A class marks
+what it holds if it has a marking word and otherwise words for places and containers only;
+one with other words counts outside of articles, unless it holds most of the text.
 """
 
 from __future__ import annotations
@@ -66,6 +67,15 @@ _MARKS = frozenset(
 )
 #: ... and outside an article only.
 _LAYOUT_MARKS = frozenset("alert bottom copyright disclaimer footer header legal masthead overlay rail side tags top topbar".split())
+#: Words that say where or in what something stands, and leave it to the others what it is.
+_NEUTRAL = frozenset(
+    """
+    aligned area articles banner bar block blocks body bottom box boxes card cards center col column container content desktop entries
+    entry feed foot frame global group head holder inline inner item items js large layer layout left line link links list lists main
+    mobile module news outer page panel part post posts primary region right row secondary section sections single site slot small
+    sticky stories story strip tab tabs tertiary text title top unit view web wrap wrapper zone
+    """.split()
+)
 #: Of these an element that starts anew closes the open one, up to the element that holds them.
 _SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 
@@ -87,6 +97,7 @@ class Block:
     text: str
     linked: int  #: characters in links
     heading: bool
+    paragraph: bool  #: in a p element
     outside: bool  #: in an element that does not hold the article
     region: int  #: the article or main element it stands in, 0 for none
     leaning: bool = False  #: in an element with a marking word in its class
@@ -129,7 +140,7 @@ class _Page:
             top = self.stack[-1]
             linked = sum(len(" ".join(p.split())) for p, link in self.parts if link)
             heading = any(self.open.get(h) for h in _HEADINGS)
-            self.blocks.append(Block(text, linked, heading, False, top.region))
+            self.blocks.append(Block(text, linked, heading, bool(self.open.get("p")), False, top.region))
             self.marks.append(top.marks)
         self.parts = []
 
@@ -191,7 +202,7 @@ def _mark(name: str, rest: str, in_article: bool) -> str:
         return "firm"
     tokens = [[w.lower() for w in _MARK.findall(t)] for t in f"{values.get('class', '')} {values.get('id', '')}".split()]
     marking = _MARKS if in_article else _MARKS | _LAYOUT_MARKS
-    whole = [t for t in tokens if t and marking.issuperset(t)]
+    whole = [t for t in tokens if any(w in marking for w in t) and all(w in marking or w in _NEUTRAL for w in t)]
     if any(w in _COMMENTS for t in whole for w in t):
         return "comments"
     if name in _MAIN:
@@ -202,9 +213,10 @@ def _mark(name: str, rest: str, in_article: bool) -> str:
 
 
 def _weighed(blocks: list[Block], marks: list[tuple[tuple[int, str], ...]]) -> None:
-    """Blocks are outside by marks of elements that do not hold most of the page's text.
+    """Blocks are outside by marks, unless what bears the mark is all the text that the page has.
 
-    Comments may hold most of it, if there is text besides them.
+    An element that only leans marks nothing either if it holds most of the text of a page
+    without an article.
     """
     everything, held, kinds = 0, {}, {}
     text = [b.own() if not any(kind in ("firm", "header") for _, kind in some) else 0 for b, some in zip(blocks, marks)]
@@ -212,14 +224,23 @@ def _weighed(blocks: list[Block], marks: list[tuple[tuple[int, str], ...]]) -> N
         everything += own
         for number, kind in some:
             held[number], kinds[number] = held.get(number, 0) + own, kind
-    besides = any(not b.heading and len(b.text) >= SHORT and b.link_density() <= LINKS for b, some in zip(blocks, marks) if not some)
-    void = {n for n, own in held.items() if 2 * own > everything and kinds[n] not in ("firm", "header") and not (kinds[n] == "comments" and besides)}
+    leaning = {n for n, kind in kinds.items() if kind == "leaning"}
+    article = any(b.region and not some and _stands(b) for b, some in zip(blocks, marks))
+    void = {n for n in leaning if 2 * held[n] > everything and not article}
+    plain = [not any(n not in void for n, _ in some) for some in marks]
+    if not any(_stands(b) for b, p in zip(blocks, plain) if p):
+        void |= leaning | {n for n, own in held.items() if 2 * own > everything and kinds[n] not in ("firm", "header")}
     for b, some in zip(blocks, marks):
         left = {kind for number, kind in some if number not in void}
         b.leaning = "leaning" in left
         b.outside = bool(left - {"leaning"})
 
 
+def _stands(b: Block) -> bool:
+    """Whether a block is text that a page may be about."""
+    return not b.heading and b.link_density() <= LINKS and (len(b.text) >= SHORT or bool(b.region))
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, without labels; no markup makes this fail."""
     out, at = _Page(), 0
@@ -254,7 +275,7 @@ def classify(blocks: list[Block]) -> list[Block]:
         for b in unknown:
             b.label = GOOD
     for b in blocks:
-        if b.leaning and b.label == OPEN:
+        if b.leaning:
             b.label = BAD
     inside = [b for b in blocks if b.region and not b.outside]
     if inside and 2 * _good(inside) >= _good(blocks):
@@ -275,8 +296,10 @@ def _good(blocks: list[Block]) -> int:
 
 
 def _decided(b: Block) -> str:
-    if b.outside or b.link_density() > LINKS:
+    if b.outside:
         return BAD
+    if b.link_density() > LINKS:
+        return OPEN if b.region and b.paragraph else BAD  # a linked paragraph is as the text around it
     if b.heading or len(b.text) < SHORT:
         return OPEN
     if b.stop_density() >= STOP_WORDS:

@@ -69,3 +69,56 @@ def test_languages_without_stop_words():
     page = f"{menu}<div><h1>Joki</h1><p>{finnish}</p><p>{finnish}</p></div>{menu}"
     assert main_text(page).splitlines()[-2:] == [finnish, finnish]
     assert "Etusivu" not in main_text(page)
+
+
+@pytest.mark.parametrize("mark", ["class=site-footer", "class=left-sidebar", "class=cookie-bar", "id=comment-list", "class='post-footer'", "class=acme-sidebar-2", "class='site-header'"])
+@pytest.mark.parametrize("times", [1, 5])
+def test_marked_blocks_outside_an_article(mark, times):
+    marked = f"<div {mark}>" + f"<p>{LONG}</p>" * times + "</div>"
+    article = f"<h1>Rivers</h1><p>{LONG} 1</p><p>{LONG} 2</p>"
+    assert main_text(f"<body><article>{article}</article>{marked}</body>") == f"Rivers\n{LONG} 1\n{LONG} 2"
+    if times == 1:
+        assert main_text(f"<body>{marked}<div>{article}</div></body>") == f"Rivers\n{LONG} 1\n{LONG} 2"
+
+
+@pytest.mark.parametrize("mark", ["class=ad-box", "class=related-articles", "class='share-bar'", "class=newsletter-box", "class=ad"])
+def test_marked_blocks_inside_an_article(mark):
+    page = f"<article><h1>Rivers</h1><p>{LONG} 1</p><div {mark}><p>{LONG} no</p></div><p>{LONG} 2</p></article>"
+    assert main_text(page) == f"Rivers\n{LONG} 1\n{LONG} 2"
+
+
+@pytest.mark.parametrize("mark", ["class=sidebar", "class=notice", "class='cookie-notice'", "class=comments", "class=consent"])
+def test_a_marked_block_with_most_of_the_text(mark):
+    marked = f"<div {mark}>" + f"<p>{LONG}</p>" * 9 + "</div>"
+    assert main_text(f"<body>{marked}<article><p>A short one.</p></article></body>") == "A short one."
+    assert main_text(f"<body><div><p>{LONG} 1</p></div>{marked}</body>") == f"{LONG} 1"
+    assert main_text(f"<body>{marked}</body>").count(LONG) == 9  # nothing else is text
+
+
+def test_linked_paragraphs_within_the_text():
+    linked = f"<p><a href=x>{LONG} linked</a></p>"
+    assert main_text(f"<article><p>{LONG} 1</p>{linked}<p>{LONG} 2</p></article>") == f"{LONG} 1\n{LONG} linked\n{LONG} 2"
+    menu = "<ul><li><a href=x>One of many links to other pages</a><li><a href=y>Two</a></ul>"
+    assert main_text(f"<article><p>{LONG} 1</p>{menu}</article>{linked}") == f"{LONG} 1"
+
+
+def inherited_by_hand(labels):
+    """The nearest decided label on either side, text if both are as near."""
+    out = []
+    for i, label in enumerate(labels):
+        near = sorted((abs(i - j), other != "good", other) for j, other in enumerate(labels) if other != "ambiguous")
+        out.append(label if label != "ambiguous" else near[0][2] if near else "good")
+    return out
+
+
+def test_second_pass_by_brute_force():
+    import random
+
+    from medstrata.llm.html_extract import Block, _inherit
+
+    chance = random.Random(2)
+    for _ in range(300):
+        labels = [chance.choice(["good", "bad", "ambiguous", "ambiguous"]) for _ in range(chance.randint(0, 12))]
+        blocks = [Block("x", 0, False, False, False, 0, label=label) for label in labels]
+        _inherit(blocks, "good")
+        assert [b.label for b in blocks] == inherited_by_hand(labels)
