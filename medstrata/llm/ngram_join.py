@@ -255,21 +255,17 @@ def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -
 
 
 class Candidates:
-    """Some sets with their sketches: which pairs may link.
+    """Some sets with their sketches: which pairs may link. Pairs asked for have sketches of one band."""
 
-    Two sets are looked at in the band of the larger one, where the smaller has a sketch too.
-    """
-
-    def __init__(self, sizes: list[int], bands: list[int], own: list[bytes], following: list[bytes], share: int, whole: int):
-        self.sizes, self.bands = np.array(sizes, np.int64), np.array(bands)
+    def __init__(self, sizes: list[int], sketches: list[bytes], share: int, whole: int):
+        self.sizes, self.lengths = np.array(sizes, np.int64), np.array([len(x) for x in sketches])
         self.share, self.whole = share, whole
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of each band: where a set's sketch is, and all of them
-        for band in np.unique(self.bands):
-            here, below = np.flatnonzero(self.bands == band), np.flatnonzero(self.bands == band - 1)
-            place = np.full(len(self.bands), -1)
-            place[np.concatenate([here, below])] = np.arange(len(here) + len(below))
-            table = np.frombuffer(b"".join([own[i] for i in here] + [following[i] for i in below]), np.uint64)
-            self.tables[int(band)] = place, table.reshape(len(here) + len(below), -1)
+        self.place = np.empty(len(sizes), np.int64)
+        self.tables: dict[int, np.ndarray] = {}  # of each length all sketches
+        for length in np.unique(self.lengths):
+            here = np.flatnonzero(self.lengths == length)
+            self.place[here] = np.arange(len(here))
+            self.tables[int(length)] = np.frombuffer(b"".join([sketches[i] for i in here]), np.uint64).reshape(len(here), -1)
 
     def _near(self, a: np.ndarray, b: np.ndarray, differ: np.ndarray) -> np.ndarray:
         return (differ <= (a + b) * (self.whole - self.share) // (self.whole + self.share)) & (np.minimum(a, b) * self.whole >= self.share * np.maximum(a, b))
@@ -277,30 +273,25 @@ class Candidates:
     def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """For each pair of places whether it may link."""
         out = np.zeros(len(left), bool)
-        upper = np.maximum(self.bands[left], self.bands[right])
-        for band, (place, table) in self.tables.items():
-            here = np.flatnonzero((upper == band) & (place[left] >= 0) & (place[right] >= 0))
-            for i in range(0, len(here), AT_ONCE // (8 * table.shape[1]) + 1):
-                some = here[i : i + AT_ONCE // (8 * table.shape[1]) + 1]
+        for length, table in self.tables.items():
+            here = np.flatnonzero(self.lengths[left] == length)
+            step = AT_ONCE // length + 1
+            for some in (here[i : i + step] for i in range(0, len(here), step)):
                 a, b = left[some], right[some]
-                differ = np.bitwise_count(table[place[a]] ^ table[place[b]]).sum(axis=1, dtype=np.int64)
+                differ = np.bitwise_count(table[self.place[a]] ^ table[self.place[b]]).sum(axis=1, dtype=np.int64)
                 out[some] = self._near(self.sizes[a], self.sizes[b], differ)
         return out
 
     def connected(self, first: int, last: int) -> np.ndarray:
         """For each set from ``first`` up to ``last`` the first of them that it is connected with."""
-        linked = np.eye(last - first, dtype=bool)
-        for band in np.unique(self.bands[first:last]):
-            place, table = self.tables[int(band)]
-            here = first + np.flatnonzero(self.bands[first:last] == band)
-            both = first + np.flatnonzero(place[first:last] >= 0)
-            for some in np.array_split(here, -(-len(here) // 64)):  # so that tables of numbers stay small
-                differ = np.zeros((len(some), len(both)), np.int32)
-                for word in table.T:
-                    differ += np.bitwise_count(word[place[some], None] ^ word[place[both]])
-                may = self._near(self.sizes[some][:, None], self.sizes[both], differ)
-                linked[np.ix_(some - first, both - first)] |= may
-                linked[np.ix_(both - first, some - first)] |= may.T
+        sizes, table = self.sizes[first:last], self.tables[int(self.lengths[first])][self.place[first:last]]
+        linked = np.empty((last - first, last - first), bool)
+        for i in range(0, last - first, 64):  # so that tables of numbers stay small
+            differ = np.zeros((len(sizes[i : i + 64]), len(sizes)), np.int32)
+            for word in table.T:
+                differ += np.bitwise_count(word[i : i + 64, None] ^ word)
+            linked[i : i + 64] = self._near(sizes[i : i + 64, None], sizes, differ)
+        np.fill_diagonal(linked, True)
         return _first_reached(linked)
 
 
@@ -338,9 +329,9 @@ def _first_reached(linked: np.ndarray) -> np.ndarray:
 def _may_link(seated: DataFrame, share: int, whole: int) -> DataFrame:
     """``a, b``: connections over pairs that the sieve lets pass, within every two blocks.
 
-    ``seated``: ``hub, low, high, node``, and of the node ``n_shingles, band, own, next``.
+    ``seated``: ``hub, low, high, node, n_shingles, sketch``, sketches of a hub of one band.
     """
-    names = ("hub", "low", "high", "node", "n_shingles", "band", "own", "next")
+    names = ("hub", "low", "high", "node", "n_shingles", "sketch")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, groups, held, weight = None, [], [], 0
@@ -352,7 +343,7 @@ def _may_link(seated: DataFrame, share: int, whole: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
-            for *place, node, size, band, own, following in zip(*(batch.column(c).to_pylist() for c in names)):
+            for *place, node, size, bits in zip(*(batch.column(c).to_pylist() for c in names)):
                 if place != key:
                     if weight > AT_ONCE:
                         yield done()
@@ -360,8 +351,8 @@ def _may_link(seated: DataFrame, share: int, whole: int) -> DataFrame:
                     key = place
                     groups.append(0)
                 groups[-1] += 1
-                held.append((node, size, band, own, following))
-                weight += len(own) + len(following)
+                held.append((node, size, bits))
+                weight += len(bits)
         if held:
             yield done()
 
@@ -423,12 +414,20 @@ def _links_to_hubs(rows: DataFrame, seats: DataFrame, width: int, share: int, wh
     return sets.repartition("hub", "turn").sortWithinPartitions("hub", "turn", F.desc("leads")).mapInArrow(measure, "a long, b long")
 
 
-def _paired(buckets: DataFrame) -> DataFrame:
-    """``hub, low, high, node``: buckets cut into blocks, and every two blocks of a bucket brought together."""
-    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = buckets.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return met.select(F.col("bucket").alias("hub"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node")
+def _paired(buckets: DataFrame, described: DataFrame) -> DataFrame:
+    """``hub, low, high, node, n_shingles, sketch``: buckets cut into blocks, and every two blocks of a bucket brought together.
+
+    Sets of a bucket are in one band or in two neighbouring ones, so all have a sketch in the
+    band of the largest: that one is sent.
+    """
+    banded = buckets.join(described.select("node", "band"), "node")
+    sizes = banded.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"), F.max("band").alias("top"))
+    placed = banded.join(sizes, "bucket").withColumn("at", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.col("bucket").alias("hub"), F.least("at", "other").alias("low"), F.greatest("at", "other").alias("high"), "node", (F.col("band") < F.col("top")).alias("below")
+    )
+    bits = F.when(F.col("below"), F.col("next")).otherwise(F.col("own")).alias("sketch")
+    return met.join(described, "node").select("hub", "low", "high", "node", "n_shingles", bits)
 
 
 def _seated(members: DataFrame) -> DataFrame:
@@ -529,10 +528,10 @@ def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[
     meets = written(meets, "join-meets")
     rank = F.struct("meets", "node")
     each = F.first(F.struct("n_shingles", "band", "own", "next"))
-    described = written(named.join(meets, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"), each.alias("set")), "join-described")
+    described = named.join(meets, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"), each.alias("set"))
+    described = written(described.select("node", "key", "set.*"), "join-described")
     forget(spark)
-    seated = _paired(buckets).join(described.select("node", "set.*"), "node")
-    passed = written(_may_link(seated, share, whole).distinct(), "join-passed")
+    passed = written(_may_link(_paired(buckets, described), share, whole).distinct(), "join-passed")
     forget(spark, buckets)
     groups_ = written(components(passed).select("node", F.col("label").alias("group")), "join-groups")
     forget(spark, passed)

@@ -140,9 +140,8 @@ def test_the_sieve_lets_every_link_pass():
             base = chance.choice(2**60, size, replace=False).astype(np.uint64)
             for gone in (0, 1, 2, size // 20, size // 10, size // 5, size // 2):
                 sets.append(np.unique(np.append(base[gone:], chance.choice(2**60, gone // 2).astype(np.uint64))))
-        own = [bands.two(len(x)) for x in sets]
-        made = nj.Candidates([len(x) for x in sets], [b[0].number for b in own], [nj.sketch(x, b[0]) for x, b in zip(sets, own)],
-                             [nj.sketch(x, b[1]) for x, b in zip(sets, own)], share, whole)
+        band = bands.bands[bands.of(max(map(len, sets)))]  # any band tells as many bits at most
+        made = nj.Candidates([len(x) for x in sets], [nj.sketch(x, band) for x in sets], share, whole)
         left, right = np.triu_indices(len(sets), 1)
         may = made.pairs(left, right)
         linked = np.array([(both := np.intersect1d(sets[i], sets[j]).size) * whole >= share * (len(sets[i]) + len(sets[j]) - both) and both > 0 for i, j in zip(left, right)])
