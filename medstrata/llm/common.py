@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 from collections.abc import Iterator
@@ -68,6 +69,21 @@ def forget(spark: SparkSession, *tables: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def tidied(run):
+    """``run`` over batches; the worker, which waits for further tasks, gives memory back when it has ended."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library that Linux has mostly
+            if trim:
+                trim(0)
+
+    return inner
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like ``names`` that no column of ``df`` bears, whatever its case."""
     taken = {c.lower() for c in df.columns}

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from medstrata.llm.common import column, flat, forget, fresh, mixed, pieces, span_hashes, text_bytes, word_spans, written
+from medstrata.llm.common import column, flat, forget, fresh, mixed, pieces, span_hashes, text_bytes, tidied, word_spans, written
 from medstrata.llm.components import components
 
 WIDTH, THRESHOLD = 5, (80, 100)
@@ -184,7 +184,7 @@ def _sets(docs: DataFrame, build, schema: str, *keep: str) -> DataFrame:
                 if made is not None:
                     yield made
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 _NAMED = "n_shingles long, node long, band int, own binary, next binary"
@@ -251,7 +251,7 @@ def _buckets(docs: DataFrame, width: int, share: int, whole: int, groups: int) -
             )
 
     sent = _sets(docs, send, "node long, signature long")
-    return sent.repartition(groups, "signature").mapInArrow(meet, "bucket long, node long").distinct()
+    return sent.repartition(groups, "signature").mapInArrow(tidied(meet), "bucket long, node long").distinct()
 
 
 class Candidates:
@@ -356,7 +356,7 @@ def _may_link(seated: DataFrame, share: int, whole: int) -> DataFrame:
         if held:
             yield done()
 
-    return seated.select(*names).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(measure, "a long, b long")
+    return seated.select(*names).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(tidied(measure), "a long, b long")
 
 
 def _texts_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -411,7 +411,7 @@ def _links_to_hubs(rows: DataFrame, seats: DataFrame, width: int, share: int, wh
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     sets = _sets(_texts_of(rows, dealt), build, "hub long, turn int, leads boolean, node long, size int, short binary", *kept)
-    return sets.repartition("hub", "turn").sortWithinPartitions("hub", "turn", F.desc("leads")).mapInArrow(measure, "a long, b long")
+    return sets.repartition("hub", "turn").sortWithinPartitions("hub", "turn", F.desc("leads")).mapInArrow(tidied(measure), "a long, b long")
 
 
 def _paired(buckets: DataFrame, described: DataFrame) -> DataFrame:
@@ -506,7 +506,7 @@ def _links(rows: DataFrame, seated: DataFrame, width: int, share: int, whole: in
             yield done()
 
     sets = _sets(_texts_of(rows, seated), build, "hub long, low long, high long, node long, shingles array<long>", *kept)
-    return sets.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(measure, "a long, b long")
+    return sets.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(tidied(measure), "a long, b long")
 
 
 def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
