@@ -15,7 +15,8 @@ Within a text the model adapts in the order of its units: the next unit is one o
 so far in proportion to how often they came, or a new draw from the model with the weight of
 ADAPT units; and, with PAIR_ADAPT, one of those that followed the unit before it so far.
 A text belongs to a kind, found from its pairs of letters, whose units it is predicted from;
-the kind is coded first. The score is the log10 probability of the kind and all units.
+the kind is coded first. The kinds' centres are means over all training texts, moved in a few
+rounds of aggregation. The score is the log10 probability of the kind and all units.
 """
 
 from __future__ import annotations
@@ -31,18 +32,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from medstrata.llm import context_mix
-from medstrata.llm.common import column, flat, gathered, mixed, pieces, span_hashes, text_bytes, written
+from medstrata.llm.common import column, flat, forget, gathered, mixed, pieces, span_hashes, text_bytes, written
 
 BLOCK = 8 << 20  #: bytes of text in a block
 KINDS = 8  #: kinds of texts
-KIND_SAMPLE = 8192  #: texts that the kinds are found in, about
-KIND_CELLS = 512  #: classes of pairs of letters that tell kinds apart, half of them at a unit's begin, half at its end
+KIND_ROUNDS = 5  #: in which their centres move
+KIND_CELLS = 256  #: classes of pairs of letters that tell kinds apart, half of them at a unit's begin, half at its end
 ADAPT = 1000.0  #: units' worth of the model against the text's own units
 PAIR_ADAPT = 8.0  #: units' worth of all that against what followed the unit before within the text
 PART_BYTES = 24 << 20  #: bytes of text for one part of the pairs
 BEGIN = 0x1D8AF066  #: stands for the unit before a text's first
 COUNT_UNITS = 1_000_000  #: units that one task counts
-LEARN_UNITS = 400_000  #: different units that weights are learned from in one pass, about; chosen by hash. Counts come from all
+LEARN_UNITS = 200_000  #: units that one task learns from, about; all of them are learned from
 LEAD = 2  #: bytes in front of a unit: the text's kind, and how the unit before ended
 END = 0xFF  #: stands for the text's end; no byte of a text is like it
 
@@ -64,36 +65,76 @@ def is_held(doc_id: Column) -> Column:
 
 
 def letters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
-    """For each of ``count`` texts which two letters its units begin and end with, as a vector of length 1."""
+    """For each of ``count`` texts which two letters its units begin and end with: a vector of length 1, in bytes of 1/255."""
     found = np.zeros(count * KIND_CELLS)
     half = KIND_CELLS // 2
     for side, (a, b) in enumerate(((starts, np.minimum(starts + 1, ends)), (np.maximum(ends - 2, starts), np.maximum(ends - 1, starts)))):
-        cell = ((_LETTER[data[a]] * np.uint32(155) + _LETTER[data[b]]) * np.uint32(2654435761)) >> np.uint32(24)
+        cell = ((_LETTER[data[a]] * np.uint32(155) + _LETTER[data[b]]) * np.uint32(2654435761)) >> np.uint32(34 - KIND_CELLS.bit_length())
         found += np.bincount(owner * KIND_CELLS + side * half + cell.astype(np.int64), minlength=count * KIND_CELLS)
     found = np.sqrt(found.reshape(count, KIND_CELLS))
-    return found / np.maximum(np.sqrt((found**2).sum(1)), 1e-9)[:, None]
+    return np.rint(found * (255 / np.maximum(np.sqrt((found**2).sum(1)), 1e-9)[:, None])).astype(np.uint8)
+
+
+def _apart(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distance of every row of ``x`` from every centre."""
+    x = x.astype(np.float64)
+    return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1), 0)
 
 
 def kinds_of(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((centres**2).sum(1) - 2 * x @ centres.T).argmin(1)
+    return _apart(x, centres).argmin(1)
 
 
-def fit_kinds(x: np.ndarray, kinds: int = KINDS, rounds: int = 15) -> np.ndarray:
-    """Centres of the kinds of some texts, begun far from each other."""
-    if not len(x):
+def fit_kinds(described: DataFrame) -> np.ndarray:
+    """Centres of the kinds of all rows ``key, letters``: begun at rows drawn far from each other, then moved.
+
+    Every round is an aggregation that brings one row, or the sums of each kind, to the driver.
+    """
+
+    def rows(batch: pa.RecordBatch) -> np.ndarray:
+        return flat(batch.column("letters"))[0].reshape(-1, KIND_CELLS)
+
+    def drawn(centres: np.ndarray) -> bytes | None:
+        def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = (math.inf, None)
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                chance = mixed(batch.column("key").to_numpy().view(np.uint64) + np.uint64(len(centres) + 1)) / 2.0**64
+                far = _apart(rows(batch), centres).min(1) if len(centres) else np.ones(batch.num_rows)
+                with np.errstate(divide="ignore"):
+                    time = np.where(far > 0.5, -np.log1p(-chance) / far, math.inf)
+                i = int(time.argmin())
+                best = min(best, (float(time[i]), batch.column("letters")[i].as_py()), key=lambda b: b[0])
+            if best[0] < math.inf:
+                yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.binary())], names=["time", "letters"])
+
+        return described.mapInArrow(race, "time double, letters binary").agg(F.min_by("letters", "time")).first()[0]
+
+    def moved(centres: np.ndarray) -> np.ndarray:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((len(centres), KIND_CELLS + 1), np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    x = rows(batch)
+                    nearest = kinds_of(x, centres)
+                    for k in np.unique(nearest):
+                        sums[k, :-1] += x[nearest == k].sum(0, dtype=np.int64)
+                        sums[k, -1] += (nearest == k).sum()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size, dtype=np.int32)), pa.array(sums.ravel())], names=["i", "v"])
+
+        total = np.zeros((len(centres), KIND_CELLS + 1))
+        for row in described.mapInArrow(add, "i int, v long").groupBy("i").agg(F.sum("v").alias("v")).toLocalIterator():
+            total.ravel()[row["i"]] = row["v"]
+        return np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1), centres)
+
+    centres = np.zeros((0, KIND_CELLS))
+    while len(centres) < KINDS and (found := drawn(centres)) is not None:
+        centres = np.vstack([centres, np.frombuffer(bytes(found), np.uint8)])
+    if not len(centres):
         return np.zeros((1, KIND_CELLS))
-    chance = np.random.default_rng(1)
-    centres = [x[0]]
-    for _ in range(min(kinds, len(x)) - 1):
-        far = np.min([((x - c) ** 2).sum(1) for c in centres], axis=0)
-        if far.sum() <= 0:
-            break
-        centres.append(x[chance.choice(len(x), p=far / far.sum())])
-    centres = np.array(centres)
-    for _ in range(rounds):
-        nearest = kinds_of(x, centres)
-        for k in np.unique(nearest):
-            centres[k] = x[nearest == k].mean(0)
+    for _ in range(KIND_ROUNDS if len(centres) > 1 else 0):
+        centres = moved(centres)
     return centres
 
 
@@ -106,17 +147,22 @@ def with_ends(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat(closed)
 
 
+def _spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The place of each unit's begin and of its ending byte, and its text's number."""
+    ends = np.flatnonzero(_BLANK[data])
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return starts, ends, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(ends, offsets)))
+
+
 def units_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts; of each unit the place of its begin and of its ending byte, its text's number, and a hash."""
     data, offsets = with_ends(texts)
-    ends = np.flatnonzero(_BLANK[data])
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(ends, offsets)))
+    starts, ends, owner = _spans(data, offsets)
     return data, starts, ends, owner, span_hashes(data, starts, ends + 1, lower=False)
 
 
 def _before(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """1 to 8: how the unit before each unit ended; ``ends`` is the place of the ending byte."""
+    """1 to 7: how the unit before each unit ended; ``ends`` is the place of the ending byte."""
     last, line = ends[:-1], np.isin(data[ends[:-1]], (0x0A, 0x0D))
     empty = last == starts[:-1]
     letter, other = data[np.maximum(last - 1, 0)], data[np.maximum(last - 2, 0)]
@@ -363,51 +409,55 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
     rows = docs.select(column(doc_id).cast("long").alias("doc_id"), column(text).alias("text"), F.coalesce(held, F.lit(False)).alias("held"))
 
     train = rows.filter(~F.col("held") & (F.octet_length("text") > 0))
-    count = train.count()
-    few = train.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) < int(min(1.0, KIND_SAMPLE / max(count, 1)) * (1 << 32)))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in pieces(batch, "text"):
-                data, starts, ends, owner, _ = units_of(some.column("text"))
-                vectors = letters(data, starts, ends, owner, some.num_rows).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([some.column("key"), pa.array(list(vectors), pa.list_(pa.float32()))], names=["key", "letters"])
+                data, offsets = with_ends(some.column("text"))
+                starts, ends, owner = _spans(data, offsets)
+                vectors = letters(data, starts, ends, owner, some.num_rows)
+                yield pa.RecordBatch.from_arrays([some.column("key"), pa.array([v.tobytes() for v in vectors], pa.binary())], names=["key", "letters"])
 
-    described = few.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(describe, "key long, letters array<float>").orderBy("key")
-    centres = spark.sparkContext.broadcast(fit_kinds(np.array([r["letters"] for r in described.toLocalIterator()], np.float64)))
+    described = written(train.select(F.xxhash64("text").alias("key"), "text").mapInArrow(describe, "key long, letters binary"), "lm-letters")
+    centres = fit_kinds(described)
+    forget(spark, described)
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for some in gathered(batches, "text", BLOCK):
             is_out = some.column("held").to_numpy(zero_copy_only=False)
-            yield block_row(number, some.column("doc_id"), some.column("text"), is_out, centres.value)
+            yield block_row(number, some.column("doc_id"), some.column("text"), is_out, centres)
             number += 1
 
     blocks = written(rows.mapInArrow(block, BLOCKS), "lm-blocks")
-    plain = F.translate("word", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     found = blocks.select("block", F.posexplode(F.arrays_zip("words", "leads", "ends", "times", "names")).alias("place", "u")).select(
         F.col("u.words").alias("word"), F.col("u.leads").alias("lead"), F.col("u.ends").alias("end"), F.col("u.times").alias("n"), F.col("u.names").alias("name"), F.col("block").alias("of_block"), "place"
     )
-    # One exchange by word serves the units, the words' counts, and the way back to the blocks.
-    together = found.withColumn("plain", plain).repartition("plain")
-    units = together.groupBy("plain", "word", "lead", "end", F.shiftright("of_block", 32 + 9).alias("range")).agg(
+    unit = ["word", "lead", "end"]
+    # Which blocks hold a unit, by ranges of blocks: a common unit is in many rows of many tasks.
+    uses = found.groupBy(*unit, F.shiftright("of_block", 32 + 9).alias("range")).agg(
         F.sum("n").alias("n"), F.first("name").alias("name"), F.collect_list(F.struct("of_block", "place")).alias("uses")
     )
-    same = Window.partitionBy("plain", "word", "lead", "end")
-    units = units.withColumn("exact", F.sum("n").over(same)).withColumn("head", F.col("range") == F.min("range").over(same))
-    units = units.withColumn("c", F.when(F.col("word") == "", -1).otherwise(F.sum("n").over(Window.partitionBy("plain"))))
-    units = written(units.withColumn("first", F.row_number().over(Window.partitionBy("plain").orderBy("range", "lead", "end", "word")) == 1), "lm-units")
+    uses = written(uses, "lm-uses")
+    forget(spark)
+    plain = F.translate("word", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    units = uses.groupBy(*unit).agg(F.sum("n").alias("exact"), F.first("name").alias("name")).withColumn("plain", plain)
+    alike = Window.partitionBy("plain")  # a word's spellings, leads and endings
+    units = units.withColumn("c", F.when(F.col("word") == "", -1).otherwise(F.sum("exact").over(alike)))
+    units = written(units.withColumn("first", F.row_number().over(alike.orderBy("lead", "end", "word")) == 1).drop("plain"), "lm-units")
     sums = units.filter("first and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    kinds = {r["kind"]: r["n"] for r in blocks.select(F.explode(F.arrays_zip("held", "kinds")).alias("d")).filter("not d.held").groupBy(F.col("d.kinds").alias("kind")).agg(F.count("*").alias("n")).collect()}
+    texts = blocks.select(F.explode(F.arrays_zip("held", "kinds")).alias("d")).filter("not d.held")
+    kinds = {r["kind"]: r["n"] for r in texts.groupBy(F.col("d.kinds").alias("kind")).agg(F.count("*").alias("n")).collect()}
     trained = sum(kinds.values())
     tokens, vocabulary = sums[0] + trained, sums[1] + (trained > 0)
 
-    leads = np.zeros((KINDS * 8 + 8, 2))  # under each lead the training units, and how many are different
+    leads = np.zeros((KINDS * 8, 2))  # under each lead the training units, and how many are different
     ones = twos = 0
-    for r in units.filter("head and exact > 0").groupBy("lead").agg(F.sum("exact").alias("n"), F.count("*").alias("different"), F.count_if(F.col("exact") == 1).alias("ones"), F.count_if(F.col("exact") == 2).alias("twos")).collect():
+    for r in units.filter("exact > 0").groupBy("lead").agg(F.sum("exact").alias("n"), F.count("*").alias("different"), F.count_if(F.col("exact") == 1).alias("ones"), F.count_if(F.col("exact") == 2).alias("twos")).collect():
         leads[r["lead"]] = r["n"], r["different"]
         ones, twos = ones + r["ones"], twos + r["twos"]
     unit_less = discount(ones, twos)
+    forget(spark)
 
     parts = max(1, -(-text_bytes(rows) // PART_BYTES))
     pairs = written(pair_counts(blocks, parts), "lm-pairs")
@@ -416,16 +466,16 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
     contexts = pairs.filter("contexts is not null").select(F.explode(F.arrays_zip("contexts", "totals", "followers")).alias("c"))
     contexts = contexts.groupBy(F.col("c.contexts").alias("name")).agg(F.sum("c.totals").alias("total"), F.sum("c.followers").alias("followers"))
     contexts = written(contexts, "lm-contexts")
+    forget(spark)
     begin = contexts.filter(F.col("name") == BEGIN).first()
     begin = (begin["total"], begin["followers"]) if begin else (0, 0)
 
-    train_units = units.filter("n > 0").select("word", "lead", "end", "n")
+    train_units = units.filter("exact > 0").select(*unit, F.col("exact").alias("n"))
     known_units = train_units.count()
-    counted = _counted(train_units.coalesce(max(1, -(-known_units // COUNT_UNITS))))
-    tables = spark.sparkContext.broadcast(counted)
-    part = min(1.0, LEARN_UNITS / max(known_units, 1))
-    some_units = train_units.filter(F.pmod(F.xxhash64("word", "lead", "end"), F.lit(1 << 32)) < int(part * (1 << 32)))
-    model = spark.sparkContext.broadcast(_learned(some_units.repartition(1).sortWithinPartitions(F.xxhash64("word", "lead", "end")), tables))
+    tables = spark.sparkContext.broadcast(_counted(train_units.coalesce(max(1, -(-known_units // COUNT_UNITS)))))
+    turn = F.xxhash64(*unit)
+    dealt = train_units.repartition(max(1, -(-known_units // LEARN_UNITS)), turn).sortWithinPartitions(turn)
+    model = spark.sparkContext.broadcast(_learned(dealt, tables))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mix = context_mix.Model(tables.value, model.value)
@@ -436,11 +486,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
             spelled = 10.0 ** mix.score(data, starts, LEAD)
             p = np.where(all_units > 0, (exact + unit_less * different * spelled) / np.maximum(all_units, 1), spelled)
             log = np.log10(np.maximum(p, 1e-300))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uses", "c", "total", "followers")), pa.array(log)], names=["uses", "c", "total", "followers", "log"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*unit, "c", "total", "followers")), pa.array(log.astype(np.float32))], names=[*unit, "c", "total", "followers", "log"])
 
-    followed = units.select("name", "word", "lead", "end", "uses", "c", "exact").join(contexts, "name", "left").fillna(0, ["total", "followers"]).drop("name")
-    rated = followed.mapInArrow(rate, "uses array<struct<of_block:long,place:int>>, c long, total long, followers long, log double")
-    known = rated.select(F.explode("uses").alias("u"), "c", "total", "followers", F.col("log").cast("float").alias("log")).select("u.of_block", "u.place", "log", "c", "total", "followers")
+    followed = units.join(contexts, "name", "left").fillna(0, ["total", "followers"]).select(*unit, "c", "exact", "total", "followers")
+    rated = written(followed.mapInArrow(rate, "word string, lead int, end int, c long, total long, followers long, log float"), "lm-rated")
+    forget(spark, units, contexts)
+    known = uses.select(*unit, "uses").join(rated, unit).select(F.explode("uses").alias("u"), "c", "total", "followers", "log").select("u.of_block", "u.place", "log", "c", "total", "followers")
     prior = np.log10(np.array([kinds.get(k, 0) + 1 for k in range(KINDS)]) / (trained + KINDS))
     whole = tokens + vocabulary + 1
 
