@@ -141,9 +141,10 @@ def fuse(scored: DataFrame, languages: tuple[str, ...], likelihoods: str, declar
     knows whether they are small enough to broadcast; if not, hot hosts are split.
     """
     n = len(languages)
-    lang, posterior, accepted, guess, host, said, host_n, said_n = fresh(
-        scored, "detected_lang", "posterior", "accepted", "guess", "host", "said", "host_counts", "said_counts"
+    lang, posterior, accepted, guess, host, said, host_n, said_n, of_host, of_said = fresh(
+        scored, "detected_lang", "posterior", "accepted", "guess", "host", "said", "host_counts", "said_counts", "of_host", "of_said"
     )
+    by_all, by_suffix, by_domain, by_host, by_said, logs_of, top, whole = fresh(scored, "_all", "_suffix", "_domain", "_host", "_said", "_logs", "_top", "_sum")
     own = F.col(likelihoods)
     best = F.when(F.exists(own, lambda x: x != 0), F.array_position(F.slice(own, 1, n), F.array_max(F.slice(own, 1, n))).cast("int"))
     rows = (
@@ -166,8 +167,8 @@ def fuse(scored: DataFrame, languages: tuple[str, ...], likelihoods: str, declar
     everything = by(said)  # one row for each declared language
     total = everything.agg(added(lambda i: F.sum(F.col("counts")[i])).alias("t")).first()
     totals = F.array(*[F.lit(int(x or 0)) for x in (total["t"] if total else [0] * n)])
-    prior = written(hosts.select(F.col(host).alias("of_host"), F.struct("counts", "in_domain", "in_suffix").alias(host_n)), "language-hosts")
-    voices = written(everything.select(F.col(said).alias("of_said"), F.col("counts").alias(said_n)), "language-declared")
+    prior = written(hosts.select(F.col(host).alias(of_host), F.struct("counts", "in_domain", "in_suffix").alias(host_n)), "language-hosts")
+    voices = written(everything.select(F.col(said).alias(of_said), F.col("counts").alias(said_n)), "language-declared")
 
     def smoothed(counts: Column, below: Column | None) -> Column:
         """Shares of languages among the other rows, with STRENGTH rows of the level below."""
@@ -177,21 +178,21 @@ def fuse(scored: DataFrame, languages: tuple[str, ...], likelihoods: str, declar
             return F.transform(others, lambda x: (x + 1.0) / (size + n))
         return F.zip_with(others, below, lambda x, p: (x + STRENGTH * p) / (size + STRENGTH))
 
-    joined = rows.join(prior, F.col(host) == F.col("of_host"), "left").join(voices, F.col(said) == F.col("of_said"), "left")
-    ready = joined.withColumn("_all", smoothed(totals, None))
-    for name, counts in (("_suffix", "in_suffix"), ("_domain", "in_domain"), ("_host", "counts")):
-        ready = ready.withColumn(name, smoothed(F.col(host_n)[counts], F.col({"_suffix": "_all", "_domain": "_suffix", "_host": "_domain"}[name])))
+    joined = rows.join(prior, F.col(host) == F.col(of_host), "left").join(voices, F.col(said) == F.col(of_said), "left")
+    ready = joined.withColumn(by_all, smoothed(totals, None))
+    for name, counts, below in ((by_suffix, "in_suffix", by_all), (by_domain, "in_domain", by_suffix), (by_host, "counts", by_domain)):
+        ready = ready.withColumn(name, smoothed(F.col(host_n)[counts], F.col(below)))
     # P(declared | language): from counts, with TRUST rows that mostly declare the language itself.
     names = F.array(*[F.lit(x.lower()) for x in languages])
     usual = F.transform(names, lambda x: F.when(F.col(said) == "", 1.0).when(F.col(said) == x, 0.9).when(F.array_contains(names, F.col(said)), 0.1 / max(n - 1, 1)).otherwise(0.1))
     fewer = F.transform(F.arrays_zip(F.col(said_n).alias("c"), totals.alias("t"), usual.alias("u")), lambda z, i: _share(z, F.coalesce(F.col(guess), F.lit(0)) == i + 1))
-    ready = ready.withColumn("_said", fewer)
-    logs = F.zip_with(F.zip_with("_host", "_said", lambda p, d: F.log(p * d * (1 - OTHER))), F.slice(own, 1, n), lambda a, b: a + b)
-    other = F.log(F.lit(OTHER)) + F.element_at(own, n + 1) + F.log(F.aggregate(F.zip_with("_host", "_said", lambda p, d: p * d), F.lit(0.0), lambda s, x: s + x))
-    ready = ready.withColumn("_logs", F.concat(logs, F.array(other))).withColumn("_top", F.array_max("_logs"))
-    ready = ready.withColumn("_sum", F.aggregate("_logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_top"))))
-    place = F.array_position(F.slice("_logs", 1, n), F.array_max(F.slice("_logs", 1, n))).cast("int")
-    share = F.exp(F.element_at(F.col("_logs"), place) - F.col("_top")) / F.col("_sum")
+    ready = ready.withColumn(by_said, fewer)
+    logs = F.zip_with(F.zip_with(by_host, by_said, lambda p, d: F.log(p * d * (1 - OTHER))), F.slice(own, 1, n), lambda a, b: a + b)
+    other = F.log(F.lit(OTHER)) + F.element_at(own, n + 1) + F.log(F.aggregate(F.zip_with(by_host, by_said, lambda p, d: p * d), F.lit(0.0), lambda s, x: s + x))
+    ready = ready.withColumn(logs_of, F.concat(logs, F.array(other))).withColumn(top, F.array_max(logs_of))
+    ready = ready.withColumn(whole, F.aggregate(logs_of, F.lit(0.0), lambda s, x: s + F.exp(x - F.col(top))))
+    place = F.array_position(F.slice(logs_of, 1, n), F.array_max(F.slice(logs_of, 1, n))).cast("int")
+    share = F.exp(F.element_at(F.col(logs_of), place) - F.col(top)) / F.col(whole)
     out = ready.select(
         *[column(c) for c in scored.columns],
         F.element_at(F.array(*map(F.lit, languages)), place).alias(lang),

@@ -65,3 +65,15 @@ def test_edge_cases(spark):
     some = documents(spark, [*corpus(), *[(None, t) for t in HARD_TEXTS], *corpus()[:3]])
     assert li.op9_query(some).count() == 363 + len(HARD_TEXTS)
     assert li.identify(empty(spark))[0].count() == 0 and li.op9_query(empty(spark)).count() == 0
+
+
+def test_columns_that_bear_names_of_helpers_stay(spark):
+    names = ["_host", "_logs", "_all", "_suffix", "_domain", "_said", "_top", "_sum", "of_host", "of_said", "counts", "domain", "likelihoods", "detected_lang"]
+    docs = documents(spark, corpus())
+    plain, (lang, posterior, accepted) = li.identify(docs)
+    found, (own_lang, own_posterior, own_accepted) = li.identify(with_clashes(docs, *names))
+    assert own_lang == "_detected_lang" and set(names) < set(found.columns)
+    rows = found.collect()
+    assert all(r[name] == "own" for r in rows for name in names)
+    judged = {r["doc_id"]: (r[lang], r[accepted], pytest.approx(r[posterior])) for r in plain.collect()}
+    assert {r["doc_id"]: (r[own_lang], r[own_accepted], r[own_posterior]) for r in rows} == judged
