@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from medstrata.llm.bpe import tokenizer_file
-from medstrata.llm.common import column
+from medstrata.llm.common import column, fresh
 
 SPACE = "▁"  #: what the vocabulary writes for a space (a fixed value)
 LIMIT = 4096
@@ -207,14 +207,19 @@ def truncate(docs: DataFrame, path: str, budget: int, text: str = "text") -> Dat
 
 
 def prefix_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``prefix_tokens array<int>``: tokens of each prefix, by its length from 0."""
-    schema = docs.select("*", F.array().cast("array<int>").alias("prefix_tokens")).schema
+    """``docs`` with ``prefix_tokens array<int>``: tokens of each prefix, by its length from 0.
+
+    A null text counts as empty. Where ``docs`` has a column of that name, it stays and the
+    new, last one gets underscores in front.
+    """
+    (name,) = fresh(docs, "prefix_tokens")
+    schema = docs.select("*", F.array().cast("array<int>").alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter.of(path)
         for batch in batches:
             tables = [counter.prefixes(t or "").astype(np.int32) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tables, pa.list_(pa.int32()))], names=[*batch.schema.names, "prefix_tokens"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tables, pa.list_(pa.int32()))], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 

@@ -42,3 +42,10 @@ def test_tables(spark, library):
     assert cut[0] is None and all(len(library.encode(t)) <= 7 for t in cut.values() if t is not None)
     assert all(len(r["prefix_tokens"]) == len(r["text"] or "") + 1 for r in prefix_counts(docs, PATH).collect())
     assert count_tokens(empty(spark), PATH).count() == 0
+
+
+def test_columns_that_bear_the_results_name_stay(spark):
+    docs = with_clashes(documents(spark, [(1, "ab cd"), (2, None)]), "prefix_tokens")
+    found = {r["doc_id"]: r for r in prefix_counts(docs, PATH).collect()}
+    assert [found[i]["prefix_tokens"] for i in (1, 2)] == ["own", "own"]
+    assert [len(found[i]["_prefix_tokens"]) for i in (1, 2)] == [6, 1]
