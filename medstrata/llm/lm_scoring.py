@@ -3,7 +3,7 @@
 A text is a sequence of units: characters up to and with a white space or the text's end.
 Texts are read once. Each block of texts becomes one row: the units it holds and their
 sequence in its texts. All units of the training texts make the model; each different
-unit is spelled by the context mix once and joined to the blocks that hold it by its hash.
+unit is spelled by the context mix once and joined to the blocks that hold it.
 
 A unit is predicted from the one before it: from exact counts of all pairs of neighbours
 in the training texts, less a discount whose mass goes to the exact counts of units by
@@ -173,9 +173,9 @@ def _before(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 BLOCKS = (
     "block long, words array<string>, leads array<int>, ends array<int>, times array<long>, "
-    "doc_ids array<long>, held array<boolean>, kinds array<int>, sizes array<long>, uses array<int>, names array<long>, units array<long>, sequence array<int>"
+    "doc_ids array<long>, held array<boolean>, kinds array<int>, sizes array<long>, uses array<int>, names array<long>, sequence array<int>"
 )
-_BLOCK_TYPES = [pa.int64(), pa.list_(pa.string()), *[pa.list_(t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())]]
+_BLOCK_TYPES = [pa.int64(), pa.list_(pa.string()), *[pa.list_(t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32())]]
 
 
 def block_row(number: int, ids: pa.Array, texts: pa.Array, held: np.ndarray, centres: np.ndarray) -> pa.RecordBatch:
@@ -200,7 +200,6 @@ def block_row(number: int, ids: pa.Array, texts: pa.Array, held: np.ndarray, cen
         np.bincount(owner, weights=ends + 1 - starts, minlength=len(ids)).astype(np.int64) - 1,
         np.bincount(owner, minlength=len(ids)),
         names[first].view(np.int64),
-        different.view(np.int64),
         unit,
     ]
     arrays = [pa.array([row[0]], pa.int64())]
@@ -430,10 +429,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
             number += 1
 
     blocks = written(rows.mapInArrow(block, BLOCKS), "lm-blocks")
-    found = blocks.select(F.explode(F.arrays_zip("words", "leads", "ends", "times", "names", "units")).alias("u"))
-    found = found.select(*(F.col(f"u.{many}").alias(one) for many, one in (("words", "word"), ("leads", "lead"), ("ends", "end"), ("times", "n"), ("names", "name"), ("units", "unit"))))
+    found = blocks.select(F.explode(F.arrays_zip("words", "leads", "ends", "times", "names")).alias("u"))
+    found = found.select(*(F.col(f"u.{many}").alias(one) for many, one in (("words", "word"), ("leads", "lead"), ("ends", "end"), ("times", "n"), ("names", "name"))))
     plain = F.translate("word", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    units = found.groupBy("unit", "name", "word", "lead", "end").agg(F.sum("n").alias("exact")).withColumn("plain", plain)
+    units = found.groupBy("name", "word", "lead", "end").agg(F.sum("n").alias("exact")).withColumn("plain", plain)
     alike = Window.partitionBy("plain")  # a word's spellings, leads and endings
     units = units.withColumn("c", F.when(F.col("word") == "", -1).otherwise(F.sum("exact").over(alike)))
     units = written(units.withColumn("first", F.row_number().over(alike.orderBy("lead", "end", "word")) == 1).drop("plain"), "lm-units")
@@ -462,13 +461,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
     begin = contexts.filter(F.col("name") == BEGIN).first()
     begin = (begin["total"], begin["followers"]) if begin else (0, 0)
 
-    train_units = units.filter("exact > 0").select("unit", "word", "lead", "end", F.col("exact").alias("n"))
+    train_units = units.filter("exact > 0").select("name", "word", "lead", "end", F.col("exact").alias("n"))
     known_units = train_units.count()
     tables = spark.sparkContext.broadcast(_counted(train_units.coalesce(max(1, -(-known_units // COUNT_UNITS)))))
-    dealt = train_units.repartition(max(1, -(-known_units // LEARN_UNITS)), "unit").sortWithinPartitions("unit")
+    dealt = train_units.repartition(max(1, -(-known_units // LEARN_UNITS)), "name", "lead").sortWithinPartitions(F.xxhash64("name", "lead"))
     model = spark.sparkContext.broadcast(_learned(dealt, tables))
 
-    kept = ["unit", "c", "total", "followers"]
+    kept = ["name", "lead", "c", "total", "followers"]
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mix = context_mix.Model(tables.value, model.value)
@@ -481,11 +480,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
             log = np.log10(np.maximum(p, 1e-300))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(log.astype(np.float32))], names=[*kept, "log"])
 
-    followed = units.join(contexts, "name", "left").fillna(0, ["total", "followers"]).select(*kept, "word", "lead", "end", "exact")
-    rated = written(followed.mapInArrow(rate, "unit long, c long, total long, followers long, log float"), "lm-rated")
+    followed = units.join(contexts, "name", "left").fillna(0, ["total", "followers"]).select(*kept, "word", "end", "exact")
+    rated = written(followed.mapInArrow(rate, "name long, lead int, c long, total long, followers long, log float"), "lm-rated")
     forget(spark, units, contexts)
-    held_by = blocks.select(F.col("block").alias("of_block"), F.posexplode("units").alias("place", "unit"))
-    known = held_by.join(rated, "unit").select("of_block", "place", "log", "c", "total", "followers")
+    held_by = blocks.select(F.col("block").alias("of_block"), F.posexplode(F.arrays_zip("names", "leads")).alias("place", "u"))
+    held_by = held_by.select("of_block", "place", F.col("u.names").alias("name"), F.col("u.leads").alias("lead"))
+    known = held_by.join(rated, ["name", "lead"]).select("of_block", "place", "log", "c", "total", "followers")
     prior = np.log10(np.array([kinds.get(k, 0) + 1 for k in range(KINDS)]) / (trained + KINDS))
     whole = tokens + vocabulary + 1
 
