@@ -7,7 +7,7 @@ one differing element, so of its two parts one is the same. The signatures of a
 the contents of every part of every partition (for small k, of larger subsets of the parts
 of a single one); sufficiently similar sets share one.
 
-Documents that share a signature are candidates. Candidates are sieved by sketches, two bits
+Documents that share a signature are candidates. Candidates are sieved by sketches, a bit
 for each element: k differing elements change at most k bits, so no link is lost. Links are
 measured on the whole sets of what is left. Only components are wanted, so every set is first measured
 against one hub of its group: near copies of one text are linked by that, for a row each.
@@ -136,12 +136,12 @@ def contents(shingles: np.ndarray, band: Band) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(shingles: np.ndarray, band: Band) -> bytes:
-    """A bit for each of about ``2 * most`` cells: whether the number of elements in it is odd.
+    """A bit for each of about ``most`` cells: whether the number of elements in it is odd.
 
     An element that only one of two sets has changes one bit, so sets of the band differ in
     as many bits as elements at most.
     """
-    cells = 64 * -(-2 * max(band.most, 1) // 64)
+    cells = 64 * -(-max(band.most, 1) // 64)
     cell = (mixed(shingles + np.uint64((2 * band.number + 1) * 0x632BE59BD9B4E019 % 2**64)) % np.uint64(cells)).astype(np.int64)
     return np.packbits((np.bincount(cell, minlength=cells) & 1).astype(np.uint8)).tobytes()
 
