@@ -33,6 +33,8 @@ WIDTH, THRESHOLD = 5, (80, 100)
 AT_ONCE = 1 << 20  #: bytes of text whose shingles are held together
 GROUP_BYTES = 2 << 20  #: bytes of text for one group of signatures
 BLOCK_ROWS = 512  #: sets of a group that are measured against as many others at a time
+SKETCH_ROWS = 1024  #: sketches of a bucket that are compared with as many others at a time
+SENT_ROWS = 1 << 20  #: decisions on rows, of 17 bytes, that are sent to every task; more are joined by exchange
 COLUMNS = 4096  #: shingles of a block that are looked at together
 SMALL_GROUP = 8  #: candidates; pairs of larger groups are not told one by one
 HUB_ROWS = 4096  #: candidates of one hub that are measured by the same task
@@ -360,10 +362,10 @@ def _may_link(seated: DataFrame, share: int, whole: int) -> DataFrame:
 
 
 def _texts_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """``keys`` (``key`` and other columns) with the text of each key; copies leave a task once."""
+    """``key, text`` for each of ``keys``; copies leave a task once."""
     once = Window.partitionBy("key").orderBy(F.lit(1))
     texts = rows.select("key", "text").withColumn("place", F.row_number().over(once)).filter("place = 1").drop("place")
-    return texts.join(keys, "key")
+    return texts.join(keys.select("key"), "key", "left_semi")
 
 
 def _short(shingles: np.ndarray) -> np.ndarray:
@@ -381,7 +383,7 @@ def _surely_linked(size: int, short: np.ndarray, other_size: int, other: np.ndar
     return common > 0 and common * whole >= share * (size + other_size - common)
 
 
-def _links_to_hubs(rows: DataFrame, seats: DataFrame, width: int, share: int, whole: int) -> DataFrame:
+def _links_to_hubs(texts: DataFrame, seats: DataFrame, width: int, share: int, whole: int) -> DataFrame:
     """``a, b``: hubs and those of their candidates that surely link with them.
 
     ``seats``: ``key, hub, node``, a row for each candidate and one for each hub itself. Rows
@@ -410,7 +412,7 @@ def _links_to_hubs(rows: DataFrame, seats: DataFrame, width: int, share: int, wh
                     found.append((node, place[0]))
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    sets = _sets(_texts_of(rows, dealt), build, "hub long, turn int, leads boolean, node long, size int, short binary", *kept)
+    sets = _sets(texts.join(dealt, "key"), build, "hub long, turn int, leads boolean, node long, size int, short binary", *kept)
     return sets.repartition("hub", "turn").sortWithinPartitions("hub", "turn", F.desc("leads")).mapInArrow(tidied(measure), "a long, b long")
 
 
@@ -421,7 +423,7 @@ def _paired(buckets: DataFrame, described: DataFrame) -> DataFrame:
     band of the largest: that one is sent.
     """
     banded = buckets.join(described.select("node", "band"), "node")
-    sizes = banded.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"), F.max("band").alias("top"))
+    sizes = banded.groupBy("bucket").agg(F.ceil(F.count("*") / SKETCH_ROWS).cast("int").alias("blocks"), F.max("band").alias("top"))
     placed = banded.join(sizes, "bucket").withColumn("at", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.col("bucket").alias("hub"), F.least("at", "other").alias("low"), F.greatest("at", "other").alias("high"), "node", (F.col("band") < F.col("top")).alias("below")
@@ -474,7 +476,7 @@ def similar_groups(sets: list[np.ndarray], share: int, whole: int) -> np.ndarray
     return _first_reached(linked)
 
 
-def _links(rows: DataFrame, seated: DataFrame, width: int, share: int, whole: int) -> DataFrame:
+def _links(texts: DataFrame, seated: DataFrame, width: int, share: int, whole: int) -> DataFrame:
     """``a, b``: connections within every two blocks, one for each set that is linked.
 
     ``seated``: ``key, hub, low, high, node``.
@@ -505,7 +507,7 @@ def _links(rows: DataFrame, seated: DataFrame, width: int, share: int, whole: in
         if len(nodes) > 1:
             yield done()
 
-    sets = _sets(_texts_of(rows, seated), build, "hub long, low long, high long, node long, shingles array<long>", *kept)
+    sets = _sets(texts.join(seated, "key"), build, "hub long, low long, high long, node long, shingles array<long>", *kept)
     return sets.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node").mapInArrow(tidied(measure), "a long, b long")
 
 
@@ -539,14 +541,16 @@ def linked_sets(rows: DataFrame, named: DataFrame, width: int, threshold: tuple[
     hubs = groups_.join(meets, "node").groupBy("group").agg(F.max(rank)["node"].alias("hub"))
     members = written(groups_.join(hubs, "group").select("hub", "node").join(described.select("node", "key"), "node"), "join-members")
     forget(spark, groups_, meets, described)
-    first = written(_links_to_hubs(rows, members, width, share, whole), "join-links")
+    texts = written(_texts_of(rows, members), "join-texts")
+    forget(spark)
+    first = written(_links_to_hubs(texts, members, width, share, whole), "join-links")
     forget(spark)
     placed = members.join(components(first), "node", "left").withColumn("label", F.coalesce("label", "node"))
     undecided = placed.groupBy("hub").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("hub")
     placed = written(placed.join(undecided, "hub", "left_semi"), "join-undecided")
     seated = _seated(placed.drop("key")).join(placed.select("node", "key"), "node")
-    links = written(_links(rows, seated, width, share, whole), "join-links")
-    forget(spark, members, placed)
+    links = written(_links(texts, seated, width, share, whole), "join-links")
+    forget(spark, members, placed, texts)
     return components(first.unionByName(links))
 
 
@@ -596,14 +600,16 @@ def without_copies(docs: DataFrame, *, width: int = WIDTH, threshold: tuple[int,
     least = labelled.groupBy("label").agg(F.min("row").alias("least"))
     judged = labelled.join(least, "label").withColumn("stays", F.col("row").eqNullSafe(F.col("least"))).filter("not stays or n > 1")
     judged = written(judged.select(F.col("row.doc_id").alias(number), F.col("row.key").alias(key), F.col("stays").alias(stays)), "join-gone")
+    few = judged.count() <= SENT_ROWS
 
     # Only rows that repeat as a whole are brought together to choose one; other texts stay where they are.
     keyed = docs.withColumns({own: column(doc_id).cast("long"), hashed: F.xxhash64(F.coalesce(column(text), F.lit("")))})
     same = F.col(own).eqNullSafe(F.col(number)) & (F.col(hashed) == F.col(key))
     hashable = [column(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
     once = Window.partitionBy(own, hashed).orderBy(F.xxhash64(*hashable))
-    repeated = keyed.join(judged.filter(F.col(stays)), same, "left_semi").withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1)
-    single = keyed.join(judged, same, "left_anti")
+    sent = F.broadcast if few else lambda table: table
+    repeated = keyed.join(sent(judged.filter(F.col(stays))), same, "left_semi").withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1)
+    single = keyed.join(sent(judged), same, "left_anti")
     return single.select(*map(column, docs.columns)).unionByName(repeated.select(*map(column, docs.columns)))
 
 
