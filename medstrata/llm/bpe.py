@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from medstrata.llm.common import fresh, pieces
+from medstrata.llm.common import fresh, pieces, tidied
 
 LEAF = 4096  #: code points that are encoded at once
 WINDOW = 32  #: bytes on either side of a join, at first
@@ -170,7 +170,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ids = encoder.encode([t or "" for t in rows.column(text).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*rows.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -184,7 +184,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             texts = [encoder.decode(x.as_py() or []) for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, name])
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(tidied(run), schema)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

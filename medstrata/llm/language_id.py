@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from medstrata.llm.common import column, flat, fresh, pieces, written
+from medstrata.llm.common import column, flat, fresh, pieces, tidied, written
 
 SAMPLE = 20_000  #: labelled rows that letters are counted in, about; chosen by a hash of the row
 AT_ONCE = 1 << 20  #: bytes of text that are scored at a time
@@ -91,7 +91,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int =
             cell = np.flatnonzero(hits)
             yield pa.RecordBatch.from_arrays([pa.array([language] * len(cell), pa.string()), pa.array(cell), pa.array(hits[cell].astype(np.int64))], names=["label", "cell", "n"])
 
-    counted = labelled.select(column(label).cast("string").alias("label"), column(text).alias("text")).mapInArrow(count, "label string, cell long, n long")
+    counted = labelled.select(column(label).cast("string").alias("label"), column(text).alias("text")).mapInArrow(tidied(count), "label string, cell long, n long")
     found = counted.groupBy("label", "cell").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(set(found["label"])))
     table = np.full((CELLS, len(languages) + 1), 0.5)
@@ -128,7 +128,7 @@ def with_likelihoods(docs: DataFrame, letters: Letters, text: str = "text") -> t
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(scores.ravel()), scores.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*some.columns, lists], names=[*some.schema.names, name])
 
-    return docs.mapInArrow(run, schema), name
+    return docs.mapInArrow(tidied(run), schema), name
 
 
 def fuse(scored: DataFrame, languages: tuple[str, ...], likelihoods: str, declared: str | None, address: str | None) -> tuple[DataFrame, list[str]]:
