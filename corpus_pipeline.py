@@ -40,9 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document given out, and digests of the ids and of the text they decode to."""
     ready(spark)
-    path = bpe.tokenizer_file(VOCABULARY)
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), bpe.tokenizer_file(VOCABULARY)).select(
         "doc_id",
         "lang",
         "source",

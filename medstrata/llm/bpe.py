@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from medstrata.llm.common import fresh, pieces, tidied
+from medstrata.llm.common import column, fresh, pieces, tidied
 
 LEAF = 4096  #: code points that are encoded at once
 WINDOW = 32  #: bytes on either side of a join, at first
@@ -187,10 +187,30 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return encoded.mapInArrow(tidied(run), schema)
 
 
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` without the text, with ``ids`` as :func:`encode` and ``decoded`` as :func:`decode` give them.
+
+    One worker of a task does both, so a core holds the vocabulary once.
+    """
+    kept = docs.drop(column(text))
+    ids, decoded = fresh(kept, "ids", "decoded")
+    schema = kept.select("*", F.array().cast("array<int>").alias(ids), F.lit("").alias(decoded)).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder.of(path)
+        for batch in batches:
+            for rows in pieces(batch, text, AT_ONCE):
+                found = encoder.encode([t or "" for t in rows.column(text).to_pylist()])
+                others = [c for i, c in enumerate(rows.columns) if rows.schema.names[i] != text]
+                made = [pa.array(found, pa.list_(pa.int32())), pa.array(map(encoder.decode, found), pa.string())]
+                yield pa.RecordBatch.from_arrays([*others, *made], names=schema.names)
+
+    return docs.mapInArrow(tidied(run), schema)
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of documents."""
-    decoded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
-    return decoded.select(
+    return round_trip(docs.select("doc_id", "text"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

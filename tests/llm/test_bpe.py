@@ -1,10 +1,13 @@
 import hashlib
 import random
+import re
 
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from medstrata.llm.bpe import Encoder, decode, digests, encode, tokenizer_file
+import corpus_pipeline
+from medstrata.llm.bpe import Encoder, decode, digests, encode, round_trip, tokenizer_file
+from tests.helpers import plan
 from tests.llm.helpers import HARD_TEXTS, documents, empty, prose, with_clashes
 
 PATH = tokenizer_file("byte_bpe_50k.json")
@@ -52,3 +55,14 @@ def test_tables(spark, library):
         assert d["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert d["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
     assert digests(empty(spark), PATH).count() == 0
+
+
+def test_one_vocabulary_a_core(spark, tmp_path):
+    docs = with_clashes(documents(spark, [(1, "a b"), (2, None)]), "ids", "decoded")
+    rows = round_trip(docs, PATH).orderBy("doc_id").collect()
+    assert [r["_decoded"] for r in rows] == ["a b", ""] and rows[0]["ids"] == "own" and "text" not in rows[0]
+    docs.write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    stages = dict(corpus_pipeline.STAGES)
+    for made in (digests(stored, PATH), stages["bpe"](spark, stored, "")):
+        assert len(re.findall(r"\bMapInArrow\b", plan(made))) == 1
