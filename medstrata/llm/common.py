@@ -48,10 +48,10 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: read twice, computed once, lineage cut."""
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.written_to = path
     return table

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,8 @@ PART_BYTES = 24 << 20  #: bytes of text for one part of the pairs
 BEGIN = 0x1D8AF066  #: stands for the unit before a text's first
 COUNT_UNITS = 1_000_000  #: units that one task counts
 LEARN_UNITS = 200_000  #: units that one task learns from, about; all of them are learned from
+ROUNDS = 4  #: in which texts are scored at most, so that one round's exchanges are on disk at a time
+ROUND_BYTES = 64 << 20  #: bytes of text for a round, at least
 LEAD = 2  #: bytes in front of a unit: the text's kind, and how the unit before ended
 END = 0xFF  #: stands for the text's end; no byte of a text is like it
 
@@ -173,9 +176,22 @@ def _before(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 BLOCKS = (
     "block long, words array<string>, leads array<int>, ends array<int>, times array<long>, "
-    "doc_ids array<long>, held array<boolean>, kinds array<int>, sizes array<long>, uses array<int>, names array<long>, sequence array<int>"
+    "doc_ids array<long>, held array<boolean>, kinds array<int>, sizes array<long>, uses array<int>, names array<long>, sequence binary"
 )
-_BLOCK_TYPES = [pa.int64(), pa.list_(pa.string()), *[pa.list_(t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32())]]
+_BLOCK_TYPES = [pa.int64(), pa.list_(pa.string()), *[pa.list_(t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.int64())], pa.binary()]
+
+
+def packed(sequence: np.ndarray) -> bytes:
+    """A sequence of numbers, of which small ones are the most frequent, as compressed bytes: all first bytes, then all second ones, and so on."""
+    return pa.compress(np.ascontiguousarray(sequence.astype("<i4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True) if len(sequence) else b""
+
+
+def unpacked(data: bytes, count: int) -> np.ndarray:
+    """The ``count`` numbers that :func:`packed` got."""
+    if not count:
+        return np.zeros(0, np.int32)
+    planes = np.frombuffer(pa.decompress(data, 4 * count, codec="zstd", asbytes=True), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 def block_row(number: int, ids: pa.Array, texts: pa.Array, held: np.ndarray, centres: np.ndarray) -> pa.RecordBatch:
@@ -184,6 +200,9 @@ def block_row(number: int, ids: pa.Array, texts: pa.Array, held: np.ndarray, cen
     kinds = np.concatenate([kinds_of(letters(data, starts[slice(*r)], ends[slice(*r)], owner[slice(*r)] - a, b - a), centres) for a, b, r in _texts(owner, len(ids))])
     lead = kinds[owner] * 8 + _before(data, starts, ends)
     unit, different = pd.factorize(mixed(names + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    turn = np.empty(len(different), np.int64)  # numbers by frequency
+    turn[np.argsort(-np.bincount(unit, minlength=len(different)), kind="stable")] = np.arange(len(different))
+    unit = turn[unit]
     first = np.empty(len(different), np.int64)
     first[unit[::-1]] = np.arange(len(unit))[::-1]
     times = np.bincount(unit, weights=~held[owner], minlength=len(first)).astype(np.int64)
@@ -200,12 +219,12 @@ def block_row(number: int, ids: pa.Array, texts: pa.Array, held: np.ndarray, cen
         np.bincount(owner, weights=ends + 1 - starts, minlength=len(ids)).astype(np.int64) - 1,
         np.bincount(owner, minlength=len(ids)),
         names[first].view(np.int64),
-        unit,
     ]
     arrays = [pa.array([row[0]], pa.int64())]
-    for value, kind in zip(row[1:], _BLOCK_TYPES[1:]):
+    for value, kind in zip(row[1:], _BLOCK_TYPES[1:-1]):
         flat_values = value.cast(kind.value_type) if isinstance(value, pa.Array) else pa.array(value, kind.value_type) if isinstance(value, list) else pa.array(value).cast(kind.value_type)
         arrays.append(pa.ListArray.from_arrays(pa.array([0, len(flat_values)], pa.int32()), flat_values))
+    arrays.append(pa.array([packed(unit)], _BLOCK_TYPES[-1]))
     return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in BLOCKS.split(", ")])
 
 
@@ -240,6 +259,12 @@ def _parted(context: np.ndarray, pair: np.ndarray, parts: int) -> tuple[np.ndarr
     return first[order], np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64)), turn[which]
 
 
+def _run_lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each run of equal values, and how long it is."""
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
+    return values[starts], np.diff(np.append(starts, len(values))).astype(np.int32)
+
+
 PAIR_COUNTS = "block long, part int, counts binary, contexts array<long>, totals array<long>, followers array<long>, ones long, twos long"
 
 
@@ -249,30 +274,43 @@ def pair_counts(blocks: DataFrame, parts: int) -> DataFrame:
     A pair costs a few bytes for each block it is in, and a part gets it once from each.
     """
 
+    sent_names = ["contexts", "lengths", "different", "pairs", "times"]
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                names, uses, sequence, held = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("names", "uses", "sequence", "held"))
+                names, uses, held = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("names", "uses", "held"))
+                sequence = unpacked(batch.column("sequence")[i].as_py(), int(uses.sum()))
                 text, _, context, pair = pairs_of(names, uses, sequence)
                 first, bounds, which = _parted(context, pair, parts)
                 times = np.bincount(which, weights=~held[text], minlength=len(first)).astype(np.int32)
                 some = [slice(a, b) for a, b in zip(bounds, bounds[1:])]
-                columns = [[x[s].tobytes() for s in some] for x in (context[first], pair[first], times)]
+                runs = [_run_lengths(context[first[s]]) for s in some]
+                columns = [
+                    [packed(r[0].view(np.int32).reshape(-1, 2).T.ravel()) for r in runs],
+                    [packed(r[1]) for r in runs],
+                    [len(r[1]) for r in runs],
+                    [pair[first[s]].tobytes() for s in some],
+                    [packed(times[s]) for s in some],
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("block")[i].as_py()] * parts, pa.int64()), pa.array(range(parts), pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
-                    names=["block", "part", "contexts", "pairs", "times"],
+                    [pa.array([batch.column("block")[i].as_py()] * parts, pa.int64()), pa.array(range(parts), pa.int32()), *(pa.array(c, pa.int32() if n == "different" else pa.binary()) for n, c in zip(sent_names, columns))],
+                    names=["block", "part", *sent_names],
                 )
 
     def add(rows: pa.Table) -> pa.Table:
-        sent = [np.concatenate([np.frombuffer(v, t) for v in rows[c].to_pylist()]) for c, t in (("contexts", np.int64), ("pairs", np.int64), ("times", np.int32))]
-        which, different = pd.factorize(sent[1])
-        count = np.bincount(which, weights=sent[2], minlength=len(different)).astype(np.int64)
+        got = {n: rows[n].to_pylist() for n in sent_names}
+        pair = [np.frombuffer(v, np.int64) for v in got["pairs"]]
+        which, different = pd.factorize(np.concatenate(pair))
+        times = np.concatenate([unpacked(v, len(p)) for v, p in zip(got["times"], pair)])
+        count = np.bincount(which, weights=times, minlength=len(different)).astype(np.int64)
         context = np.empty(len(different), np.int64)
-        context[which] = sent[0]
+        names = [unpacked(v, 2 * n).reshape(2, -1).T.copy().view(np.int64).ravel() for v, n in zip(got["contexts"], got["different"])]
+        context[which] = np.concatenate([np.repeat(c, unpacked(v, n)) for c, v, n in zip(names, got["lengths"], got["different"])])
         place, contexts = pd.factorize(context[count > 0])
         totals = np.bincount(place, weights=count[count > 0], minlength=len(contexts)).astype(np.int64)
         followers = np.bincount(place, minlength=len(contexts))
-        cuts = np.cumsum([len(v) // 4 for v in rows["times"].to_pylist()])
+        cuts = np.cumsum([len(p) for p in pair])
         back = [c.astype(np.int32).tobytes() for c in np.split(count[which], cuts[:-1])]
         n = rows.num_rows  # counts of the blocks, and one row more for the part
         lists = [pa.array([None] * n + [x], pa.list_(pa.int64())) for x in (contexts, totals, followers)]
@@ -287,7 +325,7 @@ def pair_counts(blocks: DataFrame, parts: int) -> DataFrame:
             names=[c.split()[0] for c in PAIR_COUNTS.split(", ")],
         )
 
-    sent = blocks.select("block", "held", "uses", "names", "sequence").mapInArrow(send, "block long, part int, contexts binary, pairs binary, times binary")
+    sent = blocks.select("block", "held", "uses", "names", "sequence").mapInArrow(send, "block long, part int, contexts binary, lengths binary, different int, pairs binary, times binary")
     return sent.groupBy("part").applyInArrow(add, PAIR_COUNTS)
 
 
@@ -428,14 +466,14 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
             yield block_row(number, some.column("doc_id"), some.column("text"), is_out, centres)
             number += 1
 
-    blocks = written(rows.mapInArrow(block, BLOCKS), "lm-blocks")
+    blocks = written(rows.mapInArrow(block, BLOCKS), "lm-blocks", "zstd")
     found = blocks.select(F.explode(F.arrays_zip("words", "leads", "ends", "times", "names")).alias("u"))
     found = found.select(*(F.col(f"u.{many}").alias(one) for many, one in (("words", "word"), ("leads", "lead"), ("ends", "end"), ("times", "n"), ("names", "name"))))
     plain = F.translate("word", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     units = found.groupBy("name", "word", "lead", "end").agg(F.sum("n").alias("exact")).withColumn("plain", plain)
     alike = Window.partitionBy("plain")  # a word's spellings, leads and endings
     units = units.withColumn("c", F.when(F.col("word") == "", -1).otherwise(F.sum("exact").over(alike)))
-    units = written(units.withColumn("first", F.row_number().over(alike.orderBy("lead", "end", "word")) == 1).drop("plain"), "lm-units")
+    units = written(units.withColumn("first", F.row_number().over(alike.orderBy("lead", "end", "word")) == 1).drop("plain"), "lm-units", "zstd")
     forget(spark)
     sums = units.filter("first and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     texts = blocks.select(F.explode(F.arrays_zip("held", "kinds")).alias("d")).filter("not d.held")
@@ -450,13 +488,14 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
         ones, twos = ones + r["ones"], twos + r["twos"]
     unit_less = discount(ones, twos)
 
-    parts = max(1, -(-text_bytes(rows) // PART_BYTES))
-    pairs = written(pair_counts(blocks, parts), "lm-pairs")
+    size = text_bytes(rows)
+    parts = max(1, -(-size // PART_BYTES))
+    pairs = written(pair_counts(blocks, parts), "lm-pairs", "zstd")
     seen = pairs.agg(F.coalesce(F.sum("ones"), F.lit(0)), F.coalesce(F.sum("twos"), F.lit(0))).first()
     pair_less = discount(*seen)
     contexts = pairs.filter("contexts is not null").select(F.explode(F.arrays_zip("contexts", "totals", "followers")).alias("c"))
     contexts = contexts.groupBy(F.col("c.contexts").alias("name")).agg(F.sum("c.totals").alias("total"), F.sum("c.followers").alias("followers"))
-    contexts = written(contexts, "lm-contexts")
+    contexts = written(contexts, "lm-contexts", "zstd")
     forget(spark)
     begin = contexts.filter(F.col("name") == BEGIN).first()
     begin = (begin["total"], begin["followers"]) if begin else (0, 0)
@@ -466,6 +505,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
     tables = spark.sparkContext.broadcast(_counted(train_units.coalesce(max(1, -(-known_units // COUNT_UNITS)))))
     dealt = train_units.repartition(max(1, -(-known_units // LEARN_UNITS)), "name", "lead").sortWithinPartitions(F.xxhash64("name", "lead"))
     model = spark.sparkContext.broadcast(_learned(dealt, tables))
+    forget(spark)
 
     kept = ["name", "lead", "c", "total", "followers"]
 
@@ -481,11 +521,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(log.astype(np.float32))], names=[*kept, "log"])
 
     followed = units.join(contexts, "name", "left").fillna(0, ["total", "followers"]).select(*kept, "word", "end", "exact")
-    rated = written(followed.mapInArrow(rate, "name long, lead int, c long, total long, followers long, log float"), "lm-rated")
+    rated = written(followed.mapInArrow(rate, "name long, lead int, c long, total long, followers long, log float"), "lm-rated", "zstd")
     forget(spark, units, contexts)
     held_by = blocks.select(F.col("block").alias("of_block"), F.posexplode(F.arrays_zip("names", "leads")).alias("place", "u"))
     held_by = held_by.select("of_block", "place", F.col("u.names").alias("name"), F.col("u.leads").alias("lead"))
-    known = held_by.join(rated, ["name", "lead"]).select("of_block", "place", "log", "c", "total", "followers")
+    known = written(held_by.join(rated, ["name", "lead"]).select("of_block", "place", "log", "c", "total", "followers"), "lm-known", "zstd")
+    forget(spark, rated)
     prior = np.log10(np.array([kinds.get(k, 0) + 1 for k in range(KINDS)]) / (trained + KINDS))
     whole = tokens + vocabulary + 1
 
@@ -494,8 +535,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
             return _none()
         order = np.argsort(right["place"].to_numpy())
         log, c, total, followers = (right[n].to_numpy()[order] for n in ("log", "c", "total", "followers"))
-        row = {n: left[n][0].values.to_numpy(zero_copy_only=False) for n in ("held", "kinds", "sizes", "uses", "names", "sequence")}
-        uses, unit = row["uses"], row["sequence"].astype(np.int64)
+        row = {n: left[n][0].values.to_numpy(zero_copy_only=False) for n in ("held", "kinds", "sizes", "uses", "names")}
+        uses = row["uses"]
+        unit = unpacked(left["sequence"][0].as_py(), int(uses.sum())).astype(np.int64)
         text, before, context, pair = pairs_of(row["names"], uses, unit)
         _, _, which = _parted(context, pair, parts)
         back = sorted(left["back"][0].as_py(), key=lambda r: r["part"])
@@ -519,9 +561,18 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
         columns = [left["doc_ids"][0].values, row["held"], tokens_of, known_of, np.full(len(uses), tokens), base, total, row["kinds"], row["sizes"], pa.array(bits, from_pandas=True)]
         return pa.table([pa.array(v) if not isinstance(v, pa.Array) else v for v in columns], names=_SCORE_NAMES).cast(_none().schema)
 
-    back = pairs.filter("block is not null").groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("back"))
-    texts = blocks.select("block", "doc_ids", "held", "kinds", "sizes", "uses", "names", "sequence").join(back, "block")
-    return texts.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(put_together, SCORES)
+    rounds = max(1, min(ROUNDS, size // ROUND_BYTES))
+    tasks = ((blocks.agg(F.max("block")).first()[0] or 0) >> 32) + 1  # that wrote blocks; those of one are scored in one round
+    scored = []
+    for i in range(rounds):
+        ours = lambda name: F.col(name).between((tasks * i // rounds) << 32, ((tasks * (i + 1) // rounds) << 32) - 1)  # noqa: E731, B023
+        back = pairs.filter(ours("block")).groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("back"))
+        texts = blocks.filter(ours("block")).select("block", "doc_ids", "held", "kinds", "sizes", "uses", "names", "sequence").join(back, "block")
+        scores = texts.groupBy("block").cogroup(known.filter(ours("of_block")).groupBy("of_block")).applyInArrow(put_together, SCORES)
+        scored.append(written(scores, "lm-scores"))
+        forget(spark)
+    forget(spark, blocks, pairs, known)
+    return reduce(DataFrame.unionByName, scored)
 
 
 _SCORE_NAMES = [c.split()[0] for c in SCORES.split(", ")]

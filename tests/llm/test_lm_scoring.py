@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 
 from medstrata.llm import context_mix as cm, lm_scoring as lm
+from medstrata.session import shared_dir
+from medstrata.sources import folders
 from tests.llm.helpers import HARD_TEXTS, documents, empty, prose, with_clashes
 
 
@@ -138,3 +140,22 @@ def test_units_after_a_unit_are_a_distribution():
     less = lm.discount(2, 1)
     assert (np.maximum(counts - less, 0).sum() + less * len(counts)) / counts.sum() == pytest.approx(1)
     assert (lm._earlier(np.array([3, 1, 3, 3, 1])) == [0, 0, 1, 2, 1]).all()
+
+
+def test_rounds_and_what_stays_on_disk(spark, monkeypatch):
+    docs = documents(spark, [(i, prose(i, 300)) for i in range(40)]).repartition(6, "doc_id")
+    there = lambda: set(folders.matching(spark, f"{shared_dir(spark)}/lm-*"))
+    before, columns = there(), ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+    once = [tuple(r) for r in lm.score(docs).select(columns).orderBy("doc_id").collect()]
+    monkeypatch.setattr(lm, "ROUND_BYTES", 1)
+    made = lm.score(docs).select(columns).orderBy("doc_id")
+    left = {f.rpartition("/")[2].rpartition("-")[0] for f in there() - before}
+    assert left <= {"lm-scores"}  # no working table is kept beside the result
+    assert [tuple(r) for r in made.collect()] == [tuple(pytest.approx(v, rel=1e-9) if isinstance(v, float) else v for v in r) for r in once]
+
+
+def test_packed_sequences():
+    numbers = np.random.default_rng(1).zipf(1.5, 20_000).clip(0, 1 << 30).astype(np.int64)
+    for some in (numbers, numbers[:1], numbers[:0]):
+        assert (lm.unpacked(lm.packed(some), len(some)) == some).all()
+    assert len(lm.packed(numbers)) < 1.5 * len(numbers)
