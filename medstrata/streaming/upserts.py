@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from medstrata.operators.dedupe import COMMIT_ORDER, latest_per_key
 from medstrata.operators.enrich import left_enrich
 from medstrata.operators.upsert import (
-    apply_history, changed_versions, rows_to_insert, upsert_newest,
+    apply_history, changed_versions, rows_to_insert, upsert_newest, upsert_newest_at_once,
 )
 from medstrata.sources import changelog
 from medstrata.sources.tables import KEPT_VERSIONS, expire, merge_bucketed, read_bucketed, replace_content
@@ -40,6 +40,8 @@ class UpsertSpec:
 
 # Seconds that a merge waits for another writer of its table.
 WAIT = 600.0
+# A batch with this share of the rows that it is merged into, or more, is not small.
+LARGE_SHARE = 0.25
 
 
 def upsert_stream(
@@ -49,7 +51,7 @@ def upsert_stream(
 
     The table keeps the commit columns of its rows, see :func:`upsert_newest`.
     """
-    newest = partial(upsert_newest, tie_break=spec.tie_break)
+    newest = partial(merge_newest, tie_break=spec.tie_break)
 
     def merge(batch: DataFrame, number: int) -> None:
         latest = latest_per_key(spec.prepare(batch), spec.keys, COMMIT_ORDER, spec.tie_break)
@@ -74,6 +76,21 @@ def upsert_stream(
     return run_stream(source, merge, checkpoint, mode)
 
 
+def merge_newest(
+    before: DataFrame, latest: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`upsert_newest` in the form that suits the sizes: footers and a kept batch are counted.
+
+    A small batch is broadcast; a large one meets the target in one join; without any
+    target row the batch is the result.
+    """
+    there = before.count()
+    if not there:
+        return latest.select(*before.columns)
+    large = latest.count() >= LARGE_SHARE * there
+    return (upsert_newest_at_once if large else upsert_newest)(before, latest, keys, tie_break)
+
+
 def applied_changes(
     before: DataFrame, latest: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
 ) -> DataFrame:

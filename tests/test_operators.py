@@ -1,6 +1,7 @@
 """Gates, deduplication, enrichment, upserts, history and change capture."""
 
 import datetime as dt
+import re
 from collections import Counter
 
 import pytest
@@ -15,7 +16,9 @@ from medstrata.operators.enrich import (
 )
 from medstrata.operators.upsert import (
     apply_history, changed_versions, insert_new, open_versions, upsert_latest, upsert_newest,
+    upsert_newest_at_once,
 )
+from medstrata.streaming.upserts import merge_newest
 from tests.helpers import plan, rows, same
 
 T1, T2, T3 = (dt.datetime(2025, m, 1) for m in (1, 2, 3))
@@ -167,6 +170,20 @@ def test_upsert_newest_ignores_the_order_of_arrival(spark):
     assert rows(forward, "k", "v") == {("a", 2): 1, ("b", 1): 1}
 
 
+def test_a_large_batch_meets_the_target_in_one_join(spark):
+    schema = "k string, there int, _commit_version long, _commit_timestamp timestamp"
+    target = spark.createDataFrame(
+        [("a", 1, 1, T1), ("b", 1, 3, T1), ("c", 1, None, T1), (None, 1, 1, T1), ("d", None, 2, T2), ("e", 1, 1, T1)], schema
+    )
+    batch = spark.createDataFrame(
+        [("a", 2, 2, T2), ("b", 2, 2, T2), ("c", 2, 0, None), (None, 2, 9, T1), ("d", 2, 2, T2), ("f", None, 1, T1)], schema
+    )
+    for old, new in ((target, batch), (batch, target), (target.limit(0), batch), (target, batch.limit(0))):
+        same(upsert_newest_at_once(old, new, ["k"]), upsert_newest(old, new, ["k"]))
+        same(merge_newest(old, new, ["k"]), upsert_newest(old, new, ["k"]))
+    assert len(re.findall(r"Join .*Full|Join .*Left", plan(merge_newest(target, batch, ["k"])))) == 1
+
+
 def test_insert_new_never_updates(spark):
     target = spark.createDataFrame([("a", 1)], "k string, v int")
     batch = spark.createDataFrame([("a", 9), ("b", 2)], "k string, v int")
