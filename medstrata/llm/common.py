@@ -167,7 +167,7 @@ RUN = 1 << 20  #: bytes that are hashed together
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(base: int, count: int) -> np.ndarray:
+def powers(base: int, count: int) -> np.ndarray:
     """1, base, base**2, ... modulo 2**64; the worker keeps as many as a run has bytes."""
     kept = _POWERS.get(base)
     if kept is None or len(kept) < count:
@@ -203,8 +203,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
         last = max(done + 1, int(np.searchsorted(ends, starts[done] + RUN, side="right")))
         a, b = starts[done], ends[last - 1]
         sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(codes[data[a:b]] * _powers(base, b - a), out=sums[1:])
+        np.cumsum(codes[data[a:b]] * powers(base, b - a), out=sums[1:])
         s, e = starts[done:last] - a, ends[done:last] - a
-        out[done:last] = (sums[e] - sums[s]) * _powers(pow(base, -1, 1 << 64), b - a)[s]
+        out[done:last] = (sums[e] - sums[s]) * powers(pow(base, -1, 1 << 64), b - a)[s]
         done = last
     return mixed(out + (ends - starts).astype(np.uint64) * _GOLDEN)

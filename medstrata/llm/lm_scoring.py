@@ -1,9 +1,10 @@
 """Scoring of texts with a model that mixes contexts, learned from part of the documents.
 
 A text is a sequence of units: characters up to and with a white space or the text's end.
-Texts are read once. Each block of texts becomes one row: the units it holds and their
-sequence in its texts. All units of the training texts make the model; each different
-unit is spelled by the context mix once and joined to the blocks that hold it.
+Texts are read for their letters, then once more: each block of texts becomes one row, of
+the units it holds and their sequence in its texts. All units of the training texts make the
+model. Units are dealt to parts by their word; a block sends each part the units it holds in
+one row, and gets one back, after the context mix has spelled each different unit once.
 
 A unit is predicted from the one before it: from exact counts of all pairs of neighbours
 in the training texts, less a discount whose mass goes to the exact counts of units by
@@ -29,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from medstrata.llm import context_mix
 from medstrata.llm.common import column, flat, forget, gathered, mixed, pieces, span_hashes, text_bytes, written
@@ -40,10 +41,9 @@ KIND_ROUNDS = 5  #: in which their centres move
 KIND_CELLS = 256  #: classes of pairs of letters that tell kinds apart, half of them at a unit's begin, half at its end
 ADAPT = 1000.0  #: units' worth of the model against the text's own units
 PAIR_ADAPT = 8.0  #: units' worth of all that against what followed the unit before within the text
-PART_BYTES = 24 << 20  #: bytes of text for one part of the pairs
+PART_BYTES = 24 << 20  #: bytes of text for one part of the units, and of the pairs
 BEGIN = 0x1D8AF066  #: stands for the unit before a text's first
 COUNT_UNITS = 1_000_000  #: units that one task counts
-LEARN_UNITS = 200_000  #: units that one task learns from, about; all of them are learned from
 ROUNDS = 4  #: in which texts are scored at most, so that one round's exchanges are on disk at a time
 ROUND_BYTES = 64 << 20  #: bytes of text for a round, at least
 LEAD = 2  #: bytes in front of a unit: the text's kind, and how the unit before ended
@@ -175,57 +175,106 @@ def _before(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 
 BLOCKS = (
-    "block long, words array<string>, leads array<int>, ends array<int>, times array<long>, "
-    "doc_ids array<long>, held array<boolean>, kinds array<int>, sizes array<long>, uses array<int>, names array<long>, sequence binary"
+    "block long, doc_ids array<long>, held array<boolean>, kinds array<int>, sizes array<long>, uses array<int>, "
+    "different int, leads binary, lengths binary, words binary, times binary, sequence binary"
 )
-_BLOCK_TYPES = [pa.int64(), pa.list_(pa.string()), *[pa.list_(t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int32(), pa.int64())], pa.binary()]
+_BLOCK_LISTS = {"doc_ids": pa.int64(), "held": pa.bool_(), "kinds": pa.int32(), "sizes": pa.int64(), "uses": pa.int32()}
+PAIR_BYTES = 5  #: bytes of a pair's hash that, with the context, tell it from others; the rest deals it to a part
+PART_BITS = 24  #: the first bits of a unit's name are those of its word in lower case, and deal it to a part
 
 
-def packed(sequence: np.ndarray) -> bytes:
-    """A sequence of numbers, of which small ones are the most frequent, as compressed bytes: all first bytes, then all second ones, and so on."""
-    return pa.compress(np.ascontiguousarray(sequence.astype("<i4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True) if len(sequence) else b""
+def packed(numbers: np.ndarray, kind: str = "<i4") -> bytes:
+    """Numbers, of which small ones are the most frequent, as compressed bytes: all first bytes, then all second ones, and so on."""
+    return pa.compress(np.ascontiguousarray(numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T), codec="zstd", asbytes=True) if len(numbers) else b""
 
 
-def unpacked(data: bytes, count: int) -> np.ndarray:
+def unpacked(data: bytes, count: int, kind: str = "<i4") -> np.ndarray:
     """The ``count`` numbers that :func:`packed` got."""
+    width = np.dtype(kind).itemsize
     if not count:
-        return np.zeros(0, np.int32)
-    planes = np.frombuffer(pa.decompress(data, 4 * count, codec="zstd", asbytes=True), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data, width * count, codec="zstd", asbytes=True), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _some(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of some spans, one after the other."""
+    ends = np.cumsum(lengths)
+    return data[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def plain_hashes(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each unit's word in lower case, whatever ends it."""
+    ends = np.cumsum(lengths)
+    words = words.copy()
+    words[ends - 1] = 0
+    return span_hashes(words, ends - lengths, ends)
+
+
+def names_of(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each unit; its first PART_BITS are those of its word in lower case."""
+    ends, low = np.cumsum(lengths), np.uint64((1 << (64 - PART_BITS)) - 1)
+    return ((plain_hashes(words, lengths) & ~low) | (span_hashes(words, ends - lengths, ends, lower=False) & low)).view(np.int64)
+
+
+def _spelling(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The different units of a row, one after the other, and how long each is."""
+    return np.frombuffer(row["words"], np.uint8), unpacked(row["lengths"], row["different"]).astype(np.int64)
+
+
+def parts_of(names: np.ndarray, parts: int) -> np.ndarray:
+    """The part that each unit belongs to; all spellings and endings of a word are in one."""
+    return ((names.view(np.uint64) >> np.uint64(64 - PART_BITS)) % np.uint64(parts)).astype(np.int64)
+
+
+def by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, list[slice]]:
+    """An order by part, and the places of each part in it."""
+    order = np.argsort(part, kind="stable")
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    return order, [slice(a, b) for a, b in zip(bounds, bounds[1:])]
+
+
+def _first(which: np.ndarray, count: int) -> np.ndarray:
+    """Where each of ``count`` numbers comes first."""
+    first = np.empty(count, np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]
+    return first
+
+
+def _keys(names: np.ndarray, leads: np.ndarray) -> np.ndarray:
+    """What tells units under their leads apart."""
+    return names.view(np.uint64) + leads.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def block_row(number: int, ids: pa.Array, texts: pa.Array, held: np.ndarray, centres: np.ndarray) -> pa.RecordBatch:
     """One block: its different units, how often training texts hold them, and the sequence of units of each text."""
     data, starts, ends, owner, names = units_of(texts)
     kinds = np.concatenate([kinds_of(letters(data, starts[slice(*r)], ends[slice(*r)], owner[slice(*r)] - a, b - a), centres) for a, b, r in _texts(owner, len(ids))])
-    lead = kinds[owner] * 8 + _before(data, starts, ends)
-    unit, different = pd.factorize(mixed(names + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    lead = (kinds[owner] * 8 + _before(data, starts, ends)).astype(np.uint8)
+    unit, different = pd.factorize(_keys(names, lead))
     turn = np.empty(len(different), np.int64)  # numbers by frequency
     turn[np.argsort(-np.bincount(unit, minlength=len(different)), kind="stable")] = np.arange(len(different))
     unit = turn[unit]
-    first = np.empty(len(different), np.int64)
-    first[unit[::-1]] = np.arange(len(unit))[::-1]
+    first = _first(unit, len(different))
     times = np.bincount(unit, weights=~held[owner], minlength=len(first)).astype(np.int64)
-    raw = data.tobytes()
-    row = [
-        number,
-        [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())],
-        lead[first],
-        data[ends[first]],
-        times,
-        ids,
-        held,
-        kinds,
-        np.bincount(owner, weights=ends + 1 - starts, minlength=len(ids)).astype(np.int64) - 1,
-        np.bincount(owner, minlength=len(ids)),
-        names[first].view(np.int64),
-    ]
-    arrays = [pa.array([row[0]], pa.int64())]
-    for value, kind in zip(row[1:], _BLOCK_TYPES[1:-1]):
-        flat_values = value.cast(kind.value_type) if isinstance(value, pa.Array) else pa.array(value, kind.value_type) if isinstance(value, list) else pa.array(value).cast(kind.value_type)
-        arrays.append(pa.ListArray.from_arrays(pa.array([0, len(flat_values)], pa.int32()), flat_values))
-    arrays.append(pa.array([packed(unit)], _BLOCK_TYPES[-1]))
-    return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in BLOCKS.split(", ")])
+    lengths = ends[first] + 1 - starts[first]
+    words = _some(data, starts[first], lengths)
+    lists = {
+        "doc_ids": ids,
+        "held": pa.array(held),
+        "kinds": pa.array(kinds),
+        "sizes": pa.array(np.bincount(owner, weights=ends + 1 - starts, minlength=len(ids)).astype(np.int64) - 1),
+        "uses": pa.array(np.bincount(owner, minlength=len(ids))),
+    }
+    arrays = [pa.array([number], pa.int64())]
+    arrays += [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), lists[n].cast(t)) for n, t in _BLOCK_LISTS.items()]
+    arrays.append(pa.array([len(first)], pa.int32()))
+    arrays += [pa.array([v], pa.binary()) for v in (lead[first].tobytes(), packed(lengths), words.tobytes(), packed(times), packed(unit))]
+    return pa.RecordBatch.from_arrays(arrays, names=_names(BLOCKS))
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def _texts(owner: np.ndarray, count: int, size: int = 1000) -> list[tuple[int, int, np.ndarray]]:
@@ -247,16 +296,18 @@ def pairs_of(names: np.ndarray, uses: np.ndarray, sequence: np.ndarray) -> tuple
     return text, before, context, pair
 
 
-def _parted(context: np.ndarray, pair: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first place of each different pair, by part and context; where parts begin; and which of them every pair is."""
+def _parted(context: np.ndarray, pair: np.ndarray, parts: int) -> tuple[np.ndarray, list[slice], np.ndarray]:
+    """The first place of each different pair, by part and context; the places of each part; and which of them every pair is."""
     which, different = pd.factorize(pair)
-    first = np.empty(len(different), np.int64)
-    first[which[::-1]] = np.arange(len(which))[::-1]
-    part = (different >> np.uint64(20)) % np.uint64(parts)
-    order = np.lexsort((different, context[first], part))
+    first = _first(which, len(different))
+    part = (different >> np.uint64(8 * PAIR_BYTES)) % np.uint64(parts)
+    bits = parts.bit_length()
+    key = (part << np.uint64(64 - bits)) | (context[first] >> np.uint64(bits))  # few contexts share the bits that are left
+    order = np.argsort(key, kind="stable")
     turn = np.empty(len(order), np.int64)
     turn[order] = np.arange(len(order))
-    return first[order], np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64)), turn[which]
+    bounds = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    return first[order], [slice(a, b) for a, b in zip(bounds, bounds[1:])], turn[which]
 
 
 def _run_lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,11 +316,11 @@ def _run_lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[starts], np.diff(np.append(starts, len(values))).astype(np.int32)
 
 
-PAIR_COUNTS = "block long, part int, counts binary, contexts array<long>, totals array<long>, followers array<long>, ones long, twos long"
+PAIR_COUNTS = "block long, part int, counts binary, of int, names binary, followers binary, begin long, ones long, twos long"
 
 
 def pair_counts(blocks: DataFrame, parts: int) -> DataFrame:
-    """How often training texts hold each pair of a block, and for each context of a part the sum and the number of its pairs.
+    """How often training texts hold each pair of a block; and from each part, for each part of the units, the number of pairs with each context.
 
     A pair costs a few bytes for each block it is in, and a part gets it once from each.
     """
@@ -279,18 +330,18 @@ def pair_counts(blocks: DataFrame, parts: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                names, uses, held = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("names", "uses", "held"))
+                uses, held = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("uses", "held"))
+                names = names_of(*_spelling({c: batch.column(c)[i].as_py() for c in ("different", "lengths", "words")}))
                 sequence = unpacked(batch.column("sequence")[i].as_py(), int(uses.sum()))
                 text, _, context, pair = pairs_of(names, uses, sequence)
-                first, bounds, which = _parted(context, pair, parts)
+                first, some, which = _parted(context, pair, parts)
                 times = np.bincount(which, weights=~held[text], minlength=len(first)).astype(np.int32)
-                some = [slice(a, b) for a, b in zip(bounds, bounds[1:])]
                 runs = [_run_lengths(context[first[s]]) for s in some]
                 columns = [
                     [packed(r[0].view(np.int32).reshape(-1, 2).T.ravel()) for r in runs],
                     [packed(r[1]) for r in runs],
                     [len(r[1]) for r in runs],
-                    [pair[first[s]].tobytes() for s in some],
+                    [pair[first[s]].view(np.uint8).reshape(-1, 8)[:, :PAIR_BYTES].tobytes() for s in some],
                     [packed(times[s]) for s in some],
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -300,32 +351,37 @@ def pair_counts(blocks: DataFrame, parts: int) -> DataFrame:
 
     def add(rows: pa.Table) -> pa.Table:
         got = {n: rows[n].to_pylist() for n in sent_names}
-        pair = [np.frombuffer(v, np.int64) for v in got["pairs"]]
-        which, different = pd.factorize(np.concatenate(pair))
-        times = np.concatenate([unpacked(v, len(p)) for v, p in zip(got["times"], pair)])
+        counts = [len(p) // PAIR_BYTES for p in got["pairs"]]
+        pair = np.zeros((sum(counts), 8), np.uint8)
+        pair[:, :PAIR_BYTES] = np.frombuffer(b"".join(got["pairs"]), np.uint8).reshape(-1, PAIR_BYTES)
+        names = [unpacked(v, 2 * n).reshape(2, -1).T.copy().view(np.int64).ravel() for v, n in zip(got["contexts"], got["different"])]
+        every = np.concatenate([np.repeat(c, unpacked(v, n)) for c, v, n in zip(names, got["lengths"], got["different"])])
+        which, different = pd.factorize(every.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + pair.view(np.uint64).ravel())
+        times = np.concatenate([unpacked(v, n) for v, n in zip(got["times"], counts)])
         count = np.bincount(which, weights=times, minlength=len(different)).astype(np.int64)
         context = np.empty(len(different), np.int64)
-        names = [unpacked(v, 2 * n).reshape(2, -1).T.copy().view(np.int64).ravel() for v, n in zip(got["contexts"], got["different"])]
-        context[which] = np.concatenate([np.repeat(c, unpacked(v, n)) for c, v, n in zip(names, got["lengths"], got["different"])])
+        context[which] = every
         place, contexts = pd.factorize(context[count > 0])
-        totals = np.bincount(place, weights=count[count > 0], minlength=len(contexts)).astype(np.int64)
         followers = np.bincount(place, minlength=len(contexts))
-        cuts = np.cumsum([len(p) for p in pair])
+        cuts = np.cumsum(counts)
         back = [c.astype(np.int32).tobytes() for c in np.split(count[which], cuts[:-1])]
-        n = rows.num_rows  # counts of the blocks, and one row more for the part
-        lists = [pa.array([None] * n + [x], pa.list_(pa.int64())) for x in (contexts, totals, followers)]
+        sums = int(followers[contexts == BEGIN].sum()), int((count == 1).sum()), int((count == 2).sum())
+        order, some = by_part(parts_of(contexts, parts), parts)
+        n = rows.num_rows  # counts of the blocks, and a row more for each part of the units
         return pa.table(
             [
-                pa.array([*rows["block"].to_pylist(), None], pa.int64()),
-                pa.array([rows["part"][0].as_py()] * (n + 1), pa.int32()),
-                pa.array([*back, None], pa.binary()),
-                *lists,
-                *(pa.array([None] * n + [int((count == k).sum())], pa.int64()) for k in (1, 2)),
+                pa.array([*rows["block"].to_pylist(), *[None] * parts], pa.int64()),
+                pa.array([rows["part"][0].as_py()] * (n + parts), pa.int32()),
+                pa.array([*back, *[None] * parts], pa.binary()),
+                pa.array([*[None] * n, *range(parts)], pa.int32()),
+                pa.array([*[None] * n, *(contexts[order[s]].tobytes() for s in some)], pa.binary()),
+                pa.array([*[None] * n, *(packed(followers[order[s]]) for s in some)], pa.binary()),
+                *(pa.array([None] * n + [v] + [0] * (parts - 1), pa.int64()) for v in sums),
             ],
-            names=[c.split()[0] for c in PAIR_COUNTS.split(", ")],
+            names=_names(PAIR_COUNTS),
         )
 
-    sent = blocks.select("block", "held", "uses", "names", "sequence").mapInArrow(send, "block long, part int, contexts binary, lengths binary, different int, pairs binary, times binary")
+    sent = blocks.select("block", "held", "uses", "different", "lengths", "words", "sequence").mapInArrow(send, "block long, part int, contexts binary, lengths binary, different int, pairs binary, times binary")
     return sent.groupBy("part").applyInArrow(add, PAIR_COUNTS)
 
 
@@ -336,31 +392,121 @@ def discount(ones: int, twos: int) -> float:
 
 def _earlier(keys: np.ndarray) -> np.ndarray:
     """How many equal keys came before each."""
+    return _grouped(keys)[0]
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many equal keys came before each, and a number for each different key."""
     order = np.argsort(keys, kind="stable")
     places = np.arange(len(keys))
     begins = np.append(True, keys[order][1:] != keys[order][:-1])[: len(keys)]
-    out = np.empty(len(keys), np.int64)
+    out, number = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
     out[order] = places - np.maximum.accumulate(np.where(begins, places, 0))
-    return out
+    number[order] = np.cumsum(begins) - 1
+    return out, number
 
 
 # ---------------------------------------------------------------------------- the model
 
 
-def _units(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the units ``word, lead, end`` in a row, and where each begins."""
-    lead, end = (batch.column(c).to_numpy().astype(np.uint8) for c in ("lead", "end"))
-    words, offsets = flat(batch.column("word"))
-    starts = offsets[:-1] + (LEAD + 1) * np.arange(len(lead))
-    data = np.empty(len(words) + (LEAD + 1) * len(lead), np.uint8)
+UNIT_COUNTS = (
+    "part int, block long, which binary, different int, leads binary, lengths binary, words binary, exact binary, c binary, "
+    "tokens long, vocabulary long, ones long, twos long, by_lead array<long>"
+)
+
+
+def unit_counts(blocks: DataFrame, parts: int) -> DataFrame:
+    """A row for the units of each part: how often training texts hold each, and its word; and one for each block that names those it holds.
+
+    A unit costs some bytes for each block it is in, and a part gets it once from each.
+    """
+
+    sent_names = ["leads", "lengths", "words", "times"]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, lengths = _spelling({c: batch.column(c)[i].as_py() for c in ("different", "lengths", "words")})
+                leads, times = np.frombuffer(batch.column("leads")[i].as_py(), np.uint8), unpacked(batch.column("times")[i].as_py(), len(lengths))
+                order, some = by_part(parts_of(names_of(words, lengths), parts), parts)
+                words = _some(words, (np.cumsum(lengths) - lengths)[order], lengths[order])
+                leads, lengths, times = (v[order] for v in (leads, lengths, times))
+                place = np.append(0, np.cumsum(lengths))
+                columns = [
+                    [leads[s].tobytes() for s in some],
+                    [packed(lengths[s]) for s in some],
+                    [words[place[s.start] : place[s.stop]].tobytes() for s in some],
+                    [packed(times[s]) for s in some],
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column("block")[i].as_py()] * parts, pa.int64()), pa.array(range(parts), pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
+                    names=["block", "part", *sent_names],
+                )
+
+    def add(rows: pa.Table) -> pa.Table:
+        got = {n: rows[n].to_pylist() for n in sent_names}
+        counts = [len(v) for v in got["leads"]]
+        leads, words = (np.frombuffer(b"".join(got[n]), np.uint8) for n in ("leads", "words"))
+        lengths, times = (np.concatenate([unpacked(v, n) for v, n in zip(got[c], counts)]) for c in ("lengths", "times"))
+        names = names_of(words, lengths)
+        which, different = pd.factorize(_keys(names, leads))
+        turn = np.empty(len(different), np.int64)  # the same whatever row comes first, and by chance
+        turn[np.argsort(different)] = np.arange(len(different))
+        which = turn[which]
+        exact = np.bincount(which, weights=times, minlength=len(different)).astype(np.int64)
+        back = [packed(w) for w in np.split(which, np.cumsum(counts)[:-1])]
+        first = _first(which, len(different))
+        words = _some(words, (np.cumsum(lengths, dtype=np.int64) - lengths)[first], lengths[first])
+        leads, lengths = leads[first], lengths[first]
+        word, plain = lengths > 1, pd.factorize(plain_hashes(words, lengths))[0]
+        c = np.where(word, np.bincount(plain, weights=exact).astype(np.int64)[plain], -1) if len(plain) else exact
+        by_lead = [np.bincount(leads, weights=exact, minlength=KINDS * 8).astype(np.int64), np.bincount(leads[exact > 0], minlength=KINDS * 8)]
+        sums = [exact[word].sum(), len(np.unique(plain[c > 0])), (exact == 1).sum(), (exact == 2).sum()]
+        n = rows.num_rows  # one row more for the part
+        units = [leads.tobytes(), packed(lengths), words.tobytes(), packed(exact, "<i8"), packed(c, "<i8")]
+        return pa.table(
+            [
+                pa.array([rows["part"][0].as_py()] * (n + 1), pa.int32()),
+                pa.array([*rows["block"].to_pylist(), None], pa.int64()),
+                pa.array([*back, None], pa.binary()),
+                pa.array([*counts, len(exact)], pa.int32()),
+                *(pa.array([None] * n + [v], pa.binary()) for v in units),
+                *(pa.array([None] * n + [int(v)], pa.int64()) for v in sums),
+                pa.array([None] * n + [np.concatenate(by_lead).tolist()], pa.list_(pa.int64())),
+            ],
+            names=_names(UNIT_COUNTS),
+        )
+
+    sent = blocks.select("block", "different", "leads", "lengths", "words", "times").mapInArrow(send, "block long, part int, leads binary, lengths binary, words binary, times binary")
+    return sent.groupBy("part").applyInArrow(add, UNIT_COUNTS)
+
+
+def _spelled(words: np.ndarray, lengths: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of units, each behind its lead, and where each begins."""
+    starts = np.cumsum(lengths) - lengths + LEAD * np.arange(len(lengths))
+    data = np.empty(len(words) + LEAD * len(lengths), np.uint8)
     place = np.ones(len(data), bool)
-    last = offsets[1:] + (LEAD + 1) * np.arange(1, len(lead) + 1) - 1
-    place[starts] = place[starts + 1] = place[last] = False
+    place[starts] = place[starts + 1] = False
     data[place] = words
-    data[starts], data[starts + 1], data[last] = 128 + (lead >> 3), lead & 7, end
+    data[starts], data[starts + 1] = 128 + (leads >> 3), leads & 7
     return data, starts
 
 
+def _units(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the units of a part the words, one after the other, their lengths, leads and counts."""
+    return *_spelling(row), np.frombuffer(row["leads"], np.uint8), unpacked(row["exact"], row["different"], "<i8")
+
+
+def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each part the bytes of its training units, where each begins, and how often it comes."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            words, lengths, leads, exact = _units(row)
+            some = np.flatnonzero(exact)
+            words = _some(words, (np.cumsum(lengths) - lengths)[some], lengths[some])
+            yield *_spelled(words, lengths[some], leads[some]), exact[some]
+
+
 TABLE_ROWS = 1 << 16
 
 
@@ -369,9 +515,8 @@ def _counted(units: DataFrame) -> list[np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = context_mix.empty_counts()
-        for batch in batches:
-            data, starts = _units(batch)
-            context_mix.count(data, starts, batch.column("n").to_numpy(), tables, LEAD)
+        for data, starts, times in _training(batches):
+            context_mix.count(data, starts, times, tables, LEAD)
         for k, table in enumerate(tables):
             for i in range(0, len(table), TABLE_ROWS):
                 part = table[i : i + TABLE_ROWS].astype(np.float32)
@@ -400,15 +545,15 @@ def _counted(units: DataFrame) -> list[np.ndarray]:
 
 
 def _learned(units: DataFrame, tables) -> context_mix.Learned:
-    """Weights of an online pass; of several tasks, averaged by what they learned from."""
+    """Weights of an online pass over each part, averaged by what they learned from."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = context_mix.Learned.begin()
-        for batch in batches:
-            data, starts = _units(batch)
-            learned.learn(data, starts, batch.column("n").to_numpy(), tables.value, LEAD)
-        if learned.mass.any():
-            values = np.concatenate([(learned.weights * learned.mass[:, None]).ravel(), learned.mass, learned.ones, learned.all])
+        values = 0
+        for data, starts, times in _training(batches):
+            learned = context_mix.Learned.begin()
+            learned.learn(data, starts, times, tables.value, LEAD)
+            values = values + np.concatenate([(learned.weights * learned.mass[:, None]).ravel(), learned.mass, learned.ones, learned.all])
+        if np.any(values):
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["i", "v"])
 
     out = context_mix.Learned.begin()
@@ -428,6 +573,8 @@ SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
     "kind int, n_bytes long, bits_per_byte double"
 )
+RATED = "block long, part int, log binary, c binary, total binary, followers binary"
+_RATED = [("block", pa.int64()), ("part", pa.int32()), *((n, pa.binary()) for n in ("log", "c", "total", "followers"))]
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Column | None = None) -> DataFrame:
@@ -439,7 +586,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
     gives an empty one; other columns are ignored. Units and their counts grow with the
     input and stay in tables, as do pairs of neighbours and theirs; what every task holds is
     the hashed counts for spelling (BITS) and the weights, of a size that does not depend on
-    the input, and one block, or one part of the pairs, of which there are more for more text.
+    the input, and one block, or one part of the units or pairs, of which there are more for more text.
     """
     spark = docs.sparkSession
     held = is_held(column(doc_id)) if held is None else held
@@ -467,117 +614,109 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: Col
             number += 1
 
     blocks = written(rows.mapInArrow(block, BLOCKS), "lm-blocks", "zstd")
-    found = blocks.select(F.explode(F.arrays_zip("words", "leads", "ends", "times", "names")).alias("u"))
-    found = found.select(*(F.col(f"u.{many}").alias(one) for many, one in (("words", "word"), ("leads", "lead"), ("ends", "end"), ("times", "n"), ("names", "name"))))
-    plain = F.translate("word", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    units = found.groupBy("name", "word", "lead", "end").agg(F.sum("n").alias("exact")).withColumn("plain", plain)
-    alike = Window.partitionBy("plain")  # a word's spellings, leads and endings
-    units = units.withColumn("c", F.when(F.col("word") == "", -1).otherwise(F.sum("exact").over(alike)))
-    units = written(units.withColumn("first", F.row_number().over(alike.orderBy("lead", "end", "word")) == 1).drop("plain"), "lm-units", "zstd")
-    forget(spark)
-    sums = units.filter("first and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    texts = blocks.select(F.explode(F.arrays_zip("held", "kinds")).alias("d")).filter("not d.held")
-    kinds = {r["kind"]: r["n"] for r in texts.groupBy(F.col("d.kinds").alias("kind")).agg(F.count("*").alias("n")).collect()}
-    trained = sum(kinds.values())
-    tokens, vocabulary = sums[0] + trained, sums[1] + (trained > 0)
-
-    leads = np.zeros((KINDS * 8, 2))  # under each lead the training units, and how many are different
-    ones = twos = 0
-    for r in units.filter("exact > 0").groupBy("lead").agg(F.sum("exact").alias("n"), F.count("*").alias("different"), F.count_if(F.col("exact") == 1).alias("ones"), F.count_if(F.col("exact") == 2).alias("twos")).collect():
-        leads[r["lead"]] = r["n"], r["different"]
-        ones, twos = ones + r["ones"], twos + r["twos"]
-    unit_less = discount(ones, twos)
-
     size = text_bytes(rows)
     parts = max(1, -(-size // PART_BYTES))
     pairs = written(pair_counts(blocks, parts), "lm-pairs", "zstd")
-    seen = pairs.agg(F.coalesce(F.sum("ones"), F.lit(0)), F.coalesce(F.sum("twos"), F.lit(0))).first()
-    pair_less = discount(*seen)
-    contexts = pairs.filter("contexts is not null").select(F.explode(F.arrays_zip("contexts", "totals", "followers")).alias("c"))
-    contexts = contexts.groupBy(F.col("c.contexts").alias("name")).agg(F.sum("c.totals").alias("total"), F.sum("c.followers").alias("followers"))
-    contexts = written(contexts, "lm-contexts", "zstd")
     forget(spark)
-    begin = contexts.filter(F.col("name") == BEGIN).first()
-    begin = (begin["total"], begin["followers"]) if begin else (0, 0)
-
-    train_units = units.filter("exact > 0").select("name", "word", "lead", "end", F.col("exact").alias("n"))
-    known_units = train_units.count()
-    tables = spark.sparkContext.broadcast(_counted(train_units.coalesce(max(1, -(-known_units // COUNT_UNITS)))))
-    dealt = train_units.repartition(max(1, -(-known_units // LEARN_UNITS)), "name", "lead").sortWithinPartitions(F.xxhash64("name", "lead"))
-    model = spark.sparkContext.broadcast(_learned(dealt, tables))
+    units = written(unit_counts(blocks, parts), "lm-units", "zstd")
     forget(spark)
+    of_parts = units.filter("words is not null")
+    tokens, vocabulary, ones, twos = of_parts.agg(*(F.coalesce(F.sum(n), F.lit(0)) for n in ("tokens", "vocabulary", "ones", "twos"))).first()
+    unit_less = discount(ones, twos)
+    leads = np.zeros((2, KINDS * 8))  # under each lead the training units, and how many are different
+    for r in of_parts.select(F.posexplode("by_lead").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect():
+        leads.ravel()[r["i"]] = r["n"]
+    texts = blocks.select(F.explode(F.arrays_zip("held", "kinds")).alias("d")).filter("not d.held")
+    kinds = {r["kind"]: r["n"] for r in texts.groupBy(F.col("d.kinds").alias("kind")).agg(F.count("*").alias("n")).collect()}
+    trained = sum(kinds.values())
+    tokens, vocabulary = tokens + trained, vocabulary + (trained > 0)
+    seen = pairs.agg(*(F.coalesce(F.sum(n), F.lit(0)) for n in ("ones", "twos", "begin"))).first()
+    pair_less, begin = discount(*seen[:2]), (trained, seen[2])  # a training text has one unit that begins it
 
-    kept = ["name", "lead", "c", "total", "followers"]
+    training = of_parts.select("different", "words", "lengths", "leads", "exact")
+    tables = spark.sparkContext.broadcast(_counted(training.coalesce(max(1, -(-int(leads[1].sum()) // COUNT_UNITS)))))
+    model = spark.sparkContext.broadcast(_learned(training, tables))
+    forget(spark)
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mix = context_mix.Model(tables.value, model.value)
-        for batch in batches:
-            data, starts = _units(batch)
-            all_units, different = leads[batch.column("lead").to_numpy()].T
-            exact = np.maximum(batch.column("exact").to_numpy() - unit_less, 0)
-            spelled = 10.0 ** mix.score(data, starts, LEAD)
-            p = np.where(all_units > 0, (exact + unit_less * different * spelled) / np.maximum(all_units, 1), spelled)
-            log = np.log10(np.maximum(p, 1e-300))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(log.astype(np.float32))], names=[*kept, "log"])
-
-    followed = units.join(contexts, "name", "left").fillna(0, ["total", "followers"]).select(*kept, "word", "end", "exact")
-    rated = written(followed.mapInArrow(rate, "name long, lead int, c long, total long, followers long, log float"), "lm-rated", "zstd")
-    forget(spark, units, contexts)
-    held_by = blocks.select(F.col("block").alias("of_block"), F.posexplode(F.arrays_zip("names", "leads")).alias("place", "u"))
-    held_by = held_by.select("of_block", "place", F.col("u.names").alias("name"), F.col("u.leads").alias("lead"))
-    known = written(held_by.join(rated, ["name", "lead"]).select("of_block", "place", "log", "c", "total", "followers"), "lm-known", "zstd")
-    forget(spark, rated)
+    def rate(rows: pa.Table) -> pa.Table:
+        rows = rows.to_pylist()
+        part = next((r for r in rows if r["words"] is not None), None)
+        if part is None:
+            return pa.schema(_RATED).empty_table()
+        words, lengths, lead, exact = _units(part)
+        data, starts = _spelled(words, lengths, lead)
+        all_units, different = leads[:, lead]
+        spelled = 10.0 ** context_mix.Model(tables.value, model.value).score(data, starts, LEAD)
+        p = np.where(all_units > 0, (np.maximum(exact - unit_less, 0) + unit_less * different * spelled) / np.maximum(all_units, 1), spelled)
+        log = np.log10(np.maximum(p, 1e-300)).astype(np.float32)
+        contexts = [(np.frombuffer(r["names"], np.int64), r["followers"]) for r in rows if r["followers"] is not None]
+        name = pd.factorize(np.concatenate([names_of(words, lengths), *(n for n, _ in contexts)]))[0]
+        count, name, context = name.max() + 1, name[: len(log)], name[len(log) :]
+        total = np.bincount(name, weights=np.where(words[np.cumsum(lengths) - 1] != END, exact, 0), minlength=count).astype(np.int64)[name]  # all but a text's last have one behind them
+        followers = np.bincount(context, weights=np.concatenate([np.zeros(0), *(unpacked(f, len(n)) for n, f in contexts)]), minlength=count).astype(np.int64)[name]
+        c = unpacked(part["c"], len(log), "<i8")
+        back = [r for r in rows if r["which"] is not None]
+        which = [unpacked(r["which"], r["different"]) for r in back]
+        columns = [[log[w].tobytes() for w in which], *([packed(v[w], "<i8") for w in which] for v in (c, total, followers))]
+        return pa.table([pa.array([r["block"] for r in back], pa.int64()), pa.array([r["part"] for r in back], pa.int32()), *(pa.array(v, pa.binary()) for v in columns)], schema=pa.schema(_RATED))
+
+    followed = units.select("part", "block", "which", "different", "leads", "lengths", "words", "exact", "c")
+    followed = followed.unionByName(pairs.filter("names is not null").select(F.col("of").alias("part"), "names", "followers"), allowMissingColumns=True)
+    rated = written(followed.groupBy("part").applyInArrow(rate, RATED), "lm-rated", "zstd")
+    forget(spark, units)
     prior = np.log10(np.array([kinds.get(k, 0) + 1 for k in range(KINDS)]) / (trained + KINDS))
     whole = tokens + vocabulary + 1
 
-    def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _none()
-        order = np.argsort(right["place"].to_numpy())
-        log, c, total, followers = (right[n].to_numpy()[order] for n in ("log", "c", "total", "followers"))
-        row = {n: left[n][0].values.to_numpy(zero_copy_only=False) for n in ("held", "kinds", "sizes", "uses", "names")}
-        uses = row["uses"]
+    def put_together(rows: pa.Table) -> pa.Table:
+        left = rows.filter(pc.is_valid(rows["sequence"]))
+        counts, rates = (sorted(rows.filter(pc.is_valid(rows[n])).select(["part", *more]).to_pylist(), key=lambda r: r["part"]) for n, more in (("counts", ["counts"]), ("log", ["log", "c", "total", "followers"])))
+        row = {n: left[n].combine_chunks()[0].values.to_numpy(zero_copy_only=False) for n in ("held", "kinds", "sizes", "uses")}
+        uses, names = row["uses"], names_of(*_spelling(left.select(["different", "lengths", "words"]).to_pylist()[0]))
+        order, some = by_part(parts_of(names, parts), parts)
+        log, c, total, followers = (np.empty(len(names), t) for t in (np.float64, np.int64, np.int64, np.int64))
+        for r in rates:
+            at = order[some[r["part"]]]
+            log[at] = np.frombuffer(r["log"], np.float32)
+            for v, n in ((c, "c"), (total, "total"), (followers, "followers")):
+                v[at] = unpacked(r[n], len(at), "<i8")
         unit = unpacked(left["sequence"][0].as_py(), int(uses.sum())).astype(np.int64)
-        text, before, context, pair = pairs_of(row["names"], uses, unit)
+        text, before, context, pair = pairs_of(names, uses, unit)
         _, _, which = _parted(context, pair, parts)
-        back = sorted(left["back"][0].as_py(), key=lambda r: r["part"])
-        count = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in back])[which]
+        count = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in counts])[which]
         add = lambda v: np.bincount(text, weights=v, minlength=len(uses))
-        word = c[unit] >= 0
-        base = add(np.where(word, np.log10((np.maximum(c[unit], 0) + 1) / whole), 0)) + math.log10((trained + 1) / whole)
+        base = add(np.where(c >= 0, np.log10((np.maximum(c, 0) + 1) / whole), 0)[unit]) + math.log10((trained + 1) / whole)
         of_all, different = np.append(total, begin[0])[before], np.append(followers, begin[1])[before]
-        p = 10.0 ** log[unit].astype(np.float64)
+        p = (10.0**log)[unit]
         p = np.where(of_all > 0, (np.maximum(count - pair_less, 0) + pair_less * different * p) / np.maximum(of_all, 1), p)
         place = np.arange(len(unit)) - (np.cumsum(uses) - uses)[text]
-        p = (ADAPT * p + _earlier(text * len(c) + unit)) / (ADAPT + place)
-        leading = text * (len(c) + 1) + before + 1  # within a text: what came before, then both
-        follows = _earlier(pd.factorize(leading)[0] * np.int64(len(c)) + unit)
-        p = (PAIR_ADAPT * p + follows) / (PAIR_ADAPT + _earlier(leading))
-        total = prior[row["kinds"]] + add(np.log10(p))
-        tokens_of = add(word).astype(np.int64) + 1
-        known_of = add(c[unit] > 0).astype(np.int64) + (trained > 0)
+        so_far, of_text = _grouped(text * len(c) + unit)  # within a text: a unit, then the one before and it
+        p = (ADAPT * p + so_far) / (ADAPT + place)
+        begins = place == 0
+        leading = np.where(begins, len(unit) + text, np.append(0, of_text[:-1])[: len(unit)])
+        follows = _earlier(leading * np.int64(len(unit) + 1) + of_text)
+        p = (PAIR_ADAPT * p + follows) / (PAIR_ADAPT + np.where(begins, 0, np.append(0, so_far[:-1])[: len(unit)]))
+        score = prior[row["kinds"]] + add(np.log10(p))
+        tokens_of = add((c >= 0)[unit]).astype(np.int64) + 1
+        known_of = add((c > 0)[unit]).astype(np.int64) + (trained > 0)
         with np.errstate(divide="ignore", invalid="ignore"):
-            bits = np.where(row["sizes"] > 0, -total / math.log10(2) / row["sizes"], np.nan)
-        columns = [left["doc_ids"][0].values, row["held"], tokens_of, known_of, np.full(len(uses), tokens), base, total, row["kinds"], row["sizes"], pa.array(bits, from_pandas=True)]
-        return pa.table([pa.array(v) if not isinstance(v, pa.Array) else v for v in columns], names=_SCORE_NAMES).cast(_none().schema)
+            bits = np.where(row["sizes"] > 0, -score / math.log10(2) / row["sizes"], np.nan)
+        columns = [left["doc_ids"].combine_chunks()[0].values, row["held"], tokens_of, known_of, np.full(len(uses), tokens), base, score, row["kinds"], row["sizes"], pa.array(bits, from_pandas=True)]
+        return pa.table([pa.array(v) if not isinstance(v, pa.Array) else v for v in columns], names=_names(SCORES)).cast(_none().schema)
 
     rounds = max(1, min(ROUNDS, size // ROUND_BYTES))
     tasks = ((blocks.agg(F.max("block")).first()[0] or 0) >> 32) + 1  # that wrote blocks; those of one are scored in one round
     scored = []
     for i in range(rounds):
         ours = lambda name: F.col(name).between((tasks * i // rounds) << 32, ((tasks * (i + 1) // rounds) << 32) - 1)  # noqa: E731, B023
-        back = pairs.filter(ours("block")).groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("back"))
-        texts = blocks.filter(ours("block")).select("block", "doc_ids", "held", "kinds", "sizes", "uses", "names", "sequence").join(back, "block")
-        scores = texts.groupBy("block").cogroup(known.filter(ours("of_block")).groupBy("of_block")).applyInArrow(put_together, SCORES)
+        texts = blocks.filter(ours("block")).select("block", "doc_ids", "held", "kinds", "sizes", "uses", "different", "lengths", "words", "sequence")
+        back = [pairs.filter(ours("block")).select("block", "part", "counts"), rated.filter(ours("block"))]
+        scores = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), back, texts).groupBy("block").applyInArrow(put_together, SCORES)
         scored.append(written(scores, "lm-scores"))
         forget(spark)
-    forget(spark, blocks, pairs, known)
+    forget(spark, blocks, pairs, rated)
     return reduce(DataFrame.unionByName, scored)
 
 
-_SCORE_NAMES = [c.split()[0] for c in SCORES.split(", ")]
-
-
 def _none() -> pa.Table:
     types = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32()}
     return pa.schema([(c.split()[0], types[c.split()[1]]) for c in SCORES.split(", ")]).empty_table()

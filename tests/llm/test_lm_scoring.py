@@ -159,3 +159,36 @@ def test_packed_sequences():
     for some in (numbers, numbers[:1], numbers[:0]):
         assert (lm.unpacked(lm.packed(some), len(some)) == some).all()
     assert len(lm.packed(numbers)) < 1.5 * len(numbers)
+
+
+def test_like_places_are_looked_at_once():
+    units = [b"\x81\x02" + w + e for w in (b"", b"there", b"therefore", b"The", b"x" * 40) for e in (b" ", b"\n", b"\xff")]
+    join = lambda u: (np.frombuffer(b"".join(u), np.uint8), np.cumsum([0, *map(len, u)])[:-1])
+    (some,) = cm.chunks(*join(units * 3), 2)
+    deep = {(u[max(0, i - cm.DEEP) : i], i < cm.DEEP, u[i]) for u in units for i in range(2, len(u))}
+    assert len(some.data) == len(deep) < len(some.unit) == 3 * sum(len(u) - 2 for u in units)
+    tables, learned = cm.empty_counts(), cm.Learned.begin()
+    cm.count(*join(units), np.arange(1, len(units) + 1), tables, 2)
+    learned.learn(*join(units), np.arange(1, len(units) + 1), tables, 2)
+    model = cm.Model(tables, learned)
+    assert model.score(*join(units * 3), 2) == pytest.approx([model.score(*join([u]), 2)[0] for u in units] * 3, rel=1e-5)
+
+
+def test_parts_of_units(spark, monkeypatch):
+    """Units go to parts and back in a row for each block and part; spellings of a word meet in one part."""
+    spelled = [b"word ", b"Word\n", b"WORD\xff", b" ", b"\n", b"\xff"]
+    names = lm.names_of(np.frombuffer(b"".join(spelled), np.uint8), np.array([len(u) for u in spelled]))
+    assert len(set(names.tolist())) == 6
+    assert all(len(set(some.tolist())) == 1 for some in np.split(lm.parts_of(names, 1009), 2))
+    sent, unit_counts = [], lm.unit_counts
+    monkeypatch.setattr(lm, "unit_counts", lambda blocks, parts: sent.append((blocks.count(), parts, unit_counts(blocks, parts).count())) or unit_counts(blocks, parts))
+    rows, columns = corpus(), ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    monkeypatch.setattr(lm, "BLOCK", 20_000)
+    key = lambda r: (str(r[0]), r[2], round(r[5], 6))
+    once = sorted(map(tuple, lm.score(documents(spark, rows)).select(columns).collect()), key=key)
+    monkeypatch.setattr(lm, "PART_BYTES", 15_000)
+    many = sorted(map(tuple, lm.score(documents(spark, rows)).select(columns).collect()), key=key)
+    assert sent[0][1] == 1 < sent[1][1] and all(n == blocks * parts + parts for blocks, parts, n in sent)
+    assert [r[:5] for r in many] == [r[:5] for r in once]
+    assert [r[5] for r in many] == pytest.approx([r[5] for r in once], rel=1e-9)
+    assert [r[6] for r in many] == pytest.approx([r[6] for r in once], rel=0.05)  # weights are averaged over parts
